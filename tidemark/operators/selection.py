@@ -133,16 +133,17 @@ def recent_window(df: DataFrame, date: str, years: int) -> DataFrame:
 
 def candidate_windows(calendar: DataFrame, windows: dict[str, int]) -> DataFrame:
     """Window per model from a one-row-per-date rollup (``date, n_rows``)."""
-    offers = F.array(*[
-        F.struct(F.lit(m).alias("model"), F.lit(y).alias("years"))
-        for m, y in windows.items() if y > 0
+    windows = {m: y for m, y in windows.items() if y > 0}
+    newest = calendar.select(F.max("date")).scalar()
+    dated = calendar.withColumn("newest", newest)
+    cutoff = {m: F.add_months(F.col("newest"), -12 * y) for m, y in windows.items()}
+    counted = dated.agg(F.max("newest").alias("newest"), *[
+        F.sum(F.when(F.col("date") >= cutoff[m], F.col("n_rows"))).alias(f"rows_{m}")
+        for m in windows])
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("model"), F.lit(y).alias("years"),
+                 cutoff[m].alias("cutoff_date"), F.col("newest").alias("max_date"),
+                 F.col(f"rows_{m}").alias("n_rows"))
+        for m, y in windows.items()
     ])
-    newest = calendar.agg(F.max("date").alias("max_date")).where("max_date IS NOT NULL")
-    limits = newest.select("max_date", F.explode(offers).alias("o")).select(
-        "o.model", "o.years", "max_date",
-        F.add_months("max_date", -12 * F.col("o.years")).alias("cutoff_date"))
-    # One row per model against one row per date; both sides are calendar-sized.
-    return (
-        limits.join(calendar, calendar["date"] >= limits["cutoff_date"])
-        .groupBy("model", "years", "cutoff_date", "max_date")
-        .agg(F.sum("n_rows").alias("n_rows")))
+    return counted.where("newest IS NOT NULL").select(F.explode(rows).alias("w")).select("w.*")
