@@ -54,7 +54,9 @@ def run_length_filter(x: np.ndarray, mu_0: float, beta_0: float, hazard: float,
         off = (x[t] - mu) ** 2
         log_p = (shape[: t + 1] - 0.5 * np.log(spread)
                  - (a + 0.5) * np.log1p(off / (2.0 * a * spread)))
-        joint = weight * np.exp(log_p - log_p.max())
+        with np.errstate(divide="ignore"):
+            log_joint = np.log(weight) + log_p
+        joint = np.exp(log_joint - log_joint.max())
         weight = np.empty(t + 2)
         weight[0] = joint.sum() / hazard
         weight[1:] = joint * (1.0 - 1.0 / hazard)
