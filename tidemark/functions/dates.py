@@ -60,9 +60,11 @@ def median_gaps(df: DataFrame, columns: list[str]) -> DataFrame:
     days = moments.groupBy("name", F.to_date("at").alias("day")).agg(
         F.count("*").alias("n"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
     in_order = Window.partitionBy("name").orderBy("day")
-    seconds = F.unix_micros(F.col("first_at").cast("timestamp")) - F.unix_micros(
-        F.lag("last_at").over(in_order).cast("timestamp"))
-    steps = days.withColumn("gap", F.floor(seconds / F.lit(86_400_000_000)))
+    time_of_day = lambda c: F.date_format(c, "HH:mm:ss.SSSSSS")
+    last_at, last_day = F.lag("last_at").over(in_order), F.lag("day").over(in_order)
+    # Whole days from the last moment of one day to the first moment of the next used day.
+    cut_short = (time_of_day(F.col("first_at")) < time_of_day(last_at)).cast("int")
+    steps = days.withColumn("gap", F.datediff("day", last_day) - cut_short)
     gaps = (
         steps.select("name", F.explode(F.array(
             F.struct(F.lit(0).cast("bigint").alias("gap"), (F.col("n") - 1).alias("c")),

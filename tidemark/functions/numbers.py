@@ -13,6 +13,17 @@ def clean_float(c: Column) -> Column:
     return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
+# Fixed pattern: what counts as a number in a text. Java's own reading would also take 1d or 1f.
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number_of(c: Column, is_text: bool = False) -> Column:
+    """A column as double; texts that are no numbers and NaN become null."""
+    if is_text:
+        c = F.when(c.rlike(NUMBER_PATTERN), c)
+    return clean_float(c.try_cast("double"))
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top, bottom)
 
@@ -109,9 +120,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Numeric columns stacked as (name, value); text that is no number becomes null."""
+    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
     pairs = F.array(*[
         F.struct(F.lit(c).alias("name"),
-                 clean_float(F.col(f"`{c}`").try_cast("double")).alias("value"))
+                 number_of(F.col(f"`{c}`"), c in texts).alias("value"))
         for c in columns
     ])
     return df.select(F.explode(pairs).alias("p")).select("p.name", "p.value")
@@ -131,10 +143,16 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     Columns are stacked and merged by value in two partial aggregations, so neither a wide
     expand over every column nor a hot column ends up in one task.
     """
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+
+    def key_of(c):
+        # Adding zero makes -0.0 and 0.0 one value.
+        if c in floats:
+            return value_key(clean_float(F.col(f"`{c}`")) + F.lit(0.0))
+        return value_key(F.col(f"`{c}`"))
+
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("name"), value_key(F.col(f"`{c}`")).alias("value"))
-        for c in columns
-    ])
+        F.struct(F.lit(c).alias("name"), key_of(c).alias("value")) for c in columns])
     seen = (
         df.select(F.explode(pairs).alias("p")).select("p.name", "p.value")
         .groupBy("name", "value").agg(F.lit(1).alias("one"))

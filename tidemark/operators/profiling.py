@@ -8,7 +8,7 @@ from tidemark import knowledge as K
 from tidemark.functions.dates import median_gaps
 from tidemark.functions.names import contains_any, type_family
 from tidemark.functions.numbers import (
-    clean_float, distinct_counts, exact_quantiles, long_values)
+    clean_float, distinct_counts, exact_quantiles, long_values, number_of)
 
 
 def column_shapes(df: DataFrame, measures: list[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def column_shapes(df: DataFrame, measures: list[str]) -> DataFrame:
     for c in df.columns:
         aggs.append(F.count(value(c)).alias(f"{c}|n"))
     for c in measures:
-        x = clean_float(F.col(f"`{c}`").try_cast("double"))
+        x = number_of(F.col(f"`{c}`"), type_family(types[c]) == "string")
         aggs += [
             F.count(x).alias(f"{c}|numbers"), F.skewness(x).alias(f"{c}|skewness"),
             F.kurtosis(x).alias(f"{c}|kurtosis"), F.max(x).alias(f"{c}|max"),

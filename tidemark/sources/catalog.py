@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import type_family
-from tidemark.functions.numbers import clean_float, distinct_counts, value_key
+from tidemark.functions.numbers import clean_float, number_of, value_key
 from tidemark.session import inline_rows
 
 
@@ -106,7 +106,7 @@ def text_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns or text_columns(df)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("name"), value_key(F.col(f"`{c}`")).alias("value"),
-                 F.col(f"`{c}`").try_cast("double").isNotNull().alias("is_number"))
+                 number_of(F.col(f"`{c}`"), is_text=True).isNotNull().alias("is_number"))
         for c in columns
     ])
     merged = (
