@@ -36,6 +36,14 @@ def safe_corr(x: Column, y: Column, min_rows: int = 3) -> Column:
     return F.when(F.count(F.when(both, F.lit(1))) >= min_rows, r)
 
 
+def complete_corr(x: Column, y: Column) -> Column:
+    """Pearson r where both sides are missing together or never; null on constants.
+
+    Each column's deviation is one aggregate, whatever the number of pairs it is in.
+    """
+    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
     """Linear-interpolated quantiles, exact, with no task ever holding a whole group.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
 from tidemark.functions.curves import adstock, hill
-from tidemark.functions.numbers import safe_corr
+from tidemark.functions.numbers import complete_corr
 
 CHANNEL_SIGMA, COMPETITOR_SIGMA, CONTROL_SIGMA = 0.5, 0.3, 0.5
 INTERCEPT_SIGMA, NOISE_SIGMA = 0.5, 0.3
@@ -107,7 +107,7 @@ def design_collinearity(matrix: DataFrame, keys: list[str], limit: float = 0.85)
     names = [c for c in matrix.columns if c.startswith("X_")]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
     wide = matrix.groupBy(*keys).agg(*[
-        safe_corr(F.col(a), F.col(b), 2).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+        complete_corr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(*[
         F.struct(F.lit(a[2:]).alias("left_feature"), F.lit(b[2:]).alias("right_feature"),
                  F.col(f"r{i}").alias("r"))

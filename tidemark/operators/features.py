@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark import knowledge as K
 from tidemark.functions.curves import fourier, log_level
 from tidemark.functions.names import contains_any, type_family
-from tidemark.functions.numbers import clean_float
+from tidemark.functions.numbers import clean_float, distinct_counts
 from tidemark.session import inline_rows
 
 
@@ -97,8 +97,6 @@ def find_roles(df: DataFrame, target: str | None = None) -> dict[str, str | None
 
 def few_valued_text(df: DataFrame, week: str, below: int = 20) -> DataFrame:
     """Text columns with fewer than ``below`` distinct values, in column order."""
-    from tidemark.functions.numbers import distinct_counts
-
     texts = [f.name for f in df.schema
              if type_family(f.dataType) == "string" and f.name != week]
     order = inline_rows(df.sparkSession, {"name": "string", "ordinal": "int"},

@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
-from tidemark.functions.numbers import clean_float, safe_corr
-from tidemark.session import inline_rows
+from tidemark.functions.numbers import complete_corr, number_of, safe_corr
+from tidemark.session import inline_rows, stage
 
 CHECK_COLUMNS = ["dataset", "model", "check_name", "status", "metric", "detail"]
 
@@ -106,7 +106,8 @@ def window_facts(df: DataFrame, date: str, metrics: list[str], channels: list[st
     One pass over the table, however many models and columns. Wide, one row.
     """
     newest = calendar.select(F.max("date")).scalar()
-    value = {c: clean_float(F.col(f"`{c}`").try_cast("double"))
+    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    value = {c: number_of(F.col(f"`{c}`"), c in texts)
              for c in dict.fromkeys([*metrics, *channels])}
     day = F.col(date).cast("date")
     aggs = [F.max("newest").alias("newest")]
@@ -123,7 +124,7 @@ def window_facts(df: DataFrame, date: str, metrics: list[str], channels: list[st
             aggs.append(F.count_if(whole).alias(f"{model}|complete"))
             for i, a in enumerate(channels):
                 for b in channels[i + 1:]:
-                    aggs.append(safe_corr(F.when(whole, value[a]), F.when(whole, value[b]))
+                    aggs.append(complete_corr(F.when(whole, value[a]), F.when(whole, value[b]))
                                 .alias(f"{model}|{a}|{b}|r"))
     return df.withColumn("newest", newest).agg(*aggs)
 
@@ -324,14 +325,17 @@ def min_row_count(calendar: DataFrame, dataset: str, model: str, limits: dict) -
 def quality_checks(df: DataFrame, dataset: str, profiles: DataFrame, calendar: DataFrame,
                    date: str, subtypes: dict[str, str], models: list[str],
                    limits: dict | None = None) -> DataFrame:
-    """Every check of every model as rows. ``subtypes`` is in column order."""
+    """Every check of every model as rows. ``subtypes`` is in column order.
+
+    ``profiles`` and ``calendar`` are read by many checks and should be stored stages.
+    """
     spark = df.sparkSession
     of = lambda *kinds: [c for c, s in subtypes.items() if s in kinds and c in df.columns]
     metrics = of("measure", "channel", "unclassified_metric")
     channels, segments = of("channel"), of("segment")
     measure = next(iter(of("measure")), None)
     years = {m: limits_for(m, limits).get("window_years", 0) for m in models}
-    facts = window_facts(df, date, metrics, channels, years, calendar)
+    facts = stage(window_facts(df, date, metrics, channels, years, calendar))
     grain = profiles.where(F.col("name") == date).select("date_grain").scalar()
     rows = []
     for model in models:

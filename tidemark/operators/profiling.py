@@ -95,15 +95,19 @@ def suggested_transforms(profile_subtype: Column, rules=None) -> Column:
     return F.array_compact(F.array(*fired))
 
 
-def column_profile(df: DataFrame, subtypes: dict[str, str], dataset: str) -> DataFrame:
-    """One profile row per column. ``subtypes`` maps column names to their meaning."""
+def column_profile(df: DataFrame, subtypes: dict[str, str], dataset: str,
+                   spread: bool = True) -> DataFrame:
+    """One profile row per column. ``subtypes`` maps column names to their meaning.
+
+    Without ``spread`` the quantile passes are left out (median and outlier rate are null).
+    """
     measures = [c for c in df.columns
                 if subtypes.get(c) in ("measure", "unclassified_metric")]
     dates = [c for c in df.columns if subtypes.get(c) == "date"]
     stats = column_shapes(df, measures).join(
         F.broadcast(distinct_counts(df, df.columns)
                     .withColumnRenamed("n_distinct", "unique_count")), "name", "left")
-    if measures:
+    if measures and spread:
         stats = stats.join(F.broadcast(outlier_rates(df, measures)), "name", "left")
     else:
         stats = stats.select("*", *[F.lit(None).cast("double").alias(c)

@@ -123,7 +123,8 @@ def spine(series: DataFrame, date: str, keys: list[str] | None = None,
     limits = series.groupBy(*(keys or [])).agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
     step = F.make_interval(days=F.lit(days))
     return limits.where("lo IS NOT NULL").select(
-        *(keys or []), F.explode(F.sequence("lo", "hi", step)).cast("date").alias(date))
+        *(keys or []), F.explode(F.sequence(
+            F.col("lo").cast("date"), F.col("hi").cast("date"), step)).alias(date))
 
 
 def fill_forward(series: DataFrame, date: str, columns: list[str],

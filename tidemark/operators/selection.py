@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.numbers import clean_float, safe_corr
+from tidemark.functions.numbers import number_of, safe_corr
 from tidemark.session import inline_rows
 
 
@@ -78,7 +78,8 @@ def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     pair is three running sums. Returns ``left_name, right_name, r``.
     """
     pairs = list(combinations(columns, 2))
-    value = {c: clean_float(F.col(f"`{c}`").try_cast("double")) for c in columns}
+    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    value = {c: number_of(F.col(f"`{c}`"), c in texts) for c in columns}
     if not pairs:
         return inline_rows(df.sparkSession, {
             "left_name": "string", "right_name": "string", "r": "double"}, [])

@@ -49,10 +49,11 @@ class Metadata:
 
 def describe(spark: SparkSession, datasets: dict[str, DataFrame],
              datamarts: DataFrame | None = None, hints: dict | None = None) -> Metadata:
-    catalog = column_catalog(spark, datasets)
-    specs = column_subtypes(catalog, hints=hints)
-    classes = table_classes(specs, datamarts)
-    keys = star_keys(specs, classes)
+    # One row per column: stored once, because every metadata table below reads it.
+    catalog = stage(column_catalog(spark, datasets))
+    specs = stage(column_subtypes(catalog, hints=hints))
+    classes = stage(table_classes(specs, datamarts))
+    keys = stage(star_keys(specs, classes))
     routes = model_routes(specs, classes, datamarts, keys=keys)
     return Metadata(catalog, specs, classes, keys, routes,
                     duplicate_signals(specs, classes, routes), datamarts)

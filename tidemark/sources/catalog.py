@@ -78,11 +78,10 @@ def column_catalog(spark: SparkSession, datasets: dict[str, DataFrame],
     schema = inline_rows(spark, {
         "dataset": "string", "ordinal": "int", "name": "string", "dtype": "string",
         "dtype_family": "string"}, rows)
-    texts = [text_stats(df).select(F.lit(name).alias("dataset"), "*")
-             for name, df in datasets.items() if text_columns(df)]
+    texts = {name: df for name, df in datasets.items() if text_columns(df)}
     if not texts:
         return schema.withColumn("n_distinct", F.lit(None).cast("bigint"))
-    stats = reduce(DataFrame.unionByName, texts)
+    stats = text_stats(texts)
     # One row per text column of the catalog: as bounded as the schema rows themselves.
     joined = schema.join(F.broadcast(stats), ["dataset", "name"], "left")
     numeric = F.coalesce(
@@ -101,19 +100,24 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if type_family(f.dataType) == "string"]
 
 
-def text_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per text column: rows, nulls, share of values that are numbers, distinct values."""
-    columns = columns or text_columns(df)
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("name"), value_key(F.col(f"`{c}`")).alias("value"),
-                 number_of(F.col(f"`{c}`"), is_text=True).isNotNull().alias("is_number"))
-        for c in columns
-    ])
-    merged = (
-        df.select(F.explode(pairs).alias("p")).select("p.*")
-        .groupBy("name", "value", "is_number").agg(F.count("*").alias("c"))
-    )
-    return merged.groupBy("name").agg(
+def text_stats(datasets: dict[str, DataFrame]) -> DataFrame:
+    """Per text column: rows, nulls, share of values that are numbers, distinct values.
+
+    The text columns of all datasets are stacked first, so the whole catalog costs two shuffles
+    of merged values however many tables it has.
+    """
+    stacked = []
+    for dataset, df in datasets.items():
+        pairs = F.array(*[
+            F.struct(F.lit(c).alias("name"), value_key(F.col(f"`{c}`")).alias("value"),
+                     number_of(F.col(f"`{c}`"), is_text=True).isNotNull().alias("is_number"))
+            for c in text_columns(df)
+        ])
+        stacked.append(df.select(F.lit(dataset).alias("dataset"), F.explode(pairs).alias("p"))
+                       .select("dataset", "p.*"))
+    merged = reduce(DataFrame.union, stacked).groupBy(
+        "dataset", "name", "value", "is_number").agg(F.count("*").alias("c"))
+    return merged.groupBy("dataset", "name").agg(
         F.sum("c").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0)).alias("n_null"),
         (F.sum(F.when(F.col("is_number"), F.col("c")).otherwise(0)) / F.sum("c"))
