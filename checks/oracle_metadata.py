@@ -148,13 +148,13 @@ HINT = lambda c: (f"CASE WHEN {ends(c, K.FACT_ENDINGS)} THEN 'fact' "
 def classes(with_datamarts: bool) -> str:
     best = (f"""{DATAMART_ROWS},
 own AS (SELECT DISTINCT dataset, unnest([lower(name), lower(expanded_name)]) AS col FROM sp),
-jc AS (SELECT dataset, datamart, score FROM (SELECT dataset, datamart,
+jc AS (SELECT dataset, datamart, s / (a + b - s) AS score FROM (SELECT dataset, datamart,
     (SELECT count(*) FROM dm WHERE dm.datamart = d.datamart AND col IN
       (SELECT col FROM own WHERE own.dataset = t.dataset AND col IS NOT NULL)) AS s,
     (SELECT count(*) FROM own WHERE own.dataset = t.dataset AND col IS NOT NULL) AS a,
-    (SELECT count(*) FROM dm WHERE dm.datamart = d.datamart) AS b, s / (a + b - s) AS score
+    (SELECT count(*) FROM dm WHERE dm.datamart = d.datamart) AS b
   FROM (SELECT DISTINCT dataset FROM sp) t, (SELECT DISTINCT datamart FROM dm) d)
-  WHERE score > 0),
+  WHERE s > 0),
 be AS (SELECT dataset, arg_min(datamart, (-score, datamart)) AS datamart, max(score) AS score
        FROM jc GROUP BY dataset)""" if with_datamarts else
             "be AS (SELECT dataset, NULL::VARCHAR AS datamart, 0.0 AS score FROM sp "

@@ -1,7 +1,8 @@
 """Quality checks: one row (dataset, model, check_name, status, metric, detail) per check.
 
 Profile checks read profile rows. Data checks share two rollups: one row per date, and one
-pass with every model's window as a condition. No check reads the table on its own.
+pass with every model's window as a condition. Each check is one plan for all its models, and
+no check reads the table on its own.
 """
 
 from __future__ import annotations
@@ -18,21 +19,32 @@ CHECK_COLUMNS = ["dataset", "model", "check_name", "status", "metric", "detail"]
 
 
 def limits_for(model: str, limits: dict | None = None) -> dict:
-    return {**K.GLOBAL_LIMITS, **((limits or K.MODEL_LIMITS).get(model) or {})}
+    """A model's thresholds over the global ones."""
+    return {"window_years": 0, **K.GLOBAL_LIMITS,
+            **((limits or K.MODEL_LIMITS).get(model) or {})}
 
 
-def _result(model, check: str, status: Column, metric: Column, detail: Column) -> list[Column]:
-    model = model if isinstance(model, Column) else F.lit(model)
-    return [F.col("dataset"), model.alias("model"), F.lit(check).alias("check_name"),
+def _result(check: str, status: Column, metric: Column, detail: Column) -> list[Column]:
+    return [F.col("dataset"), F.col("model"), F.lit(check).alias("check_name"),
             status.alias("status"), metric.cast("double").alias("metric"),
             detail.alias("detail")]
 
 
+def _per_model(facts: DataFrame, limits: dict[str, dict], **columns) -> DataFrame:
+    """Facts repeated per model, with limits as columns (name -> function of the limits)."""
+    offers = F.array(*[
+        F.struct(F.lit(m).alias("model"), *[F.lit(make(lim)).alias(c)
+                                            for c, make in columns.items()])
+        for m, lim in limits.items()
+    ])
+    return facts.withColumn("offer", F.explode(offers)).select("*", "offer.*").drop("offer")
+
+
 def _percent(c: Column) -> Column:
     return F.format_string("%.0f%%", c * 100)
 
 
-def fill_rate(profiles: DataFrame, model: str, limits: dict) -> DataFrame:
+def fill_rate(profiles: DataFrame, limits: dict[str, dict]) -> DataFrame:
     """The best-filled date and the best-filled measure or channel must be filled enough."""
     is_date = F.col("subtype") == "date"
     is_metric = F.col("subtype").isin("measure", "unclassified_metric", "channel")
@@ -46,7 +58,9 @@ def fill_rate(profiles: DataFrame, model: str, limits: dict) -> DataFrame:
         F.max(F.when(alive, fill)).alias("metric_fill"), best(alive).alias("metric_name"),
         F.count_if(is_metric & (F.col("null_pct") >= 1.0)).alias("dead"),
         F.count_if(is_metric).alias("metrics"), F.count_if(is_date).alias("dates"))
-    low, floor = limits["min_fill_rate"], limits["fail_fill_rate"]
+    facts = _per_model(facts, limits, low=lambda x: x["min_fill_rate"],
+                       floor=lambda x: x["fail_fill_rate"])
+    low, floor = F.col("low"), F.col("floor")
     d, m = F.col("date_fill"), F.col("metric_fill")
     all_dead = m.isNull() & (F.col("dead") > 0)
     nothing = (F.col("metrics") == 0) & (F.col("dates") == 0)
@@ -67,10 +81,10 @@ def fill_rate(profiles: DataFrame, model: str, limits: dict) -> DataFrame:
                                  F.lit(" measure and channel columns are empty")))
         .when(m.isNotNull(), say("best measure or channel", "metric_name", m))
         .otherwise("date columns filled"))
-    return facts.select(*_result(model, "fill_rate", status, metric, detail))
+    return facts.select(*_result("fill_rate", status, metric, detail))
 
 
-def distribution_shape(profiles: DataFrame, model: str, limits: dict) -> DataFrame:
+def distribution_shape(profiles: DataFrame, limits: dict[str, dict]) -> DataFrame:
     """At least one measure must be neither constant nor binary."""
     spread = F.when(F.abs("mean") > 1e-9, F.try_divide(F.col("std"), F.abs("mean")))
     dull = (F.col("unique_count") <= 2) | F.coalesce(spread < 0.02, F.lit(False))
@@ -82,7 +96,8 @@ def distribution_shape(profiles: DataFrame, model: str, limits: dict) -> DataFra
         F.count_if(alive & ~dull).alias("healthy"),
         F.min_by(F.when(alive & ~dull, F.struct("name", "unique_count")),
                  F.when(alive & ~dull, F.col("ordinal"))).alias("first"))
-    few = F.col("first.unique_count") < limits["min_measure_unique_count"]
+    facts = _per_model(facts, limits, enough=lambda x: x["min_measure_unique_count"])
+    few = F.col("first.unique_count") < F.col("enough")
     failed = (F.col("healthy") == 0) & (F.col("dull") > 0)
     status = (F.when(F.col("measures") == 0, "WARN").when(failed, "FAIL")
               .when((F.col("healthy") > 0) & few, "WARN").otherwise("PASS"))
@@ -96,12 +111,34 @@ def distribution_shape(profiles: DataFrame, model: str, limits: dict) -> DataFra
                   F.lit("best measure '"), F.col("first.name"), F.lit("' has few values")))
               .otherwise(F.concat(F.col("healthy").cast("string"),
                                   F.lit(" measure column(s) with a healthy shape"))))
-    return facts.select(*_result(model, "distribution_shape", status, metric, detail))
+    return facts.select(*_result("distribution_shape", status, metric, detail))
+
+
+def cutoff(years) -> Column:
+    """First day of a window that ends at ``newest``; open when it has no length."""
+    years = years if isinstance(years, Column) else F.lit(years)
+    return F.when(years > 0, F.add_months(F.col("newest"), -12 * years)).otherwise(
+        F.lit("0001-01-01").cast("date"))
+
+
+def windowed(calendar: DataFrame, years: int) -> DataFrame:
+    """Calendar rows of a model's window."""
+    newest = calendar.select(F.max("date")).scalar()
+    return calendar.withColumn("newest", newest).where(F.col("date") >= cutoff(years)).drop(
+        "newest")
+
+
+def recent(df: DataFrame, date: str, calendar: DataFrame, years: int) -> DataFrame:
+    """Table rows of a model's window; the cutoff is a scalar, so it reaches the scan."""
+    if not years:
+        return df
+    newest = calendar.select(F.max("date")).scalar()
+    return df.where(F.col(date).cast("date") >= F.add_months(newest, -12 * years))
 
 
 def window_facts(df: DataFrame, date: str, metrics: list[str], channels: list[str],
-                 models: dict[str, int], calendar: DataFrame) -> DataFrame:
-    """Spread of every metric in every model's window, and channel correlations for MMM.
+                 limits: dict[str, dict], calendar: DataFrame) -> DataFrame:
+    """Spread of every metric in every model's window, and channel correlations.
 
     One pass over the table, however many models and columns. Wide, one row.
     """
@@ -111,13 +148,15 @@ def window_facts(df: DataFrame, date: str, metrics: list[str], channels: list[st
              for c in dict.fromkeys([*metrics, *channels])}
     day = F.col(date).cast("date")
     aggs = [F.max("newest").alias("newest")]
-    for model, years in models.items():
-        inside = (day >= F.add_months(F.col("newest"), -12 * years)) if years else F.lit(True)
-        for c in metrics:
-            x = F.when(inside, value[c])
-            aggs += [F.stddev_samp(x).alias(f"{model}|{c}|std"),
-                     F.avg(x).alias(f"{model}|{c}|mean")]
-        if "channel_collinearity" in limits_for(model).get("checks", []):
+    for model, lim in limits.items():
+        checks = lim.get("checks") or []
+        inside = day >= cutoff(lim["window_years"])
+        if "zero_variance" in checks:
+            for c in metrics:
+                x = F.when(inside, value[c])
+                aggs += [F.stddev_samp(x).alias(f"{model}|{c}|std"),
+                         F.avg(x).alias(f"{model}|{c}|mean")]
+        if "channel_collinearity" in checks:
             whole = inside
             for c in channels:
                 whole = whole & value[c].isNotNull()
@@ -129,40 +168,72 @@ def window_facts(df: DataFrame, date: str, metrics: list[str], channels: list[st
     return df.withColumn("newest", newest).agg(*aggs)
 
 
-def zero_variance(facts: DataFrame, dataset: str, model: str, metrics: list[str],
-                  limits: dict) -> DataFrame:
+def zero_variance(facts: DataFrame, dataset: str, metrics: list[str],
+                  limits: dict[str, dict]) -> DataFrame:
     """Columns whose spread is below 1 % of their mean, in the model's window."""
-    cv = lambda c: F.col(f"`{model}|{c}|std`") / (F.abs(F.col(f"`{model}|{c}|mean`")) + 1e-12)
-    flat = F.array_compact(F.array(*[
-        F.when(cv(c) < limits["zero_variance_cv"],
-               F.struct(F.lit(c).alias("name"), F.round(cv(c), 6).alias("cv")))
-        for c in metrics
-    ])) if metrics else F.array()
-    rows = facts.select(F.lit(dataset).alias("dataset"), flat.alias("flat"))
-    if not metrics:
-        return rows.select(*_result(model, "zero_variance", F.lit("PASS"), F.lit(None),
-                                    F.lit("no measure or channel columns")))
+    def cv(model, c):
+        return F.col(f"`{model}|{c}|std`") / (F.abs(F.col(f"`{model}|{c}|mean`")) + 1e-12)
+
+    def flat(model, limit):
+        return F.array_compact(F.array(*[
+            F.when(cv(model, c) < limit,
+                   F.struct(F.lit(c).alias("name"), F.round(cv(model, c), 6).alias("cv")))
+            for c in metrics
+        ]))
+
+    none = F.array().cast("array<struct<name:string,cv:double>>")
+    rows = facts.select(F.lit(dataset).alias("dataset"), F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"),
+                 (flat(m, lim["zero_variance_cv"]) if metrics else none).alias("flat"))
+        for m, lim in limits.items()
+    ])).alias("m")).select("dataset", "m.*")
     some = F.size("flat") > 0
     return rows.select(*_result(
-        model, "zero_variance", F.when(some, "WARN").otherwise("PASS"),
+        "zero_variance", F.when(some, "WARN").otherwise("PASS"),
         F.when(some, F.try_element_at("flat", F.lit(1))["cv"]),
         F.when(some, F.concat(F.lit("near-constant columns: "), F.array_join(
             F.transform(F.slice("flat", 1, 5), lambda s: s["name"]), ", ")))
         .otherwise("every measure and channel varies")))
 
 
-def date_continuity(calendar: DataFrame, dataset: str, model: str, grain: Column,
-                    limits: dict) -> DataFrame:
+def _periods_needed(lim: dict, grain: Column, typical: Column) -> Column:
+    if isinstance(lim.get("min_periods"), dict):
+        needs = [F.lit(x) for item in lim["min_periods"].items() for x in item]
+        return F.coalesce(F.create_map(*needs)[grain], F.lit(lim["min_periods"]["default"]))
+    if "min_years" in lim:
+        per_year = (F.when(typical <= 2, 365).when(typical <= 9, 52).when(typical <= 35, 12)
+                    .otherwise(4))
+        return F.floor(per_year * F.lit(lim["min_years"])).cast("int")
+    return F.lit(lim.get("min_weeks", lim["min_row_count"]))
+
+
+def _stepped(calendar: DataFrame, limits: dict[str, dict], *values: str) -> DataFrame:
+    """Calendar rows per model window with the previous row where it is in the window too."""
+    newest = calendar.select(F.max("date")).scalar()
+    in_order = Window.orderBy("date")  # one row per date: calendar-sized
+    stepped = calendar.select(
+        "date", *values, F.lag("date").over(in_order).alias("before"),
+        *[F.lag(v).over(in_order).alias(f"{v}|before") for v in values])
+    repeated = _per_model(stepped.withColumn("newest", newest), limits,
+                          years=lambda x: x["window_years"])
+    start = cutoff(F.col("years"))
+    return repeated.where(F.col("date") >= start).withColumn(
+        "paired", F.coalesce(F.col("before") >= start, F.lit(False)))
+
+
+def date_continuity(calendar: DataFrame, dataset: str, grain: Column,
+                    limits: dict[str, dict]) -> DataFrame:
     """Enough periods for the grain, and no gap longer than the allowed periods.
 
     ``calendar`` has one row per date; ``grain`` is the profiled grain or null.
     """
-    in_order = Window.orderBy("date")  # one row per date: calendar-sized
-    gaps = windowed(calendar, limits["window_years"]).select(
-        "date", F.datediff("date", F.lag("date").over(in_order)).alias("gap"))
-    seen = gaps.agg(F.count("*").alias("n"), F.percentile("gap", 0.5).alias("median_gap"),
-                    F.max("gap").alias("max_gap"),
-                    F.collect_list("gap").alias("gaps"))
+    gap = F.when(F.col("paired"), F.datediff("date", "before"))
+    seen = _stepped(calendar, limits).withColumn("gap", gap).groupBy("model").agg(
+        F.count("*").alias("n"), F.percentile("gap", 0.5).alias("median_gap"),
+        F.max("gap").alias("max_gap"), F.collect_list("gap").alias("gaps"))
+    # A window without any date still has to fail.
+    seen = _per_model(inline_rows(calendar.sparkSession, {"dataset": "string"}, [(dataset,)]),
+                      limits).join(seen, "model", "left")
     known = F.col("given").isin(*K.GRAIN_DAYS)
     days = [F.lit(x) for item in K.GRAIN_DAYS.items() for x in item]
     typical = (F.when(known, F.create_map(*days)[F.col("given")])
@@ -170,28 +241,23 @@ def date_continuity(calendar: DataFrame, dataset: str, model: str, grain: Column
     named = (F.when(known, F.col("given")).when(F.coalesce("median_gap", F.lit(0)) <= 0, None)
              .when(typical <= 2, "daily").when(typical <= 9, "weekly")
              .when(typical <= 35, "monthly").when(typical <= 100, "quarterly"))
-    facts = seen.withColumn("given", grain).withColumns({"typical": typical, "grain": named})
-    if "min_periods" in limits:
-        needs = [F.lit(x) for item in limits["min_periods"].items() for x in item]
-        need = F.coalesce(F.create_map(*needs)[F.col("grain")],
-                          F.lit(limits["min_periods"]["default"]))
-    elif "min_years" in limits:
-        per_year = (F.when(F.col("typical") <= 2, 365).when(F.col("typical") <= 9, 52)
-                    .when(F.col("typical") <= 35, 12).otherwise(4))
-        need = F.floor(per_year * F.lit(limits["min_years"]))
-    else:
-        need = F.lit(limits.get("min_weeks", limits["min_row_count"]))
-    allowed = limits["max_gap_periods"]
-    widest = F.col("max_gap") / F.col("typical")
-    n_wide = F.size(F.filter("gaps", lambda g: g / F.col("typical") > allowed))
+    facts = seen.withColumns({"given": grain, "n": F.coalesce("n", F.lit(0))}).withColumns(
+        {"typical": typical, "grain": named})
+    need, allowed = F.lit(None).cast("int"), F.lit(None).cast("double")
+    for m, lim in limits.items():
+        here = F.col("model") == m
+        need = F.when(here, _periods_needed(lim, F.col("grain"), F.col("typical"))).otherwise(need)
+        allowed = F.when(here, F.lit(float(lim.get("max_gap_periods", 4)))).otherwise(allowed)
     facts = facts.withColumns({
-        "need": need, "widest": widest, "n_wide": n_wide,
-        "dataset": F.lit(dataset),
-        "label": F.coalesce("grain", F.format_string("~%.0f-day", F.col("typical")))})
+        "need": need, "allowed": allowed,
+        "widest": F.col("max_gap") / F.col("typical"),
+        "label": F.coalesce("grain", F.format_string("~%.0f-day", F.col("typical"))),
+    }).withColumn("n_wide", F.size(F.filter(
+        "gaps", lambda g: g / F.col("typical") > F.col("allowed"))))
     short, single = F.col("n") < F.col("need"), F.col("n") < 2
-    wide = F.col("widest") > allowed
+    wide = F.col("widest") > F.col("allowed")
     return facts.select(*_result(
-        model, "date_continuity",
+        "date_continuity",
         F.when(short, "FAIL").when(single, "PASS").when(wide, "WARN").otherwise("PASS"),
         F.when(short | single, F.col("n").cast("double"))
         .when(wide, F.round("widest", 2)).otherwise(0.0),
@@ -201,40 +267,34 @@ def date_continuity(calendar: DataFrame, dataset: str, model: str, grain: Column
         .otherwise(F.format_string("no wide gap in %d %s dates", "n", "label"))))
 
 
-def windowed(calendar: DataFrame, years: int) -> DataFrame:
-    """Calendar rows of a model's window."""
-    if not years:
-        return calendar
-    newest = calendar.select(F.max("date")).scalar()
-    return calendar.where(F.col("date") >= F.add_months(newest, -12 * years))
-
-
-def channel_collinearity(facts: DataFrame, dataset: str, model: str, channels: list[str],
-                         limits: dict) -> DataFrame:
+def channel_collinearity(facts: DataFrame, dataset: str, channels: list[str],
+                         limits: dict[str, dict]) -> DataFrame:
     """Pairwise correlation of channels over rows where every channel is present."""
-    rows = facts.withColumn("dataset", F.lit(dataset))
-    need, limit = limits["min_channel_count"], limits["collinearity_threshold"]
-    if len(channels) < need:
-        return rows.select(*_result(
-            model, "channel_collinearity", F.lit("FAIL"), F.lit(float(len(channels))),
-            F.lit(f"{len(channels)} channel column(s), {need} needed")))
-    if len(channels) < 2:
-        return rows.select(*_result(model, "channel_collinearity", F.lit("PASS"), F.lit(None),
-                                    F.lit("single channel")))
     pairs = [(a, b) for i, a in enumerate(channels) for b in channels[i + 1:]]
-    r = [F.abs(F.col(f"`{model}|{a}|{b}|r`")) for a, b in pairs]
-    rows = rows.withColumns({
-        "most": F.array_max(F.array(*r)),
-        "n_high": F.size(F.filter(F.array(*r), lambda x: x > limit))})
-    few = F.col(f"`{model}|complete`") < 3
-    high = F.col("n_high") > 0
-    return rows.select(*_result(
-        model, "channel_collinearity",
-        F.when(few | high, "WARN").otherwise("PASS"),
-        F.when(~few, F.round("most", 4)),
-        F.when(few, "too few complete rows")
-        .otherwise(F.concat(F.col("n_high").cast("string"),
-                            F.lit(" channel pair(s) above the limit")))))
+    parts = []
+    for model, lim in limits.items():
+        r = [F.abs(F.col(f"`{model}|{a}|{b}|r`")) for a, b in pairs]
+        rows = facts.withColumns({
+            "dataset": F.lit(dataset), "model": F.lit(model),
+            "r": F.array(*r).cast("array<double>")})
+        limit, need = lim["collinearity_threshold"], lim["min_channel_count"]
+        if len(channels) < need:
+            parts.append(rows.select(*_result(
+                "channel_collinearity", F.lit("FAIL"), F.lit(float(len(channels))),
+                F.lit(f"{len(channels)} channel column(s), {need} needed"))))
+            continue
+        if not pairs:
+            parts.append(rows.select(*_result(
+                "channel_collinearity", F.lit("PASS"), F.lit(None), F.lit("single channel"))))
+            continue
+        rows = rows.withColumn("n_high", F.size(F.filter("r", lambda x: x > limit)))
+        few, high = F.col(f"`{model}|complete`") < 3, F.col("n_high") > 0
+        parts.append(rows.select(*_result(
+            "channel_collinearity", F.when(few | high, "WARN").otherwise("PASS"),
+            F.when(~few, F.round(F.array_max("r"), 4)),
+            F.when(few, "too few complete rows").otherwise(F.concat(
+                F.col("n_high").cast("string"), F.lit(" channel pair(s) above the limit"))))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def segment_sizes(df: DataFrame, segments: list[str]) -> DataFrame:
@@ -253,23 +313,21 @@ def segment_sizes(df: DataFrame, segments: list[str]) -> DataFrame:
     ).withColumn("imbalance", F.col("largest") / (F.col("smallest") + F.lit(1e-9)))
 
 
-def segment_balance(sizes: DataFrame | None, dataset: str, model: str, limits: dict,
+def segment_balance(sizes: DataFrame | None, dataset: str, model: str, lim: dict,
                     spark=None) -> DataFrame:
     """The first segment column with large enough groups decides."""
     if sizes is None:
-        return inline_rows(spark, {"dataset": "string"}, [(dataset,)]).select(*_result(
-            model, "segment_balance", F.lit("WARN"), F.lit(None), F.lit("no segment column")))
-    big = F.col("smallest") >= limits["min_segment_size"]
+        return _note(spark, dataset, model, "segment_balance", "WARN", "no segment column")
+    big = F.col("smallest") >= lim["min_segment_size"]
     row = F.struct("name", "n_groups", "smallest", "imbalance")
     facts = sizes.agg(
         F.min_by(F.when(big, row), F.when(big, F.col("ordinal"))).alias("first"),
         F.max_by(row, F.struct("smallest", -F.col("ordinal"))).alias("best"),
-    ).withColumn("dataset", F.lit(dataset))
-    most = limits["max_imbalance_ratio"]
+    ).withColumns({"dataset": F.lit(dataset), "model": F.lit(model)})
     found, none = F.col("first").isNotNull(), F.col("best").isNull()
-    even = F.col("first.imbalance") <= most
+    even = F.col("first.imbalance") <= lim["max_imbalance_ratio"]
     return facts.select(*_result(
-        model, "segment_balance",
+        "segment_balance",
         F.when(none, "WARN").when(found & even, "PASS").when(found, "WARN").otherwise("FAIL"),
         F.when(found, F.round("first.imbalance", 2))
         .otherwise(F.col("best.smallest").cast("double")),
@@ -296,30 +354,45 @@ def lag_correlation(series: DataFrame, date: str, value: str, keys: list[str] |
         *(keys or []), "n", "a.lag", "a.acf")
 
 
-def autocorrelation(calendar: DataFrame, dataset: str, model: str, measure: str | None,
-                    limits: dict) -> DataFrame:
+def autocorrelation(calendar: DataFrame, dataset: str, measure: str | None,
+                    limits: dict[str, dict]) -> DataFrame:
     """Lag-1 correlation of the rolled-up measure in the model's window."""
     if measure is None:
-        return inline_rows(calendar.sparkSession, {"dataset": "string"}, [(dataset,)]).select(
-            *_result(model, "autocorrelation", F.lit("WARN"), F.lit(None),
-                     F.lit("no measure column")))
-    acf = lag_correlation(windowed(calendar, limits["window_years"]), "date", measure)
-    facts = acf.withColumn("dataset", F.lit(dataset))
+        return reduce(DataFrame.unionByName, [
+            _note(calendar.sparkSession, dataset, m, "autocorrelation", "WARN",
+                  "no measure column") for m in limits])
+    present = calendar.where(F.col(measure).isNotNull())
+    stepped = _stepped(present, limits, measure)
+    earlier = F.when(F.col("paired"), F.col(f"{measure}|before"))
+    facts = stepped.groupBy("model").agg(
+        F.count("*").alias("n"), safe_corr(F.col(measure), earlier, 2).alias("acf"))
+    facts = _per_model(facts.withColumnRenamed("model", "of").withColumn(
+        "dataset", F.lit(dataset)), limits, weakest=lambda x: x["min_acf_lag1"]).where(
+        F.col("of") == F.col("model"))
     few = (F.col("n") < 10) | F.col("acf").isNull()
-    weak = F.abs("acf") < limits["min_acf_lag1"]
+    weak = F.abs("acf") < F.col("weakest")
     return facts.select(*_result(
-        model, "autocorrelation", F.when(few | weak, "WARN").otherwise("PASS"),
+        "autocorrelation", F.when(few | weak, "WARN").otherwise("PASS"),
         F.when(~few, F.round("acf", 4)),
         F.when(few, "too few periods").otherwise(F.format_string("lag-1 r=%.3f", "acf"))))
 
 
-def min_row_count(calendar: DataFrame, dataset: str, model: str, limits: dict) -> DataFrame:
-    need = limits.get("min_rows", limits.get("min_weeks", limits["min_row_count"]))
-    facts = windowed(calendar, limits["window_years"]).agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).withColumn("dataset", F.lit(dataset))
+def min_row_count(calendar: DataFrame, dataset: str, limits: dict[str, dict]) -> DataFrame:
+    """Rows in the model's window."""
+    newest = calendar.select(F.max("date")).scalar()
+    counted = calendar.withColumn("newest", newest).agg(*[
+        F.coalesce(F.sum(F.when(F.col("date") >= cutoff(lim["window_years"]),
+                                F.col("n_rows"))), F.lit(0)).alias(m)
+        for m, lim in limits.items()])
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(m).alias("n"), F.lit(lim.get(
+            "min_rows", lim.get("min_weeks", lim["min_row_count"]))).alias("need"))
+        for m, lim in limits.items()])
+    facts = counted.select(F.lit(dataset).alias("dataset"), F.explode(rows).alias("r")).select(
+        "dataset", "r.*")
     return facts.select(*_result(
-        model, "min_row_count", F.when(F.col("n") < need, "FAIL").otherwise("PASS"),
-        F.col("n"), F.format_string(f"%d rows, {need} needed", "n")))
+        "min_row_count", F.when(F.col("n") < F.col("need"), "FAIL").otherwise("PASS"),
+        F.col("n"), F.format_string("%d rows, %d needed", "n", "need")))
 
 
 def quality_checks(df: DataFrame, dataset: str, profiles: DataFrame, calendar: DataFrame,
@@ -334,45 +407,37 @@ def quality_checks(df: DataFrame, dataset: str, profiles: DataFrame, calendar: D
     metrics = of("measure", "channel", "unclassified_metric")
     channels, segments = of("channel"), of("segment")
     measure = next(iter(of("measure")), None)
-    years = {m: limits_for(m, limits).get("window_years", 0) for m in models}
-    facts = stage(window_facts(df, date, metrics, channels, years, calendar))
+    all_limits = {m: limits_for(m, limits) for m in models}
+    wanting = lambda check: {m: lim for m, lim in all_limits.items()
+                             if check in (lim.get("checks") or [])}
+    facts = None
+    if wanting("zero_variance") or wanting("channel_collinearity"):
+        facts = stage(window_facts(df, date, metrics, channels, all_limits, calendar))
     grain = profiles.where(F.col("name") == date).select("date_grain").scalar()
-    rows = []
-    for model in models:
-        lim = limits_for(model, limits)
-        lim.setdefault("window_years", 0)
-        makers = {
-            "fill_rate": lambda: fill_rate(profiles, model, lim),
-            "distribution_shape": lambda: distribution_shape(profiles, model, lim),
-            "zero_variance": lambda: zero_variance(facts, dataset, model, metrics, lim),
-            "date_continuity": lambda: date_continuity(calendar, dataset, model, grain, lim),
-            "channel_collinearity": lambda: channel_collinearity(
-                facts, dataset, model, channels, lim),
-            "segment_balance": lambda: segment_balance(
-                segment_sizes(_recent(df, date, calendar, lim["window_years"]), segments)
-                if segments else None, dataset, model, lim, spark),
-            "autocorrelation": lambda: autocorrelation(calendar, dataset, model, measure, lim),
-            "min_row_count": lambda: min_row_count(calendar, dataset, model, lim),
-        }
-        names = lim.get("checks") or []
-        if not names:
-            rows.append(_note(spark, dataset, model, "no_checks", "PASS",
-                              "no checks configured"))
-        for name in names:
-            if name in makers:
-                rows.append(makers[name]().select(*CHECK_COLUMNS))
-            else:
-                rows.append(_note(spark, dataset, model, name, "WARN", "unknown check"))
+    makers = {
+        "fill_rate": lambda x: fill_rate(profiles, x),
+        "distribution_shape": lambda x: distribution_shape(profiles, x),
+        "zero_variance": lambda x: zero_variance(facts, dataset, metrics, x),
+        "date_continuity": lambda x: date_continuity(calendar, dataset, grain, x),
+        "channel_collinearity": lambda x: channel_collinearity(facts, dataset, channels, x),
+        "segment_balance": lambda x: reduce(DataFrame.unionByName, [
+            segment_balance(
+                segment_sizes(recent(df, date, calendar, lim["window_years"]), segments)
+                if segments else None, dataset, m, lim, spark)
+            for m, lim in x.items()]),
+        "autocorrelation": lambda x: autocorrelation(calendar, dataset, measure, x),
+        "min_row_count": lambda x: min_row_count(calendar, dataset, x),
+    }
+    rows = [make(wanting(check)).select(*CHECK_COLUMNS)
+            for check, make in makers.items() if wanting(check)]
+    for m, lim in all_limits.items():
+        if not lim.get("checks"):
+            rows.append(_note(spark, dataset, m, "no_checks", "PASS", "no checks configured"))
+        rows += [_note(spark, dataset, m, c, "WARN", "unknown check")
+                 for c in lim.get("checks") or [] if c not in makers]
     return reduce(DataFrame.unionByName, rows)
 
 
-def _recent(df, date, calendar, years):
-    if not years:
-        return df
-    newest = calendar.select(F.max("date")).scalar()
-    return df.where(F.col(date).cast("date") >= F.add_months(newest, -12 * years))
-
-
 def _note(spark, dataset, model, check, status, text):
     return inline_rows(spark, {
         "dataset": "string", "model": "string", "check_name": "string", "status": "string",

@@ -122,11 +122,7 @@ def windows(facts: list[Fact]) -> DataFrame:
 
 
 def recent_rows(f: Fact, model: str) -> DataFrame:
-    years = G.limits_for(model).get("window_years", 0)
-    if not years:
-        return f.df
-    newest = f.calendar.select(F.max("date")).scalar()
-    return f.df.where(F.col(f.date).cast("date") >= F.add_months(newest, -12 * years))
+    return G.recent(f.df, f.date, f.calendar, G.limits_for(model)["window_years"])
 
 
 def kept_measures(f: Fact, model: str, threshold: float) -> list[str]:

@@ -523,8 +523,11 @@ def _checks(spark, d, only: list[str] | None = None) -> DataFrame:
     parts = []
     for name, df, date, subtypes in _gate_inputs(spark, d):
         measure = next(c for c, s in subtypes.items() if s == "measure")
+        profile = PF.column_profile(df, subtypes, name, spread=False)
+        if not only or set(only) & {"fill_rate", "distribution_shape", "date_continuity"}:
+            profile = stage(profile)
         parts.append(G.quality_checks(
-            df, name, stage(PF.column_profile(df, subtypes, name, spread=False)),
+            df, name, profile,
             stage(R.calendar_rollup(df, date, [measure])), date, subtypes, models, limits))
     return insights.union(parts)
 
