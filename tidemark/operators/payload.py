@@ -11,10 +11,21 @@ SUBTYPE_ORDER = ["date", "measure", "channel", "segment", "geography", "key", "f
                  "unclassified_metric", "dimension_attribute", "unknown"]
 
 
+def in_order(items, field: str):
+    """An array of structs sorted by one field; the others may hold maps."""
+    return F.array_sort(items, lambda a, b: F.when(a[field] < b[field], -1)
+                        .when(a[field] > b[field], 1).otherwise(0))
+
+
 def sorted_list(order, value):
     """Values collected in a given order."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v")))),
-                       lambda s: s["v"])
+    pairs = F.collect_list(F.struct(order.alias("o"), value.alias("v")))
+    return F.transform(in_order(pairs, "o"), lambda s: s["v"])
+
+
+def collected_map(key: str, value):
+    """A map from a name to a struct, in name order."""
+    return F.map_from_entries(in_order(F.collect_list(F.struct(key, value)), key))
 
 
 def column_section(specs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -45,12 +56,11 @@ def transform_section(profiles: DataFrame) -> DataFrame:
 
 
 def gate_section(checks: DataFrame, decisions: DataFrame, overall: DataFrame) -> DataFrame:
-    per_check = checks.groupBy("dataset", "model").agg(F.map_from_entries(F.array_sort(
-        F.collect_list(F.struct("check_name", F.struct("status", "metric", "detail")))))
-        .alias("checks"))
+    per_check = checks.groupBy("dataset", "model").agg(collected_map(
+        "check_name", F.struct("status", "metric", "detail")).alias("checks"))
     per_model = decisions.join(per_check, ["dataset", "model"]).groupBy("dataset").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-            "model", F.struct("decision", "skip_reason", "checks"))))).alias("per_model"))
+        collected_map("model", F.struct("decision", "skip_reason", "checks"))
+        .alias("per_model"))
     return per_model.join(overall, "dataset").select(
         "dataset", F.struct("overall_decision", "per_model").alias("quality_gate"))
 
@@ -94,11 +104,11 @@ def change_signals(changes, strip_series: bool) -> DataFrame:
 def mix_signals(mix) -> DataFrame:
     """Per dataset and measure: channel settings, fit errors and contributions."""
     keys = ["dataset", "measure"]
-    meta = mix.meta.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-        "channel", F.struct("channel_type", "decay", "hill_alpha", "hill_k")))))
+    meta = mix.meta.groupBy(*keys).agg(collected_map(
+        "channel", F.struct("channel_type", "decay", "hill_alpha", "hill_k"))
         .alias("channel_meta"))
-    weekly = mix.contribs.groupBy(*keys, "week").agg(F.map_from_entries(F.array_sort(
-        F.collect_list(F.struct("feature", "contribution")))).alias("contributions"))
+    weekly = mix.contribs.groupBy(*keys, "week").agg(collected_map(
+        "feature", F.col("contribution")).alias("contributions"))
     rows = weekly.join(mix.fitted.drop("attributed"), [*keys, "week"]).groupBy(*keys).agg(
         sorted_list(F.col("week"), F.struct(
             "week", "baseline", "contributions", "y_actual", "y_predicted", "residual",

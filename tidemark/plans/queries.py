@@ -30,7 +30,7 @@ from tidemark.plans import insights, report
 from tidemark.plans.gold import (
     CONFIG, ENGAGEMENT_SUBTYPES, EVENT_SUBTYPES, dim_hcp, gold_engagement,
     gold_engagement_step, gold_events, table, tables)
-from tidemark.session import inline_rows, stage
+from tidemark.session import inline_rows, stage, stored_table
 from tidemark.sources.catalog import column_catalog, text_stats
 from tidemark.sources.settings import channel_rows
 
@@ -250,7 +250,8 @@ PROFILE_DIGITS = dict(null_pct=6, skewness=4, kurtosis=4, value_max=4, mean=4, m
 
 @query
 def column_profile(spark, d):
-    out = PF.column_profile(gold_engagement(spark, d), ENGAGEMENT_SUBTYPES, "gold_engagement")
+    fact = stored_table(gold_engagement(spark, d))
+    out = PF.column_profile(fact, ENGAGEMENT_SUBTYPES, "gold_engagement")
     return rounded(out.select(*PROFILE_COLUMNS), **PROFILE_DIGITS)
 
 
@@ -436,7 +437,8 @@ def _dated_lines(spark, d) -> DataFrame:
 
 
 def _selection_inputs(spark, d):
-    frames = {"dated_lines": _dated_lines(spark, d), "gold_engagement": gold_engagement(spark, d)}
+    frames = {"dated_lines": stored_table(_dated_lines(spark, d)),
+              "gold_engagement": stored_table(gold_engagement(spark, d))}
     specs = M.column_subtypes(column_catalog(spark, frames))
     lines = {"ship_date": "date", "o_orderdate": "date", "l_extendedprice": "unclassified_metric",
              "l_discount": "unclassified_metric", "l_tax": "unclassified_metric",
@@ -508,7 +510,8 @@ def recent_sales(spark, d):
 # --- quality gate ------------------------------------------------------------------------
 
 def _gate_inputs(spark, d):
-    fact, events, dull = gold_engagement(spark, d), gold_events(spark, d), dull_orders(spark, d)
+    fact = stored_table(gold_engagement(spark, d))
+    events, dull = gold_events(spark, d), dull_orders(spark, d)
     return [("gold_engagement", fact, "week", ENGAGEMENT_SUBTYPES),
             ("gold_events", events, "activity_date", EVENT_SUBTYPES),
             ("dull_orders", dull, "activity_date", DULL_SUBTYPES)]
@@ -823,8 +826,9 @@ def psi_segment(spark, d):
 
 @query
 def psi_numeric(spark, d):
+    fact = stored_table(gold_engagement(spark, d))
     out = drift.measure_psi(gold_events(spark, d), "activity_date", ["amount"]).unionByName(
-        drift.measure_psi(gold_engagement(spark, d), "week", ["sales", "trx"]))
+        drift.measure_psi(fact, "week", ["sales", "trx"]))
     return rounded(out, psi=5)
 
 
@@ -858,7 +862,7 @@ def tune_hints(spark, d):
 
 def _run(spark, d) -> insights.Run:
     return insights.run_insights(
-        spark, {"gold_engagement": gold_engagement(spark, d),
+        spark, {"gold_engagement": stored_table(gold_engagement(spark, d)),
                 "gold_events": gold_events(spark, d), "dim_hcp": dim_hcp(spark, d)},
         datamart_rows(spark))
 

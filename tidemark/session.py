@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ def local_session(cores: str = "*", memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -55,13 +57,12 @@ def inline_rows(spark: SparkSession, columns: dict[str, str], rows) -> DataFrame
     return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({names})")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Store a stage that several later stages read, so that losing an executor costs little.
+def stage_folder(spark: SparkSession) -> str:
+    """The folder for stored stages.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where none is
-    named and the session is local is a temporary folder set.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only where none is named and
+    the session is local is a temporary folder set.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
@@ -71,4 +72,25 @@ def stage(df: DataFrame) -> DataFrame:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-stage-"))
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return context.getCheckpointDir()
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Store a small result that several later stages read: metadata, calendars, series.
+
+    Losing an executor then costs a re-read, not a re-run.
+    """
+    stage_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored_table(df: DataFrame) -> DataFrame:
+    """Store a large derived table that is read in several passes.
+
+    It is written as columns, so each later pass reads only the columns it needs and Catalyst
+    knows the table's size.
+    """
+    spark = df.sparkSession
+    path = f"{stage_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
