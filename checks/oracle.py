@@ -543,14 +543,18 @@ ORACLES["quarter_parse"] = """SELECT o_orderkey, CASE
 
 ORACLES["apply_transforms"] = f"""WITH {EVENTS},
 l AS (SELECT *, ln(1 + greatest(amount, 0)) AS la,
-        CASE WHEN event_type <> 'error' THEN amount END AS f FROM gold_events),
+        CASE WHEN event_type <> 'error' THEN amount END AS f,
+        CASE WHEN day(activity_date) % 4 <> 3 THEN amount END AS g FROM gold_events),
+k AS (SELECT activity_date, last_value(v IGNORE NULLS) OVER (ORDER BY activity_date) AS v
+      FROM (SELECT activity_date, max(g) AS v FROM l GROUP BY 1)),
 q AS (SELECT quantile_cont(la, 0.01) AS a, quantile_cont(la, 0.99) AS b,
         quantile_cont(amount, 0.01) AS c, quantile_cont(amount, 0.99) AS d,
         quantile_cont(f, 0.5) AS m FROM l)
 SELECT activity_date, event_type, count(*) AS n,
   round(sum(greatest(a, least(b, la))), 4) AS amount, round(sum(coalesce(f, m)), 3) AS filled,
+  round(sum(coalesce(g, v)), 3) AS carried,
   round(sum(greatest(c, least(d, amount))), 3) AS clipped
-FROM l, q GROUP BY activity_date, event_type"""
+FROM l JOIN k USING (activity_date), q GROUP BY activity_date, event_type"""
 
 # --- channels and roles ------------------------------------------------------------------
 

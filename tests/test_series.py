@@ -210,9 +210,12 @@ def test_transform_steps(spark):
     assert steps_for("ARIMA", ["[a] log1p(column)", "[b] forward-fill or median"]) == [
         "log1p", "ffill"]
     assert steps_for("PSI", ["[a] log1p(column)", "[b] forward-fill or median"]) == ["median"]
-    df = spark.sql("SELECT d, x FROM VALUES (1, 1D), (2, NULL), (3, 9D) t(d, x)")
+    df = spark.sql("SELECT d, x FROM VALUES (DATE'2024-01-01', 1D), (DATE'2024-01-02', NULL), "
+                   "(DATE'2024-01-03', 9D) t(d, x)")
     filled = apply_transforms(df, {"x": ["ffill"]}, "d").orderBy("d").collect()
     assert [r["x"] for r in filled] == [1.0, 1.0, 9.0]
+    keyed = apply_transforms(df.selectExpr("1 AS k", "*"), {"x": ["ffill"]}, "d", ["k"])
+    assert [r["x"] for r in keyed.orderBy("d").collect()] == [1.0, 1.0, 9.0]
     middle = apply_transforms(df, {"x": ["median"]}).orderBy("d").collect()
     assert [r["x"] for r in middle] == [1.0, 5.0, 9.0]
 

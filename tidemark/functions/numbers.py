@@ -36,12 +36,27 @@ def safe_corr(x: Column, y: Column, min_rows: int = 3) -> Column:
     return F.when(F.count(F.when(both, F.lit(1))) >= min_rows, r)
 
 
-def complete_corr(x: Column, y: Column) -> Column:
-    """Pearson r where both sides are missing together or never; null on constants.
+def column_correlations(df: DataFrame, keys: list[str], columns: list[str],
+                        min_rows: int = 3) -> DataFrame:
+    """Pearson r of every pair of columns over rows where both are present.
 
-    Each column's deviation is one aggregate, whatever the number of pairs it is in.
+    The pairs come from the schema. Each row adds to one running sum per pair before anything
+    is shuffled, so what moves is one small row per key, pair and task.
+    Returns ``keys, left_name, right_name, r, n_pairs``.
     """
-    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    values = F.array(*[number_of(F.col(f"`{c}`"), c in texts) for c in columns])
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = ", ".join(f"struct({i} AS a, {j} AS b)" for i in range(len(columns))
+                      for j in range(i + 1, len(columns)))
+    rows = df.select(*keys, values.alias("v"), F.expr(f"explode(array({pairs}))").alias("p"))
+    x, y = F.col("v")[F.col("p.a")], F.col("v")[F.col("p.b")]
+    found = rows.select(*keys, "p.a", "p.b", x.alias("x"), y.alias("y")).groupBy(
+        *keys, "a", "b").agg(
+        safe_corr(F.col("x"), F.col("y"), min_rows).alias("r"),
+        F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("n_pairs"))
+    return found.select(*keys, names[F.col("a")].alias("left_name"),
+                        names[F.col("b")].alias("right_name"), "r", "n_pairs")
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
 from tidemark.functions.curves import adstock, hill
-from tidemark.functions.numbers import complete_corr
+from tidemark.functions.numbers import column_correlations
 
 CHANNEL_SIGMA, COMPETITOR_SIGMA, CONTROL_SIGMA = 0.5, 0.3, 0.5
 INTERCEPT_SIGMA, NOISE_SIGMA = 0.5, 0.3
@@ -105,15 +105,10 @@ def model_matrix(transformed: DataFrame, config: K.SeriesConfig, keys: list[str]
 def design_collinearity(matrix: DataFrame, keys: list[str], limit: float = 0.85) -> DataFrame:
     """Feature pairs whose correlation exceeds the limit, per series."""
     names = [c for c in matrix.columns if c.startswith("X_")]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    wide = matrix.groupBy(*keys).agg(*[
-        complete_corr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[
-        F.struct(F.lit(a[2:]).alias("left_feature"), F.lit(b[2:]).alias("right_feature"),
-                 F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])
-    return wide.select(*keys, F.explode(rows).alias("p")).select(*keys, "p.*").where(
-        F.abs("r") > limit)
+    pairs = column_correlations(matrix, keys, names, 2)
+    return pairs.where(F.abs("r") > limit).select(
+        *keys, F.substring("left_name", 3, 1000).alias("left_feature"),
+        F.substring("right_name", 3, 1000).alias("right_feature"), "r")
 
 
 def gram_rows(matrix: DataFrame, keys: list[str]) -> DataFrame:

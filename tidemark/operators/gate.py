@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
-from tidemark.functions.numbers import complete_corr, number_of, safe_corr
-from tidemark.session import inline_rows, stage
+from tidemark.functions.numbers import column_correlations, number_of, safe_corr
+from tidemark.session import inline_rows
 
 CHECK_COLUMNS = ["dataset", "model", "check_name", "status", "metric", "detail"]
 
@@ -136,61 +136,44 @@ def recent(df: DataFrame, date: str, calendar: DataFrame, years: int) -> DataFra
     return df.where(F.col(date).cast("date") >= F.add_months(newest, -12 * years))
 
 
-def window_facts(df: DataFrame, date: str, metrics: list[str], channels: list[str],
-                 limits: dict[str, dict], calendar: DataFrame) -> DataFrame:
-    """Spread of every metric in every model's window, and channel correlations.
+def window_spreads(df: DataFrame, date: str, metrics: list[str], limits: dict[str, dict],
+                   calendar: DataFrame) -> DataFrame:
+    """Coefficient of variation of every metric in every model's window.
 
-    One pass over the table, however many models and columns. Wide, one row.
+    One pass over the table, however many models and columns: ``model, ordinal, name, cv``.
     """
     newest = calendar.select(F.max("date")).scalar()
     texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    value = {c: number_of(F.col(f"`{c}`"), c in texts)
-             for c in dict.fromkeys([*metrics, *channels])}
-    day = F.col(date).cast("date")
-    aggs = [F.max("newest").alias("newest")]
+    values = F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("name"),
+                 number_of(F.col(f"`{c}`"), c in texts).alias("x"))
+        for i, c in enumerate(metrics)
+    ])
+    rows = df.select(F.col(date).cast("date").alias("day"), F.explode(values).alias("m")).select(
+        "day", "m.*").withColumn("newest", newest)
+    aggs = []
     for model, lim in limits.items():
-        checks = lim.get("checks") or []
-        inside = day >= cutoff(lim["window_years"])
-        if "zero_variance" in checks:
-            for c in metrics:
-                x = F.when(inside, value[c])
-                aggs += [F.stddev_samp(x).alias(f"{model}|{c}|std"),
-                         F.avg(x).alias(f"{model}|{c}|mean")]
-        if "channel_collinearity" in checks:
-            whole = inside
-            for c in channels:
-                whole = whole & value[c].isNotNull()
-            aggs.append(F.count_if(whole).alias(f"{model}|complete"))
-            for i, a in enumerate(channels):
-                for b in channels[i + 1:]:
-                    aggs.append(complete_corr(F.when(whole, value[a]), F.when(whole, value[b]))
-                                .alias(f"{model}|{a}|{b}|r"))
-    return df.withColumn("newest", newest).agg(*aggs)
-
-
-def zero_variance(facts: DataFrame, dataset: str, metrics: list[str],
-                  limits: dict[str, dict]) -> DataFrame:
+        x = F.when(F.col("day") >= cutoff(lim["window_years"]), F.col("x"))
+        aggs.append((F.stddev_samp(x) / (F.abs(F.avg(x)) + 1e-12)).alias(model))
+    wide = rows.groupBy("ordinal", "name").agg(*aggs)
+    offers = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("cv")) for m in limits])
+    return wide.select("ordinal", "name", F.explode(offers).alias("o")).select(
+        "ordinal", "name", "o.*")
+
+
+def zero_variance(spreads: DataFrame, dataset: str, limits: dict[str, dict]) -> DataFrame:
     """Columns whose spread is below 1 % of their mean, in the model's window."""
-    def cv(model, c):
-        return F.col(f"`{model}|{c}|std`") / (F.abs(F.col(f"`{model}|{c}|mean`")) + 1e-12)
-
-    def flat(model, limit):
-        return F.array_compact(F.array(*[
-            F.when(cv(model, c) < limit,
-                   F.struct(F.lit(c).alias("name"), F.round(cv(model, c), 6).alias("cv")))
-            for c in metrics
-        ]))
-
-    none = F.array().cast("array<struct<name:string,cv:double>>")
-    rows = facts.select(F.lit(dataset).alias("dataset"), F.explode(F.array(*[
-        F.struct(F.lit(m).alias("model"),
-                 (flat(m, lim["zero_variance_cv"]) if metrics else none).alias("flat"))
-        for m, lim in limits.items()
-    ])).alias("m")).select("dataset", "m.*")
+    limit = F.lit(None).cast("double")
+    for m, lim in limits.items():
+        limit = F.when(F.col("model") == m, F.lit(lim["zero_variance_cv"])).otherwise(limit)
+    flat = F.col("cv") < limit
+    facts = spreads.where(F.col("model").isin(*limits)).groupBy("model").agg(
+        F.array_sort(F.collect_list(F.when(flat, F.struct("ordinal", "name", "cv"))))
+        .alias("flat")).withColumn("dataset", F.lit(dataset))
     some = F.size("flat") > 0
-    return rows.select(*_result(
+    return facts.select(*_result(
         "zero_variance", F.when(some, "WARN").otherwise("PASS"),
-        F.when(some, F.try_element_at("flat", F.lit(1))["cv"]),
+        F.when(some, F.round(F.try_element_at("flat", F.lit(1))["cv"], 6)),
         F.when(some, F.concat(F.lit("near-constant columns: "), F.array_join(
             F.transform(F.slice("flat", 1, 5), lambda s: s["name"]), ", ")))
         .otherwise("every measure and channel varies")))
@@ -267,34 +250,30 @@ def date_continuity(calendar: DataFrame, dataset: str, grain: Column,
         .otherwise(F.format_string("no wide gap in %d %s dates", "n", "label"))))
 
 
-def channel_collinearity(facts: DataFrame, dataset: str, channels: list[str],
-                         limits: dict[str, dict]) -> DataFrame:
-    """Pairwise correlation of channels over rows where every channel is present."""
-    pairs = [(a, b) for i, a in enumerate(channels) for b in channels[i + 1:]]
-    parts = []
-    for model, lim in limits.items():
-        r = [F.abs(F.col(f"`{model}|{a}|{b}|r`")) for a, b in pairs]
-        rows = facts.withColumns({
-            "dataset": F.lit(dataset), "model": F.lit(model),
-            "r": F.array(*r).cast("array<double>")})
-        limit, need = lim["collinearity_threshold"], lim["min_channel_count"]
-        if len(channels) < need:
-            parts.append(rows.select(*_result(
-                "channel_collinearity", F.lit("FAIL"), F.lit(float(len(channels))),
-                F.lit(f"{len(channels)} channel column(s), {need} needed"))))
-            continue
-        if not pairs:
-            parts.append(rows.select(*_result(
-                "channel_collinearity", F.lit("PASS"), F.lit(None), F.lit("single channel"))))
-            continue
-        rows = rows.withColumn("n_high", F.size(F.filter("r", lambda x: x > limit)))
-        few, high = F.col(f"`{model}|complete`") < 3, F.col("n_high") > 0
-        parts.append(rows.select(*_result(
-            "channel_collinearity", F.when(few | high, "WARN").otherwise("PASS"),
-            F.when(~few, F.round(F.array_max("r"), 4)),
-            F.when(few, "too few complete rows").otherwise(F.concat(
-                F.col("n_high").cast("string"), F.lit(" channel pair(s) above the limit"))))))
-    return reduce(DataFrame.unionByName, parts)
+def channel_collinearity(df: DataFrame, dataset: str, model: str, channels: list[str],
+                         lim: dict) -> DataFrame:
+    """Pairwise correlation of channels over rows where every channel is present.
+
+    ``df`` holds the rows of the model's window.
+    """
+    spark, need = df.sparkSession, lim["min_channel_count"]
+    if len(channels) < need:
+        return _note(spark, dataset, model, "channel_collinearity", "FAIL",
+                     f"{len(channels)} channel column(s), {need} needed", float(len(channels)))
+    if len(channels) < 2:
+        return _note(spark, dataset, model, "channel_collinearity", "PASS", "single channel")
+    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    whole = df.select(*[number_of(F.col(f"`{c}`"), c in texts).alias(c) for c in channels]).dropna()
+    facts = column_correlations(whole, [], channels).agg(
+        F.max("n_pairs").alias("n"), F.max(F.abs("r")).alias("most"),
+        F.count_if(F.abs("r") > lim["collinearity_threshold"]).alias("n_high"),
+    ).withColumns({"dataset": F.lit(dataset), "model": F.lit(model)})
+    few, high = F.coalesce("n", F.lit(0)) < 3, F.col("n_high") > 0
+    return facts.select(*_result(
+        "channel_collinearity", F.when(few | high, "WARN").otherwise("PASS"),
+        F.when(~few, F.round("most", 4)),
+        F.when(few, "too few complete rows").otherwise(F.concat(
+            F.col("n_high").cast("string"), F.lit(" channel pair(s) above the limit")))))
 
 
 def segment_sizes(df: DataFrame, segments: list[str]) -> DataFrame:
@@ -410,16 +389,20 @@ def quality_checks(df: DataFrame, dataset: str, profiles: DataFrame, calendar: D
     all_limits = {m: limits_for(m, limits) for m in models}
     wanting = lambda check: {m: lim for m, lim in all_limits.items()
                              if check in (lim.get("checks") or [])}
-    facts = None
-    if wanting("zero_variance") or wanting("channel_collinearity"):
-        facts = stage(window_facts(df, date, metrics, channels, all_limits, calendar))
     grain = profiles.where(F.col("name") == date).select("date_grain").scalar()
     makers = {
         "fill_rate": lambda x: fill_rate(profiles, x),
         "distribution_shape": lambda x: distribution_shape(profiles, x),
-        "zero_variance": lambda x: zero_variance(facts, dataset, metrics, x),
+        "zero_variance": lambda x: zero_variance(
+            window_spreads(df, date, metrics, x, calendar), dataset, x,
+        ) if metrics else reduce(DataFrame.unionByName, [
+            _note(spark, dataset, m, "zero_variance", "PASS", "no measure or channel columns")
+            for m in x]),
         "date_continuity": lambda x: date_continuity(calendar, dataset, grain, x),
-        "channel_collinearity": lambda x: channel_collinearity(facts, dataset, channels, x),
+        "channel_collinearity": lambda x: reduce(DataFrame.unionByName, [
+            channel_collinearity(recent(df, date, calendar, lim["window_years"]), dataset, m,
+                                 channels, lim)
+            for m, lim in x.items()]),
         "segment_balance": lambda x: reduce(DataFrame.unionByName, [
             segment_balance(
                 segment_sizes(recent(df, date, calendar, lim["window_years"]), segments)
@@ -438,11 +421,11 @@ def quality_checks(df: DataFrame, dataset: str, profiles: DataFrame, calendar: D
     return reduce(DataFrame.unionByName, rows)
 
 
-def _note(spark, dataset, model, check, status, text):
+def _note(spark, dataset, model, check, status, text, metric=None):
     return inline_rows(spark, {
         "dataset": "string", "model": "string", "check_name": "string", "status": "string",
         "metric": "double", "detail": "string"},
-        [(dataset, model, check, status, None, text)])
+        [(dataset, model, check, status, metric, text)])
 
 
 def _worst(status: Column) -> Column:

@@ -35,7 +35,7 @@ def transform(df: DataFrame, model: str, suggestions: dict[str, list[str]],
               daily_date: str | None = None) -> DataFrame:
     """Suggested transforms of the numeric columns; daily change-point input goes weekly.
 
-    Forward fills need an order, so they run after the rows are ordered by their date.
+    Forward fills run along the table's date column.
     """
     date = next((c for c in df.columns
                  if type_family(df.schema[c].dataType) == "date"), None)

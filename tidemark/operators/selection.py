@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.numbers import number_of, safe_corr
+from tidemark.functions.numbers import column_correlations
 from tidemark.session import inline_rows
 
 
@@ -72,25 +70,11 @@ def best_measure(specs: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson r of every column pair over rows where both are present, in one pass.
-
-    The number of pairs depends on the schema only. Rows never leave their partition: each
-    pair is three running sums. Returns ``left_name, right_name, r``.
-    """
-    pairs = list(combinations(columns, 2))
-    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    value = {c: number_of(F.col(f"`{c}`"), c in texts) for c in columns}
-    if not pairs:
+    """Pearson r of every column pair, ``left_name, right_name, r``, in one pass."""
+    if len(columns) < 2:
         return inline_rows(df.sparkSession, {
             "left_name": "string", "right_name": "string", "r": "double"}, [])
-    wide = df.agg(*[
-        safe_corr(value[a], value[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("left_name"), F.lit(b).alias("right_name"),
-                 F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.explode(rows).alias("p")).select("p.*")
+    return column_correlations(df, [], columns).select("left_name", "right_name", "r")
 
 
 def dedup_measures(df: DataFrame, ranked: list[str], threshold: float = 0.85) -> DataFrame:

@@ -36,12 +36,34 @@ def fill_median(df: DataFrame, columns: list[str]) -> DataFrame:
         c: F.coalesce(F.col(c), middles.select(f"`{c}|0`").scalar()) for c in columns})
 
 
+def fill_forward_by_date(df: DataFrame, columns: list[str], date: str) -> DataFrame:
+    """Missing values of detail rows take the last known value up to their date.
+
+    The value known on a date is the largest of that date, so the result does not hang on row
+    order. Only one row per date is put in order and joined back.
+    """
+    day = F.col(date).cast("date")
+    known = df.groupBy(day.alias("fill_day")).agg(*[F.max(c).alias(f"{c}|known")
+                                                    for c in columns])
+    so_far = Window.orderBy("fill_day").rowsBetween(Window.unboundedPreceding, 0)
+    carried = known.select("fill_day", *[
+        F.last(f"{c}|known", ignorenulls=True).over(so_far).alias(f"{c}|known")
+        for c in columns])
+    # One row per calendar day: bounded by the date range.
+    joined = df.withColumn("fill_day", day).join(F.broadcast(carried), "fill_day", "left")
+    return joined.select(*[
+        (F.coalesce(F.col(c), F.col(f"{c}|known")).alias(c) if c in columns else F.col(c))
+        for c in df.columns
+    ])
+
+
 def apply_transforms(df: DataFrame, steps: dict[str, list[str]],
                      date: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """Apply transform names per column: log1p, clip, ffill, median.
 
     Steps at the same place in their column's list run together, so columns share passes.
-    ``ffill`` orders by ``date`` within ``keys`` and is meant for rolled-up series.
+    ``ffill`` carries values along ``date``: within each rolled-up series when ``keys`` name
+    one, else over the dates of the whole table.
     """
     for i in range(max((len(s) for s in steps.values()), default=0)):
         now = {c: s[i] for c, s in steps.items() if len(s) > i}
@@ -50,8 +72,10 @@ def apply_transforms(df: DataFrame, steps: dict[str, list[str]],
             df = df.withColumns({c: log1p_level(F.col(c)) for c in wants("log1p")})
         if wants("clip"):
             df = clip_to_quantiles(df, wants("clip"))
-        if wants("ffill"):
-            so_far = Window.partitionBy(*(keys or [])).orderBy(date).rowsBetween(
+        if wants("ffill") and not keys:
+            df = fill_forward_by_date(df, wants("ffill"), date)
+        elif wants("ffill"):
+            so_far = Window.partitionBy(*keys).orderBy(date).rowsBetween(
                 Window.unboundedPreceding, 0)
             df = df.withColumns({
                 c: F.last(c, ignorenulls=True).over(so_far) for c in wants("ffill")})

@@ -593,12 +593,15 @@ def apply_transforms(spark, d):
     """Log, clip and median fill of event values that are missing for one event type."""
     events = gold_events(spark, d).withColumns({
         "filled": F.when(F.col("event_type") != "error", F.col("amount")),
+        "carried": F.when(F.dayofmonth("activity_date") % 4 != 3, F.col("amount")),
         "clipped": F.col("amount")})
     out = T.apply_transforms(events, {
-        "amount": ["log1p", "clip"], "filled": ["median"], "clipped": ["clip"]})
+        "amount": ["log1p", "clip"], "filled": ["median"], "clipped": ["clip"],
+        "carried": ["ffill"]}, "activity_date")
     return out.groupBy("activity_date", "event_type").agg(
         F.count("*").alias("n"), F.round(F.sum("amount"), 4).alias("amount"),
         F.round(F.sum("filled"), 3).alias("filled"),
+        F.round(F.sum("carried"), 3).alias("carried"),
         F.round(F.sum("clipped"), 3).alias("clipped"))
 
 
