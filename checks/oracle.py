@@ -377,6 +377,54 @@ ORACLES["recent_sales"] = f"""WITH {GOLD}
 SELECT product, count(*) AS n, round(sum(sales), 2) AS sales FROM gold
 WHERE week >= (SELECT max(week) - INTERVAL 1 YEAR FROM gold) GROUP BY product"""
 
+DATED = """dl AS (SELECT CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS ship_date,
+  o_orderdate, l_extendedprice, l_discount, l_tax, l_linenumber, o_totalprice
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def date_score(dataset: str, ordinal: int, c: str, source: str, base: float) -> str:
+    return f"""SELECT '{dataset}' AS dataset, {ordinal} AS ordinal, '{c}' AS date_column,
+  {base} - 5 * (1 - count({c}) / count(*)) + CASE WHEN max(g) IS NULL THEN 0 ELSE 1 END
+  + CASE WHEN count(DISTINCT {c}) > 52 THEN 0.5 WHEN count(DISTINCT {c}) > 12 THEN 0.3
+         ELSE 0 END AS score, max(g) AS date_grain
+FROM {source}, (SELECT {grain_of(c, source)} AS g)"""
+
+
+ORACLES["best_date"] = f"""WITH {GOLD}, {DATED}, sc AS (
+{date_score('dated_lines', 0, 'ship_date', 'dl', 2 + 0.5 * 0.8)} UNION ALL
+{date_score('dated_lines', 1, 'o_orderdate', 'dl', 3 + 0.5 * 0.9)} UNION ALL
+{date_score('gold_engagement', 0, 'week', 'gold', 2 + 0.5 * 1.0)})
+SELECT dataset, date_column, round(score, 4) AS score, date_grain, false AS low_confidence
+FROM sc QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY score DESC, ordinal) = 1"""
+
+
+def measure_score(ordinal: int, c: str) -> str:
+    return f"""SELECT 'dated_lines' AS dataset, {ordinal} AS ordinal, '{c}' AS name,
+  -3 * (1 - count(x) / count(*))
+  + CASE WHEN cv < 0.02 THEN -1 ELSE 0.5 * least(cv, 2) END
+  + CASE WHEN count(DISTINCT x) <= 2 THEN -3 WHEN count(DISTINCT x) <= 5 THEN -1
+         WHEN count(DISTINCT x) > 50 THEN 0.5 WHEN count(DISTINCT x) > 10 THEN 0.2 ELSE 0 END
+  + CASE WHEN sk BETWEEN 0.3 AND 15 THEN 0.4 WHEN sk > 15 OR abs(sk) <= 1.5 THEN 0.2 ELSE 0 END
+  + CASE WHEN max(x) > 0 THEN 0.1 ELSE 0 END AS score
+FROM (SELECT {c}::DOUBLE AS x FROM dl), (SELECT stddev_samp(v) / abs(avg(v)) AS cv,
+  avg(pow(v - m, 3)) / pow(avg(pow(v - m, 2)), 1.5) AS sk FROM (SELECT {c}::DOUBLE AS v FROM dl),
+  (SELECT avg({c}::DOUBLE) AS m FROM dl)) GROUP BY cv, sk"""
+
+
+RANKED = f"""WITH {GOLD}, {DATED}, rm AS (""" + " UNION ALL ".join(
+    measure_score(i + 2, c) for i, c in enumerate(
+        ["l_extendedprice", "l_discount", "l_tax", "l_linenumber", "o_totalprice"])) + """
+UNION ALL SELECT 'gold_engagement', i, c, 'inf'::DOUBLE FROM (SELECT unnest([5, 6, 13]) AS i,
+  unnest(['sales', 'trx', 'competitor_spend']) AS c) WHERE (SELECT count(*) FROM gold) > 0),
+rk AS (SELECT dataset, name, score, row_number() OVER (PARTITION BY dataset
+  ORDER BY score DESC, ordinal) AS measure_rank FROM rm)
+"""
+ORACLES["ranked_measures"] = f"""{RANKED} SELECT dataset, name, measure_rank,
+  CASE WHEN score < 'inf'::DOUBLE THEN round(score, 3) END AS score FROM rk"""
+ORACLES["best_measure"] = f"""{RANKED} SELECT dataset, name AS measure,
+  CASE WHEN score < 'inf'::DOUBLE THEN 'unclassified_metric' ELSE 'measure' END AS subtype,
+  score < 'inf'::DOUBLE AS needs_review FROM rk WHERE measure_rank = 1"""
+
 # --- quality gate ------------------------------------------------------------------------
 
 DULL = """dull AS (SELECT o_orderdate::DATE AS activity_date, 5.0::DOUBLE AS amount,
@@ -525,6 +573,19 @@ ORACLES["gate_overall"] = GATED + f"""SELECT dataset, CASE WHEN bool_or(decision
   THEN 'PASS' WHEN bool_or(decision = 'WARN') THEN 'WARN' ELSE 'FAIL' END AS overall_decision
 FROM ({DECIDED}) GROUP BY dataset"""
 
+
+ORACLES["candidate_list"] = GATED + f""", dn AS ({DECIDED}),
+rg AS (SELECT 'gold_engagement' AS dataset, week AS day FROM gold
+       UNION ALL SELECT 'gold_events', activity_date FROM gold_events),
+mm AS (SELECT dataset, max(day) AS max_date FROM rg GROUP BY dataset),
+yy AS (SELECT unnest({list(YEARS)}) AS model, unnest({list(YEARS.values())}) AS years)
+SELECT dn.dataset, dn.model, years || 'yr  ' || (max_date - to_years(years))::DATE || ' → '
+    || max_date AS label,
+  (SELECT count(*) FROM rg WHERE rg.dataset = dn.dataset AND day >= max_date - to_years(years))
+    AS rows, decision <> 'FAIL' AND dn.model IN ('BOCPD', 'MMM') AS ran, decision AS quality
+FROM dn JOIN mm ON mm.dataset = dn.dataset JOIN yy ON yy.model = dn.model
+WHERE NOT (dn.dataset = 'gold_events' AND dn.model = 'MMM')"""
+
 # --- transforms --------------------------------------------------------------------------
 
 ORACLES["clip_1_99"] = """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.01) AS a,

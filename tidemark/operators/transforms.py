@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.curves import log1p_level
 from tidemark.functions.numbers import exact_quantiles, long_values
+from tidemark.session import stage
 
 
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
@@ -18,22 +19,24 @@ def column_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> D
     ])
 
 
+def _as_struct(one_row: DataFrame):
+    """A one-row result as one scalar; stored, so that its passes run once for all uses."""
+    return stage(one_row).select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns])).scalar()
+
+
 def clip_to_quantiles(df: DataFrame, columns: list[str], low: float = 0.01,
                       high: float = 0.99) -> DataFrame:
     """Columns limited to their own exact quantiles, all in one set of passes."""
-    limits = column_quantiles(df, columns, [low, high])
-    clipped = {}
-    for c in columns:
-        lo = limits.select(f"`{c}|0`").scalar()
-        hi = limits.select(f"`{c}|1`").scalar()
-        clipped[c] = F.when(F.col(c).isNotNull(), F.greatest(lo, F.least(hi, F.col(c))))
-    return df.withColumns(clipped)
+    limits = _as_struct(column_quantiles(df, columns, [low, high]))
+    return df.withColumns({
+        c: F.when(F.col(c).isNotNull(), F.greatest(
+            limits[f"{c}|0"], F.least(limits[f"{c}|1"], F.col(c))))
+        for c in columns})
 
 
 def fill_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    middles = column_quantiles(df, columns, [0.5])
-    return df.withColumns({
-        c: F.coalesce(F.col(c), middles.select(f"`{c}|0`").scalar()) for c in columns})
+    middles = _as_struct(column_quantiles(df, columns, [0.5]))
+    return df.withColumns({c: F.coalesce(F.col(c), middles[f"{c}|0"]) for c in columns})
 
 
 def fill_forward_by_date(df: DataFrame, columns: list[str], date: str) -> DataFrame:
