@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import stored_table
@@ -17,6 +18,11 @@ def stored_row(df: DataFrame):
     return df.collect()[0]
 
 
+def objects(values) -> pd.Series:
+    """Texts or lists as a column that keeps its type even when there are none."""
+    return pd.Series(list(values), dtype=object)
+
+
 def fraction(*columns: Column) -> Column:
     """A number in [0, 1) that depends only on the columns' values, equal on every engine.
 
