@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    bpe, chat, forest, graph, language, mixing, pages, simhash, url_lists)
+    bpe, chat, forest, graph, language, lines, mixing, pages, simhash, url_lists)
 from tidemark.llm.common import fraction
 
 QUERIES: dict = {}
@@ -42,6 +42,11 @@ def op5_forest(spark, d):
     return forest.nearest(table(spark, d, "embeddings"), every=20, k=20)
 
 
+@query
+def op3_lines(spark, d):
+    return lines.line_report(table(spark, d, "documents"))
+
+
 @query
 def op4_bpe(spark, d):
     return bpe.digests(table(spark, d, "documents"), tokenizer_path())
