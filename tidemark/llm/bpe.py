@@ -150,7 +150,7 @@ class Bpe:
     def encode_plain(self, text: str) -> np.ndarray:
         words = self.words(text)
         cache = self.cache
-        new = list(set(words) - cache.keys())
+        new = [w for w in set(words) if w not in cache]  # a key view would be walked in full
         if new:
             coded = self.encode_words(new)
             if len(cache) > CACHED_WORDS:
