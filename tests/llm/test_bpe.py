@@ -74,3 +74,11 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark, monkeypatch):
     rows = sorted((r.doc_id or 0, r.n_tokens) for r in B.digests(docs, PATH).collect())
     assert rows == [(0, 0), (1, 0), (1, 0), (2, len(plain("x " * 90_000)))]
     assert B.digests(spark.createDataFrame([], schema), PATH).count() == 0
+
+
+def test_both_ways_of_merging_agree():
+    draw = random.Random(8)
+    coder = B.loaded(PATH)
+    for _ in range(500):
+        word = "".join(draw.choices("etaoinshr aélx", k=draw.randrange(1, 40))).encode()
+        assert coder.merge(word) == coder.merge_long(word)

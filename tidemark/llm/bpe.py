@@ -23,6 +23,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CACHED_WORDS = 200_000  # per Python worker; a bound on memory, not on results
 CACHED_LENGTH = 64
 TOKENS_PER_BATCH = 1 << 20
+SHORT_WORD = 48  # bytes; longer words are merged by a heap
+NEVER = 1 << 60
 
 
 def byte_symbols() -> dict[str, int]:
@@ -64,7 +66,27 @@ class Bpe:
         self.exact_words = 0
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merging: the lowest rank first, leftmost on ties, by a heap over linked parts."""
+        """Exact merging: the lowest rank first, leftmost on ties."""
+        if len(word) > SHORT_WORD:
+            return self.merge_long(word)
+        parts = [word[i:i + 1] for i in range(len(word))]
+        rank = self.ranks.get
+        ranks = [rank(p, NEVER) for p in zip(parts, parts[1:])]
+        while ranks:
+            low = min(ranks)
+            if low == NEVER:
+                break
+            i = ranks.index(low)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), NEVER)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), NEVER)
+        return [self.ids[p] for p in parts]
+
+    def merge_long(self, word: bytes) -> list[int]:
+        """The same by a heap over linked parts, for words of any length."""
         parts = [word[i:i + 1] for i in range(len(word))]
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
