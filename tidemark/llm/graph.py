@@ -9,6 +9,8 @@ brute force on a bounded number of vectors; if it is too low the search widens a
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -24,10 +26,12 @@ BLOCK_ROWS = 4_000  # vectors that one graph holds
 OVERLAP = 2  # shards whose graph holds a vector
 PROBES = 4  # shards that a vector searches
 CANDIDATES, DEGREE, SLACK = 48, 16, 1.2
-BEAM = 16
+BEAM = 32
+MEDOIDS = 32  # where searches of a shard begin
 CHUNK = 1_024
+STEP_EDGES = 1 << 19  # edges that one step of a search looks at
 AUDIT_ROWS = 64
-AUDIT_RECALL = 0.99
+AUDIT_RECALL = 0.999
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -107,12 +111,30 @@ def connected(x: np.ndarray, lists: list[np.ndarray], start: int) -> list[np.nda
         front = np.array([j])
 
 
-def padded(lists: list[np.ndarray]) -> np.ndarray:
-    width = max((len(a) for a in lists), default=0) or 1
-    out = np.full((len(lists), width), -1, np.int64)
-    for i, a in enumerate(lists):
-        out[i, :len(a)] = a
-    return out
+@dataclass
+class Adjacency:
+    """Neighbour lists one after the other: memory follows the edges, not the largest hub."""
+
+    starts: np.ndarray
+    degrees: np.ndarray
+    heads: np.ndarray
+
+    @classmethod
+    def of(cls, lists: list[np.ndarray]) -> Adjacency:
+        degrees = np.fromiter(map(len, lists), np.int64, len(lists))
+        return cls(np.cumsum(degrees) - degrees, degrees, np.concatenate(lists).astype(np.int64))
+
+    def around(self, rows: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every (row, neighbour of the row's node)."""
+        counts = self.degrees[nodes]
+        at = np.arange(counts.sum()) + np.repeat(
+            self.starts[nodes] - (np.cumsum(counts) - counts), counts)
+        return np.repeat(rows, counts), self.heads[at]
+
+    def pieces(self, nodes: np.ndarray) -> list[np.ndarray]:
+        """Positions of the nodes in runs of at most about STEP_EDGES edges."""
+        upto = np.cumsum(self.degrees[nodes])
+        return np.split(np.arange(len(nodes)), np.flatnonzero(np.diff(upto // STEP_EDGES)) + 1)
 
 
 def fresh(codes: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -122,9 +144,16 @@ def fresh(codes: np.ndarray, seen: np.ndarray) -> np.ndarray:
     return np.unique(codes)
 
 
-def search(q: np.ndarray, x: np.ndarray, table: np.ndarray, start: int, cosine: float,
+def medoids(x: np.ndarray) -> np.ndarray:
+    """The vectors nearest to the middles of a shard's own clusters, the shard's medoid first."""
+    middles = centres(x, min(MEDOIDS, len(x)))
+    picked = np.append((x @ x.mean(0)).argmax(), (x @ middles.T).argmax(0))
+    return picked[np.sort(np.unique(picked, return_index=True)[1])]
+
+
+def search(q: np.ndarray, x: np.ndarray, graph: Adjacency, starts: np.ndarray, cosine: float,
            beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, vector) within range, by greedy search from the start, then expansion.
+    """Pairs (query, vector) within range, by greedy search from the medoids, then expansion.
 
     All queries of a chunk take a step together. Similarities are computed only for the vectors
     that a query meets.
@@ -132,19 +161,21 @@ def search(q: np.ndarray, x: np.ndarray, table: np.ndarray, start: int, cosine:
     n, m = len(q), len(x)
     seen = np.zeros(n * m, bool)
     each = np.arange(n)
-    best = np.full((n, beam), start)
-    score = np.full((n, beam), -2.0, np.float32)
-    score[:, 0] = q @ x[start]
-    todo = np.zeros((n, beam), bool)
-    todo[:, 0] = True
-    seen[each * m + start] = True
-    hits = [each[score[:, 0] >= cosine] * m + start]
+    first = q @ x[starts].T
+    order = np.argsort(-first, axis=1, kind="stable")[:, :beam]
+    best = np.full((n, beam), starts[0])
+    score = np.full((n, beam), -3.0, np.float32)
+    best[:, :order.shape[1]] = starts[order]
+    score[:, :order.shape[1]] = np.take_along_axis(first, order, 1)
+    todo = score > -3
+    met = each[:, None] * m + starts[None, :]
+    seen[met] = True
+    hits = [met[first >= cosine]]
 
     def meet(rows, nodes):
         """Unseen neighbours of the nodes, with their similarity to the row's query."""
-        around = table[nodes]
-        ok = around >= 0
-        codes = fresh((np.broadcast_to(rows[:, None], around.shape)[ok]) * m + around[ok], seen)
+        owners, around = graph.around(rows, nodes)
+        codes = fresh(owners * m + around, seen)
         i, j = np.divmod(codes, m)
         sims = np.concatenate([np.einsum("ij,ij->i", q[i[a:a + 65536]], x[j[a:a + 65536]])
                                for a in range(0, len(i), 65536)] or [np.zeros(0, np.float32)])
@@ -177,9 +208,9 @@ def search(q: np.ndarray, x: np.ndarray, table: np.ndarray, start: int, cosine:
     found = [front]
     while len(front):
         grown = []
-        for at in range(0, len(front), 1 << 18):
-            i, j = np.divmod(front[at:at + (1 << 18)], m)
-            i, j, sims = meet(i, j)
+        nodes = front % m
+        for piece in graph.pieces(nodes):
+            i, j, sims = meet(front[piece] // m, nodes[piece])
             grown.append((i * m + j)[sims >= cosine])
         front = np.concatenate(grown)
         found.append(front)
@@ -316,11 +347,11 @@ def searched(classes: DataFrame, middle: np.ndarray, cosine: float, probes: int,
         for listed in data["near"]:
             at = np.minimum(np.searchsorted(names, listed), len(names) - 1)
             near.append(at[names[at] == listed])
-        start = int((x @ x.mean(0)).argmax())
-        table = padded(connected(x, near, start))
+        starts = medoids(x)
+        linked = Adjacency.of(connected(x, near, starts[0]))
         ends = []
         for at in range(0, len(q), CHUNK):
-            i, j = search(q[at:at + CHUNK], x, table, start, cosine - 1e-3, beam)
+            i, j = search(q[at:at + CHUNK], x, linked, starts, cosine - 1e-3, beam)
             ends.append((i + at, j))
         i, j = (np.concatenate(e) for e in zip(*ends))
         # What one side found holds for the other side too, where both are here.
