@@ -915,3 +915,33 @@ ORACLES["tune_hints"] = f"WITH {GOLD}, {EVENTS}, sat AS (SELECT (max(w) - min(w)
            f"(SELECT count(*) FROM {'gold' if t == 'gold_engagement' else 'gold_events'})")
         + f"::BIGINT AS row_count, '{used}' AS columns_used, '{_settings(t, m)}' AS params"
         for (t, m), used in _USED.items())
+
+# --- product filter, text dates, any decay, optimum, many buckets ------------------------
+
+ORACLES["product_rollup"] = f"""WITH {GOLD}
+SELECT week, product, round(coalesce(sum(sales), 0), 2) AS sales,
+  round(coalesce(sum(f2f), 0), 2) AS f2f, round(avg(tv_grps), 3) AS tv_grps
+FROM gold WHERE is_anomaly = 0 AND product = 'PROMO' GROUP BY week, product"""
+
+ORACLES["text_dates_run"] = f"""WITH {EVENTS},
+t AS (SELECT amount, CASE user_id % 5
+    WHEN 0 THEN date_trunc('quarter', activity_date)::DATE
+    WHEN 1 THEN date_trunc('quarter', activity_date)::DATE
+    WHEN 2 THEN activity_date
+    WHEN 3 THEN date_trunc('year', activity_date)::DATE END AS date FROM gold_events)
+SELECT date, count(*) AS n_rows, round(coalesce(sum(amount), 0), 2) AS amount,
+  (SELECT count(*) FROM t WHERE date IS NULL) AS n_unparsed
+FROM t WHERE date IS NOT NULL GROUP BY date"""
+
+ORACLES["adstock_decays"] = f"""WITH {GOLD}, {market()},
+n AS (SELECT week, f2f, row_number() OVER (ORDER BY week) AS i FROM mk)
+SELECT a.week, round(a.f2f, 3) AS none, round(sum(b.f2f * power(0.99, a.i - b.i)), 3) AS most,
+  round(sum(b.f2f), 3) AS whole
+FROM n a JOIN n b ON b.i <= a.i GROUP BY a.week, a.f2f"""
+
+ORACLES["mmm_optimum"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, true AS converged, 0.0::DOUBLE AS off" for c in FEATURE_NAMES)
+
+ORACLES["psi_many"] = f"WITH {EVENTS} {BANDED}" + psi(
+    "user_id", f"SELECT period, user_id AS bucket FROM {periods('gold_events', 'activity_date')} "
+               "WHERE period IS NOT NULL AND user_id IS NOT NULL") + ")"

@@ -130,7 +130,7 @@ def test_map_keeps_signs_and_is_a_maximum():
     y = 2.0 + x @ np.array([-0.4, 0.3, 0.2]) + rng.normal(scale=0.1, size=n)
     kinds = ["channel", "competitor", "control"]
     gram = (x.T @ x)[np.triu_indices(3)]
-    a, b, s = A.solve_map(n, y.sum(), y @ y, x.sum(0), x.T @ y, gram, kinds)
+    a, b, s, _, converged = A.solve_map(n, y.sum(), y @ y, x.sum(0), x.T @ y, gram, kinds)
     assert b[0] == 0.0 and b[1] == 0.0 and b[2] > 0.1
 
     def cost(a, b, s):

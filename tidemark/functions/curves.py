@@ -22,24 +22,19 @@ def fourier(t: Column, k: int, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def carry_rows(decay: float) -> int:
-    """Rows after which a carried amount is below double rounding (1e-18 of its start)."""
-    if decay <= 0:
-        return 0
-    return math.ceil(math.log(1e-18) / math.log(decay))
-
-
 def adstock(x: Column, decay: Column | float, max_decay: float, keys: list[str],
             order: str) -> Column:
-    """Carry-over a[t] = x[t] + d a[t-1] as one sliding window.
+    """Carry-over a[t] = x[t] + d a[t-1] over the whole series, for any decay, 1 and more included.
 
-    The window is long enough for the largest decay that the part left out vanishes in double
-    rounding, so the result is the full recursion at bounded memory for series of any length.
+    Meant for rolled-up series: a period's value folds all earlier periods of its series, so the
+    work is the square of the periods and the memory one series' periods.
     """
     d = decay if isinstance(decay, Column) else F.lit(float(decay))
-    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(-carry_rows(max_decay), 0)
-    recent = F.collect_list(F.coalesce(x, F.lit(0.0))).over(frame)
-    return F.aggregate(recent, F.lit(0.0), lambda carried, now: carried * d + now)
+    if max_decay == 0:
+        return F.coalesce(x, F.lit(0.0))
+    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = F.collect_list(F.coalesce(x, F.lit(0.0))).over(frame)
+    return F.aggregate(so_far, F.lit(0.0), lambda carried, now: carried * d + now)
 
 
 def hill(x: Column, alpha: Column, half: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
+from tidemark.functions.names import type_family
 
 # Fixed value: quarter texts such as 2025 Q4, 2025Q4, Q4 2025, Q4/2025, Q4-2025.
 QUARTER_PATTERN = r"(?:(\d{4})\s*[Qq](\d)|[Qq](\d)\s*[/\-]?\s*(\d{4}))"
@@ -31,6 +32,34 @@ def parse_date(c: Column, is_text: bool = True) -> Column:
     )
 
 
+def day_of(df: DataFrame, column: str) -> Column:
+    """A column of any type as a date: dates and timestamps as they are, texts and years parsed.
+
+    Whole numbers are read as texts, so 1997 is a year; what cannot be read is null.
+    """
+    c, kind = F.col(f"`{column}`"), type_family(df.schema[column].dataType)
+    if kind == "date":
+        return c.cast("date")
+    if kind == "numeric":
+        return parse_date(c.try_cast("bigint"))
+    return parse_date(c)
+
+
+def with_dates(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The table with those columns turned into dates, once, before anything else reads them."""
+    odd = [c for c in columns if type_family(df.schema[c].dataType) != "date"]
+    return df.withColumns({c: day_of(df, c) for c in odd}) if odd else df
+
+
+def unparsed_dates(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per date column: ``name, n_values, n_unparsed``."""
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").isNotNull().alias("has"),
+                              day_of(df, c).isNotNull().alias("read")) for c in columns])
+    return df.select(F.explode(rows).alias("r")).groupBy("r.name").agg(
+        F.count_if("r.has").alias("n_values"),
+        F.count_if(F.col("r.has") & ~F.col("r.read")).alias("n_unparsed"))
+
+
 def grain_of(median_gap: Column) -> Column:
     """Grain name of a median gap in days; gaps between the bands have no name."""
     return (
@@ -50,7 +79,9 @@ def median_gaps(df: DataFrame, columns: list[str]) -> DataFrame:
     Returns ``name, n_moments, median_gap, date_grain``.
     """
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("timestamp_ntz").alias("at"))
+        F.struct(F.lit(c).alias("name"), (
+            F.col(f"`{c}`") if type_family(df.schema[c].dataType) == "date" else day_of(df, c)
+        ).cast("timestamp_ntz").alias("at"))
         for c in columns
     ])
     moments = (

@@ -18,6 +18,7 @@ from tidemark.functions.numbers import column_correlations
 
 CHANNEL_SIGMA, COMPETITOR_SIGMA, CONTROL_SIGMA = 0.5, 0.3, 0.5
 INTERCEPT_SIGMA, NOISE_SIGMA = 0.5, 0.3
+MOST_SWEEPS = 5000  # coordinate passes of a fit; a fit that needs more says so
 
 
 def adstocked_channels(series: DataFrame, config: K.SeriesConfig,
@@ -107,19 +108,19 @@ def design_collinearity(matrix: DataFrame, keys: list[str], limit: float = 0.85)
     names = [c for c in matrix.columns if c.startswith("X_")]
     pairs = column_correlations(matrix, keys, names, 2)
     return pairs.where(F.abs("r") > limit).select(
-        *keys, F.substring("left_name", 3, 1000).alias("left_feature"),
-        F.substring("right_name", 3, 1000).alias("right_feature"), "r")
+        *keys, F.regexp_replace("left_name", "^X_", "").alias("left_feature"),
+        F.regexp_replace("right_name", "^X_", "").alias("right_feature"), "r")
 
 
 def gram_rows(matrix: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums of products over training rows, one row per series.
+    """Sums of products over training rows that have a target, one row per series.
 
     ``n, sum_y, sum_yy, sum_x[f], sum_xy[f], gram[upper triangle]``.
     """
     names = [c for c in matrix.columns if c.startswith("X_")]
     pairs = list(combinations_with_replacement(names, 2))
     product = lambda a, b: F.sum(F.col(a) * F.col(b))
-    return matrix.where("split = 'train'").groupBy(*keys).agg(
+    return matrix.where("split = 'train' AND y IS NOT NULL").groupBy(*keys).agg(
         F.count("*").alias("n"), F.sum("y").alias("sum_y"),
         product("y", "y").alias("sum_yy"),
         F.array(*[F.sum(c) for c in names]).alias("sum_x"),
@@ -127,11 +128,12 @@ def gram_rows(matrix: DataFrame, keys: list[str]) -> DataFrame:
         F.array(*[product(a, b) for a, b in pairs]).alias("gram"))
 
 
-def solve_map(n, sum_y, sum_yy, sum_x, sum_xy, gram, kinds, sweeps=500, tol=1e-11):
+def solve_map(n, sum_y, sum_yy, sum_x, sum_xy, gram, kinds, sweeps=MOST_SWEEPS, tol=1e-11):
     """Mode of the posterior from sums of products, by coordinate steps within sign bounds.
 
     y ~ N(a + X b, s); a ~ N(mean y, 0.5); channels half-normal(0.5) upwards; competitors
-    half-normal(0.3) downwards; controls N(0, 0.5); s half-normal(0.3). Returns a, b, s.
+    half-normal(0.3) downwards; controls N(0, 0.5); s half-normal(0.3). Returns a, b, s, the sweeps taken and whether the steps
+    became smaller than ``tol``.
     """
     size = len(kinds)
     xx = np.zeros((size, size))
@@ -145,7 +147,7 @@ def solve_map(n, sum_y, sum_yy, sum_x, sum_xy, gram, kinds, sweeps=500, tol=1e-1
     mean_y = sum_y / n
     a, b = mean_y, np.zeros(size)
     s2 = min(max(sum_yy / n - mean_y**2, 1e-6), NOISE_SIGMA**2)
-    for _ in range(sweeps):
+    for sweep in range(1, sweeps + 1):
         before = np.append(b, [a, s2])
         for j in range(size):
             rest = sum_xy[j] - a * sum_x[j] - xx[j] @ b + xx[j, j] * b[j]
@@ -158,15 +160,18 @@ def solve_map(n, sum_y, sum_yy, sum_x, sum_xy, gram, kinds, sweeps=500, tol=1e-1
         # d/ds2 of n/2 log s2 + sse/(2 s2) + s2/(2 v) is zero where s2^2/v + n s2 - sse = 0.
         v = NOISE_SIGMA**2
         s2 = max(2.0 * sse / (n + np.sqrt(n * n + 4.0 * sse / v)), 1e-12)
-        if np.max(np.abs(np.append(b, [a, s2]) - before)) < tol:
+        converged = bool(np.max(np.abs(np.append(b, [a, s2]) - before)) < tol)
+        if converged:
             break
-    return a, b, float(np.sqrt(s2))
+    return a, b, float(np.sqrt(s2)), sweep, converged
 
 
-def map_fit(matrix: DataFrame, config: K.SeriesConfig, keys: list[str]) -> DataFrame:
+def map_fit(matrix: DataFrame, config: K.SeriesConfig, keys: list[str],
+            sweeps: int = MOST_SWEEPS) -> DataFrame:
     """Coefficients per series and feature: ``keys, feature, kind, beta, intercept, sigma``.
 
-    ``estimator`` says what the numbers are: a posterior mode, not a sampled mean.
+    ``estimator`` says what the numbers are: a posterior mode, not a sampled mean. ``converged``
+    is false where ``sweeps`` passes were not enough; ``n_sweeps`` counts them.
     """
     names = [c[2:] for c in matrix.columns if c.startswith("X_")]
     kind_of = feature_kinds(names, config)
@@ -175,18 +180,20 @@ def map_fit(matrix: DataFrame, config: K.SeriesConfig, keys: list[str]) -> DataF
     types = {f.name: f.dataType.simpleString() for f in grams.schema}
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
     schema += (", feature string, kind string, beta double, intercept double, sigma double, "
-               "estimator string")
+               "estimator string, n_sweeps int, converged boolean")
 
     def solve(batches):
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 r = row._asdict()
-                a, b, s = solve_map(
+                a, b, s, taken, converged = solve_map(
                     float(r["n"]), r["sum_y"], r["sum_yy"], np.asarray(r["sum_x"]),
-                    np.asarray(r["sum_xy"]), np.asarray(r["gram"]), kinds)
+                    np.asarray(r["sum_xy"]), np.asarray(r["gram"]), kinds,
+                    sweeps)
                 yield pd.DataFrame({
                     **{k: [r[k]] * len(names) for k in keys}, "feature": names, "kind": kinds,
-                    "beta": b, "intercept": a, "sigma": s, "estimator": "map"})
+                    "beta": b, "intercept": a, "sigma": s, "estimator": "map",
+                    "n_sweeps": taken, "converged": converged})
 
     return grams.mapInPandas(solve, schema)
 

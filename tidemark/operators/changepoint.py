@@ -75,8 +75,10 @@ def change_probabilities(series: DataFrame, keys: list[str], order: str, value:
 
     The only grouped-map step: one call per series, over rolled-up periods. Long histories
     cost the square of their periods, never of their detail rows.
+    Periods without a value are left out (`missing_periods` counts them); ``t`` counts the others.
     Returns keys, order column, ``t``, value, ``cp_prob``, ``exp_run_length``.
     """
+    series = series.where(F.col(value).isNotNull())
     priors = series_priors(series, keys, order, value, train)
     rate = F.col(hazard) if isinstance(hazard, str) else F.lit(float(hazard))
     carried = [hazard] if isinstance(hazard, str) else []
@@ -104,6 +106,11 @@ def change_probabilities(series: DataFrame, keys: list[str], order: str, value:
     return ready.groupBy(*keys).applyInPandas(one_series, schema)
 
 
+def missing_periods(series: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Periods per series that have no value: ``keys, n_missing``."""
+    return series.groupBy(*keys).agg(F.count_if(F.col(value).isNull()).alias("n_missing"))
+
+
 def change_candidates(probs: DataFrame, keys: list[str], threshold: float = K.CP_THRESHOLD,
                       distance: int = K.CP_MIN_DISTANCE) -> DataFrame:
     """Peaks of ``cp_prob``: strict local maxima at least ``threshold`` high.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import clean_float, exact_quantiles
 
@@ -25,9 +25,11 @@ def marked_periods(df: DataFrame, date: str) -> DataFrame:
 
 def _psi(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Sum of (p-q) ln(p/q) over buckets (``reference, comparison`` counts per bucket)."""
-    whole = Window.partitionBy(*keys)
-    share = lambda c: F.greatest(F.try_divide(F.col(c), F.sum(c).over(whole)), F.lit(FLOOR))
-    shares = counts.withColumn("p", share("comparison")).withColumn("q", share("reference"))
+    # Totals by partial sums, so a column with very many buckets never meets in one task.
+    totals = counts.groupBy(*keys).agg(
+        F.sum("comparison").alias("all_comparison"), F.sum("reference").alias("all_reference"))
+    share = lambda c: F.greatest(F.try_divide(F.col(c), F.col(f"all_{c}")), F.lit(FLOOR))
+    shares = counts.join(F.broadcast(totals), keys).withColumn("p", share("comparison")).withColumn("q", share("reference"))
     return shares.groupBy(*keys).agg(
         F.sum((F.col("p") - F.col("q")) * F.ln(F.col("p") / F.col("q"))).alias("psi"),
         F.count("*").alias("n_buckets"),

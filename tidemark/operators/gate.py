@@ -175,7 +175,7 @@ def zero_variance(spreads: DataFrame, dataset: str, limits: dict[str, dict]) ->
         "zero_variance", F.when(some, "WARN").otherwise("PASS"),
         F.when(some, F.round(F.try_element_at("flat", F.lit(1))["cv"], 6)),
         F.when(some, F.concat(F.lit("near-constant columns: "), F.array_join(
-            F.transform(F.slice("flat", 1, 5), lambda s: s["name"]), ", ")))
+            F.transform("flat", lambda s: s["name"]), ", ")))
         .otherwise("every measure and channel varies")))
 
 
@@ -440,7 +440,7 @@ def model_decisions(checks: DataFrame, order: dict[str, list[str]] | None = None
     order = order or {m: lim["checks"] for m, lim in K.MODEL_LIMITS.items()}
     places = [F.lit(x) for m, names in order.items() for i, n in enumerate(names)
               for x in (f"{m}|{n}", i)]
-    place = F.create_map(*places)[F.concat_ws("|", "model", "check_name")]
+    place = F.coalesce(F.create_map(*places)[F.concat_ws("|", "model", "check_name")], F.lit(-1))
     failed = F.col("status") == "FAIL"
     return checks.groupBy("dataset", "model").agg(
         _worst(F.col("status")).alias("decision"),

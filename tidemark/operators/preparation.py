@@ -46,24 +46,33 @@ def transform(df: DataFrame, model: str, suggestions: dict[str, list[str]],
     return out
 
 
+# The settings each model starts from.
+START_SETTINGS = {
+    "BOCPD": {"hazard": "0.004", "truncate": "500", "observation_model": "StudentT"},
+    "MMM": {"baseline_formula": "intercept + seasonality"},
+    "PSI": {"reference_period": "first quartile of date range",
+            "comparison_period": "last quartile of date range", "n_bins": "10",
+            "psi_threshold": "0.2"},
+    "ARIMA": {"order_p": "check PACF", "order_d": "1", "order_q": "check ACF",
+              "seasonal_period": "52"},
+}
+
+
 def tune_hints(df: DataFrame, model: str) -> dict[str, str]:
-    """Starting settings of a model as text pairs, from the prepared columns."""
+    """Starting settings of a model as text pairs, with what the prepared columns suggest."""
     numbers = numeric_columns(df)
+    first = numbers[0] if numbers else ""
     if model == "BOCPD":
-        return {"hazard": "0.004", "truncate": "500", "observation_model": "StudentT",
-                "suggested_columns": ",".join(numbers)}
-    if model == "MMM":
+        found = {"suggested_columns": ",".join(numbers)}
+    elif model == "MMM":
         channels = [c for c in numbers[1:] if any(w in c.lower() for w in K.SPEND_WORDS)]
-        return {"kpi": numbers[0] if numbers else "", "channels": ",".join(channels),
-                "baseline_formula": "intercept + seasonality"}
-    if model == "PSI":
+        found = {"kpi": first, "channels": ",".join(channels)}
+    elif model == "PSI":
         dates = [c for c in df.columns if "date" in c.lower() or "period" in c.lower()]
-        return {"reference_period": "first quartile of date range",
-                "comparison_period": "last quartile of date range",
-                "date_column": dates[0] if dates else "", "n_bins": "10",
-                "psi_threshold": "0.2"}
-    return {"suggested_target": numbers[0] if numbers else "", "order_p": "check PACF",
-            "order_d": "1", "order_q": "check ACF", "seasonal_period": "52"}
+        found = {"date_column": dates[0] if dates else ""}
+    else:
+        found = {"suggested_target": first}
+    return START_SETTINGS[model] | found
 
 
 def model_summary(df: DataFrame, dataset: str, model: str, subtypes: dict[str, str],

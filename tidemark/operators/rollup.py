@@ -34,10 +34,11 @@ def clean_row_stats(df: DataFrame, config: K.SeriesConfig) -> DataFrame:
         .alias("n_entities"))
 
 
-def market_rollup(df: DataFrame, config: K.SeriesConfig, by_product: bool = True) -> DataFrame:
+def market_rollup(df: DataFrame, config: K.SeriesConfig, by_product: bool = True,
+                  all_products: bool = True) -> DataFrame:
     """One row per week (and product): volumes summed, market constants averaged.
 
-    A sum over no values is 0. The lifecycle stage is that of the smallest entity that has one.
+    Without ``all_products`` only rows of the configured product count. A sum over no values is 0. The lifecycle stage is that of the smallest entity that has one.
     """
     have = set(df.columns)
     extra = [c for c in ("trx", "nrx") if c != config.target]
@@ -52,7 +53,7 @@ def market_rollup(df: DataFrame, config: K.SeriesConfig, by_product: bool = True
         order = F.col(config.entity) if config.entity in have else F.col(config.lifecycle)
         aggs.append(F.min_by(config.lifecycle, F.when(F.col(config.lifecycle).isNotNull(), order))
                     .alias(config.lifecycle))
-    return clean_rows(df, config).groupBy(*keys).agg(*aggs)
+    return clean_rows(df, config, all_products).groupBy(*keys).agg(*aggs)
 
 
 def date_rollup(df: DataFrame, date: str, measures: list[str]) -> DataFrame:

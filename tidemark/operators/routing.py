@@ -12,7 +12,7 @@ def star_keys(specs: DataFrame, classes: DataFrame) -> DataFrame:
     """Key pairs (fact, dimension, fact_key, dimension_key, matched_by).
 
     Equal names first; only fact and dimension pairs without any equal name are tried again
-    with one known ending removed.
+    with one known ending removed. Every key of a stem is kept.
     """
     typed = specs.where("subtype = 'key'").join(
         classes.select("dataset", "table_type"), "dataset").select(
@@ -23,10 +23,9 @@ def star_keys(specs: DataFrame, classes: DataFrame) -> DataFrame:
     facts, dims = side("fact", "fact"), side("dimension", "dimension")
     pair = ["fact", "dimension", "fact_key", "dimension_key"]
     equal = facts.drop("stem").join(dims.drop("stem"), "lower_name").select(*pair)
-    one_per_stem = lambda df, label: df.where("stem <> ''").groupBy(label, "stem").agg(
-        F.max(f"{label}_key").alias(f"{label}_key"))
+    stemmed = lambda df: df.where("stem <> ''").drop("lower_name")
     stripped = (
-        one_per_stem(facts, "fact").join(one_per_stem(dims, "dimension"), "stem")
+        stemmed(facts).join(stemmed(dims), "stem")
         .join(equal.select("fact", "dimension").distinct(), ["fact", "dimension"], "left_anti")
         .select(*pair))
     return equal.withColumn("matched_by", F.lit("name")).unionByName(

@@ -10,10 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import knowledge as K
-from tidemark.functions.dates import hazard_of
+from tidemark.functions.dates import hazard_of, with_dates
 from tidemark.operators import attribution as A
 from tidemark.operators import changepoint as C
 from tidemark.operators import gate as G
@@ -73,18 +75,44 @@ class Fact:
     calendar: DataFrame | None = None
 
 
+class Errors(list):
+    """(dataset, model, text) of what failed; one broken dataset must not end the run."""
+
+    def attempt(self, dataset: str, models: list[str], make):
+        """The result, or None with the error noted for each model."""
+        try:
+            return make()
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            text = str(error).strip().split("\n")[0][:500]
+            self.extend((dataset, m, text) for m in models)
+            return None
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return inline_rows(spark, {"dataset": "string", "model": "string", "error": "string"}, self)
+
+
 def routed_facts(metadata: Metadata, datasets: dict[str, DataFrame],
-                 models: list[str] | None = None) -> list[Fact]:
-    """Facts with at least one route, profiled, with their date axis and ranked measures."""
+                 models: list[str] | None = None, errors: Errors | None = None) -> list[Fact]:
+    """Facts with a route to one of the chosen models, profiled, with ranked measures.
+
+    Date columns of any kind become dates first. A fact without a usable date column is kept;
+    its ``date`` is None and `undated` says so in the outcomes.
+    """
+    errors = Errors() if errors is None else errors
     specs = metadata.specs.orderBy("dataset", "ordinal").collect()
     routes = metadata.routes.orderBy("dataset", "route_rank").collect()
     facts = []
     for name in dict.fromkeys(r["dataset"] for r in routes):
         chosen = [r["model"] for r in routes
                   if r["dataset"] == name and (not models or r["model"] in models)]
+        if not chosen:
+            continue
         subtypes = {s["name"]: s["subtype"] for s in specs if s["dataset"] == name}
-        profiles = stage(column_profile(datasets[name], subtypes, name))
-        facts.append(Fact(name, datasets[name], subtypes, chosen, profiles))
+        dated = with_dates(datasets[name], [c for c, s in subtypes.items() if s == "date"])
+        profiles = errors.attempt(
+            name, chosen, lambda: stage(column_profile(dated, subtypes, name)))
+        if profiles is not None:
+            facts.append(Fact(name, dated, subtypes, chosen, profiles))
     if not facts:
         return facts
     profiles = union([f.profiles for f in facts])
@@ -98,26 +126,37 @@ def routed_facts(metadata: Metadata, datasets: dict[str, DataFrame],
         f.subtypes = {c: ("unknown" if (f.dataset, c) in dead else s)
                       for c, s in f.subtypes.items()}
         if f.date:
-            f.calendar = stage(calendar_rollup(f.df, f.date, f.measures))
-    return [f for f in facts if f.date]
+            f.calendar = errors.attempt(
+                f.dataset, f.models, lambda: stage(calendar_rollup(f.df, f.date, f.measures)))
+    return [f for f in facts if not f.date or f.calendar is not None]
 
 
-def gate(facts: list[Fact], limits: dict | None = None) -> DataFrame:
-    """Every check of every routed model; one row each."""
-    return union([
+CHECK_SHAPE = {"dataset": "string", "model": "string", "check_name": "string",
+               "status": "string", "metric": "double", "detail": "string"}
+WINDOW_SHAPE = {"dataset": "string", "model": "string", "years": "int", "cutoff_date": "date",
+                "max_date": "date", "n_rows": "bigint"}
+NO_DATE = "no usable date column"
+
+
+def gate(spark: SparkSession, facts: list[Fact], limits: dict | None = None) -> DataFrame:
+    """Every check of every routed model; one row each. A fact without a date fails them all."""
+    rows = [(f.dataset, m, "date_column", "FAIL", None, NO_DATE)
+            for f in facts if not f.date for m in f.models]
+    return union([inline_rows(spark, CHECK_SHAPE, rows)] + [
         G.quality_checks(f.df, f.dataset, f.profiles, f.calendar, f.date, f.subtypes, f.models,
                          limits)
-        for f in facts if f.models
+        for f in facts if f.date
     ])
 
 
-def windows(facts: list[Fact]) -> DataFrame:
-    """Date window per dataset and model."""
-    return union([
-        candidate_windows(f.calendar, {
-            m: G.limits_for(m).get("window_years", 0) for m in f.models
-        }).select(F.lit(f.dataset).alias("dataset"), "*")
-        for f in facts
+def windows(spark: SparkSession, facts: list[Fact]) -> DataFrame:
+    """Date window per dataset and model that has one."""
+    years = {f.dataset: {m: G.limits_for(m).get("window_years", 0) for m in f.models}
+             for f in facts}
+    return union([inline_rows(spark, WINDOW_SHAPE, [])] + [
+        candidate_windows(f.calendar, years[f.dataset])
+        .select(F.lit(f.dataset).alias("dataset"), "*")
+        for f in facts if f.date and any(y > 0 for y in years[f.dataset].values())
     ])
 
 
@@ -252,24 +291,36 @@ class Run:
     windows: DataFrame
     changes: ChangeRun | None
     mixes: list[MixRun]
+    errors: DataFrame
 
 
 def run_insights(spark: SparkSession, datasets: dict[str, DataFrame],
                  datamarts: DataFrame | None = None, models: list[str] | None = None,
                  limits: dict | None = None) -> Run:
-    """Describe, route, gate, then run the models whose gate did not fail."""
+    """Describe, route, gate, then run the models whose gate did not fail.
+
+    With ``models`` only those are gated and run; datasets without one of them have no rows.
+    """
     metadata = describe(spark, datasets, datamarts)
-    facts = routed_facts(metadata, datasets, models)
-    if not facts:
-        raise ValueError("no fact with a route in these datasets")
-    checks = stage(gate(facts, limits))
+    errors = Errors()
+    facts = routed_facts(metadata, datasets, models, errors)
+    gated = {f.dataset: errors.attempt(f.dataset, f.models, lambda: stage(gate(spark, [f], limits)))
+             for f in facts}
+    facts = [f for f in facts if gated[f.dataset] is not None]
+    checks = union([inline_rows(spark, CHECK_SHAPE, [])] + [gated[f.dataset] for f in facts])
     decisions = G.model_decisions(checks)
     passed = {(r["dataset"], r["model"]) for r in decisions.where("decision <> 'FAIL'").collect()}
-    mixes = [run_mix(metadata, f) for f in facts if (f.dataset, "MMM") in passed]
-    return Run(
-        metadata, facts, checks, decisions, windows(facts),
-        run_change_points([f for f in facts if (f.dataset, "BOCPD") in passed]),
-        [m for m in mixes if m is not None])
+    mixes = [errors.attempt(f.dataset, ["MMM"], lambda: run_mix(metadata, f))
+             for f in facts if (f.dataset, "MMM") in passed]
+    watched = [f for f in facts if (f.dataset, "BOCPD") in passed]
+    together = Errors()
+    changes = together.attempt("", [""], lambda: run_change_points(watched))
+    if together:  # find the dataset that breaks the common job and go on without it
+        sound = [f for f in watched if errors.attempt(
+            f.dataset, ["BOCPD"], lambda: [run_change_points([f])]) is not None]
+        changes = run_change_points(sound)
+    return Run(metadata, facts, checks, decisions, windows(spark, facts), changes,
+               [m for m in mixes if m is not None], errors.rows(spark))
 
 
 def measure_rows(run: Run) -> DataFrame:
@@ -301,14 +352,16 @@ def measure_model_map(run: Run) -> DataFrame:
 def model_outcomes(run: Run) -> DataFrame:
     """Per dataset and model: decision, window, and whether and why not it ran."""
     ran = measure_rows(run).select("dataset", "model", F.lit(True).alias("has_rows")).distinct()
+    failed = run.errors.groupBy("dataset", "model").agg(F.min("error").alias("error"))
     joined = run.decisions.join(run.windows, ["dataset", "model"], "left").join(
-        ran, ["dataset", "model"], "left")
+        ran, ["dataset", "model"], "left").join(failed, ["dataset", "model"], "full")
     known = F.col("model").isin(*RUNNERS)
     return joined.withColumn("ran", F.coalesce("has_rows", F.lit(False))).withColumn(
         "reason", F.when(F.col("ran"), None)
+        .when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("decision") == "FAIL", F.coalesce("skip_reason", F.lit("quality gate FAIL")))
         .when(~known, F.concat(F.lit("no runner for model '"), F.col("model"), F.lit("'")))
-        .otherwise("no viable measure or channel columns")).drop("has_rows")
+        .otherwise("no viable measure or channel columns")).drop("has_rows", "error")
 
 
 def candidate_list(run: Run) -> DataFrame:

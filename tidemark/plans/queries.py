@@ -6,6 +6,8 @@ change-points or coefficients are given, so that the check does not hang on an e
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import knowledge as K
@@ -165,6 +167,44 @@ def market_rollup(spark, d):
                    phone_call=2, tv_grps=3, competitor_spend=6)
 
 
+@query
+def product_rollup(spark, d):
+    """Weekly series of one product only."""
+    config = replace(CONFIG, product_value="PROMO")
+    out = R.market_rollup(gold_engagement(spark, d), config, all_products=False)
+    return rounded(out.select("week", "product", "sales", "f2f", "tv_grps"),
+                   sales=2, f2f=2, tv_grps=3)
+
+
+def texted_events(spark, d) -> DataFrame:
+    """The activity fact with its date as a text of one of five kinds, one of them unreadable."""
+    day = F.col("activity_date")
+    quarter = F.concat(F.lit("Q"), F.quarter(day))
+    kind = F.col("user_id") % 5
+    return gold_events(spark, d).withColumn("activity_date", F.when(
+        kind == 0, F.concat_ws(" ", F.year(day), quarter))
+        .when(kind == 1, F.concat_ws("/", quarter, F.year(day)))
+        .when(kind == 2, F.date_format(day, "yyyy-MM-dd"))
+        .when(kind == 3, F.year(day).cast("string")).otherwise("n/a"))
+
+
+@query
+def text_dates_run(spark, d):
+    """Calendar of a fact whose dates are texts, with the rows whose date cannot be read."""
+    raw = texted_events(spark, d)
+    calendar = R.calendar_rollup(D.with_dates(raw, ["activity_date"]), "activity_date", ["amount"])
+    unread = D.unparsed_dates(raw, ["activity_date"]).select("n_unparsed").scalar()
+    return rounded(calendar, amount=2).withColumn("n_unparsed", unread)
+
+
+@query
+def text_dates_outcomes(spark, d):
+    """The whole run on a fact with text dates, for one model: what became of each dataset."""
+    run = insights.run_insights(spark, {"gold_events": texted_events(spark, d),
+                                        "dim_hcp": dim_hcp(spark, d)}, models=["BOCPD"])
+    return insights.model_outcomes(run).select("dataset", "model", "ran")
+
+
 @query
 def clean_row_stats(spark, d):
     return R.clean_row_stats(gold_engagement(spark, d), CONFIG)
@@ -647,6 +687,37 @@ def adstock(spark, d):
                                 ("f2f", "samples", "tv_grps")])
 
 
+@query
+def adstock_decays(spark, d):
+    """Carry-over of weekly visits without decay, nearly whole, and whole."""
+    series = market(spark, d)
+    return series.select("week", *[
+        F.round(A.adstock(F.col("f2f"), decay, decay, [], "week"), 3).alias(name)
+        for name, decay in (("none", 0.0), ("most", 0.99), ("whole", 1.0))])
+
+
+@query
+def mmm_optimum(spark, d):
+    """How far each coefficient is from meeting the condition of an optimum: zero everywhere.
+
+    The slope of the log posterior must vanish; at a bound it may point out of the allowed side.
+    """
+    m = stage(matrix(spark, d))
+    fit = stage(A.map_fit(m, CONFIG, ["series"]))
+    rows = A.long_matrix(m, ["series"]).where("split = 'train' AND y IS NOT NULL")
+    fitted = rows.join(fit, ["series", "feature"]).groupBy("series", "week").agg(
+        F.sum(F.col("beta") * F.col("x")).alias("effect"))
+    slopes = rows.join(fitted, ["series", "week"]).join(fit, ["series", "feature"]).groupBy(
+        "feature", "kind", "beta", "sigma", "converged").agg(F.sum(
+            F.col("x") * (F.col("y") - F.col("intercept") - F.col("effect"))).alias("pull"))
+    prior = F.when(F.col("kind") == "competitor", A.COMPETITOR_SIGMA).otherwise(A.CHANNEL_SIGMA)
+    slope = F.col("pull") / F.pow("sigma", F.lit(2)) - F.col("beta") / F.pow(prior, F.lit(2))
+    off = (F.when((F.col("kind") == "channel") & (F.col("beta") == 0), F.greatest(slope, F.lit(0.0)))
+           .when((F.col("kind") == "competitor") & (F.col("beta") == 0),
+                 F.least(slope, F.lit(0.0))).otherwise(slope))
+    return slopes.select("feature", "converged", (F.round(off, 3) + F.lit(0.0)).alias("off"))
+
+
 @query
 def hill(spark, d):
     featured = market(spark, d).withColumn("series", F.lit("market"))
@@ -827,6 +898,12 @@ def psi_segment(spark, d):
     return rounded(out, psi=5)
 
 
+@query
+def psi_many(spark, d):
+    """Drift over a column with very many values."""
+    return rounded(drift.segment_psi(gold_events(spark, d), "activity_date", ["user_id"]), psi=5)
+
+
 @query
 def psi_numeric(spark, d):
     fact = stored_table(gold_engagement(spark, d))
@@ -872,7 +949,8 @@ def _run(spark, d) -> insights.Run:
 
 @query
 def payload_json(spark, d):
-    return report.payload_json(_run(spark, d), strip_series=True)
+    return report.payload_json(_run(spark, d), strip_series=True,
+                               generated_at="2024-01-01T00:00:00")
 
 
 @query

@@ -57,8 +57,12 @@ def signal_section(run: Run, strip_series: bool) -> DataFrame:
         x["model"], F.parse_json(x["signal"])))).alias("model_signals"))
 
 
-def payloads(run: Run, strip_series: bool = False) -> DataFrame:
-    """One nested row per dataset that was routed."""
+def payloads(run: Run, strip_series: bool = False, generated_at: str | None = None) -> DataFrame:
+    """One nested row per dataset that was routed; ``generated_at`` is now unless given."""
+    if not run.facts:
+        raise ValueError("no dataset has a route to the chosen models")
+    at = (F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss") if generated_at is None
+          else F.lit(generated_at))
     profiles = union([f.profiles for f in run.facts])
     docs = routing_documents(run.metadata)
     best = F.col("model_configs")[0]
@@ -95,15 +99,16 @@ def payloads(run: Run, strip_series: bool = False) -> DataFrame:
         .join(P.transform_section(profiles), "dataset", "left")
         .select(
             F.col("dataset").alias("dataset_name"),
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"),
+            at.alias("generated_at"),
             "metadata", "columns", "quality_gate", "model_signals", "transform_context",
             "warnings",
             F.struct(F.col("catalog_match").alias("matched_datamart"), "category",
                      "description", "use_cases").alias("knowledge_base_context")))
 
 
-def payload_json(run: Run, strip_series: bool = False) -> DataFrame:
-    rows = payloads(run, strip_series)
+def payload_json(run: Run, strip_series: bool = False,
+                 generated_at: str | None = None) -> DataFrame:
+    rows = payloads(run, strip_series, generated_at)
     return rows.select(F.col("dataset_name").alias("dataset"),
                        F.to_json(F.struct(*rows.columns)).alias("payload"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,27 @@ def local_session(cores: str = "*", memory: str = "12g") -> SparkSession:
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Jobs with Python steps then run from any folder and on clusters where it is not installed.
+    The archive lies on the driver; Spark's own file service hands it to the executors.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def _literal(value) -> str:
     if value is None:
         return "NULL"
