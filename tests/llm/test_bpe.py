@@ -76,9 +76,42 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark, monkeypatch):
     assert B.digests(spark.createDataFrame([], schema), PATH).count() == 0
 
 
+def test_one_scan_proposes_the_longest_tokens_of_every_word():
+    draw = random.Random(7)
+    coder = B.loaded(PATH)
+    known = set(coder.bytes)
+    words = ["".join(draw.choices("etaoinshr aélx0 \n", k=draw.randrange(1, 40))).encode()
+             for _ in range(400)]
+    tokens, counts = coder.longest_matches(words)
+    got = iter(tokens.tolist())
+    for word, n in zip(words, counts.tolist()):
+        want, i = [], 0
+        while i < len(word):
+            k = max(k for k in range(1, len(word) - i + 1) if word[i:i + k] in known)
+            want.append(word[i:i + k])
+            i += k
+        assert [coder.bytes[next(got)] for _ in range(n)] == want
+
+
 def test_both_ways_of_merging_agree():
     draw = random.Random(8)
     coder = B.loaded(PATH)
     for _ in range(500):
         word = "".join(draw.choices("etaoinshr aélx", k=draw.randrange(1, 40))).encode()
         assert coder.merge(word) == coder.merge_long(word)
+
+
+def test_pairs_stay_apart_exactly_if_merging_keeps_them():
+    draw = random.Random(9)
+    coder = B.loaded(PATH)
+    kept = 0
+    for _ in range(30_000):
+        left, right = draw.randrange(256 if _ % 3 else 50_256), draw.randrange(50_256)
+        whole = coder.bytes[left] + coder.bytes[right]
+        want = coder.merge_long(whole) == [left, right]
+        assert coder.stay_apart(left, right) == want, (left, right)
+        kept += want
+    assert kept > 1000
+    for token in range(0, 50_256, 7):
+        own = coder.merge_long(coder.bytes[token]) == [token]
+        assert (coder.tree(token) is not None) == own

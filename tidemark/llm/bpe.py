@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -20,10 +22,13 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Fixed value: the published pre-tokenisation pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 200_000  # per Python worker; a bound on memory, not on results
+CACHED_WORDS = 400_000  # per Python worker; a bound on memory, not on results
 CACHED_LENGTH = 64
-TOKENS_PER_BATCH = 1 << 20
-SHORT_WORD = 48  # bytes; longer words are merged by a heap
+RUN_CHARACTERS = 1 << 20  # of the texts that are encoded together
+SHORT_WORD = 256  # bytes; longer words are merged by a heap
+BITS = 20  # of a token's number
+MASK = (1 << BITS) - 1
+BORDER = "\u0100"  # no byte, so in no token
 NEVER = 1 << 60
 
 
@@ -35,159 +40,234 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Bpe:
-    """Encoder and decoder for one byte-level tokenizer file."""
+    """Encoder and decoder for one byte-level tokenizer file.
+
+    Tokens are numbers throughout. `steps` maps a pair of tokens to its merge as one number, the
+    rank above the merged token, so the smallest number is the merge of the lowest rank.
+    """
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec, added, self.bytes = read_vocabulary(path)
+        self.size = len(self.bytes)
+        ids = {t: i for i, t in enumerate(self.bytes) if t and i not in added.values()}
         symbols = byte_symbols()
 
-        def raw(token):
-            return bytes(symbols[c] for c in token)
-
-        self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items()}
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.ranks = {(raw(a), raw(b)): r for r, (a, b) in enumerate(pairs)}
-        self.prefixes = {t[:k] for t in self.ids for k in range(1, len(t) + 1)}
-        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        if any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
-            raise ValueError("added tokens that strip or need word ends are not supported")
-        self.size = max([*self.ids.values(), *added.values()]) + 1
-        self.bytes = [b""] * self.size
-        for token, i in chain(self.ids.items(), ((k.encode(), v) for k, v in added.items())):
-            self.bytes[i] = token
-        longest_first = sorted(added, key=len, reverse=True)
+        def number(token):
+            return ids[bytes(symbols[c] for c in token)]
+
+        self.steps = {}
+        for rank, pair in enumerate(spec["model"]["merges"]):
+            a, b = pair if isinstance(pair, list) else pair.split(" ")
+            self.steps[number(a) << BITS | number(b)] = rank << BITS | number(a + b)
+        self.byte_ids = [ids[bytes([b])] for b in range(256)]
+        self.matcher = ahocorasick.Automaton()
+        for token, i in ids.items():
+            self.matcher.add_word(token.decode("latin-1"), i)
+        self.matcher.make_automaton()
         self.added = added
+        longest_first = sorted(added, key=len, reverse=True)
         self.split_added = regex.compile(
             "(" + "|".join(map(regex.escape, longest_first)) + ")").split if added else None
         self.words = regex.compile(PATTERN).findall
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
         self.verdicts: dict[int, bool] = {}
+        self.trees: dict[int, tuple[int, int, int] | None] = {}
         self.exact_words = 0
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: the lowest rank first, leftmost on ties."""
-        if len(word) > SHORT_WORD:
-            return self.merge_long(word)
-        parts = [word[i:i + 1] for i in range(len(word))]
-        rank = self.ranks.get
-        ranks = [rank(p, NEVER) for p in zip(parts, parts[1:])]
-        while ranks:
-            low = min(ranks)
+        return self.merge_long(word) if len(word) > SHORT_WORD else self.merge_short(word)[0]
+
+    def merge_short(self, word: bytes) -> tuple[list[int], tuple[int, int, int] | None]:
+        """The tokens, and the last merge as (left, right, rank)."""
+        parts = [self.byte_ids[b] for b in word]
+        step = self.steps.get
+        next_steps = [step(a << BITS | b, NEVER) for a, b in zip(parts, parts[1:])]
+        last = None
+        while next_steps:
+            low = min(next_steps)
             if low == NEVER:
                 break
-            i = ranks.index(low)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            i = next_steps.index(low)
+            new = low & MASK
+            last = (parts[i], parts[i + 1], low >> BITS)
+            parts[i] = new
+            del parts[i + 1], next_steps[i]
             if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), NEVER)
-            if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), NEVER)
-        return [self.ids[p] for p in parts]
+                next_steps[i - 1] = step(parts[i - 1] << BITS | new, NEVER)
+            if i < len(next_steps):
+                next_steps[i] = step(new << BITS | parts[i + 1], NEVER)
+        return parts, last
 
     def merge_long(self, word: bytes) -> list[int]:
-        """The same by a heap over linked parts, for words of any length."""
-        parts = [word[i:i + 1] for i in range(len(word))]
-        after = list(range(1, len(parts) + 1))
-        before = list(range(-1, len(parts) - 1))
-        ranks = self.ranks
-        heap = [(ranks[p], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
-        heapq.heapify(heap)
+        """Exact merging by a heap over linked parts, for words of any length."""
+        parts = [self.byte_ids[b] for b in word]
         end = len(parts)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        steps = self.steps
+        keys = (a << BITS | b for a, b in zip(parts, parts[1:]))
+        heap = [(steps[k], i, k) for i, k in enumerate(keys) if k in steps]
+        heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            low, i, key = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != left or j >= end or parts[j] != right:
+            if parts[i] < 0 or j >= end or parts[i] << BITS | parts[j] != key:
                 continue
-            parts[i], parts[j] = left + right, None
+            parts[i], parts[j] = low & MASK, -1
             after[i] = after[j]
             if after[j] < end:
                 before[after[j]] = i
             for a in (before[i], i):
                 if a >= 0 and after[a] < end:
-                    pair = (parts[a], parts[after[a]])
-                    if pair in ranks:
-                        heapq.heappush(heap, (ranks[pair], a, *pair))
-        return [self.ids[p] for p in parts if p is not None]
-
-    def longest_matches(self, word: bytes) -> list[int]:
-        out, i, n = [], 0, len(word)
-        ids, prefixes = self.ids, self.prefixes
-        while i < n:
-            best, j = i + 1, i + 1
-            while j < n and word[i:j + 1] in prefixes:
-                j += 1
-                if word[i:j] in ids:
-                    best = j
-            out.append(ids[word[i:best]])
-            i = best
-        return out
+                    key = parts[a] << BITS | parts[after[a]]
+                    if key in steps:
+                        heapq.heappush(heap, (steps[key], a, key))
+        return [t for t in parts if t >= 0]
+
+    def longest_matches(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest tokens of all words in one scan, and how many each word has.
+
+        Words are joined by a character that is in no token, so no token runs over a word's end.
+        """
+        text = BORDER.join(w.decode("latin-1") for w in words)
+        found = np.fromiter(chain.from_iterable(self.matcher.iter_long(text)), np.int64)
+        ends, tokens = found[::2], found[1::2]
+        borders = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        return tokens, np.diff(np.searchsorted(ends, borders), prepend=0)
+
+    def tree(self, token: int) -> tuple[int, int, int] | None:
+        """The last merge (left, right, rank) of a token's own bytes; rank -1 for a byte. None if
+        merging those bytes gives something else."""
+        if token not in self.trees:
+            raw = self.bytes[token]
+            parts, last = self.merge_short(raw)
+            self.trees[token] = (last or (0, 0, -1)) if parts == [token] else None
+        return self.trees[token]
+
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of two tokens gives just these two tokens.
+
+        Each token grows by its own merges. Going back in time from the finished tokens, the later
+        of the two last merges is undone, so every two parts that ever touch at the border are
+        met. They would merge if their rank comes before the merges that end them; on equal ranks
+        the leftmost pair wins.
+        """
+        a, b = self.tree(left), self.tree(right)
+        if a is None or b is None:
+            return False
+        left_end = right_end = NEVER
+        while True:
+            rank = self.steps.get(left << BITS | right, NEVER)
+            if rank != NEVER and rank >> BITS < left_end and rank >> BITS <= right_end:
+                return False
+            if a[2] < 0 and b[2] < 0:
+                return True
+            if a[2] >= b[2]:
+                left, left_end = a[1], a[2]
+                a = self.tree(left)
+            else:
+                right, right_end = b[0], b[2]
+                b = self.tree(right)
+            if a is None or b is None:
+                return False
 
     def compatible(self, codes: np.ndarray) -> np.ndarray:
-        """Whether merging the two tokens of each code alone gives those two tokens.
+        """The verdict on each code, computed once per distinct one.
 
         A code is left * (size + 1) + right; right = size asks whether the left token is its own
-        encoding. Verdicts are computed once per distinct code.
+        encoding.
         """
         distinct, at = np.unique(codes, return_inverse=True)
         verdicts = self.verdicts
         if len(verdicts) > 4 * CACHED_WORDS:
             verdicts.clear()
-        for code in distinct.tolist():
+        listed = distinct.tolist()
+        for code in listed:
             if code not in verdicts:
                 left, right = divmod(code, self.size + 1)
-                pair = [left] if right == self.size else [left, right]
-                verdicts[code] = self.merge(b"".join(self.bytes[t] for t in pair)) == pair
-        return np.fromiter(map(verdicts.__getitem__, distinct.tolist()), bool, len(distinct))[at]
+                verdicts[code] = (self.tree(left) is not None if right == self.size
+                                  else self.stay_apart(left, right))
+        return np.fromiter(map(verdicts.__getitem__, listed), bool, len(listed))[at]
 
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that are not empty, as packed 32-bit numbers."""
         raw = [w.encode("utf-8", "replace") for w in words]
-        proposed = [self.longest_matches(w) for w in raw]
-        lengths = np.fromiter(map(len, proposed), np.int64, len(proposed))
-        flat = np.fromiter(chain.from_iterable(proposed), np.int64, int(lengths.sum()))
+        flat, lengths = self.longest_matches(raw)
         ends = np.cumsum(lengths)
         right = np.append(flat[1:], self.size)
-        several = lengths > 1
-        last = np.zeros(len(flat), bool)
-        last[ends - 1] = True
-        right[last] = self.size
-        asked = ~last
-        asked[ends[~several] - 1] = True  # a lone token must be its own encoding
+        asked = np.ones(len(flat), bool)
+        asked[ends - 1] = lengths == 1  # a lone token must be its own encoding
+        right[ends - 1] = self.size
         good = np.ones(len(flat), bool)
         good[asked] = self.compatible(flat[asked] * (self.size + 1) + right[asked])
-        right_words = np.logical_and.reduceat(good, ends - lengths) if len(words) else good
-        out = dict(zip(words, proposed))
-        for k in np.flatnonzero(~right_words).tolist():
-            out[words[k]] = self.merge(raw[k])
+        whole = np.logical_and.reduceat(good, ends - lengths)
+        packed = flat.astype(np.int32).tobytes()
+        starts = (4 * (ends - lengths)).tolist()
+        out = {w: packed[a:b] for w, a, b in zip(words, starts, (4 * ends).tolist())}
+        for k in np.flatnonzero(~whole).tolist():
+            out[words[k]] = np.array(self.merge(raw[k]), np.int32).tobytes()
             self.exact_words += 1
         return out
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text; the strings of added tokens in it become those tokens."""
-        pieces = self.split_added(text) if self.split_added else [text]
-        found = [self.encode_plain(p) if k % 2 == 0 else np.array([self.added[p]], np.int32)
-                 for k, p in enumerate(pieces)]
-        return np.concatenate(found) if len(found) > 1 else found[0]
-
-    def encode_plain(self, text: str) -> np.ndarray:
-        words = self.words(text)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts; the strings of added tokens in them become those tokens.
+
+        Words that are new to the cache are proposed, verified and merged together.
+        """
+        split = self.split_added or (lambda text: [text])
+        pieces = [split(t) for t in texts]
+        plain = [[self.words(p) for p in parts[::2]] for parts in pieces]
+        used = set().union(*chain.from_iterable(plain))
         cache = self.cache
-        new = [w for w in set(words) if w not in cache]  # a key view would be walked in full
+        new = [w for w in used if w not in cache]
+        if len(cache) + len(new) > CACHED_WORDS:
+            cache.clear()
+            new = list(used)
         if new:
-            coded = self.encode_words(new)
-            if len(cache) > CACHED_WORDS:
-                cache.clear()
-                coded = {**self.encode_words([w for w in set(words) - coded.keys()]), **coded}
-            long = [w for w in new if len(w) > CACHED_LENGTH]
-            cache.update(coded)
-            ids = np.fromiter(chain.from_iterable(map(cache.__getitem__, words)), np.int32)
-            for w in long:
+            cache.update(self.encode_words(new))
+        get = cache.__getitem__
+        out = []
+        for parts, words in zip(pieces, plain):
+            packed = [b"".join(map(get, words[0]))]
+            for token, more in zip(parts[1::2], words[1:]):
+                packed += [np.int32(self.added[token]).tobytes(), *map(get, more)]
+            out.append(np.frombuffer(b"".join(packed), np.int32))
+        for w in new:
+            if len(w) > CACHED_LENGTH:
                 del cache[w]
-            return ids
-        return np.fromiter(chain.from_iterable(map(cache.__getitem__, words)), np.int32)
+        return out
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+        return joined(self.bytes, ids)
+
+
+def read_vocabulary(path: str) -> tuple[dict, dict[str, int], list[bytes]]:
+    """The file, its added tokens, and the bytes of every id."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    symbols = byte_symbols()
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    if any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that strip or need word ends are not supported")
+    vocabulary = spec["model"]["vocab"]
+    listed = [b""] * (max([*vocabulary.values(), *added.values()]) + 1)
+    for token, i in vocabulary.items():
+        listed[i] = bytes(symbols[c] for c in token)
+    for token, i in added.items():
+        listed[i] = token.encode()
+    return spec, added, listed
+
+
+def joined(vocabulary: list[bytes], ids: list[int]) -> str:
+    return b"".join(map(vocabulary.__getitem__, ids)).decode("utf-8", "replace")
+
+
+@lru_cache(maxsize=2)
+def vocabulary_of(path: str) -> list[bytes]:
+    return read_vocabulary(path)[2]
 
 
 @lru_cache(maxsize=2)
@@ -195,6 +275,17 @@ def loaded(path: str) -> Bpe:
     return Bpe(path)
 
 
+def runs_of(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts (null: empty) in runs that end once they have RUN_CHARACTERS, with where they start."""
+    start, texts, size = 0, [], 0
+    for i, text in enumerate(column):
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= RUN_CHARACTERS or i == len(column) - 1:
+            yield start, texts
+            start, texts, size = i + 1, [], 0
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) for every row: the whole text's tokens, no special tokens added.
@@ -207,16 +298,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
     def run(batches):
         bpe = loaded(path)
         for batch in batches:
-            start, ids, n = 0, [], 0
-            for i, text in enumerate(batch.column(1)):
-                ids.append(bpe.encode(text.as_py() or ""))
-                n += len(ids[-1])
-                if n > TOKENS_PER_BATCH or i == batch.num_rows - 1:
-                    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, len(ids)),
-                         pa.ListArray.from_arrays(ends, np.concatenate(ids))], [id_col, "ids"])
-                    start, ids, n = i + 1, [], 0
+            for start, texts in runs_of(batch.column(1)):
+                ids = bpe.encode_all(texts)
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(ids)),
+                     pa.ListArray.from_arrays(ends, np.concatenate(ids))], [id_col, "ids"])
 
     return docs.select(F.col(id_col), F.col(text_col).alias("__text")).mapInArrow(
         run, f"`{id_col}` {kind}, ids array<int>")
@@ -231,9 +318,9 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id",
     kind = tokens.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        bpe = loaded(path)
+        vocabulary = vocabulary_of(path)
         for batch in batches:
-            texts = [None if ids is None else bpe.decode(ids)
+            texts = [None if ids is None else joined(vocabulary, ids)
                      for ids in (row.as_py() for row in batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [id_col, "ids", "text"])
