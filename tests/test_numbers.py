@@ -27,7 +27,7 @@ def test_quantiles_of_any_list(spark, values):
 
 
 @pytest.mark.parametrize("shape", ["even", "skewed", "mostly_one", "two_values"])
-def test_quantiles_beyond_the_sketch(spark, shape):
+def test_quantiles_of_many_values(spark, shape):
     """More rows than the sketch keeps exactly, so the brackets and bins are used."""
     i = F.col("id").cast("double")
     value = {"even": i, "skewed": F.exp(i / 5000), "mostly_one":

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SKETCH_ACCURACY = 10000
+from tidemark.session import inline_rows
+
 BINS = 4096
 
 
@@ -62,83 +65,63 @@ def column_correlations(df: DataFrame, keys: list[str], columns: list[str],
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
     """Linear-interpolated quantiles, exact, with no task ever holding a whole group.
 
-    ``keys`` must name metadata-sized things (a dataset, a column), because one row per key and
-    probability is broadcast. Returns ``keys, prob, quantile``.
+    ``keys`` must name metadata-sized things (a dataset, a column): one row per key and wanted
+    rank comes to the driver in each pass. Returns ``keys, prob, quantile``.
 
-    1. a mergeable sketch per key gives a bracket that surely holds each wanted rank;
-    2. equal values are merged, so repeated values cost one row;
-    3. rows in the bracket fall into equal-width bins, rows below only add to a count;
-    4. the bin that holds the rank is found on at most ``BINS`` rows per key and probability;
-    5. only that bin's values are put in order.
+    Every wanted rank has a bracket of values, at first its key's smallest and largest. A pass
+    counts the values of all brackets in ``BINS`` equal-width bins, with the smallest and largest
+    value of each, and the bin that holds the rank is the next bracket, until it holds one value.
+    The input is read once for the limits and once per pass; brackets shrink by ``BINS`` each
+    time, so two passes do for a million even values and skewed ones only take more. A task
+    hands on at most ``BINS`` rows per rank.
     """
     base = df.select(*keys, clean_float(F.col(value)).alias("v")).where("v IS NOT NULL")
-    margin = 3.0 / SKETCH_ACCURACY
-    edges = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    sketch = base.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("v_min"),
-        F.max("v").alias("v_max"),
-        F.percentile_approx("v", edges, SKETCH_ACCURACY).alias("edge"),
-    )
-    small = F.col("n") < SKETCH_ACCURACY
-    wanted = F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            F.when(small, F.col("v_min")).otherwise(F.col("edge")[i]).alias("lo"),
-            F.when(small, F.col("v_max")).otherwise(F.col("edge")[len(probs) + i]).alias("hi"),
-        )
-        for i, p in enumerate(probs)
-    ])
-    target = F.col("prob") * (F.col("n") - 1)
-    brackets = (
-        sketch.select(*keys, "n", F.explode(wanted).alias("w"))
-        .select(*keys, "n", "w.prob", "w.lo", "w.hi")
-        .withColumn("r0", F.floor(target))
-        .withColumn("r1", F.ceil(target))
-        .withColumn("part", target - F.floor(target))
-    )
-    merged = base.groupBy(*keys, "v").agg(F.count("*").alias("c"))
-    width = F.col("hi") - F.col("lo")
-    position = F.floor(ratio(F.col("v") - F.col("lo"), width) * BINS)
+    limits = base.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    name_of = lambda row: tuple(row[k] for k in keys)
+    counts = {name_of(r): r["n"] for r in limits}
+    ranks = {p: {k: p * (n - 1) for k, n in counts.items()} for p in probs}
+    brackets = {
+        (name_of(r), rank): (r["lo"], r["hi"], 0)
+        for r in limits for p in probs
+        for rank in {math.floor(ranks[p][name_of(r)]), math.ceil(ranks[p][name_of(r)])}}
+    types = {k: base.schema[k].dataType.simpleString() for k in keys}
+    while True:
+        open_ = [(*key, rank, lo, hi, before)
+                 for (key, rank), (lo, hi, before) in brackets.items() if lo != hi]
+        if not open_:
+            break
+        for r in _narrowed(base, keys, inline_rows(df.sparkSession, types | {
+                "rank": "bigint", "lo": "double", "hi": "double", "before": "bigint"}, open_)):
+            brackets[name_of(r), r["rank"]] = (r["v_lo"], r["v_hi"], r["below"])
+    out = []
+    for p in probs:
+        for key, target in ranks[p].items():
+            q0, q1 = (brackets[key, f(target)][0] for f in (math.floor, math.ceil))
+            # Equal ends need no step: infinities would give inf - inf.
+            step = (q1 - q0) * (target - math.floor(target)) if q0 != q1 else 0.0
+            out.append((*key, float(p), q0 + step))
+    return inline_rows(df.sparkSession, types | {"prob": "double", "quantile": "double"}, out)
+
+
+def _narrowed(base: DataFrame, keys: list[str], brackets: DataFrame) -> list:
+    """For every bracket the bin that holds its rank: ``keys, rank, v_lo, v_hi, below``."""
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    # Halves, so that the width of the widest doubles is finite; an infinite end has no share.
+    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    inner = F.floor(F.nanvl(share, F.lit(0.5)) * BINS).cast("int")
+    bin_ = (F.when(v == lo, F.lit(0)).when(v == hi, F.lit(BINS - 1))
+            .otherwise(F.least(F.lit(BINS - 1), inner)))
+    group = [*keys, "rank"]
     placed = (
-        merged.join(F.broadcast(brackets), keys)
-        .where(F.col("v") <= F.col("hi"))
-        .withColumn(
-            "bin",
-            F.when(F.col("v") < F.col("lo"), F.lit(-1))
-            .when(width <= 0, F.lit(0))
-            .otherwise(F.least(F.lit(BINS - 1), position).cast("int")),
-        )
-    )
-    group = [*keys, "prob"]
-    by_bin = Window.partitionBy(*group).orderBy("bin")
-    hit = (
-        placed.groupBy(*group, "bin").agg(
-            F.sum("c").alias("bin_rows"),
-            F.first("r0").alias("r0"), F.first("r1").alias("r1"),
-        )
-        .withColumn("upto", F.sum("bin_rows").over(by_bin))
-        .withColumn("before", F.col("upto") - F.col("bin_rows"))
-        .where(
-            (F.col("r0").between(F.col("before"), F.col("upto") - 1))
-            | (F.col("r1").between(F.col("before"), F.col("upto") - 1))
-        )
-        .select(*group, "bin", "before")
-    )
-    in_bin = Window.partitionBy(*group, "bin").orderBy("v")
-    ranked = (
-        placed.join(F.broadcast(hit), [*group, "bin"])
-        .withColumn("top", F.col("before") + F.sum("c").over(in_bin))
-        .withColumn("bottom", F.col("top") - F.col("c"))
-    )
-    at = lambda rank: F.max(F.when(
-        (F.col(rank) >= F.col("bottom")) & (F.col(rank) < F.col("top")), F.col("v")))
-    return ranked.groupBy(*group).agg(
-        at("r0").alias("q0"), at("r1").alias("q1"), F.first("part").alias("part")
-    ).select(
-        *group,
-        (F.col("q0") + (F.col("q1") - F.col("q0")) * F.col("part")).alias("quantile"),
-    )
+        base.join(F.broadcast(brackets), keys).where(v.between(lo, hi))  # a row per open rank
+        .groupBy(*group, "before", bin_.alias("bin")).agg(
+            F.count("*").alias("c"), F.min("v").alias("v_lo"), F.max("v").alias("v_hi")))
+    by_bin = Window.partitionBy(*group).orderBy("bin")  # at most BINS rows
+    upto = F.col("before") + F.sum("c").over(by_bin)
+    return (placed.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("c"))
+            .where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("upto")))
+            .select(*group, "v_lo", "v_hi", "below").collect())
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:

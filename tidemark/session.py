@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 import tempfile
 import uuid
 import zipfile
@@ -55,7 +56,7 @@ def _literal(value) -> str:
     if isinstance(value, int):
         return str(value)
     if isinstance(value, float):
-        return f"{value!r}D"
+        return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
     if isinstance(value, datetime.date):
         return f"DATE'{value.isoformat()}'"
     if isinstance(value, (list, tuple)):
