@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import stored_table
 
@@ -13,6 +15,12 @@ def stored(df: DataFrame) -> DataFrame:
     return stored_table(df)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go, which stay until the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored_row(df: DataFrame):
     """The single row of an aggregate."""
     return df.collect()[0]
