@@ -94,13 +94,15 @@ def test_spec_sheet(spark, tmp_path):
     sheet.write_text("\n".join(top + [
         "Datamarts with Granularity Example,,,", "Claims_Fact,Plan_Dim,,",
         "claim_id,plan_id,,", "fill_date,,,", "amount,plan_type,,", ",,,", "stray,,,",
-        "Payer/Access Marts,,,", "Flow_Fact,,,", "period,,,"]) + "\n", encoding="utf-8")
+        "Payer/Access Marts,,,", "Flow_Fact,B,C,D,Fifth_Fact", "period,,,,fifth"]) + "\n",
+        encoding="utf-8")
     found = {r["name"]: r for r in parse_spec(spark, str(sheet)).collect()}
     assert found["Claims_Fact"]["columns"] == ["claim_id", "fill_date", "amount"]
     assert found["Claims_Fact"]["description"] == "Paid, and rejected"
     assert found["Plan_Dim"]["columns"] == ["plan_id", "plan_type"]
     assert found["Flow_Fact"]["columns"] == ["period"]
     assert found["Flow_Fact"]["category"] == ""
+    assert found["Fifth_Fact"]["columns"] == ["fifth"]
 
 
 def test_settings_round_trip(spark, tmp_path):

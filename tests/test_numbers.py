@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import curves, dates
+from tidemark.functions.dates import unparsed_dates, with_dates
 from tidemark.functions.numbers import exact_quantiles, number_of, safe_corr
 from tidemark.session import inline_rows
 
@@ -114,3 +115,32 @@ def test_hill_and_logs(spark):
 def test_safe_corr_on_constants(spark):
     df = spark.sql("SELECT 1D a, x b FROM VALUES (1D), (2D), (3D) t(x)")
     assert df.agg(safe_corr(F.col("a"), F.col("b"))).head()[0] is None
+
+
+def test_adstock_of_any_decay(spark):
+    df = spark.createDataFrame([("a", t, float(t % 3)) for t in range(50)], "s string, t int, x double")
+    for decay in (0.0, 0.5, 0.99, 1.0, 1.1):
+        rows = df.withColumn("y", curves.adstock(F.col("x"), decay, decay, ["s"], "t")).orderBy("t")
+        carried = 0.0
+        for r in rows.collect():
+            carried = carried * decay + r["x"]
+            assert r["y"] == pytest.approx(carried)
+
+
+def test_dates_of_any_kind(spark):
+    df = spark.createDataFrame(
+        [("1997 Q2", 1997, "x"), ("Q4/1998", 1998, "x"), ("1999-05-06", None, "x"),
+         ("n/a", 12, "x"), (None, 2001, "x")], "d string, y long, z string")
+    out = with_dates(df, ["d", "y"]).collect()
+    assert [str(r["d"]) for r in out] == ["1997-04-01", "1998-10-01", "1999-05-06", "None", "None"]
+    assert [str(r["y"]) for r in out] == ["1997-01-01", "1998-01-01", "None", "None", "2001-01-01"]
+    found = {r["name"]: (r["n_values"], r["n_unparsed"])
+             for r in unparsed_dates(df, ["d", "y"]).collect()}
+    assert found == {"d": (4, 1), "y": (4, 1)}
+
+
+def test_drift_totals_and_infinite_quantiles(spark):
+    rows = [("k", v) for v in [float("-inf"), 1.0, 2.0, 3.0, float("inf")]]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r["prob"]: r["quantile"] for r in exact_quantiles(df, ["k"], "x", [0.0, 0.5, 1.0]).collect()}
+    assert got == {0.0: float("-inf"), 0.5: 2.0, 1.0: float("inf")}
