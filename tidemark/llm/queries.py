@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import (
     bpe, chat, forest, graph, language, lines, mixing, pages, simhash, url_lists)
 from tidemark.llm.common import fraction
+from tidemark.session import inline_rows, ship_package
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -18,6 +19,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -34,7 +36,25 @@ def op1_mix(spark, d):
 
 @query
 def op2_graph_dedup(spark, d):
-    return graph.near_duplicates(table(spark, d, "embeddings"), 0.9)
+    found = graph.near_duplicates(table(spark, d, "embeddings"), 0.9)
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+ORACLES["op2_graph_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS l FROM v),
+k AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id
+  AND list_dot_product(a.e, b.e) / (a.l * b.l) >= 0.9),
+r AS (SELECT vec_id AS node, vec_id AS root FROM n
+  UNION SELECT k.b, r.root FROM r JOIN k ON k.a = r.node),
+c AS (SELECT node, min(root) AS root FROM r GROUP BY node),
+d AS (SELECT a, count(*) AS links FROM k GROUP BY a)
+SELECT vec_id, coalesce(links, 0) AS n_links, coalesce(root, vec_id) AS component_id,
+  vec_id = coalesce(root, vec_id) AS kept
+FROM embeddings LEFT JOIN c ON node = vec_id LEFT JOIN d ON a = vec_id"""
 
 
 @query
@@ -73,8 +93,8 @@ PROBE = "</s>[INST] ok [/INST]"
 @query
 def op7_chat(spark, d):
     rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.sql("SELECT -7L AS conv_id, turn, role, '" + PROBE + "' AS text FROM VALUES "
-                      "(0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    probe = inline_rows(spark, dict(rows.dtypes), [(-7, 0, "user", PROBE),
+                                                   (-7, 1, "assistant", PROBE)])
     return chat.digests(rows.union(probe))
 
 
