@@ -34,6 +34,22 @@ def test_marked_articles(html, want):
     assert text(html) == want
 
 
+LONG = " ".join(f"w{k}" for k in range(40))
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<main><p>{LONG}</p><article class='card'>a teaser</article></main>", f"{LONG} a teaser"),
+    (f"<main><p>{LONG}</p></main><article class='card'>a teaser</article>", LONG),
+    (f"<article>a teaser</article><div class='content'><p>{LONG}</div>", LONG),
+    (f"<main>{LONG}" + "<div class='story'>one two three four</div>" * 30 + "</main>",
+     " ".join([LONG] + ["one two three four"] * 30)),
+    (f"<main><h1>Blog</h1><article>{LONG}</article><article>{LONG}</article></main>", f"{LONG} {LONG}"),
+    (f"<main>by us<article><p>{LONG}</article></main>", LONG),
+    (f"<article><main>{LONG}</main><p>end</article>", f"{LONG} end")])
+def test_main_text_beside_article_cards(html, want):
+    assert text(html) == want
+
+
 def test_unclosed_and_long_markup():
     assert text("<article>" + "<div>" * 3000 + "deep" + "<b" * 50_000) is not None
     assert text("<article>a<script>never closed <p>b") == "a"

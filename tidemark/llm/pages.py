@@ -49,15 +49,15 @@ BODY = set("article content entry post story main body text".split())
 WRAPPERS = {"has", "with", "no", "is"}
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu "
             "menubar note status form".split())
-NEUTRAL, MAIN, ARTICLE, OUT = 0, 1, 2, -1
+NEUTRAL, MAIN, ARTICLE, OUT = 0, 1, 2, -1  # MAIN | ARTICLE: an article in the main part
 
 
 def zone_of(tag: str, attributes: str, outer: int) -> int:
     """What an element's text is: OUT, in the article, in the main part, or not yet known."""
     if outer == OUT or tag in CHROME:
         return OUT
-    zone = {"article": ARTICLE, "main": max(outer, MAIN)}.get(tag, outer)
-    if tag == "header" and outer != ARTICLE:
+    zone = {"article": outer | ARTICLE, "main": max(outer, MAIN)}.get(tag, outer)
+    if tag == "header" and outer < ARTICLE:
         return OUT
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return zone
@@ -68,7 +68,7 @@ def zone_of(tag: str, attributes: str, outer: int) -> int:
             or re.search(r"(?:^|\s)hidden(?:\s|=|$|/)", attributes):
         return OUT
     if role in ("main", "article"):
-        zone = max(zone, MAIN if role == "main" else ARTICLE)
+        zone = max(zone, MAIN) if role == "main" else zone | ARTICLE
     for name in f"{given.get('class', '')} {given.get('id', '')}".split():
         words = [w.lower() for w in WORDS.findall(name)]
         if not words or words[0] in WRAPPERS or tag in ("html", "body"):
@@ -76,23 +76,34 @@ def zone_of(tag: str, attributes: str, outer: int) -> int:
         if STRONG.intersection(words) or WEAK.intersection(words) and not BODY.intersection(words):
             return OUT
         if words[-1] in BODY and len(words) <= 2 and set(words) <= BODY:
-            zone = max(zone, ARTICLE if words[0] in ("article", "entry", "post", "story") else MAIN)
+            zone = zone | ARTICLE if words[0] in ("article", "entry", "post", "story") else max(zone, MAIN)
     if given.get("itemprop", "").lower() == "articlebody":
-        zone = ARTICLE
+        zone |= ARTICLE
     return zone
 
 
-def blocks_of(html: str | None) -> list[tuple[int, str]]:
-    """(zone, text) of every block with text, in page order, character references decoded."""
-    out: list[tuple[int, str]] = []
+def blocks_of(html: str | None) -> list[tuple[int, str, int]]:
+    """(zone, text, article) of every block with text, in page order, character references decoded.
+
+    `article` numbers the outermost article that the block stands in, 0 if it stands in none.
+    """
+    out: list[tuple[int, str, int]] = []
     pieces: list[str] = []
-    stack: list[tuple[str, int]] = [("", NEUTRAL)]
+    stack: list[tuple[str, int, int]] = [("", NEUTRAL, 0)]
+    articles = 0
+
+    def push(tag: str, zone: int):
+        nonlocal articles
+        number = stack[-1][2]
+        if zone >= ARTICLE and not number:
+            number = articles = articles + 1
+        stack.append((tag, zone, number))
 
     def flush():
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                out.append((stack[-1][1], text))
+                out.append((stack[-1][1], text, stack[-1][2]))
             pieces.clear()
 
     for m in TOKEN.finditer(html or ""):
@@ -104,10 +115,10 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
             continue
         tag = tag.lower()
         if m[2]:
-            if tag in ("br", "p") and not any(t == tag for t, _ in stack):
+            if tag in ("br", "p") and not any(t == tag for t, *_ in stack):
                 pieces.append(" ")
                 continue
-            places = [k for k, (t, _) in enumerate(stack) if t == tag]
+            places = [k for k, (t, *_) in enumerate(stack) if t == tag]
             if tag not in INLINE:
                 flush()
             elif places and stack[places[-1]][1] != stack[places[-1] - 1][1]:
@@ -125,7 +136,7 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
             zone = zone_of(tag, m[4], stack[-1][1])
             if zone != stack[-1][1]:
                 flush()
-                stack.append((tag, zone))
+                push(tag, zone)
             continue
         flush()
         if tag == "body":  # also where the head was never closed
@@ -138,21 +149,37 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
             if stack[k][0] in CLOSED_BY_LISTS:
                 break
         if not m[4].endswith("/"):
-            stack.append((tag, zone_of(tag, m[4], stack[-1][1])))
+            push(tag, zone_of(tag, m[4], stack[-1][1]))
     flush()
     return out
 
 
-def article_of(blocks: list[tuple[int, str]]) -> str | None:
+def chosen(blocks: list[tuple[int, str, int]]) -> list[bool]:
+    """Which blocks are the marked article; none if the page marks none.
+
+    The main part goes before its articles if more words of it stand outside them than in the
+    longest one: then they are cards, teasers or quotes. Otherwise the articles are the text.
+    """
+    words = [len(t.split()) for _, t, _ in blocks]
+    longest: dict[int, int] = {}
+    for (z, _, article), n in zip(blocks, words):
+        if z >= ARTICLE:
+            longest[article] = longest.get(article, 0) + n
+    outside = sum(n for (z, _, _), n in zip(blocks, words) if z == MAIN)
+    if outside > max(longest.values(), default=0):
+        return [z > NEUTRAL and bool(z & MAIN) for z, _, _ in blocks]
+    return [z >= ARTICLE for z, _, _ in blocks]
+
+
+def article_of(blocks: list[tuple[int, str, int]]) -> str | None:
     """The marked article's text; None if the page marks none."""
-    best = max((z for z, _ in blocks), default=NEUTRAL)
-    return " ".join(t for z, t in blocks if z == best) if best > NEUTRAL else None
+    kept = [t for (_, t, _), own in zip(blocks, chosen(blocks)) if own]
+    return " ".join(kept) if kept else None
 
 
-def stream_of(blocks: list[tuple[int, str]]) -> list[tuple[int, str]]:
+def stream_of(blocks: list[tuple[int, str, int]]) -> list[tuple[int, str]]:
     """(zone, word) of everything outside a marked article."""
-    best = max((z for z, _ in blocks), default=NEUTRAL)
-    return [(z, w) for z, t in blocks if z <= NEUTRAL or z < best for w in t.split()]
+    return [(z, w) for (z, t, _), own in zip(blocks, chosen(blocks)) if not own for w in t.split()]
 
 
 def hashed(words: list[str]) -> np.ndarray:
