@@ -89,6 +89,15 @@ def test_blocks_of_a_host_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, P.main_text(df).collect())) == one
 
 
+def test_copies_of_a_page_fill_no_block(spark, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_TOKENS", 200)
+    rows = [(i, f"http://a.org/{i}", page(max(i - 300, 0), "")) for i in range(310)]
+    df = spark.createDataFrame([(*r, "h", "t", 1) for r in rows], SCHEMA)
+    placed = P.placed_streams(P.token_streams(df)).collect()
+    assert len(placed) == len({r.page for r in placed}) == 10
+    assert {r.blocks for r in placed} == {-(-sum(len(r.tokens) for r in placed) // 200)}
+
+
 def test_suffix_array_finds_every_repeated_window():
     draw = np.random.default_rng(4)
     words = [[f"w{k}" for k in draw.integers(0, 3, 60)] for _ in range(6)]

@@ -243,16 +243,26 @@ def suffix_array(pages: np.ndarray, streams: list[np.ndarray]) -> pd.DataFrame:
                          "last": owner[last]})
 
 
+def placed_streams(streams: DataFrame) -> DataFrame:
+    """(host, block, blocks, page, tokens): every distinct stream of a host once, with its block.
+
+    Copies of a page share its key and would all meet in one block, whatever its size.
+    """
+    streams = stored(streams.dropDuplicates(["host", "page"]))
+    sizes = streams.groupBy("host").agg(F.sum(F.size("tokens")).alias("n"))
+    blocks = stored(sizes.select("host", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("blocks")))
+    return streams.join(blocks, "host").select(
+        "host", F.pmod(F.col("page"), F.col("blocks")).cast("int").alias("block"), "blocks", "page",
+        "tokens")
+
+
 def repeated_windows(streams: DataFrame) -> DataFrame:
     """(host, window): substrings of DEPTH tokens that stand in distinct pages of a host.
 
     Hosts are split into blocks of bounded size, each with a suffix array of its own. Blocks hand
     on every distinct substring with its first and last page, so merging them misses nothing.
     """
-    sizes = streams.groupBy("host").agg(F.sum(F.size("tokens")).alias("n"))
-    blocks = stored(sizes.select("host", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("blocks")))
-    placed = streams.join(blocks, "host").withColumn(
-        "block", F.pmod(F.col("page"), F.col("blocks")).cast("int"))
+    placed = placed_streams(streams)
 
     def sort(key, data):
         arrays = [np.asarray(t, np.int64).view(np.uint64) for t in data["tokens"]]
@@ -313,7 +323,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     wide = shape.replace("text string", "host string, page long, words array<string>, "
                                         "open array<boolean>, windows array<long>")
     rest = stored(rows.mapInPandas(unmarked, wide))
-    repeated = repeated_windows(stored(token_streams(pages)))
+    repeated = repeated_windows(token_streams(pages))
     at = (rest.select("host", "page", "windows").dropDuplicates(["host", "page"])
           .select("host", "page", F.posexplode("windows").alias("start", "window"))
           .join(repeated, ["host", "window"])
