@@ -89,6 +89,33 @@ def test_blocks_of_a_host_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, P.main_text(df).collect())) == one
 
 
+NOTICE = "<div class='xq7'><p>Read our best stories of the week every Sunday in your mail</p></div>"
+
+
+@pytest.mark.parametrize("tokens", [P.BLOCK_TOKENS, 60])
+def test_notices_of_no_known_class_leave_the_article(spark, monkeypatch, tokens):
+    monkeypatch.setattr(P, "BLOCK_TOKENS", tokens)
+
+    def own(i):
+        return " ".join(f"own{i}x{k}" for k in range(30))
+
+    quote = "<p>a passage that four of the articles quote word for word in a block</p>"
+    rows = [(i, f"http://a.org/{i}", f"<article><p>{own(i)}</p>{NOTICE}{quote if i < 4 else ''}"
+             f"<p>end of {i} and goodbye</p></article>") for i in range(8)]
+    rows += [(20 + i, f"http://b.org/{i}", f"<article><p>{own(0)}</p>{NOTICE}<p>no {i}</p></article>")
+             for i in range(8)]  # near copies
+    rows += [(40 + i, f"http://c.org/{i}", f"<article><p>{own(i)}</p>{NOTICE}</article>")
+             for i in (0, 0, 0, 0, 0, 0, 1)]  # two articles, however many copies
+    df = spark.createDataFrame([(*r, "h", "t", 1) for r in rows], SCHEMA)
+    got = {r.page_id: r.text for r in P.main_text(df).collect()}
+    said = unescape(re.sub("<[^>]*>", "", NOTICE))
+    for i in range(8):
+        cited = " " + re.sub("<[^>]*>", "", quote) if i < 4 else ""
+        assert got[i] == f"{own(i)}{cited} end of {i} and goodbye"
+        assert got[20 + i] == f"{own(0)} {said} no {i}"
+    assert got[40] == f"{own(0)} {said}" and got[41] == f"{own(1)} {said}"
+
+
 def test_copies_of_a_page_fill_no_block(spark, monkeypatch):
     monkeypatch.setattr(P, "BLOCK_TOKENS", 200)
     rows = [(i, f"http://a.org/{i}", page(max(i - 300, 0), "")) for i in range(310)]

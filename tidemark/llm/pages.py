@@ -4,7 +4,8 @@ Pages are cut into blocks. Blocks in menus, footers, adverts and the like never
 marks its article keeps the blocks in it. In every other page it shows by repetition what is not
 the article: the token streams of a host's pages are concatenated and sorted as a suffix array to
 a fixed depth, neighbours that agree to that depth and stem from distinct pages are repeated, and
-only the runs of tokens that no repeated substring covers are kept.
+only the runs of tokens that no repeated substring covers are kept. Marked articles go through
+suffix arrays of their own: whole blocks that substrings of many distinct articles cover go too.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import objects, stored
+from tidemark.llm.common import objects, release, stored
 from tidemark.llm.url_lists import host_of
 
 DEPTH = 8  # tokens of the shortest repeated substring; a power of two
+MANY = 5  # distinct articles of a host that share a notice
 BLOCK_TOKENS = 2_000_000  # tokens in one suffix array; larger hosts get several, then merged
 
 TOKEN = re.compile(
@@ -171,12 +173,33 @@ def chosen(blocks: list[tuple[int, str, int]]) -> list[bool]:
     return [z >= ARTICLE for z, _, _ in blocks]
 
 
+def article_blocks(blocks: list[tuple[int, str, int]]) -> list[str]:
+    return [t for (_, t, _), own in zip(blocks, chosen(blocks)) if own]
+
+
 def article_of(blocks: list[tuple[int, str, int]]) -> str | None:
     """The marked article's text; None if the page marks none."""
-    kept = [t for (_, t, _), own in zip(blocks, chosen(blocks)) if own]
+    kept = article_blocks(blocks)
     return " ".join(kept) if kept else None
 
 
+def without_notices(texts: list[str], starts: np.ndarray) -> list[str]:
+    """An article's blocks without those that repeated substrings cover whole.
+
+    Where such blocks hold more than half of its words, the article is a near copy of others, and
+    all of it is kept.
+    """
+    sizes = np.array([len(t.split()) for t in texts], np.int64)
+    covered = np.zeros(sizes.sum() + DEPTH, np.int64)
+    np.add.at(covered, starts, 1)
+    np.add.at(covered, starts + DEPTH, -1)
+    covered = np.cumsum(covered)[:sizes.sum()] > 0
+    before = np.concatenate([[0], np.cumsum(covered)])
+    ends = np.cumsum(sizes)
+    keep = before[ends] - before[ends - sizes] < sizes
+    return [t for t, k in zip(texts, keep) if k] if sizes[keep].sum() * 2 >= sizes.sum() else texts
+
+
 def stream_of(blocks: list[tuple[int, str, int]]) -> list[tuple[int, str]]:
     """(zone, word) of everything outside a marked article."""
     return [(z, w) for (z, t, _), own in zip(blocks, chosen(blocks)) if not own for w in t.split()]
@@ -208,26 +231,35 @@ def parsed(pages: DataFrame) -> DataFrame:
                         F.col("html"), F.col("page_id"), F.col("url"))
 
 
-def token_streams(pages: DataFrame) -> DataFrame:
-    """(host, page, tokens): each page's stream outside its article, pages named by content."""
+def token_streams(pages: DataFrame, inside: bool = False) -> DataFrame:
+    """(host, page, tokens): each page's stream outside or inside its article, pages named by
+    content.
+
+    Tokens inside are 32 bits wide, half the files: a window still differs in eight of them, and
+    several articles must agree by chance, not two.
+    """
+    width = np.int32 if inside else np.int64
     def run(batches):
         for batch in batches:
             hosts, keys, tokens = [], [], []
             for host, text in zip(batch["host"], batch["html"]):
-                words = [w for _, w in stream_of(blocks_of(text))]
+                blocks = blocks_of(text)
+                words = " ".join(article_blocks(blocks)).split() if inside \
+                    else [w for _, w in stream_of(blocks)]
                 if len(words) >= DEPTH:
                     hosts.append(host)
                     keys.append(page_key(words))
-                    tokens.append(hashed(words).view(np.int64))
+                    tokens.append(hashed(words).view(np.int64).astype(width))
             yield pd.DataFrame({"host": objects(hosts), "page": np.array(keys, np.int64),
                                 "tokens": objects(tokens)})
 
     return parsed(pages).select("host", "html").mapInPandas(
-        run, "host string, page long, tokens array<long>")
+        run, f"host string, page long, tokens array<{'int' if inside else 'long'}>")
 
 
 def suffix_array(pages: np.ndarray, streams: list[np.ndarray]) -> pd.DataFrame:
-    """Distinct substrings of DEPTH tokens in sorted order, with the first and last page of each.
+    """Distinct substrings of DEPTH tokens in sorted order, with the first and last page of each and
+    the number of its distinct pages.
 
     Streams are concatenated without letting a substring run over a page's end. Sorting suffixes
     by the key of their DEPTH-prefix puts equal substrings side by side.
@@ -239,8 +271,10 @@ def suffix_array(pages: np.ndarray, streams: list[np.ndarray]) -> pd.DataFrame:
     key, owner = key[order], owner[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
     last = np.append(first[1:], len(key)) - 1 if len(key) else first
+    new = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])) if len(key) else key
+    held = np.add.reduceat(new.astype(np.int64), first) if len(key) else first
     return pd.DataFrame({"window": key[first].view(np.int64), "first": owner[first],
-                         "last": owner[last]})
+                         "last": owner[last], "pages": held})
 
 
 def placed_streams(streams: DataFrame) -> DataFrame:
@@ -249,6 +283,7 @@ def placed_streams(streams: DataFrame) -> DataFrame:
     Copies of a page share its key and would all meet in one block, whatever its size.
     """
     streams = stored(streams.dropDuplicates(["host", "page"]))
+    release(streams.sparkSession)
     sizes = streams.groupBy("host").agg(F.sum(F.size("tokens")).alias("n"))
     blocks = stored(sizes.select("host", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("blocks")))
     return streams.join(blocks, "host").select(
@@ -256,25 +291,53 @@ def placed_streams(streams: DataFrame) -> DataFrame:
         "tokens")
 
 
-def repeated_windows(streams: DataFrame) -> DataFrame:
-    """(host, window): substrings of DEPTH tokens that stand in distinct pages of a host.
+def repeated_windows(placed: DataFrame, least: int = 2) -> DataFrame:
+    """(host, window): substrings of DEPTH tokens that stand in `least` distinct pages of a host.
 
     Hosts are split into blocks of bounded size, each with a suffix array of its own. Blocks hand
-    on every distinct substring with its first and last page, so merging them misses nothing.
+    on every distinct substring with its number of pages, so merging them misses nothing. The only
+    block of a host hands on what is repeated.
     """
-    placed = placed_streams(streams)
-
     def sort(key, data):
         arrays = [np.asarray(t, np.int64).view(np.uint64) for t in data["tokens"]]
         found = suffix_array(data["page"].to_numpy(), arrays)
+        if key[2] == 1:
+            found = found[found["pages"] >= least]
         found.insert(0, "host", key[0])
-        return found
+        return found[["host", "window", "pages"]]
 
-    local = placed.select("host", "block", "page", "tokens").groupBy("host", "block").applyInPandas(
-        sort, "host string, window long, first long, last long")
-    return (local.groupBy("host", "window").agg(F.min("first").alias("first"),
-                                                F.max("last").alias("last"))
-            .where("first <> last").select("host", "window"))
+    local = placed.groupBy("host", "block", "blocks").applyInPandas(
+        sort, "host string, window long, pages long")
+    return (local.groupBy("host", "window").agg(F.sum("pages").alias("pages"))
+            .where(F.col("pages") >= least).select("host", "window"))
+
+
+def repeated_places(placed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(host, page, starts): where the repeated substrings stand, for pages that have some.
+
+    A host's substrings meet each of its blocks in one task, so pages are never laid out by token.
+    """
+    blocks = placed.select(F.col("host").alias("h"), "block").distinct()
+    dealt = repeated.join(blocks, F.col("host") == F.col("h")).select(
+        F.col("host").alias("host"), F.col("block").alias("block"), "window")
+
+    def find(data, held):
+        known = np.sort(held["window"].to_numpy(np.int64))
+        pages, starts = [], []
+        if len(known):
+            for page, tokens in zip(data["page"], data["tokens"]):
+                at = windows(np.asarray(tokens, np.int64).view(np.uint64)).view(np.int64)
+                near = np.minimum(np.searchsorted(known, at), len(known) - 1)
+                hit = np.flatnonzero(known[near] == at).astype(np.int32)
+                if len(hit):
+                    pages.append(page)
+                    starts.append(hit)
+        host = data["host"].iloc[0] if len(data) else ""
+        return pd.DataFrame({"host": objects([host] * len(pages)), "page": np.array(pages, np.int64),
+                             "starts": objects(starts)})
+
+    return placed.select("host", "block", "page", "tokens").groupBy("host", "block").cogroup(
+        dealt.groupBy("host", "block")).applyInPandas(find, "host string, page long, starts array<int>")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -287,10 +350,19 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     def marked(batches):
         for batch in batches:
-            texts = [article_of(blocks_of(h)) for h in batch["html"]]
-            keep = [i for i, t in enumerate(texts) if t is not None]
-            yield pd.DataFrame({"page_id": batch["page_id"].iloc[keep], "url": batch["url"].iloc[keep],
-                                "text": objects(texts[i] for i in keep).set_axis(batch.index[keep])})
+            rows = []
+            for host, text, page_id, url in zip(batch["host"], batch["html"], batch["page_id"],
+                                                batch["url"]):
+                texts = article_blocks(blocks_of(text))
+                if texts:
+                    rows.append((page_id, url, host, page_key(" ".join(texts).split()), texts))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "texts"])
+
+    def cleared(batches):
+        for batch in batches:
+            texts = [" ".join(t if s is None else without_notices(list(t), np.asarray(s, np.int64)))
+                     for t, s in zip(batch["texts"], batch["starts"])]
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": objects(texts)})
 
     def unmarked(batches):
         for batch in batches:
@@ -323,11 +395,19 @@ def main_text(pages: DataFrame) -> DataFrame:
     wide = shape.replace("text string", "host string, page long, words array<string>, "
                                         "open array<boolean>, windows array<long>")
     rest = stored(rows.mapInPandas(unmarked, wide))
-    repeated = repeated_windows(token_streams(pages))
+    repeated = repeated_windows(placed_streams(token_streams(pages)))
     at = (rest.select("host", "page", "windows").dropDuplicates(["host", "page"])
           .select("host", "page", F.posexplode("windows").alias("start", "window"))
           .join(repeated, ["host", "window"])
           .groupBy("host", "page").agg(F.collect_list("start").alias("starts")))
     cleaned = rest.drop("windows").join(at, ["host", "page"], "left").mapInPandas(uncovered, shape)
-    return (rows.mapInPandas(marked, shape).union(cleaned)
+    held = rows.mapInPandas(marked, shape.replace(
+        "text string", "host string, page long, texts array<string>"))
+    inside = placed_streams(token_streams(pages, inside=True))
+    shared = stored(repeated_windows(inside, MANY))
+    release(pages.sparkSession)
+    notices = stored(repeated_places(inside, shared))
+    release(pages.sparkSession)
+    articles = held.join(notices, ["host", "page"], "left").mapInPandas(cleared, shape)
+    return (articles.union(cleaned)
             .withColumn("n_chars", F.char_length("text").cast("long")))
