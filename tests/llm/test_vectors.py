@@ -68,6 +68,28 @@ def test_small_shards_blocks_and_turns_give_the_same(vectors, monkeypatch):
     assert all(got[i].n_links <= links[i] for i in range(len(x)))
 
 
+def test_rare_links_are_audited_and_found(spark, monkeypatch):
+    draw = np.random.default_rng(14)
+    x = draw.standard_normal((1500, 32))
+    x[:12] = x[100:112] + draw.normal(0, 0.42, (12, 32))
+    x = x.astype(np.float32)
+    monkeypatch.setattr(graph, "SHARD_ROWS", 30)
+    monkeypatch.setattr(graph, "PROBES", 1)
+    links, root = plain_links(x, 0.9)
+    assert links.sum() >= 10
+    df = spark.createDataFrame([(i, v.tolist(), "", 0, "") for i, v in enumerate(x)], SCHEMA)
+    got = {r.vec_id: r for r in graph.near_duplicates(df).collect()}
+    assert [got[i].n_links for i in range(len(x))] == links.tolist()
+    assert [got[i].component_id for i in range(len(x))] == root.tolist()
+    assert got[0].audited_recall >= 0.999
+
+
+def test_nothing_audited_shows_no_recall(spark):
+    rows = [(i, np.eye(8)[i].tolist(), "", 0, "") for i in range(8)]
+    got = graph.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(r.n_links == 0 and r.audited_recall is None for r in got)
+
+
 def test_repeated_rows_and_empty_table_of_links(spark):
     rows = [(1, [1.0, 0.0], "", 0, ""), (1, [1.0, 0.0], "", 0, ""), (2, [0.0, 1.0], "", 0, "")]
     got = graph.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()

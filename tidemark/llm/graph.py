@@ -4,7 +4,8 @@ Vectors are dealt to overlapping shards around cluster centres. Each shard build
 neighbour graph; the adjacency lists of a vector's copies are united. Every vector then searches
 the shards around it: greedily from the shard's medoid, and once within range on through all
 neighbours within range. Found links are verified in double precision, and recall is audited by
-brute force on a bounded number of vectors; if it is too low the search widens and runs again.
+brute force on vectors drawn until enough true links are met; if it is too low the search widens and
+runs again.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ BEAM = 32
 MEDOIDS = 32  # where searches of a shard begin
 CHUNK = 1_024
 STEP_EDGES = 1 << 19  # edges that one step of a search looks at
-AUDIT_ROWS = 64
+AUDIT_ROWS = 64  # vectors of the first block that the audit draws; each further one is twice as large
+AUDIT_LINKS = 2_000  # links between classes that show a recall of AUDIT_RECALL
+AUDIT_BLOCK, AUDIT_MOST = 1_024, 16_384  # vectors of one pass and of all passes of the audit
 AUDIT_RECALL = 0.999
 
 
@@ -238,6 +241,9 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
                     vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept, audited_recall for every row.
 
+    audited_recall is the share of audited links between classes that were found; it is null where
+    none of the AUDIT_MOST audited vectors has a link, so that nothing is shown.
+
     A link is a cosine of at least `cosine` between two rows' vectors, in double precision.
     Vectors that `valid_vectors` leaves out link with nothing and stand for themselves; so does a
     row with a null id. Rows with equal vectors are one class: they link with each other and
@@ -250,23 +256,23 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     vectors = stored(valid_vectors(rows, id_col, vector_col))
     classes = stored(classes_of(vectors))
     total = classes.count()
-    found, recall = None, 1.0
+    found, recall = None, None
     if total:
         sample = bounded_sample(classes, total, SAMPLE_ROWS, "graph")
         if not len(sample):
             sample = matrix(classes.select("v").orderBy("rep").limit(100).toPandas()["v"])
         k = int(min(max(total // SHARD_ROWS, 1), MOST_CENTRES, len(sample)))
         middle = centres(sample, k)
-        audit = classes.orderBy(fraction(F.col("rep"), F.lit("audit"))).limit(AUDIT_ROWS)
-        truth = true_links(classes, audit.toPandas(), cosine)
+        truth = audited(classes, cosine)
+        wanted = sum(truth.values())
+        linked = inline_rows(rows.sparkSession, {"rep": "long"}, [(int(r),) for r in truth])
         probes, beam = min(PROBES, k), BEAM
         while True:
             found = stored(searched(classes, middle, cosine, probes, beam))
-            got = links_per_class(found).where(F.col("rep").isin([int(r) for r in truth]))
-            got = {r.rep: r.links for r in got.collect()}  # AUDIT_ROWS rows at most
-            wanted = sum(truth.values())
-            recall = sum(min(got.get(r, 0), n) for r, n in truth.items()) / wanted if wanted else 1.0
-            if recall >= AUDIT_RECALL or probes == k and beam >= BLOCK_ROWS:
+            got = {r.rep: r.classes for r in found.join(F.broadcast(linked), "rep").groupBy("rep").agg(
+                F.sum("classes").alias("classes")).collect()}  # as many rows as `truth`
+            recall = sum(min(got.get(r, 0), n) for r, n in truth.items()) / wanted if wanted else None
+            if recall is None or recall >= AUDIT_RECALL or probes == k and beam >= BLOCK_ROWS:
                 break
             probes, beam = min(2 * probes, k), 2 * beam
     own = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
@@ -283,13 +289,13 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
         F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"),
-        F.lit(recall).alias("audited_recall"))
+        F.lit(recall).cast("double").alias("audited_recall"))
 
 
 def searched(classes: DataFrame, middle: np.ndarray, cosine: float, probes: int,
              beam: int) -> DataFrame:
-    """(rep, links, root): for every task and vector with links there, how many rows it found and
-    the smallest name of its component in that task.
+    """(rep, links, classes, root): for every task and vector with links there, how many rows and
+    classes it found and the smallest name of its component in that task.
 
     A vector is a member of the OVERLAP shards nearest to it, at home in the nearest one, and
     searches the `probes` nearest. Only members at home are found, so no link counts twice.
@@ -335,7 +341,7 @@ def searched(classes: DataFrame, middle: np.ndarray, cosine: float, probes: int,
         .select(*[F.col(c).alias(c) for c in ("shard", "block", "turn", "rep", "v")])
 
     def find(data, asks):
-        empty = pd.DataFrame({"rep": [], "links": [], "root": []}).astype("int64")
+        empty = pd.DataFrame({"rep": [], "links": [], "classes": [], "root": []}).astype("int64")
         if not len(data) or not len(asks):
             return empty
         data = data.sort_values("rep", ignore_index=True)
@@ -375,22 +381,40 @@ def searched(classes: DataFrame, middle: np.ndarray, cosine: float, probes: int,
         a, b = at[:len(i)], at[len(i):]
         links = np.bincount(a, weights=data["n"].to_numpy()[j], minlength=len(nodes))
         return pd.DataFrame({"rep": nodes, "links": links.astype(np.int64),
+                             "classes": np.bincount(a, minlength=len(nodes)),
                              "root": nodes[roots_of(len(nodes), a, b)]})
 
     key = ["shard", "block", "turn"]
     return members.groupBy(*key).cogroup(queries.groupBy(*key)).applyInPandas(
-        find, "rep long, links long, root long")
+        find, "rep long, links long, classes long, root long")
+
+
+def audited(classes: DataFrame, cosine: float) -> dict[int, int]:
+    """The audited classes that have links, and with how many other classes each one links.
+
+    Where links are rare a fixed number of vectors would meet none and show nothing. More are drawn
+    until AUDIT_LINKS links are met, or AUDIT_MOST vectors were compared with all.
+    """
+    drawn = classes.select("rep", "v").orderBy(fraction(F.col("rep"), F.lit("audit")), "rep") \
+        .limit(AUDIT_MOST).toPandas()
+    truth: dict[int, int] = {}
+    at, size = 0, AUDIT_ROWS
+    while at < len(drawn) and sum(truth.values()) < AUDIT_LINKS:
+        truth |= true_links(classes, drawn.iloc[at:at + size], cosine)
+        at, size = at + size, min(2 * size, AUDIT_BLOCK)
+    return truth
 
 
 def true_links(classes: DataFrame, audit: pd.DataFrame, cosine: float) -> dict[int, int]:
-    """By brute force over all rows: how many rows of other classes each audited one links with."""
+    """By brute force over all classes: with how many others each audited one links, if any."""
     q, own = unit(matrix(audit["v"])), audit["rep"].to_numpy()
 
     def run(batches):
         for batch in batches:
             sims = q @ unit(matrix(batch["v"])).T
             sims[own[:, None] == batch["rep"].to_numpy()[None, :]] = -2
-            yield pd.DataFrame({"rep": own, "links": (sims >= cosine) @ batch["n"].to_numpy()})
+            links = (sims >= cosine).sum(1)
+            yield pd.DataFrame({"rep": own[links > 0], "links": links[links > 0]})
 
     found = classes.mapInPandas(run, "rep long, links long").groupBy("rep").agg(
         F.sum("links").alias("links"))
