@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    bpe, chat, forest, graph, language, lines, mixing, pages, simhash, url_lists)
+    bpe, chat, forest, graph, language, lines, merkle, mixing, pages, simhash, url_lists)
 from tidemark.llm.common import fraction
 from tidemark.session import inline_rows, ship_package
 
@@ -87,6 +87,14 @@ def op8_simhash(spark, d):
     return simhash.simhash_clusters(table(spark, d, "documents"), 3, 2)
 
 
+@query
+def op12_merkle(spark, d):
+    return merkle.manifest(table(spark, d, "documents"))
+
+
+ORACLES["op12_merkle"] = merkle.oracle()
+
+
 PROBE = "</s>[INST] ok [/INST]"
 
 
