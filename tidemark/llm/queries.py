@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    bpe, chat, forest, graph, language, lines, merkle, mixing, pages, simhash, url_lists)
+    alignment, bpe, chat, forest, graph, language, lines, merkle, mixing, pages, simhash, topk, url_lists)
 from tidemark.llm.common import fraction
 from tidemark.session import inline_rows, ship_package
 
@@ -87,6 +87,14 @@ def op8_simhash(spark, d):
     return simhash.simhash_clusters(table(spark, d, "documents"), 3, 2)
 
 
+@query
+def op11_topk(spark, d):
+    return topk.search(table(spark, d, "embeddings"), every=20, k=20)
+
+
+ORACLES["op11_topk"] = topk.ORACLE
+
+
 @query
 def op12_merkle(spark, d):
     return merkle.manifest(table(spark, d, "documents"))
@@ -95,6 +103,16 @@ def op12_merkle(spark, d):
 ORACLES["op12_merkle"] = merkle.oracle()
 
 
+def piece_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op13_alignment(spark, d):
+    return alignment.report(table(spark, d, "documents"), tokenizer_path(), piece_path())
+
+
 PROBE = "</s>[INST] ok [/INST]"
 
 
