@@ -189,13 +189,15 @@ SELECT max(week) AS week, round(sum(sales), 2) AS sales, round(sum(trx)::DOUBLE,
   round(sum(f2f), 2) AS f2f FROM mk GROUP BY date_trunc('month', week)"""
 
 ORACLES["spine_ffill"] = """
-WITH g AS (SELECT o_orderpriority, date_trunc('week', o_orderdate)::DATE AS week,
-             round(max(o_totalprice), 2) AS largest FROM orders
-           WHERE o_totalprice > 0.97 * (SELECT max(o_totalprice) FROM orders) GROUP BY 1, 2),
-s AS (SELECT o_orderpriority, unnest(generate_series(min(week), max(week),
-        INTERVAL 7 DAY))::DATE AS week FROM g GROUP BY 1)
-SELECT o_orderpriority, week, (SELECT largest FROM g WHERE g.o_orderpriority =
-  s.o_orderpriority AND g.week <= s.week ORDER BY g.week DESC LIMIT 1) AS largest FROM s"""
+WITH g AS (SELECT o_custkey, date_trunc('week', o_orderdate)::DATE AS week,
+             max(o_totalprice) AS largest FROM orders GROUP BY 1, 2),
+s AS (SELECT o_custkey, unnest(generate_series(min(week), max(week),
+        INTERVAL 7 DAY))::DATE AS week FROM g GROUP BY 1),
+f AS (SELECT s.week, last_value(g.largest IGNORE NULLS) OVER (
+        PARTITION BY s.o_custkey ORDER BY s.week) AS largest
+      FROM s LEFT JOIN g ON g.o_custkey = s.o_custkey AND g.week = s.week)
+SELECT week, count(*) AS n_customers, count(largest) AS n_known,
+  CAST(sum(CAST(round(largest * 100) AS BIGINT)) AS BIGINT) AS carried_cents FROM f GROUP BY week"""
 
 
 # --- profiles ----------------------------------------------------------------------------
@@ -880,11 +882,17 @@ ORACLES["acf_hints"] = f"WITH {GOLD}, {market(by='week, product')}\n" + " UNION
 
 _FACT = "week,sales,trx,competitor_spend"
 _SETTINGS = {
-    "BOCPD": "hazard=0.004;observation_model=StudentT;suggested_columns={n};truncate=500",
-    "MMM": "baseline_formula=intercept + seasonality;channels={c};kpi={k}",
+    "BOCPD": "hazard=0.004;note=Tune hazard based on expected changepoint frequency; 1/250 ≈ one "
+             "change per ~5 years weekly.;observation_model=StudentT;suggested_columns={n};"
+             "truncate=500",
+    "MMM": "baseline_formula=intercept + seasonality;channels={c};kpi={k};"
+           "note=Add adstock/lag transforms for spend columns before fitting.",
     "PSI": "comparison_period=last quartile of date range;date_column={d};n_bins=10;"
+           "note=PSI < 0.1 = stable; 0.1–0.2 = moderate shift; > 0.2 = significant drift.;"
            "psi_threshold=0.2;reference_period=first quartile of date range",
-    "ARIMA": "order_d=1;order_p=check PACF;order_q=check ACF;seasonal_period=52;"
+    "ARIMA": "framework_options=statsmodels SARIMA, Prophet, NeuralProphet;"
+             "note=Run ADF test on target series first; d=1 if non-stationary.;"
+             "order_d=1;order_p=check PACF;order_q=check ACF;seasonal_period=52;"
              "suggested_target={k}",
 }
 
@@ -945,3 +953,145 @@ ORACLES["mmm_optimum"] = " UNION ALL ".join(
 ORACLES["psi_many"] = f"WITH {EVENTS} {BANDED}" + psi(
     "user_id", f"SELECT period, user_id AS bucket FROM {periods('gold_events', 'activity_date')} "
                "WHERE period IS NOT NULL AND user_id IS NOT NULL") + ")"
+
+# --- dates by vote, lags, chains, streams, states ----------------------------------------
+
+ORACLES["date_forms"] = "WITH o AS (SELECT o_orderdate::DATE AS day FROM orders)\n" + " UNION ALL ".join(
+    f"SELECT '{form}' AS form, {day}::DATE AS day, count(*) AS n FROM o GROUP BY 2"
+    for form, day in {"named": "day", "day_first": "day", "month_first": "day", "long": "day",
+                      "short": "day", "month": "date_trunc('month', day)",
+                      "name_year": "date_trunc('month', day)"}.items())
+
+LAGS = f"""WITH RECURSIVE {GOLD}, {market(by='week, product')},
+lg AS (""" + " UNION ALL ".join(
+    f"SELECT product, count(*) AS n, {k} AS lag, corr(x, p) AS acf FROM (SELECT "
+    f"product, sales AS x, lag(sales, {k}) OVER (PARTITION BY product ORDER BY week) AS p "
+    f"FROM mk) GROUP BY product" for k in range(1, 7)) + """),
+ac AS (SELECT product, n, list(acf ORDER BY lag) AS r FROM lg GROUP BY product, n),
+dl AS (
+  SELECT product, n, r, 1 AS k, [r[1]] AS phi, r[1] AS pacf FROM ac
+  UNION ALL
+  SELECT product, n, r, k + 1,
+    list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a * phi[k + 1 - j]), a), a
+  FROM (SELECT *, (r[k + 1] - list_dot_product(phi, list_reverse(r[1:k])))
+          / (1 - list_dot_product(phi, r[1:k])) AS a FROM dl WHERE k < 6)),
+pf AS (SELECT product, n, k AS lag, r[k] AS acf, pacf FROM dl)"""
+ORACLES["pacf_hints"] = f"""{LAGS}
+SELECT product, n, lag, round(acf, 5) AS acf, round(pacf, 5) AS pacf FROM pf"""
+ORACLES["order_hints"] = f"""{LAGS}
+SELECT product,
+  (coalesce(min(lag) FILTER (abs(pacf) <= 1.96 / sqrt(n)), 7) - 1)::INTEGER AS p,
+  (coalesce(min(lag) FILTER (abs(acf) <= 1.96 / sqrt(n)), 7) - 1)::INTEGER AS q
+FROM pf GROUP BY product"""
+
+_A = "-3.969683028665376e+01 2.209460984245205e+02 -2.759285104469687e+02 1.383577518672690e+02 " \
+     "-3.066479806614716e+01 2.506628277459239e+00"
+_B = "-5.447609879822406e+01 1.615858368580409e+02 -1.556989798598866e+02 6.680131188771972e+01 " \
+     "-1.328068155288572e+01 1.0"
+_C = "-7.784894002430293e-03 -3.223964580411365e-01 -2.400758277161838e+00 " \
+     "-2.549732539343734e+00 4.374664141464968e+00 2.938163982698783e+00"
+_D = "7.784695709041462e-03 3.224671290700398e-01 2.445134137142996e+00 3.754408661907416e+00 1.0"
+
+
+def _poly(coefficients: str, x: str) -> str:
+    return " + ".join(f"{c}::DOUBLE * pow({x}, {len(coefficients.split()) - 1 - i})"
+                      for i, c in enumerate(coefficients.split()))
+
+
+def _tail(p: str) -> str:
+    u = f"sqrt(-2 * ln({p}))"
+    return f"(({_poly(_C, u)}) / ({_poly(_D, u)}))"
+
+
+ORACLES["chain_diagnostics"] = f"""
+WITH w AS (SELECT date_trunc('week', o_orderdate)::DATE AS week, o_orderpriority AS chain,
+    count(*)::DOUBLE AS n_orders, sum(o_totalprice) AS value FROM orders GROUP BY ALL),
+g AS (SELECT week, chain FROM (SELECT DISTINCT week FROM w), (SELECT unnest(
+    ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']) AS chain)),
+a AS (SELECT chain, week, unnest(['n_orders', 'value']) AS parameter,
+    unnest([coalesce(n_orders, 0), coalesce(value, 0)]) AS x FROM g LEFT JOIN w USING (week, chain)),
+o AS (SELECT *, row_number() OVER (PARTITION BY parameter, chain ORDER BY week) AS i,
+    count(*) OVER (PARTITION BY parameter, chain) AS m FROM a),
+s AS (SELECT parameter, chain || CASE WHEN i <= m // 2 THEN 'a' ELSE 'b' END AS half,
+    CASE WHEN i <= m // 2 THEN i ELSE i - (m - m // 2) END AS t, x, m // 2 AS n
+  FROM o WHERE i <= m // 2 OR i > m - m // 2),
+q AS (SELECT *, (rank() OVER (PARTITION BY parameter ORDER BY x)
+      + (count(*) OVER (PARTITION BY parameter, x) - 1) / 2 - 0.375)
+    / (count(*) OVER (PARTITION BY parameter) + 0.25) AS p FROM s),
+z AS (SELECT *, CASE WHEN p < 0.02425 THEN {_tail('p')} WHEN p > 1 - 0.02425 THEN -{_tail('(1 - p)')}
+    ELSE ({_poly(_A, '((p - 0.5) * (p - 0.5))')}) * (p - 0.5)
+      / ({_poly(_B, '((p - 0.5) * (p - 0.5))')}) END AS z FROM q),
+c AS (SELECT *, z - avg(z) OVER (PARTITION BY parameter, half) AS c FROM z),
+v AS (SELECT u.parameter, u.half, u.n, w.t - u.t AS lag, sum(u.c * w.c) / max(u.n) AS a
+  FROM c u JOIN c w ON w.parameter = u.parameter AND w.half = u.half AND w.t >= u.t GROUP BY ALL),
+l AS (SELECT parameter, n, lag, avg(a) AS a FROM v GROUP BY ALL),
+h AS (SELECT parameter, half, n, avg(x) AS m, var_samp(x) AS v, avg(z) AS mz FROM z GROUP BY ALL),
+k AS (SELECT parameter, n, count(*) AS halves, avg(m) AS mean, avg(v) AS within,
+    var_samp(m) AS between, var_samp(mz) AS between_z FROM h GROUP BY ALL),
+r AS (SELECT l.parameter, lag, k.*, CASE WHEN lag = 0 THEN 1 ELSE
+    1 - (a0 * n / (n - 1) - a) / (a0 + between_z) END AS rho
+  FROM l JOIN k USING (parameter, n) JOIN (SELECT parameter, a AS a0 FROM l WHERE lag = 0) USING (parameter)),
+e AS (SELECT parameter, lag // 2 AS i, sum(rho) AS pair FROM r WHERE lag < n - n % 2 GROUP BY ALL),
+f AS (SELECT parameter, i, min(pair) OVER (PARTITION BY parameter ORDER BY i) AS low FROM e),
+t AS (SELECT parameter, 2 * sum(low) - 1 AS tau FROM f f1
+  WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.parameter = f1.parameter AND e.i <= f1.i AND e.pair <= 0)
+  GROUP BY parameter)
+SELECT parameter, halves * n AS n, round(mean, 3) AS mean,
+  round(sqrt(within * (n - 1) / n + between), 3) AS sd,
+  round(sqrt((within * (n - 1) / n + between) / within), 6) AS rhat,
+  round(halves * n / greatest(tau, 1 / log10(halves * n)), 2) AS ess_bulk
+FROM k JOIN t USING (parameter)"""
+
+ORACLES["online_probs"] = ORACLES["bocpd_probs"]
+
+_LINE_TYPES = [("l_orderkey", 0), ("l_partkey", 0), ("l_suppkey", 0), ("l_linenumber", 0),
+               ("l_quantity", 1), ("l_extendedprice", 1), ("l_discount", 1), ("l_tax", 1),
+               ("l_returnflag", 0), ("l_linestatus", 0), ("l_shipdate", 0)]
+ORACLES["merged_profile"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, count(*) AS n_rows, round(1 - count({c}) / count(*), 6) AS null_pct, "
+    + (f"count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+       f"round(avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), 1.5), 4) AS skewness, "
+       f"round(avg(pow({c} - m, 4)) / pow(avg(pow({c} - m, 2)), 2) - 3, 4) AS kurtosis, "
+       f"round(min({c}), 4) AS value_min, round(max({c}), 4) AS value_max, "
+       f"true AS distinct_near, true AS median_near FROM (SELECT {c}::DOUBLE AS {c} FROM lineitem), "
+       f"(SELECT avg({c}::DOUBLE) AS m FROM lineitem)" if measure else
+       "0 AS n, NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS skewness, "
+       "NULL::DOUBLE AS kurtosis, NULL::DOUBLE AS value_min, NULL::DOUBLE AS value_max, "
+       "true AS distinct_near, NULL::BOOLEAN AS median_near FROM lineitem")
+    for c, measure in _LINE_TYPES)
+
+ORACLES["spec_sheet"] = """
+SELECT name, 'Orders' AS category, 'Columns, by year and status, of ' || name AS description,
+  string_agg(c, ',' ORDER BY c) AS columns
+FROM (SELECT DISTINCT replace(lower(o_orderpriority), ' ', '_') AS name,
+        'y' || year(o_orderdate) || '_' || lower(o_orderstatus) AS c FROM orders) GROUP BY name"""
+
+# --- what becomes of whole runs ----------------------------------------------------------
+
+ORACLES["text_dates_outcomes"] = f"""
+SELECT 'gold_events' AS dataset, 'BOCPD' AS model, count(date) >= 8 AS ran
+FROM ({ORACLES["text_dates_run"]})"""
+
+# The narrower of two facts with one signal takes no part; no runner exists for its best model.
+ORACLES["suppressed_run"] = """
+SELECT 'gold_daily' AS dataset, 'PSI' AS model, count(*) < 0 AS ran,
+  'no runner for model ''PSI''' AS reason FROM events"""
+
+# Measures in their order: one goes if it moves with a better one inside the model's window.
+ORACLES["measure_model_map"] = f"""
+WITH dc AS ({ORACLES["gate_decision"]}), {GOLD},
+w AS (SELECT model, t, abs(corr(sales, trx)) AS st, abs(corr(sales, competitor_spend)) AS sc,
+    abs(corr(trx, competitor_spend)) AS tc
+  FROM gold, (VALUES ('BOCPD', 0.85, 24), ('MMM', 0.90, 12)) AS p(model, t, months)
+  WHERE week >= (SELECT max(week) FROM gold) - to_months(months) GROUP BY ALL),
+k AS (SELECT model, unnest(['sales', 'trx', 'competitor_spend']) AS measure,
+    unnest([true, NOT coalesce(st > t, false), NOT coalesce(sc > t, false)
+      AND (coalesce(st > t, false) OR NOT coalesce(tc > t, false))]) AS kept FROM w),
+r AS (SELECT 'gold_engagement' AS dataset, measure, model FROM k JOIN dc USING (model)
+    WHERE kept AND dataset = 'gold_engagement' AND decision <> 'FAIL'
+  UNION ALL SELECT dataset, 'amount', model FROM dc
+    WHERE dataset = 'gold_events' AND model = 'BOCPD' AND decision <> 'FAIL'),
+m AS (SELECT unnest(['gold_engagement', 'gold_engagement', 'gold_engagement', 'gold_events']) AS dataset,
+    unnest(['sales', 'trx', 'competitor_spend', 'amount']) AS measure)
+SELECT dataset, measure, coalesce(string_agg(model, ',' ORDER BY model), '') AS models
+FROM m LEFT JOIN r USING (dataset, measure) GROUP BY ALL"""

@@ -232,16 +232,17 @@ def test_segment_rollup_averages_cells(spark):
 
 def test_gap_check_and_decisions(spark):
     days = [dt.date(2024, 1, 1) + dt.timedelta(weeks=i) for i in range(20) if not 5 < i < 12]
-    calendar = inline_rows(spark, {"date": "date", "n_rows": "bigint", "m": "double"},
-                           [(d, 5, float(i)) for i, d in enumerate(days)])
+    calendar = inline_rows(
+        spark, {"dataset": "string", "date": "date", "n_rows": "bigint", "value": "double"},
+        [("t", d, 5, float(i)) for i, d in enumerate(days)])
     limits = {"BOCPD": G.limits_for("BOCPD"), "ARIMA": G.limits_for("ARIMA")}
-    checks = G.date_continuity(calendar, "t", F.lit("weekly"), limits)
+    grains = inline_rows(spark, {"dataset": "string", "given": "string"}, [("t", "weekly")])
+    checks = G.date_continuity(calendar, grains, limits)
     found = {r["model"]: (r["status"], r["metric"]) for r in checks.collect()}
     assert found == {"BOCPD": ("WARN", 7.0), "ARIMA": ("FAIL", 14.0)}
-    assert G.autocorrelation(calendar, "t", "m", {"ARIMA": limits["ARIMA"]}).head()[
-        "status"] == "PASS"
+    assert G.autocorrelation(calendar, {"ARIMA": limits["ARIMA"]}).head()["status"] == "PASS"
     decided = G.model_decisions(checks.unionByName(
-        G.min_row_count(calendar, "t", limits)))
+        G.min_row_count(calendar, grains.select("dataset"), limits)))
     assert {r["model"]: r["decision"] for r in decided.collect()} == {
         "BOCPD": "WARN", "ARIMA": "FAIL"}
     assert G.overall_decisions(decided).head()["overall_decision"] == "WARN"

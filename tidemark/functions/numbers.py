@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import inline_rows
+from tidemark.session import inline_rows, ship_package
 
 BINS = 4096
+PICK = 2048  # values that are sorted at once
+EPSILON = float(np.finfo(float).eps)
 
 
 def clean_float(c: Column) -> Column:
@@ -39,27 +44,110 @@ def safe_corr(x: Column, y: Column, min_rows: int = 3) -> Column:
     return F.when(F.count(F.when(both, F.lit(1))) >= min_rows, r)
 
 
+class Moments:
+    """Means and centred sums of products of every pair of columns, over rows that have both.
+
+    ``mean[i, j]`` and ``square[i, j]`` are those of column i over the rows of pair (i, j).
+    """
+
+    def __init__(self, x: np.ndarray):
+        there, whole = ~np.isnan(x), np.isfinite(x)
+        seen = np.where(whole, x, 0.0)
+        few = np.maximum(whole.sum(0), 1)
+        low = np.where(whole, x, np.inf).min(0, initial=np.inf)
+        high = np.where(whole, x, -np.inf).max(0, initial=-np.inf)
+        # Sums are taken from a column's mean, or its only value: then they are exactly zero.
+        start = np.where(low < high, seen.sum(0) / few, np.where(low == high, low, 0.0))
+        y, m = np.where(whole, x - start, 0.0), there.astype(float)
+        self.n = m.T @ m
+        n = np.maximum(self.n, 1)
+        total, squares = y.T @ m, (y * y).T @ m
+        self.mean = start[:, None] + total / n
+        self.square = squares - total * total / n
+        # What is left of equal values by rounding is no spread.
+        self.square[self.square <= 4 * n * EPSILON * squares] = 0.0
+        self.product = y.T @ y - total * total.T / n
+        endless = (there & ~whole).astype(float).T @ m > 0
+        self.square[endless] = np.nan
+        self.product[endless | endless.T] = np.nan
+
+    def add(self, other: Moments) -> None:
+        n = np.maximum(self.n + other.n, 1)
+        step = other.mean - self.mean
+        step[(self.n == 0) | (other.n == 0)] = 0.0
+        weight = self.n * other.n / n
+        self.mean = np.where(self.n == 0, other.mean, self.mean + step * other.n / n)
+        self.square += other.square + step * step * weight
+        self.product += other.product + step * step.T * weight
+        self.n = self.n + other.n
+
+
+def moment_rows(key_names: list[str], width: int):
+    """A task's function: the moments of its rows, a row per key and pair of columns."""
+    left, right = np.triu_indices(width, 1)
+
+    def run(batches):
+        held: dict[tuple, Moments] = {}
+        for batch in batches:
+            columns = [batch.column(len(key_names) + i) for i in range(width)]
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns])
+            groups = {(): slice(None)}
+            if key_names:
+                names = pd.DataFrame({k: batch.column(i).to_pylist()
+                                      for i, k in enumerate(key_names)}, dtype=object)
+                groups = names.groupby(key_names, dropna=False, sort=False).indices
+            for key, rows in groups.items():
+                key = key if isinstance(key, tuple) else (key,)
+                key = tuple(None if k is None or k != k else k for k in key)
+                found = Moments(x[rows])
+                if key in held:
+                    held[key].add(found)
+                else:
+                    held[key] = found
+        for key, m in held.items():
+            yield pa.RecordBatch.from_pydict({
+                **{k: [v] * len(left) for k, v in zip(key_names, key)},
+                "a": pa.array(left, pa.int32()), "b": pa.array(right, pa.int32()),
+                "n": m.n[left, right], "mx": m.mean[left, right], "my": m.mean[right, left],
+                "xx": m.square[left, right], "yy": m.square[right, left],
+                "xy": m.product[left, right]})
+
+    return run
+
+
+MERGED_MOMENTS = """aggregate(parts, named_struct('n', 0D, 'mx', 0D, 'my', 0D, 'xx', 0D, 'yy', 0D, 'xy', 0D),
+  (s, p) -> if(p.n = 0, s, if(s.n = 0, p, named_struct('n', s.n + p.n,
+    'mx', s.mx + (p.mx - s.mx) * (p.n / (s.n + p.n)), 'my', s.my + (p.my - s.my) * (p.n / (s.n + p.n)),
+    'xx', s.xx + p.xx + (p.mx - s.mx) * (p.mx - s.mx) * (s.n * p.n / (s.n + p.n)),
+    'yy', s.yy + p.yy + (p.my - s.my) * (p.my - s.my) * (s.n * p.n / (s.n + p.n)),
+    'xy', s.xy + p.xy + (p.mx - s.mx) * (p.my - s.my) * (s.n * p.n / (s.n + p.n))))))"""
+
+
 def column_correlations(df: DataFrame, keys: list[str], columns: list[str],
                         min_rows: int = 3) -> DataFrame:
     """Pearson r of every pair of columns over rows where both are present.
 
-    The pairs come from the schema. Each row adds to one running sum per pair before anything
-    is shuffled, so what moves is one small row per key, pair and task.
+    Every task reduces its rows, batch by batch, to matrices of means and centred products, one
+    set per key (keys name metadata-sized things). What moves is a small row per key, pair and
+    task; these are merged without losing digits to large means.
     Returns ``keys, left_name, right_name, r, n_pairs``.
     """
     texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    values = F.array(*[number_of(F.col(f"`{c}`"), c in texts) for c in columns])
     names = F.array(*[F.lit(c) for c in columns])
-    pairs = ", ".join(f"struct({i} AS a, {j} AS b)" for i in range(len(columns))
-                      for j in range(i + 1, len(columns)))
-    rows = df.select(*keys, values.alias("v"), F.expr(f"explode(array({pairs}))").alias("p"))
-    x, y = F.col("v")[F.col("p.a")], F.col("v")[F.col("p.b")]
-    found = rows.select(*keys, "p.a", "p.b", x.alias("x"), y.alias("y")).groupBy(
-        *keys, "a", "b").agg(
-        safe_corr(F.col("x"), F.col("y"), min_rows).alias("r"),
-        F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("n_pairs"))
-    return found.select(*keys, names[F.col("a")].alias("left_name"),
-                        names[F.col("b")].alias("right_name"), "r", "n_pairs")
+    wide = df.select(*keys, *[number_of(F.col(f"`{c}`"), c in texts).alias(f"__x{i}")
+                              for i, c in enumerate(columns)])
+    shape = ", ".join([f"`{k}` {wide.schema[k].dataType.simpleString()}" for k in keys]
+                      + ["a int, b int"] + [f"{c} double" for c in ("n", "mx", "my", "xx", "yy", "xy")])
+    ship_package(df.sparkSession)
+    parts = wide.mapInArrow(moment_rows(keys, len(columns)), shape)
+    whole = parts.groupBy(*keys, "a", "b").agg(
+        F.collect_list(F.struct("n", "mx", "my", "xx", "yy", "xy")).alias("parts"))  # one per task
+    merged = whole.withColumn("m", F.expr(MERGED_MOMENTS))
+    r = ratio(F.col("m.xy"), F.sqrt("m.xx") * F.sqrt("m.yy"))
+    return merged.select(*keys, names[F.col("a")].alias("left_name"),
+                         names[F.col("b")].alias("right_name"),
+                         F.when(F.col("m.n") >= min_rows, r).alias("r"),
+                         F.col("m.n").cast("long").alias("n_pairs"))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
@@ -68,60 +156,85 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     ``keys`` must name metadata-sized things (a dataset, a column): one row per key and wanted
     rank comes to the driver in each pass. Returns ``keys, prob, quantile``.
 
-    Every wanted rank has a bracket of values, at first its key's smallest and largest. A pass
-    counts the values of all brackets in ``BINS`` equal-width bins, with the smallest and largest
-    value of each, and the bin that holds the rank is the next bracket, until it holds one value.
-    The input is read once for the limits and once per pass; brackets shrink by ``BINS`` each
-    time, so two passes do for a million even values and skewed ones only take more. A task
-    hands on at most ``BINS`` rows per rank.
+    A radix selection over the digits of a double, highest first. The first pass counts values by
+    sign and exponent. Later passes cut the bin that holds a wanted rank into ``BINS`` even parts,
+    which inside one exponent are the next 12 bits of the mantissa. The bins of a pass do not
+    overlap, so a row is counted once, however many ranks and columns are wanted. Once every bin
+    left holds at most ``PICK`` values, they are sorted and the ranks picked. The 53 bits of a
+    mantissa last for five passes, so six do for any values; even ones take three.
     """
     base = df.select(*keys, clean_float(F.col(value)).alias("v")).where("v IS NOT NULL")
-    limits = base.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    name_of = lambda row: tuple(row[k] for k in keys)
-    counts = {name_of(r): r["n"] for r in limits}
-    ranks = {p: {k: p * (n - 1) for k, n in counts.items()} for p in probs}
-    brackets = {
-        (name_of(r), rank): (r["lo"], r["hi"], 0)
-        for r in limits for p in probs
-        for rank in {math.floor(ranks[p][name_of(r)]), math.ceil(ranks[p][name_of(r)])}}
     types = {k: base.schema[k].dataType.simpleString() for k in keys}
+    found = {(tuple(r[k] for k in keys), r["rank"]): r for r in _by_exponent(base, keys, probs)}
+    counts = {key: r["n"] for (key, _), r in found.items()}
     while True:
-        open_ = [(*key, rank, lo, hi, before)
-                 for (key, rank), (lo, hi, before) in brackets.items() if lo != hi]
-        if not open_:
+        spans: dict[tuple, list[int]] = {}
+        for (key, rank), r in found.items():
+            if r["lo"] != r["hi"]:
+                spans.setdefault((*key, r["lo"], r["hi"], r["before"], r["c"]), []).append(rank)
+        if not spans:
             break
-        for r in _narrowed(base, keys, inline_rows(df.sparkSession, types | {
-                "rank": "bigint", "lo": "double", "hi": "double", "before": "bigint"}, open_)):
-            brackets[name_of(r), r["rank"]] = (r["v_lo"], r["v_hi"], r["below"])
+        step = _picked if all(span[-1] <= PICK for span in spans) else _narrowed
+        brackets = inline_rows(
+            df.sparkSession,
+            types | {"lo": "double", "hi": "double", "before": "bigint", "at": "int",
+                     "ranks": "array<bigint>"},
+            [(*span[:-1], i, ranks) for i, (span, ranks) in enumerate(spans.items())])
+        # A row per open bracket: bounded by the keys and the wanted ranks.
+        inside = base.join(F.broadcast(brackets), keys).where(
+            F.col("v").between(F.col("lo"), F.col("hi")))
+        keys_of = [span[:len(keys)] for span in spans]
+        found.update({(keys_of[r["at"]], r["rank"]): r for r in step(inside)})
     out = []
-    for p in probs:
-        for key, target in ranks[p].items():
-            q0, q1 = (brackets[key, f(target)][0] for f in (math.floor, math.ceil))
+    for key, n in counts.items():
+        for p in probs:
+            target = p * (n - 1)
+            q0, q1 = (found[key, f(target)]["lo"] for f in (math.floor, math.ceil))
             # Equal ends need no step: infinities would give inf - inf.
             step = (q1 - q0) * (target - math.floor(target)) if q0 != q1 else 0.0
             out.append((*key, float(p), q0 + step))
     return inline_rows(df.sparkSession, types | {"prob": "double", "quantile": "double"}, out)
 
 
-def _narrowed(base: DataFrame, keys: list[str], brackets: DataFrame) -> list:
-    """For every bracket the bin that holds its rank: ``keys, rank, v_lo, v_hi, below``."""
+def _by_exponent(base: DataFrame, keys: list[str], probs: list[float]) -> list:
+    """For every wanted rank the values of its sign and exponent: ``rank, lo, hi, before, c, n``."""
+    v = F.col("v")
+    size = F.when(v == 0, 0).when(F.abs(v) == float("inf"), 4096).otherwise(
+        F.floor(F.log2(F.abs(v))) + 2048)
+    bins = base.groupBy(*keys, F.when(v < 0, -size).otherwise(size).alias("bin")).agg(
+        F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    by_bin = Window.partitionBy(*keys).orderBy("bin")  # at most two rows per exponent
+    bins = bins.withColumn("n", F.sum("c").over(Window.partitionBy(*keys))) \
+        .withColumn("upto", F.sum("c").over(by_bin))
+    target = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(t).cast("long") for t in target for f in (F.floor, F.ceil)]))
+    return _with_ranks(bins, ranks).select(*keys, "rank", "lo", "hi", "before", "c", "n").collect()
+
+
+def _with_ranks(bins: DataFrame, ranks: Column) -> DataFrame:
+    """The bins that hold a wanted rank, a row for each."""
+    before = F.col("upto") - F.col("c")
+    return bins.withColumn("rank", F.explode(F.filter(
+        ranks, lambda r: (r >= before) & (r < F.col("upto"))))).withColumn("before", before)
+
+
+def _narrowed(inside: DataFrame) -> list:
+    """For every open rank the part of its bracket that holds it: ``at, rank, lo, hi, before, c``."""
     v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
-    # Halves, so that the width of the widest doubles is finite; an infinite end has no share.
-    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
-    inner = F.floor(F.nanvl(share, F.lit(0.5)) * BINS).cast("int")
-    bin_ = (F.when(v == lo, F.lit(0)).when(v == hi, F.lit(BINS - 1))
-            .otherwise(F.least(F.lit(BINS - 1), inner)))
-    group = [*keys, "rank"]
-    placed = (
-        base.join(F.broadcast(brackets), keys).where(v.between(lo, hi))  # a row per open rank
-        .groupBy(*group, "before", bin_.alias("bin")).agg(
-            F.count("*").alias("c"), F.min("v").alias("v_lo"), F.max("v").alias("v_hi")))
-    by_bin = Window.partitionBy(*group).orderBy("bin")  # at most BINS rows
-    upto = F.col("before") + F.sum("c").over(by_bin)
-    return (placed.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("c"))
-            .where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("upto")))
-            .select(*group, "v_lo", "v_hi", "below").collect())
+    part = F.floor((v - lo) / (hi - lo) * BINS).cast("int")
+    bins = inside.groupBy("at", "before", "ranks", F.least(part, F.lit(BINS - 1)).alias("bin")).agg(
+        F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    by_bin = Window.partitionBy("at").orderBy("bin")  # at most BINS rows
+    bins = bins.withColumn("upto", F.col("before") + F.sum("c").over(by_bin)).drop("before")
+    return _with_ranks(bins, F.col("ranks")).select("at", "rank", "lo", "hi", "before", "c").collect()
+
+
+def _picked(inside: DataFrame) -> list:
+    """For every open rank its value, from brackets of at most PICK values."""
+    held = inside.groupBy("at", "before", "ranks").agg(F.sort_array(F.collect_list("v")).alias("all"))
+    found = F.col("all")[(F.col("rank") - F.col("before")).cast("int")]
+    return held.select("at", "before", "all", F.explode("ranks").alias("rank")).select(
+        "at", "rank", found.alias("lo"), found.alias("hi"), "before", F.lit(1).alias("c")).collect()
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -143,24 +256,27 @@ def value_key(c: Column) -> Column:
     )
 
 
+def distinct_keys(df: DataFrame, columns: list[str]) -> list[Column]:
+    """A comparable short value for each column."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+    # Adding zero makes -0.0 and 0.0 one value.
+    return [value_key(clean_float(F.col(f"`{c}`")) + F.lit(0.0)) if c in floats
+            else value_key(F.col(f"`{c}`")) for c in columns]
+
+
+def count_distinct_keys(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct non-null ``value`` per key, by two partial aggregations."""
+    seen = pairs.groupBy(*keys, "value").agg(F.lit(1).alias("one"))
+    return seen.groupBy(*keys).agg(F.count("value").alias("n_distinct"))
+
+
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct non-null values per column as (name, n_distinct).
 
     Columns are stacked and merged by value in two partial aggregations, so neither a wide
     expand over every column nor a hot column ends up in one task.
     """
-    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
-
-    def key_of(c):
-        # Adding zero makes -0.0 and 0.0 one value.
-        if c in floats:
-            return value_key(clean_float(F.col(f"`{c}`")) + F.lit(0.0))
-        return value_key(F.col(f"`{c}`"))
-
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("name"), key_of(c).alias("value")) for c in columns])
-    seen = (
-        df.select(F.explode(pairs).alias("p")).select("p.name", "p.value")
-        .groupBy("name", "value").agg(F.lit(1).alias("one"))
-    )
-    return seen.groupBy("name").agg(F.count("value").alias("n_distinct"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), k.alias("value"))
+                      for c, k in zip(columns, distinct_keys(df, columns))])
+    return count_distinct_keys(
+        df.select(F.explode(pairs).alias("p")).select("p.name", "p.value"), ["name"])

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
-from tidemark.functions.curves import adstock, hill
+from tidemark.functions.curves import adstocked, hill
 from tidemark.functions.numbers import column_correlations
 
 CHANNEL_SIGMA, COMPETITOR_SIGMA, CONTROL_SIGMA = 0.5, 0.3, 0.5
@@ -26,9 +26,7 @@ def adstocked_channels(series: DataFrame, config: K.SeriesConfig,
     """Carry-over column ``<channel>_ads`` per field and broadcast channel."""
     decay = {c.name: c.decay for c in config.channels}
     names = [c for c in config.named("field", "broadcast") if c in series.columns]
-    return series.withColumns({
-        f"{c}_ads": adstock(F.col(c).cast("double"), decay[c], decay[c], keys, config.week)
-        for c in names})
+    return adstocked(series, {f"{c}_ads": (F.col(c), decay[c]) for c in names}, keys, config.week)
 
 
 def half_saturation(carried: DataFrame, config: K.SeriesConfig, keys: list[str]) -> DataFrame:

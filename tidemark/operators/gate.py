@@ -1,12 +1,14 @@
 """Quality checks: one row (dataset, model, check_name, status, metric, detail) per check.
 
 Profile checks read profile rows. Data checks share two rollups: one row per date, and one
-pass with every model's window as a condition. Each check is one plan for all its models, and
-no check reads the table on its own.
+pass with every model's window as a condition. Each check is one plan for all datasets and
+models, so the number of jobs does not grow with either.
 """
 
 from __future__ import annotations
 
+import datetime
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -24,6 +26,54 @@ def limits_for(model: str, limits: dict | None = None) -> dict:
             **((limits or K.MODEL_LIMITS).get(model) or {})}
 
 
+@dataclass
+class Table:
+    """A dataset as the checks see it; ``newest`` is its last date."""
+
+    name: str
+    df: DataFrame
+    date: str
+    subtypes: dict[str, str]
+    models: list[str]
+    newest: datetime.date | None = None
+
+    def of(self, *kinds: str) -> list[str]:
+        return [c for c, s in self.subtypes.items() if s in kinds and c in self.df.columns]
+
+    @property
+    def metrics(self) -> list[str]:
+        return self.of("measure", "channel", "unclassified_metric")
+
+    @property
+    def measure(self) -> str | None:
+        return next(iter(self.of("measure")), None)
+
+    def number(self, column: str) -> Column:
+        return number_of(F.col(f"`{column}`"), self.df.schema[column].dataType.typeName() == "string")
+
+    def day(self) -> Column:
+        return F.col(f"`{self.date}`").cast("date")
+
+    def start(self, years: int) -> Column:
+        """First day of a window of so many years; null when it is open. A constant, so a filter
+        by it reaches the scan."""
+        if not years or self.newest is None:
+            return F.lit(None).cast("date")
+        return F.add_months(F.lit(self.newest), -12 * years)
+
+    def within(self, years: int) -> Column:
+        """Whether a row is in such a window; all rows are when it is open."""
+        if not years or self.newest is None:
+            return F.lit(True)
+        return F.coalesce(self.day() >= self.start(years), F.lit(False))
+
+
+def newest_dates(calendar: DataFrame) -> dict[str, datetime.date]:
+    """The last date of every dataset of a stacked calendar; one row each."""
+    return {r["dataset"]: r["d"] for r in
+            calendar.groupBy("dataset").agg(F.max("date").alias("d")).collect()}
+
+
 def _result(check: str, status: Column, metric: Column, detail: Column) -> list[Column]:
     return [F.col("dataset"), F.col("model"), F.lit(check).alias("check_name"),
             status.alias("status"), metric.cast("double").alias("metric"),
@@ -122,54 +172,49 @@ def cutoff(years) -> Column:
 
 
 def windowed(calendar: DataFrame, years: int) -> DataFrame:
-    """Calendar rows of a model's window."""
-    newest = calendar.select(F.max("date")).scalar()
-    return calendar.withColumn("newest", newest).where(F.col("date") >= cutoff(years)).drop(
-        "newest")
+    """Rows of a stacked calendar inside a model's window."""
+    return _with_newest(calendar).where(F.col("date") >= cutoff(years)).drop("newest")
 
 
-def recent(df: DataFrame, date: str, calendar: DataFrame, years: int) -> DataFrame:
-    """Table rows of a model's window; the cutoff is a scalar, so it reaches the scan."""
-    if not years:
-        return df
-    newest = calendar.select(F.max("date")).scalar()
-    return df.where(F.col(date).cast("date") >= F.add_months(newest, -12 * years))
+def _with_newest(calendar: DataFrame) -> DataFrame:
+    newest = calendar.groupBy("dataset").agg(F.max("date").alias("newest"))
+    return calendar.join(F.broadcast(newest), "dataset")  # one row per dataset
 
 
-def window_spreads(df: DataFrame, date: str, metrics: list[str], limits: dict[str, dict],
-                   calendar: DataFrame) -> DataFrame:
+def window_spreads(tables: list[Table], limits: dict[str, dict]) -> DataFrame:
     """Coefficient of variation of every metric in every model's window.
 
-    One pass over the table, however many models and columns: ``model, ordinal, name, cv``.
+    One pass over the tables, however many models and columns:
+    ``dataset, model, ordinal, name, cv``.
     """
-    newest = calendar.select(F.max("date")).scalar()
-    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    values = F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("name"),
-                 number_of(F.col(f"`{c}`"), c in texts).alias("x"))
-        for i, c in enumerate(metrics)
-    ])
-    rows = df.select(F.col(date).cast("date").alias("day"), F.explode(values).alias("m")).select(
-        "day", "m.*").withColumn("newest", newest)
-    aggs = []
-    for model, lim in limits.items():
-        x = F.when(F.col("day") >= cutoff(lim["window_years"]), F.col("x"))
-        aggs.append((F.stddev_samp(x) / (F.abs(F.avg(x)) + 1e-12)).alias(model))
-    wide = rows.groupBy("ordinal", "name").agg(*aggs)
-    offers = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("cv")) for m in limits])
-    return wide.select("ordinal", "name", F.explode(offers).alias("o")).select(
-        "ordinal", "name", "o.*")
-
-
-def zero_variance(spreads: DataFrame, dataset: str, limits: dict[str, dict]) -> DataFrame:
+    models = list(limits)
+    rows = reduce(DataFrame.union, [
+        t.df.select(
+            F.lit(t.name).alias("dataset"),
+            F.array(*[t.within(limits[m]["window_years"]) for m in models]).alias("inside"),
+            F.explode(F.array(*[
+                F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("name"), t.number(c).alias("x"))
+                for i, c in enumerate(t.metrics)])).alias("m"))
+        for t in tables]).select("dataset", "inside", "m.*")
+    offers = []
+    for k, m in enumerate(models):
+        x = F.when(F.col("inside")[k], F.col("x"))
+        offers.append(F.struct(F.lit(m).alias("model"), (
+            F.stddev_samp(x) / (F.abs(F.avg(x)) + 1e-12)).alias("cv")))
+    wide = rows.groupBy("dataset", "ordinal", "name").agg(F.array(*offers).alias("offers"))
+    return wide.select("dataset", "ordinal", "name", F.explode("offers").alias("o")).select(
+        "dataset", "ordinal", "name", "o.*")
+
+
+def zero_variance(spreads: DataFrame, limits: dict[str, dict]) -> DataFrame:
     """Columns whose spread is below 1 % of their mean, in the model's window."""
     limit = F.lit(None).cast("double")
     for m, lim in limits.items():
         limit = F.when(F.col("model") == m, F.lit(lim["zero_variance_cv"])).otherwise(limit)
     flat = F.col("cv") < limit
-    facts = spreads.where(F.col("model").isin(*limits)).groupBy("model").agg(
+    facts = spreads.groupBy("dataset", "model").agg(
         F.array_sort(F.collect_list(F.when(flat, F.struct("ordinal", "name", "cv"))))
-        .alias("flat")).withColumn("dataset", F.lit(dataset))
+        .alias("flat"))
     some = F.size("flat") > 0
     return facts.select(*_result(
         "zero_variance", F.when(some, "WARN").otherwise("PASS"),
@@ -192,31 +237,28 @@ def _periods_needed(lim: dict, grain: Column, typical: Column) -> Column:
 
 def _stepped(calendar: DataFrame, limits: dict[str, dict], *values: str) -> DataFrame:
     """Calendar rows per model window with the previous row where it is in the window too."""
-    newest = calendar.select(F.max("date")).scalar()
-    in_order = Window.orderBy("date")  # one row per date: calendar-sized
-    stepped = calendar.select(
-        "date", *values, F.lag("date").over(in_order).alias("before"),
+    in_order = Window.partitionBy("dataset").orderBy("date")  # one row per date: calendar-sized
+    stepped = _with_newest(calendar).select(
+        "dataset", "newest", "date", *values, F.lag("date").over(in_order).alias("before"),
         *[F.lag(v).over(in_order).alias(f"{v}|before") for v in values])
-    repeated = _per_model(stepped.withColumn("newest", newest), limits,
-                          years=lambda x: x["window_years"])
+    repeated = _per_model(stepped, limits, years=lambda x: x["window_years"])
     start = cutoff(F.col("years"))
     return repeated.where(F.col("date") >= start).withColumn(
         "paired", F.coalesce(F.col("before") >= start, F.lit(False)))
 
 
-def date_continuity(calendar: DataFrame, dataset: str, grain: Column,
-                    limits: dict[str, dict]) -> DataFrame:
+def date_continuity(calendar: DataFrame, grains: DataFrame, limits: dict[str, dict]) -> DataFrame:
     """Enough periods for the grain, and no gap longer than the allowed periods.
 
-    ``calendar`` has one row per date; ``grain`` is the profiled grain or null.
+    ``calendar`` has one row per dataset and date, ``grains`` the profiled grain (or null) as
+    ``given`` of every dataset, those without any date included.
     """
     gap = F.when(F.col("paired"), F.datediff("date", "before"))
-    seen = _stepped(calendar, limits).withColumn("gap", gap).groupBy("model").agg(
+    seen = _stepped(calendar, limits).withColumn("gap", gap).groupBy("dataset", "model").agg(
         F.count("*").alias("n"), F.percentile("gap", 0.5).alias("median_gap"),
         F.max("gap").alias("max_gap"), F.collect_list("gap").alias("gaps"))
     # A window without any date still has to fail.
-    seen = _per_model(inline_rows(calendar.sparkSession, {"dataset": "string"}, [(dataset,)]),
-                      limits).join(seen, "model", "left")
+    seen = _per_model(grains, limits).join(seen, ["dataset", "model"], "left")
     known = F.col("given").isin(*K.GRAIN_DAYS)
     days = [F.lit(x) for item in K.GRAIN_DAYS.items() for x in item]
     typical = (F.when(known, F.create_map(*days)[F.col("given")])
@@ -224,7 +266,7 @@ def date_continuity(calendar: DataFrame, dataset: str, grain: Column,
     named = (F.when(known, F.col("given")).when(F.coalesce("median_gap", F.lit(0)) <= 0, None)
              .when(typical <= 2, "daily").when(typical <= 9, "weekly")
              .when(typical <= 35, "monthly").when(typical <= 100, "quarterly"))
-    facts = seen.withColumns({"given": grain, "n": F.coalesce("n", F.lit(0))}).withColumns(
+    facts = seen.withColumn("n", F.coalesce("n", F.lit(0))).withColumns(
         {"typical": typical, "grain": named})
     need, allowed = F.lit(None).cast("int"), F.lit(None).cast("double")
     for m, lim in limits.items():
@@ -250,71 +292,106 @@ def date_continuity(calendar: DataFrame, dataset: str, grain: Column,
         .otherwise(F.format_string("no wide gap in %d %s dates", "n", "label"))))
 
 
-def channel_collinearity(df: DataFrame, dataset: str, model: str, channels: list[str],
-                         lim: dict) -> DataFrame:
-    """Pairwise correlation of channels over rows where every channel is present.
-
-    ``df`` holds the rows of the model's window.
-    """
-    spark, need = df.sparkSession, lim["min_channel_count"]
-    if len(channels) < need:
-        return _note(spark, dataset, model, "channel_collinearity", "FAIL",
-                     f"{len(channels)} channel column(s), {need} needed", float(len(channels)))
-    if len(channels) < 2:
-        return _note(spark, dataset, model, "channel_collinearity", "PASS", "single channel")
-    texts = {f.name for f in df.schema if f.dataType.typeName() == "string"}
-    whole = df.select(*[number_of(F.col(f"`{c}`"), c in texts).alias(c) for c in channels]).dropna()
-    facts = column_correlations(whole, [], channels).agg(
+def channel_collinearity(tables: list[Table], limits: dict[str, dict]) -> DataFrame:
+    """Pairwise correlation of channels over rows where every channel is present."""
+    spark = tables[0].df.sparkSession
+    notes, parts, asked = [], [], []
+    width = max(len(t.of("channel")) for t in tables)
+    for t in tables:
+        channels = t.of("channel")
+        models = [m for m in t.models if m in limits]
+        for m in models:
+            need = limits[m]["min_channel_count"]
+            if len(channels) < need:
+                notes.append((t.name, m, "channel_collinearity", "FAIL", float(len(channels)),
+                              f"{len(channels)} channel column(s), {need} needed"))
+            elif len(channels) < 2:
+                notes.append((t.name, m, "channel_collinearity", "PASS", None, "single channel"))
+            else:
+                asked.append((t.name, m, limits[m]["collinearity_threshold"]))
+        models = [m for n, m, _ in asked if n == t.name]
+        if models:
+            whole = t.df.select(
+                F.array(*[F.when(t.within(limits[m]["window_years"]), F.lit(m)) for m in models])
+                .alias("inside"), *[t.number(c).alias(f"x{i}") for i, c in enumerate(channels)])
+            whole = whole.dropna(subset=[f"x{i}" for i in range(len(channels))])
+            parts.append(whole.select(
+                F.lit(t.name).alias("dataset"),
+                F.explode(F.array_compact("inside")).alias("model"),
+                *[(F.col(f"x{i}") if i < len(channels) else F.lit(None).cast("double"))
+                  .alias(f"x{i}") for i in range(width)]))
+    found = inline_rows(spark, CHECK_SHAPE, notes)
+    if not parts:
+        return found
+    asked = inline_rows(spark, {"dataset": "string", "model": "string", "limit": "double"}, asked)
+    pairs = column_correlations(reduce(DataFrame.union, parts), ["dataset", "model"],
+                                [f"x{i}" for i in range(width)])
+    facts = asked.join(pairs, ["dataset", "model"], "left").groupBy("dataset", "model").agg(
         F.max("n_pairs").alias("n"), F.max(F.abs("r")).alias("most"),
-        F.count_if(F.abs("r") > lim["collinearity_threshold"]).alias("n_high"),
-    ).withColumns({"dataset": F.lit(dataset), "model": F.lit(model)})
+        F.count_if(F.abs("r") > F.col("limit")).alias("n_high"))
     few, high = F.coalesce("n", F.lit(0)) < 3, F.col("n_high") > 0
-    return facts.select(*_result(
+    return found.unionByName(facts.select(*_result(
         "channel_collinearity", F.when(few | high, "WARN").otherwise("PASS"),
         F.when(~few, F.round("most", 4)),
         F.when(few, "too few complete rows").otherwise(F.concat(
-            F.col("n_high").cast("string"), F.lit(" channel pair(s) above the limit")))))
-
-
-def segment_sizes(df: DataFrame, segments: list[str]) -> DataFrame:
-    """Smallest, largest and number of groups per segment column, in one pass."""
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("name"),
-                 F.col(f"`{c}`").cast("string").alias("value"))
-        for i, c in enumerate(segments)
-    ])
-    groups = (
-        df.select(F.explode(pairs).alias("p")).select("p.*").where("value IS NOT NULL")
-        .groupBy("ordinal", "name", "value").agg(F.count("*").alias("n")))
-    return groups.groupBy("ordinal", "name").agg(
+            F.col("n_high").cast("string"), F.lit(" channel pair(s) above the limit"))))))
+
+
+def segment_sizes(tables: list[Table], limits: dict[str, dict]) -> DataFrame:
+    """Smallest, largest and number of groups per segment column and model, in one pass."""
+    models = list(limits)
+    rows = reduce(DataFrame.union, [
+        t.df.select(
+            F.lit(t.name).alias("dataset"),
+            F.array(*[t.within(limits[m]["window_years"]) for m in models]).alias("inside"),
+            F.explode(F.array(*[
+                F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("name"),
+                         F.col(f"`{c}`").cast("string").alias("value"))
+                for i, c in enumerate(t.of("segment"))])).alias("p"))
+        for t in tables]).select("dataset", "inside", "p.*").where("value IS NOT NULL")
+    offers = F.array(*[F.struct(F.lit(m).alias("model"), F.count_if(F.col("inside")[k]).alias("n"))
+                       for k, m in enumerate(models)])
+    groups = rows.groupBy("dataset", "ordinal", "name", "value").agg(offers.alias("offers")).select(
+        "dataset", "ordinal", "name", F.explode("offers").alias("o")).select(
+        "dataset", "ordinal", "name", "o.*").where("n > 0")
+    return groups.groupBy("dataset", "model", "ordinal", "name").agg(
         F.count("*").alias("n_groups"), F.min("n").alias("smallest"),
         F.max("n").alias("largest"),
     ).withColumn("imbalance", F.col("largest") / (F.col("smallest") + F.lit(1e-9)))
 
 
-def segment_balance(sizes: DataFrame | None, dataset: str, model: str, lim: dict,
-                    spark=None) -> DataFrame:
+def segment_balance(tables: list[Table], limits: dict[str, dict]) -> DataFrame:
     """The first segment column with large enough groups decides."""
-    if sizes is None:
-        return _note(spark, dataset, model, "segment_balance", "WARN", "no segment column")
-    big = F.col("smallest") >= lim["min_segment_size"]
+    spark = tables[0].df.sparkSession
+    notes = [(t.name, m, "segment_balance", "WARN", None, "no segment column")
+             for t in tables if not t.of("segment") for m in t.models if m in limits]
+    having = [t for t in tables if t.of("segment")]
+    found = inline_rows(spark, CHECK_SHAPE, notes)
+    if not having:
+        return found
+    asked = _per_model(inline_rows(spark, {"dataset": "string"}, [(t.name,) for t in having]),
+                       limits, least=lambda x: x["min_segment_size"],
+                       uneven=lambda x: float(x["max_imbalance_ratio"]))
+    sizes = asked.join(segment_sizes(having, limits), ["dataset", "model"], "left")
+    there = F.col("name").isNotNull()
+    big = F.col("smallest") >= F.col("least")
     row = F.struct("name", "n_groups", "smallest", "imbalance")
-    facts = sizes.agg(
+    facts = sizes.groupBy("dataset", "model", "uneven").agg(
         F.min_by(F.when(big, row), F.when(big, F.col("ordinal"))).alias("first"),
-        F.max_by(row, F.struct("smallest", -F.col("ordinal"))).alias("best"),
-    ).withColumns({"dataset": F.lit(dataset), "model": F.lit(model)})
-    found, none = F.col("first").isNotNull(), F.col("best").isNull()
-    even = F.col("first.imbalance") <= lim["max_imbalance_ratio"]
-    return facts.select(*_result(
+        F.max_by(F.when(there, row), F.when(there, F.struct("smallest", -F.col("ordinal"))))
+        .alias("best"))
+    chosen, none = F.col("first").isNotNull(), F.col("best").isNull()
+    even = F.col("first.imbalance") <= F.col("uneven")
+    return found.unionByName(facts.select(*_result(
         "segment_balance",
-        F.when(none, "WARN").when(found & even, "PASS").when(found, "WARN").otherwise("FAIL"),
-        F.when(found, F.round("first.imbalance", 2))
+        F.when(none, "WARN").when(chosen & even, "PASS").when(chosen, "WARN").otherwise("FAIL"),
+        F.when(chosen, F.round("first.imbalance", 2))
         .otherwise(F.col("best.smallest").cast("double")),
         F.when(none, "no segment column in the data")
-        .when(found, F.format_string("'%s': %d groups, ratio %.1f", "first.name",
-                                     "first.n_groups", "first.imbalance"))
+        .when(chosen, F.format_string("'%s': %d groups, ratio %.1f", "first.name",
+                                      "first.n_groups", "first.imbalance"))
         .otherwise(F.format_string("best segment '%s' has a group of %d rows", "best.name",
-                                   "best.smallest"))))
+                                   "best.smallest")))))
 
 
 def lag_correlation(series: DataFrame, date: str, value: str, keys: list[str] | None = None,
@@ -333,21 +410,14 @@ def lag_correlation(series: DataFrame, date: str, value: str, keys: list[str] |
         *(keys or []), "n", "a.lag", "a.acf")
 
 
-def autocorrelation(calendar: DataFrame, dataset: str, measure: str | None,
-                    limits: dict[str, dict]) -> DataFrame:
-    """Lag-1 correlation of the rolled-up measure in the model's window."""
-    if measure is None:
-        return reduce(DataFrame.unionByName, [
-            _note(calendar.sparkSession, dataset, m, "autocorrelation", "WARN",
-                  "no measure column") for m in limits])
-    present = calendar.where(F.col(measure).isNotNull())
-    stepped = _stepped(present, limits, measure)
-    earlier = F.when(F.col("paired"), F.col(f"{measure}|before"))
-    facts = stepped.groupBy("model").agg(
-        F.count("*").alias("n"), safe_corr(F.col(measure), earlier, 2).alias("acf"))
-    facts = _per_model(facts.withColumnRenamed("model", "of").withColumn(
-        "dataset", F.lit(dataset)), limits, weakest=lambda x: x["min_acf_lag1"]).where(
-        F.col("of") == F.col("model"))
+def autocorrelation(calendar: DataFrame, limits: dict[str, dict]) -> DataFrame:
+    """Lag-1 correlation of the rolled-up measure (``value``) in the model's window."""
+    stepped = _stepped(calendar.where("value IS NOT NULL"), limits, "value")
+    earlier = F.when(F.col("paired"), F.col("value|before"))
+    facts = stepped.groupBy("dataset", "model").agg(
+        F.count("*").alias("n"), safe_corr(F.col("value"), earlier, 2).alias("acf"))
+    facts = _per_model(facts.withColumnRenamed("model", "of"), limits,
+                       weakest=lambda x: x["min_acf_lag1"]).where(F.col("of") == F.col("model"))
     few = (F.col("n") < 10) | F.col("acf").isNull()
     weak = F.abs("acf") < F.col("weakest")
     return facts.select(*_result(
@@ -356,76 +426,81 @@ def autocorrelation(calendar: DataFrame, dataset: str, measure: str | None,
         F.when(few, "too few periods").otherwise(F.format_string("lag-1 r=%.3f", "acf"))))
 
 
-def min_row_count(calendar: DataFrame, dataset: str, limits: dict[str, dict]) -> DataFrame:
-    """Rows in the model's window."""
-    newest = calendar.select(F.max("date")).scalar()
-    counted = calendar.withColumn("newest", newest).agg(*[
-        F.coalesce(F.sum(F.when(F.col("date") >= cutoff(lim["window_years"]),
-                                F.col("n_rows"))), F.lit(0)).alias(m)
-        for m, lim in limits.items()])
-    rows = F.array(*[
-        F.struct(F.lit(m).alias("model"), F.col(m).alias("n"), F.lit(lim.get(
+def min_row_count(calendar: DataFrame, names: DataFrame, limits: dict[str, dict]) -> DataFrame:
+    """Rows in the model's window; ``names`` lists the datasets, those without a date included."""
+    counted = _with_newest(calendar).groupBy("dataset").agg(F.array(*[
+        F.sum(F.when(F.col("date") >= cutoff(lim["window_years"]), F.col("n_rows")))
+        for lim in limits.values()]).alias("counts"))
+    offers = F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(m).alias("model"), F.lit(lim.get(
             "min_rows", lim.get("min_weeks", lim["min_row_count"]))).alias("need"))
-        for m, lim in limits.items()])
-    facts = counted.select(F.lit(dataset).alias("dataset"), F.explode(rows).alias("r")).select(
-        "dataset", "r.*")
+        for i, (m, lim) in enumerate(limits.items())])
+    facts = names.join(counted, "dataset", "left").withColumn("r", F.explode(offers)).select(
+        "dataset", "r.*", F.coalesce(F.get("counts", F.col("r.place")), F.lit(0)).alias("n"))
     return facts.select(*_result(
         "min_row_count", F.when(F.col("n") < F.col("need"), "FAIL").otherwise("PASS"),
         F.col("n"), F.format_string("%d rows, %d needed", "n", "need")))
 
 
-def quality_checks(df: DataFrame, dataset: str, profiles: DataFrame, calendar: DataFrame,
-                   date: str, subtypes: dict[str, str], models: list[str],
+CHECK_SHAPE = {"dataset": "string", "model": "string", "check_name": "string",
+               "status": "string", "metric": "double", "detail": "string"}
+
+
+def quality_checks(tables: list[Table], profiles: DataFrame, calendar: DataFrame,
                    limits: dict | None = None) -> DataFrame:
-    """Every check of every model as rows. ``subtypes`` is in column order.
+    """Every check of every table and model as rows.
 
-    ``profiles`` and ``calendar`` are read by many checks and should be stored stages.
+    ``profiles`` and ``calendar`` hold all tables; they are read by many checks and should be
+    stored stages. The calendar's ``value`` is the rolled-up `Table.measure`.
     """
-    spark = df.sparkSession
-    of = lambda *kinds: [c for c, s in subtypes.items() if s in kinds and c in df.columns]
-    metrics = of("measure", "channel", "unclassified_metric")
-    channels, segments = of("channel"), of("segment")
-    measure = next(iter(of("measure")), None)
-    all_limits = {m: limits_for(m, limits) for m in models}
+    spark = calendar.sparkSession
+    all_limits = {m: limits_for(m, limits) for t in tables for m in t.models}
     wanting = lambda check: {m: lim for m, lim in all_limits.items()
                              if check in (lim.get("checks") or [])}
-    grain = profiles.where(F.col("name") == date).select("date_grain").scalar()
+    names = inline_rows(spark, {"dataset": "string", "date_column": "string"},
+                        [(t.name, t.date) for t in tables])
+    notes = []
+
+    def either(there, check, status, text, make):
+        """The check of tables that have what it reads; a note for the others."""
+        having = [t for t in tables if there(t)]
+        notes.extend((t.name, m, check, status, None, text)
+                     for t in tables if t not in having for m in t.models if m in wanting(check))
+        return make(having) if having else inline_rows(spark, CHECK_SHAPE, [])
+
+    def grains():
+        found = profiles.select("dataset", F.col("name").alias("date_column"),
+                                F.col("date_grain").alias("given"))
+        return names.join(found, ["dataset", "date_column"], "left").drop("date_column")
+
     makers = {
         "fill_rate": lambda x: fill_rate(profiles, x),
         "distribution_shape": lambda x: distribution_shape(profiles, x),
-        "zero_variance": lambda x: zero_variance(
-            window_spreads(df, date, metrics, x, calendar), dataset, x,
-        ) if metrics else reduce(DataFrame.unionByName, [
-            _note(spark, dataset, m, "zero_variance", "PASS", "no measure or channel columns")
-            for m in x]),
-        "date_continuity": lambda x: date_continuity(calendar, dataset, grain, x),
-        "channel_collinearity": lambda x: reduce(DataFrame.unionByName, [
-            channel_collinearity(recent(df, date, calendar, lim["window_years"]), dataset, m,
-                                 channels, lim)
-            for m, lim in x.items()]),
-        "segment_balance": lambda x: reduce(DataFrame.unionByName, [
-            segment_balance(
-                segment_sizes(recent(df, date, calendar, lim["window_years"]), segments)
-                if segments else None, dataset, m, lim, spark)
-            for m, lim in x.items()]),
-        "autocorrelation": lambda x: autocorrelation(calendar, dataset, measure, x),
-        "min_row_count": lambda x: min_row_count(calendar, dataset, x),
+        "zero_variance": lambda x: either(
+            lambda t: t.metrics, "zero_variance", "PASS", "no measure or channel columns",
+            lambda having: zero_variance(window_spreads(having, x), x)),
+        "date_continuity": lambda x: date_continuity(calendar, grains(), x),
+        "channel_collinearity": lambda x: channel_collinearity(tables, x),
+        "segment_balance": lambda x: segment_balance(tables, x),
+        "autocorrelation": lambda x: either(
+            lambda t: t.measure, "autocorrelation", "WARN", "no measure column",
+            lambda having: autocorrelation(calendar, x)),
+        "min_row_count": lambda x: min_row_count(calendar, names.select("dataset"), x),
     }
     rows = [make(wanting(check)).select(*CHECK_COLUMNS)
             for check, make in makers.items() if wanting(check)]
-    for m, lim in all_limits.items():
-        if not lim.get("checks"):
-            rows.append(_note(spark, dataset, m, "no_checks", "PASS", "no checks configured"))
-        rows += [_note(spark, dataset, m, c, "WARN", "unknown check")
-                 for c in lim.get("checks") or [] if c not in makers]
-    return reduce(DataFrame.unionByName, rows)
-
-
-def _note(spark, dataset, model, check, status, text, metric=None):
-    return inline_rows(spark, {
-        "dataset": "string", "model": "string", "check_name": "string", "status": "string",
-        "metric": "double", "detail": "string"},
-        [(dataset, model, check, status, metric, text)])
+    for t in tables:
+        for m in t.models:
+            checks = all_limits[m].get("checks") or []
+            if not checks:
+                notes.append((t.name, m, "no_checks", "PASS", None, "no checks configured"))
+            notes += [(t.name, m, c, "WARN", None, "unknown check")
+                      for c in checks if c not in makers]
+    # Limits are by model: rows of models that a table is not routed to go.
+    routed = inline_rows(spark, {"dataset": "string", "model": "string"},
+                         [(t.name, m) for t in tables for m in t.models])
+    every = reduce(DataFrame.unionByName, [*rows, inline_rows(spark, CHECK_SHAPE, notes)])
+    return every.join(F.broadcast(routed), ["dataset", "model"], "left_semi").select(*CHECK_COLUMNS)
 
 
 def _worst(status: Column) -> Column:

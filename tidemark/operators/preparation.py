@@ -48,13 +48,19 @@ def transform(df: DataFrame, model: str, suggestions: dict[str, list[str]],
 
 # The settings each model starts from.
 START_SETTINGS = {
-    "BOCPD": {"hazard": "0.004", "truncate": "500", "observation_model": "StudentT"},
-    "MMM": {"baseline_formula": "intercept + seasonality"},
+    "BOCPD": {"hazard": "0.004", "truncate": "500", "observation_model": "StudentT",
+              "note": "Tune hazard based on expected changepoint frequency; 1/250 ≈ one change "
+                      "per ~5 years weekly."},
+    "MMM": {"baseline_formula": "intercept + seasonality",
+            "note": "Add adstock/lag transforms for spend columns before fitting."},
     "PSI": {"reference_period": "first quartile of date range",
             "comparison_period": "last quartile of date range", "n_bins": "10",
-            "psi_threshold": "0.2"},
+            "psi_threshold": "0.2",
+            "note": "PSI < 0.1 = stable; 0.1–0.2 = moderate shift; > 0.2 = significant drift."},
     "ARIMA": {"order_p": "check PACF", "order_d": "1", "order_q": "check ACF",
-              "seasonal_period": "52"},
+              "seasonal_period": "52",
+              "framework_options": "statsmodels SARIMA, Prophet, NeuralProphet",
+              "note": "Run ADF test on target series first; d=1 if non-stationary."},
 }
 
 
@@ -75,6 +81,34 @@ def tune_hints(df: DataFrame, model: str) -> dict[str, str]:
     return START_SETTINGS[model] | found
 
 
+def profiled_suggestions(profiles: DataFrame) -> dict[str, dict[str, list[str]]]:
+    """dataset -> column -> the transforms its profile suggests; a row per column."""
+    found: dict[str, dict[str, list[str]]] = {}
+    for r in profiles.select("dataset", "name", "suggested_transforms").collect():
+        found.setdefault(r["dataset"], {})[r["name"]] = list(r["suggested_transforms"])
+    return found
+
+
+def daily_dates(profiles: DataFrame) -> dict[str, str]:
+    """dataset -> its first date column with a grain, where that grain is daily."""
+    dated = profiles.where("date_grain is not null").groupBy("dataset").agg(
+        F.min_by(F.struct("name", "date_grain"), "ordinal").alias("first"))
+    return {r["dataset"]: r["name"] for r in
+            dated.where("first.date_grain = 'daily'").select("dataset", "first.name").collect()}
+
+
+def prepared(tables: dict[str, tuple[DataFrame, dict[str, str], list[str]]],
+             profiles: DataFrame) -> dict[tuple[str, str], DataFrame]:
+    """(dataset, model) -> the model's input, prepared by the table's own profile.
+
+    ``tables`` are (table, subtypes, models). Suggested transforms and the daily grain come from
+    ``profiles``; both are names and come to the driver once for all tables.
+    """
+    suggested, daily = profiled_suggestions(profiles), daily_dates(profiles)
+    return {(n, m): transform(prepare(df, m, subtypes), m, suggested.get(n, {}), daily.get(n))
+            for n, (df, subtypes, models) in tables.items() for m in models}
+
+
 def model_summary(df: DataFrame, dataset: str, model: str, subtypes: dict[str, str],
                   suggestions: dict[str, list[str]], daily_date: str | None = None) -> DataFrame:
     """Prepare, transform and count: one row per dataset and model."""

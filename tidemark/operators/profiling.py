@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import knowledge as K
-from tidemark.functions.dates import median_gaps
+from tidemark.functions.dates import gaps_by, moment_of
 from tidemark.functions.names import contains_any, type_family
 from tidemark.functions.numbers import (
-    clean_float, distinct_counts, exact_quantiles, long_values, number_of)
+    clean_float, count_distinct_keys, distinct_keys, exact_quantiles, long_values, number_of)
+from tidemark.session import inline_rows
 
 
 def column_shapes(df: DataFrame, measures: list[str]) -> DataFrame:
@@ -55,17 +58,23 @@ def outlier_rates(df: DataFrame, measures: list[str],
                   quartiles: DataFrame | None = None) -> DataFrame:
     """Median, quartiles and the share of values beyond 1.5 interquartile ranges."""
     values = long_values(df, measures).where("value IS NOT NULL")
+    return outliers_by(values, ["name"], quartiles)
+
+
+def outliers_by(values: DataFrame, keys: list[str],
+                quartiles: DataFrame | None = None) -> DataFrame:
+    """`outlier_rates` of stacked values, per key."""
     if quartiles is None:
-        quartiles = exact_quantiles(values, ["name"], "value", [0.25, 0.5, 0.75])
+        quartiles = exact_quantiles(values, keys, "value", [0.25, 0.5, 0.75])
     at = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
-    wide = quartiles.groupBy("name").agg(
+    wide = quartiles.groupBy(*keys).agg(
         at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     outside = (F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach)
     # One row per measure column: bounded by the schema.
     return (
-        values.join(F.broadcast(wide), "name")
-        .groupBy("name", "q1", "median", "q3")
+        values.join(F.broadcast(wide), keys)
+        .groupBy(*keys, "q1", "median", "q3")
         .agg(F.avg(outside.cast("double")).alias("outlier_rate")))
 
 
@@ -101,28 +110,111 @@ def column_profile(df: DataFrame, subtypes: dict[str, str], dataset: str,
 
     Without ``spread`` the quantile passes are left out (median and outlier rate are null).
     """
-    measures = [c for c in df.columns
-                if subtypes.get(c) in ("measure", "unclassified_metric")]
-    dates = [c for c in df.columns if subtypes.get(c) == "date"]
-    stats = column_shapes(df, measures).join(
-        F.broadcast(distinct_counts(df, df.columns)
-                    .withColumnRenamed("n_distinct", "unique_count")), "name", "left")
-    if measures and spread:
-        stats = stats.join(F.broadcast(outlier_rates(df, measures)), "name", "left")
+    return column_profiles({dataset: (df, subtypes)}, spread)
+
+
+MEASURES = ("measure", "unclassified_metric")
+AT = ["dataset", "ordinal"]
+
+
+def column_profiles(tables: dict[str, tuple[DataFrame, dict[str, str]]],
+                    spread: bool = True) -> DataFrame:
+    """`column_profile` of many tables, each (table, subtypes), with as many jobs as of one.
+
+    Columns share positions and rows carry their table's name, so every statistic is one
+    aggregation for all tables. The driver handles names only.
+    """
+    spark = next(iter(tables.values()))[0].sparkSession
+    kinds = {n: {f.name: f.dataType for f in df.schema} for n, (df, _) in tables.items()}
+    measures = {n: [c for c in df.columns if subtypes.get(c) in MEASURES]
+                for n, (df, subtypes) in tables.items()}
+    columns = inline_rows(
+        spark, {"dataset": "string", "ordinal": "int", "name": "string", "dtype": "string",
+                "dtype_family": "string", "subtype": "string", "place": "int"},
+        [(n, i, c, kinds[n][c].simpleString(), type_family(kinds[n][c]),
+          subtypes.get(c, "unknown"), measures[n].index(c) if c in measures[n] else None)
+         for n, (df, subtypes) in tables.items() for i, c in enumerate(df.columns)])
+    stats = columns.join(F.broadcast(_shapes(tables, measures)), "dataset", "left")
+    here = lambda group, i: F.get(F.col(group), F.col(i))
+    moments = here("moments", "place")
+    several = moments["numbers"] > 1
+    stats = stats.withColumn(
+        "null_pct", 1 - F.try_divide(here("filled", "ordinal"), F.col("rows"))).withColumns(
+        {c: F.when(several, moments[c])
+         for c in ("skewness", "kurtosis", "value_max", "mean", "std")})
+    # What is joined below has a row per column: bounded by the schemas.
+    distinct = count_distinct_keys(_stacked(tables, lambda n, df: [
+        (i, k) for i, k in enumerate(distinct_keys(df, df.columns))]), AT)
+    stats = stats.join(F.broadcast(distinct), AT, "left")
+    if spread and any(measures.values()):
+        values = _stacked(tables, lambda n, df: [
+            (df.columns.index(c), _number(df, c)) for c in measures[n]])
+        stats = stats.join(F.broadcast(outliers_by(values.where("value IS NOT NULL"), AT)),
+                           AT, "left")
     else:
-        stats = stats.select("*", *[F.lit(None).cast("double").alias(c)
-                                    for c in ("q1", "median", "q3", "outlier_rate")])
-    if dates:
-        stats = stats.join(F.broadcast(
-            median_gaps(df, dates).select("name", "date_grain")), "name", "left")
+        stats = stats.withColumns({c: F.lit(None).cast("double")
+                                   for c in ("median", "outlier_rate")})
+    dates = {n: [c for c in df.columns if subtypes.get(c) == "date"]
+             for n, (df, subtypes) in tables.items()}
+    if any(dates.values()):
+        moments = _stacked(tables, lambda n, df: [
+            (df.columns.index(c), moment_of(df, c)) for c in dates[n]])
+        grains = gaps_by(moments.withColumnRenamed("value", "at"), AT)
+        stats = stats.join(F.broadcast(grains.select(*AT, "date_grain")), AT, "left")
     else:
         stats = stats.withColumn("date_grain", F.lit(None).cast("string"))
-    pairs = [F.lit(x) for item in subtypes.items() for x in item]
-    subtype = F.coalesce(F.create_map(*pairs)[F.col("name")], F.lit("unknown")) if pairs \
-        else F.lit("unknown")
     return stats.select(
-        F.lit(dataset).alias("dataset"), "ordinal", "name", "dtype", "dtype_family",
-        subtype.alias("subtype"), "null_pct", F.coalesce("unique_count", F.lit(0))
-        .alias("unique_count"), "skewness", "kurtosis", "value_max", "mean", "median", "std",
-        "outlier_rate", "date_grain",
+        "dataset", "ordinal", "name", "dtype", "dtype_family", "subtype", "null_pct",
+        F.coalesce("n_distinct", F.lit(0)).alias("unique_count"), "skewness", "kurtosis",
+        "value_max", "mean", "median", "std", "outlier_rate", "date_grain",
     ).withColumn("suggested_transforms", suggested_transforms(F.col("subtype")))
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    is_text = type_family(df.schema[column].dataType) == "string"
+    return number_of(F.col(f"`{column}`"), is_text)
+
+
+def _stacked(tables, values) -> DataFrame:
+    """(dataset, ordinal, value) rows of what ``values(name, table)`` lists."""
+    parts = []
+    for n, (df, _) in tables.items():
+        listed = values(n, df)
+        if listed:
+            rows = F.array(*[F.struct(F.lit(i).alias("ordinal"), v.alias("value"))
+                             for i, v in listed])
+            parts.append(df.select(F.lit(n).alias("dataset"), F.explode(rows).alias("r"))
+                         .select("dataset", "r.*"))
+    return reduce(DataFrame.union, parts)
+
+
+def _shapes(tables, measures: dict[str, list[str]]) -> DataFrame:
+    """Per table: rows, filled rows of its columns, and moments of its measures, in one pass."""
+    wide = max(len(df.columns) for df, _ in tables.values())
+    deep = max(map(len, measures.values()))
+    nothing = F.lit(None).cast("double")
+
+    def filled(df, i):
+        if i >= len(df.columns):
+            return F.lit(None).cast("boolean")
+        c = F.col(f"`{df.columns[i]}`")
+        if df.dtypes[i][1] in ("float", "double"):
+            c = clean_float(c)
+        return F.when(c.isNotNull(), True)
+
+    stacked = reduce(DataFrame.union, [
+        df.select(F.lit(n).alias("dataset"), *[filled(df, i).alias(f"f{i}") for i in range(wide)],
+                  *[(_number(df, measures[n][k]) if k < len(measures[n]) else nothing)
+                    .alias(f"x{k}") for k in range(deep)])
+        for n, (df, _) in tables.items()])
+
+    def moments(x):
+        return F.struct(F.count(x).alias("numbers"), F.skewness(x).alias("skewness"),
+                        F.kurtosis(x).alias("kurtosis"), F.max(x).alias("value_max"),
+                        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
+
+    shape = ("array<struct<numbers:bigint,skewness:double,kurtosis:double,value_max:double,"
+             "mean:double,std:double>>")
+    return stacked.groupBy("dataset").agg(
+        F.count("*").alias("rows"), F.array(*[F.count(f"f{i}") for i in range(wide)]).alias("filled"),
+        F.array(*[moments(F.col(f"x{k}")) for k in range(deep)]).cast(shape).alias("moments"))

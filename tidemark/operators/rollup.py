@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import knowledge as K
@@ -151,3 +153,36 @@ def calendar_rollup(df: DataFrame, date: str, measures: list[str]) -> DataFrame:
     return df.where(F.col(date).isNotNull()).groupBy(
         F.col(date).cast("date").alias("date")).agg(
         F.count("*").alias("n_rows"), *[_rolled(c) for c in measures])
+
+
+def calendars(tables: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """``dataset, date, n_rows, v0, v1, ..`` of many tables, each (table, date column, measures).
+
+    The measures of all tables share positions, so one rollup does for any number of tables;
+    `calendar_of` gives one table's with its own names. Its size is the calendar's.
+    """
+    width = max([len(measures) for _, _, measures in tables.values()], default=0)
+    nothing = F.lit(None).cast("double")
+    stacked = reduce(DataFrame.union, [
+        df.where(F.col(date).isNotNull()).select(
+            F.lit(name).alias("dataset"), F.col(date).cast("date").alias("date"),
+            *[(clean_float(F.col(f"`{measures[i]}`")) if i < len(measures) else nothing)
+              .alias(f"x{i}") for i in range(width)])
+        for name, (df, date, measures) in tables.items()])
+
+    def rolled(i):
+        by_mean = [n for n, (_, _, measures) in tables.items()
+                   if i < len(measures) and _is_mean(measures[i])]
+        there = [n for n, (_, _, measures) in tables.items() if i < len(measures)]
+        total = F.when(F.col("dataset").isin(*there), F.coalesce(F.sum(f"x{i}"), F.lit(0.0)))
+        return (F.when(F.col("dataset").isin(*by_mean), F.avg(f"x{i}")).otherwise(total)
+                if by_mean else total).alias(f"v{i}")
+
+    return stacked.groupBy("dataset", "date").agg(
+        F.count("*").alias("n_rows"), *[rolled(i) for i in range(width)])
+
+
+def calendar_of(stacked: DataFrame, dataset: str, measures: list[str]) -> DataFrame:
+    """One table's calendar: ``date, n_rows`` and its measures."""
+    return stacked.where(F.col("dataset") == dataset).select(
+        "date", "n_rows", *[F.col(f"v{i}").alias(c) for i, c in enumerate(measures)])

@@ -7,25 +7,26 @@ go through one change-point job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from functools import reduce
+import datetime
+from dataclasses import dataclass, field, replace
+from functools import cached_property, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import knowledge as K
-from tidemark.functions.dates import hazard_of, with_dates
+from tidemark.functions.dates import hazard_of, with_all_dates
+from tidemark.functions.numbers import column_correlations
 from tidemark.operators import attribution as A
 from tidemark.operators import changepoint as C
 from tidemark.operators import gate as G
 from tidemark.operators.features import channel_groups_by_name, market_features
 from tidemark.operators.meaning import column_subtypes, scrub_dead_columns, table_classes
-from tidemark.operators.profiling import column_profile
-from tidemark.operators.rollup import calendar_rollup
+from tidemark.operators.profiling import column_profiles
+from tidemark.operators.rollup import calendars
 from tidemark.operators.routing import duplicate_signals, model_routes, star_keys
-from tidemark.operators.selection import (
-    best_date, candidate_windows, dedup_measures, ranked_measures)
+from tidemark.operators.selection import best_date, ranked_measures
 from tidemark.session import inline_rows, stage
 from tidemark.sources.catalog import column_catalog
 
@@ -38,42 +39,77 @@ def union(frames: list[DataFrame]) -> DataFrame:
 
 @dataclass
 class Metadata:
-    """Metadata tables of one catalog."""
-
-    catalog: DataFrame
-    specs: DataFrame
-    classes: DataFrame
-    keys: DataFrame
-    routes: DataFrame
-    duplicates: DataFrame
+    """Metadata tables of one catalog, each made when it is first asked for.
+
+    Those that others read (a row per column or less) are stored once.
+    """
+
+    spark: SparkSession
+    datasets: dict[str, DataFrame]
     datamarts: DataFrame | None = None
+    hints: dict | None = None
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return column_catalog(self.spark, self.datasets)
+
+    @cached_property
+    def specs(self) -> DataFrame:
+        return stage(column_subtypes(self.catalog, hints=self.hints))
+
+    @cached_property
+    def classes(self) -> DataFrame:
+        return stage(table_classes(self.specs, self.datamarts))
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        return stage(star_keys(self.specs, self.classes))
+
+    @cached_property
+    def routes(self) -> DataFrame:
+        return stage(model_routes(self.specs, self.classes, self.datamarts, keys=self.keys))
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        return duplicate_signals(self.specs, self.classes, self.routes)
 
 
 def describe(spark: SparkSession, datasets: dict[str, DataFrame],
              datamarts: DataFrame | None = None, hints: dict | None = None) -> Metadata:
-    # One row per column: stored once, because every metadata table below reads it.
-    catalog = stage(column_catalog(spark, datasets))
-    specs = stage(column_subtypes(catalog, hints=hints))
-    classes = stage(table_classes(specs, datamarts))
-    keys = stage(star_keys(specs, classes))
-    routes = model_routes(specs, classes, datamarts, keys=keys)
-    return Metadata(catalog, specs, classes, keys, routes,
-                    duplicate_signals(specs, classes, routes), datamarts)
+    return Metadata(spark, datasets, datamarts, hints)
 
 
 @dataclass
 class Fact:
-    """What the driver knows of one routed fact: names only."""
+    """What the driver knows of one routed fact: names, and its last date."""
 
     dataset: str
     df: DataFrame
     subtypes: dict[str, str]
     models: list[str]
-    profiles: DataFrame
     date: str | None = None
     measures: list[str] = field(default_factory=list)
+    newest: datetime.date | None = None
+
+    def table(self) -> G.Table:
+        return G.Table(self.dataset, self.df, self.date, self.subtypes, self.models, self.newest)
+
+
+@dataclass
+class Facts:
+    """All routed facts with their stored profiles and calendars, one table for all of each.
+
+    Every step below is one plan over these, so the number of jobs is that of a single fact.
+    """
+
+    facts: list[Fact]
+    profiles: DataFrame | None = None
     calendar: DataFrame | None = None
 
+    @property
+    def dated(self) -> list[Fact]:
+        return [f for f in self.facts if f.date]
+
 
 class Errors(list):
     """(dataset, model, text) of what failed; one broken dataset must not end the run."""
@@ -83,112 +119,187 @@ class Errors(list):
         try:
             return make()
         except (PySparkException, Py4JJavaError, ValueError) as error:
-            text = str(error).strip().split("\n")[0][:500]
+            text = str(error).strip()
             self.extend((dataset, m, text) for m in models)
             return None
 
+    def together(self, parts: dict[str, list[str]], make):
+        """``make(names)`` for all parts (name -> models) in one go.
+
+        Only if that fails is every part tried alone, and the sound ones made together again; the
+        errors of the others are noted. None if no part is sound.
+        """
+        if not parts:
+            return None
+        found = Errors().attempt("", [""], lambda: make(list(parts)))
+        if found is not None:
+            return found
+        sound = [n for n, models in parts.items()
+                 if self.attempt(n, models, lambda: [make([n])]) is not None]
+        return make(sound) if sound else None
+
     def rows(self, spark: SparkSession) -> DataFrame:
         return inline_rows(spark, {"dataset": "string", "model": "string", "error": "string"}, self)
 
 
 def routed_facts(metadata: Metadata, datasets: dict[str, DataFrame],
-                 models: list[str] | None = None, errors: Errors | None = None) -> list[Fact]:
+                 models: list[str] | None = None, errors: Errors | None = None) -> Facts:
     """Facts with a route to one of the chosen models, profiled, with ranked measures.
 
-    Date columns of any kind become dates first. A fact without a usable date column is kept;
-    its ``date`` is None and `undated` says so in the outcomes.
+    Only ``datasets`` take part, whatever else is described. Date columns of any kind become
+    dates first. A fact without a usable date column is kept;
+    its ``date`` is None and `gate` says so in the outcomes.
     """
     errors = Errors() if errors is None else errors
     specs = metadata.specs.orderBy("dataset", "ordinal").collect()
     routes = metadata.routes.orderBy("dataset", "route_rank").collect()
-    facts = []
+    facts = {}
     for name in dict.fromkeys(r["dataset"] for r in routes):
         chosen = [r["model"] for r in routes
                   if r["dataset"] == name and (not models or r["model"] in models)]
-        if not chosen:
-            continue
-        subtypes = {s["name"]: s["subtype"] for s in specs if s["dataset"] == name}
-        dated = with_dates(datasets[name], [c for c, s in subtypes.items() if s == "date"])
-        profiles = errors.attempt(
-            name, chosen, lambda: stage(column_profile(dated, subtypes, name)))
-        if profiles is not None:
-            facts.append(Fact(name, dated, subtypes, chosen, profiles))
-    if not facts:
-        return facts
-    profiles = union([f.profiles for f in facts])
+        if chosen and name in datasets:
+            subtypes = {s["name"]: s["subtype"] for s in specs if s["dataset"] == name}
+            facts[name] = Fact(name, datasets[name], subtypes, chosen)
+    dated = errors.together({n: f.models for n, f in facts.items()}, lambda names: with_all_dates({
+        n: (facts[n].df, [c for c, s in facts[n].subtypes.items() if s == "date"])
+        for n in names})) or {}
+    facts = {n: replace(facts[n], df=df) for n, df in dated.items()}
+    known = {n: f.models for n, f in facts.items()}
+
+    def profiled(names):
+        return names, stage(column_profiles({n: (facts[n].df, facts[n].subtypes) for n in names}))
+
+    found = errors.together(known, profiled)
+    if found is None:
+        return Facts([])
+    names, profiles = found
     alive = scrub_dead_columns(metadata.specs, profiles)
     dates = {r["dataset"]: r["date_column"] for r in best_date(alive, profiles).collect()}
     ranked = ranked_measures(alive, profiles).orderBy("dataset", "measure_rank").collect()
     dead = {(r["dataset"], r["name"]) for r in alive.where("subtype = 'unknown'").collect()}
-    for f in facts:
-        f.date = dates.get(f.dataset)
-        f.measures = [r["name"] for r in ranked if r["dataset"] == f.dataset]
-        f.subtypes = {c: ("unknown" if (f.dataset, c) in dead else s)
-                      for c, s in f.subtypes.items()}
-        if f.date:
-            f.calendar = errors.attempt(
-                f.dataset, f.models, lambda: stage(calendar_rollup(f.df, f.date, f.measures)))
-    return [f for f in facts if not f.date or f.calendar is not None]
-
-
-CHECK_SHAPE = {"dataset": "string", "model": "string", "check_name": "string",
-               "status": "string", "metric": "double", "detail": "string"}
+    for n in names:
+        f = facts[n]
+        f.date = dates.get(n)
+        f.measures = [r["name"] for r in ranked if r["dataset"] == n]
+        f.subtypes = {c: ("unknown" if (n, c) in dead else s) for c, s in f.subtypes.items()}
+    dated = {n: known[n] for n in names if facts[n].date}
+    found = errors.together(dated, lambda own: (own, stage(calendars(
+        {n: (facts[n].df, facts[n].date, facts[n].measures) for n in own}))))
+    rolled, calendar = found or ([], None)
+    newest = G.newest_dates(calendar) if rolled else {}
+    for n in rolled:
+        facts[n].newest = newest.get(n)
+    return Facts([facts[n] for n in names if n in rolled or not facts[n].date], profiles, calendar)
+
+
 WINDOW_SHAPE = {"dataset": "string", "model": "string", "years": "int", "cutoff_date": "date",
                 "max_date": "date", "n_rows": "bigint"}
 NO_DATE = "no usable date column"
 
 
-def gate(spark: SparkSession, facts: list[Fact], limits: dict | None = None) -> DataFrame:
-    """Every check of every routed model; one row each. A fact without a date fails them all."""
-    rows = [(f.dataset, m, "date_column", "FAIL", None, NO_DATE)
-            for f in facts if not f.date for m in f.models]
-    return union([inline_rows(spark, CHECK_SHAPE, rows)] + [
-        G.quality_checks(f.df, f.dataset, f.profiles, f.calendar, f.date, f.subtypes, f.models,
-                         limits)
-        for f in facts if f.date
-    ])
+def measure_value(facts: list[Fact], chosen) -> Column:
+    """The calendar's value of one measure per fact; ``chosen(fact)`` names it or is None."""
+    value = F.lit(None).cast("double")
+    for f in facts:
+        if chosen(f) in f.measures:
+            value = F.when(F.col("dataset") == f.dataset,
+                           F.col(f"v{f.measures.index(chosen(f))}")).otherwise(value)
+    return value
 
 
-def windows(spark: SparkSession, facts: list[Fact]) -> DataFrame:
+def gate(spark: SparkSession, known: Facts, limits: dict | None = None) -> DataFrame:
+    """Every check of every routed model; one row each. A fact without a date fails them all."""
+    rows = inline_rows(spark, G.CHECK_SHAPE, [
+        (f.dataset, m, "date_column", "FAIL", None, NO_DATE)
+        for f in known.facts if not f.date for m in f.models])
+    tables = [f.table() for f in known.dated]
+    if not tables:
+        return rows
+    here = F.col("dataset").isin(*[t.name for t in tables])
+    measures = {t.name: t.measure for t in tables}
+    calendar = known.calendar.where(here).select("dataset", "date", "n_rows", measure_value(
+        known.dated, lambda f: measures[f.dataset]).alias("value"))
+    return rows.unionByName(
+        G.quality_checks(tables, known.profiles.where(here), calendar, limits))
+
+
+def windows(spark: SparkSession, known: Facts) -> DataFrame:
     """Date window per dataset and model that has one."""
-    years = {f.dataset: {m: G.limits_for(m).get("window_years", 0) for m in f.models}
-             for f in facts}
-    return union([inline_rows(spark, WINDOW_SHAPE, [])] + [
-        candidate_windows(f.calendar, years[f.dataset])
-        .select(F.lit(f.dataset).alias("dataset"), "*")
-        for f in facts if f.date and any(y > 0 for y in years[f.dataset].values())
-    ])
-
-
-def recent_rows(f: Fact, model: str) -> DataFrame:
-    return G.recent(f.df, f.date, f.calendar, G.limits_for(model)["window_years"])
-
-
-def kept_measures(f: Fact, model: str, threshold: float) -> list[str]:
-    rows = dedup_measures(recent_rows(f, model), f.measures, threshold).where("kept")
-    return [r["name"] for r in rows.orderBy("measure_rank").collect()]
-
-
-def change_series(facts: list[Fact]) -> DataFrame:
-    """Long series (dataset, measure, date, value, log_value, hazard) of facts' measures."""
+    years = {m: G.limits_for(m).get("window_years", 0) for f in known.dated for m in f.models}
+    offers = [(f.dataset, m, years[m], f.newest) for f in known.dated for m in f.models
+              if years[m] > 0 and f.newest]
+    if not offers:
+        return inline_rows(spark, WINDOW_SHAPE, [])
+    asked = inline_rows(spark, {"dataset": "string", "model": "string", "years": "int",
+                                "max_date": "date"}, offers)
+    asked = asked.withColumn("cutoff_date", F.add_months("max_date", -12 * F.col("years")))
+    # A row per dataset and model beside one per date.
+    return known.calendar.join(F.broadcast(asked), "dataset").groupBy(
+        "dataset", "model", "years", "cutoff_date", "max_date").agg(
+        F.coalesce(F.sum(F.when(F.col("date") >= F.col("cutoff_date"), F.col("n_rows"))), F.lit(0))
+        .cast("bigint").alias("n_rows"))
+
+
+def kept_measures(facts: list[Fact], thresholds: dict[str, float]) -> dict[tuple[str, str], list[str]]:
+    """(dataset, model) -> the ranked measures that do not move with a better one.
+
+    Correlations of all facts' rows, each inside its model's window, come from one plan; pairs of
+    column names above the threshold come to the driver.
+    """
+    asked = {(f.dataset, m): f for f in facts if f.date for m in thresholds
+             if m in f.models and f.measures}
+    kept = {key: list(f.measures) for key, f in asked.items()}
+    several = {key: f for key, f in asked.items() if len(f.measures) > 1}
+    if not several:
+        return kept
+    width = max(len(f.measures) for f in several.values())
     parts = []
-    for f in facts:
-        measures = kept_measures(f, "BOCPD", 0.85)
-        if not measures:
-            continue
-        years = G.limits_for("BOCPD")["window_years"]
-        rolled = G.windowed(f.calendar, years)
-        grain = f.profiles.where(F.col("name") == f.date).select("date_grain").scalar()
-        skew = f.profiles.select(F.col("name").alias("measure"), "skewness")
-        parts.append(
-            C.long_measures(rolled, [], "date", measures)
-            .join(F.broadcast(skew), "measure")  # one row per column
-            .select(F.lit(f.dataset).alias("dataset"), "measure", "date", "value",
-                    C.transformed_level(F.col("value"), F.col("skewness")).alias("log_value"),
-                    F.when(F.coalesce(F.col("skewness") > 1.5, F.lit(False)), "log1p")
-                    .otherwise("log").alias("target_transform"),
-                    hazard_of(grain).alias("hazard")))
-    return union(parts)
+    for f in {f.dataset: f for f in several.values()}.values():
+        t, models = f.table(), [m for n, m in several if n == f.dataset]
+        inside = F.array_compact(F.array(*[
+            F.when(t.within(G.limits_for(m)["window_years"]), F.lit(m)) for m in models]))
+        parts.append(f.df.select(
+            F.lit(f.dataset).alias("dataset"), F.explode(inside).alias("model"),
+            *[(t.number(f.measures[i]) if i < len(f.measures) else F.lit(None).cast("double"))
+              .alias(f"x{i}") for i in range(width)]))
+    pairs = column_correlations(reduce(DataFrame.union, parts), ["dataset", "model"],
+                                [f"x{i}" for i in range(width)])
+    limit = F.create_map(*[F.lit(x) for item in thresholds.items() for x in item])
+    near = {(r["dataset"], r["model"], int(r["left_name"][1:]), int(r["right_name"][1:]))
+            for r in pairs.where(F.abs("r") > limit[F.col("model")]).collect()}
+    for (dataset, model), f in several.items():
+        chosen: list[int] = []
+        for i in range(len(f.measures)):
+            if not any((dataset, model, k, i) in near for k in chosen):
+                chosen.append(i)
+        kept[dataset, model] = [f.measures[i] for i in chosen]
+    return kept
+
+
+def change_series(known: Facts, facts: list[Fact]) -> DataFrame:
+    """Long series (dataset, measure, date, value, log_value, hazard) of facts' measures."""
+    spark = known.calendar.sparkSession
+    kept = kept_measures(facts, {"BOCPD": 0.85})
+    rows = [(f.dataset, f.date, f.measures.index(c), c)
+            for f in facts for c in kept.get((f.dataset, "BOCPD"), [])]
+    series = inline_rows(spark, {"dataset": "string", "date_column": "string", "place": "int",
+                                 "measure": "string"}, rows)
+    shapes = known.profiles.select("dataset", "name", "skewness", "date_grain")
+    # A row per column of the facts.
+    series = series.join(shapes.select("dataset", F.col("name").alias("measure"), "skewness"),
+                         ["dataset", "measure"]).join(
+        shapes.select("dataset", F.col("name").alias("date_column"), "date_grain"),
+        ["dataset", "date_column"])
+    width = sum(c.startswith("v") for c in known.calendar.columns)
+    values = F.array(*[F.col(f"v{i}").cast("double") for i in range(width)])
+    rolled = G.windowed(known.calendar, G.limits_for("BOCPD")["window_years"])
+    return rolled.select("dataset", "date", values.alias("values")).join(
+        F.broadcast(series), "dataset").withColumn("value", F.get("values", F.col("place"))).select(
+        "dataset", "measure", "date", "value",
+        C.transformed_level(F.col("value"), F.col("skewness")).alias("log_value"),
+        F.when(F.coalesce(F.col("skewness") > 1.5, F.lit(False)), "log1p")
+        .otherwise("log").alias("target_transform"),
+        hazard_of(F.col("date_grain")).alias("hazard"))
 
 
 @dataclass
@@ -203,12 +314,12 @@ class ChangeRun:
 SERIES = ["dataset", "measure"]
 
 
-def run_change_points(facts: list[Fact]) -> ChangeRun | None:
+def run_change_points(known: Facts, facts: list[Fact]) -> ChangeRun | None:
     """One job over every measure of every fact that passed its gate."""
     facts = [f for f in facts if f.measures]
     if not facts:
         return None
-    series = stage(change_series(facts))
+    series = stage(change_series(known, facts))
     probs = C.change_probabilities(
         series.select(*SERIES, "date", "log_value", "hazard"), SERIES, "date", "log_value",
         hazard="hazard")
@@ -246,7 +357,8 @@ def mix_config(metadata: Metadata, f: Fact) -> K.SeriesConfig:
 
 def mix_series(f: Fact, config: K.SeriesConfig, targets: list[str]) -> DataFrame:
     """One row per target and period: channels rolled up once, targets stacked."""
-    rolled = recent_rows(f, "MMM").where(F.col(f.date).isNotNull()).groupBy(
+    inside = f.table().within(G.limits_for("MMM")["window_years"])
+    rolled = f.df.where(inside & F.col(f.date).isNotNull()).groupBy(
         F.col(f.date).cast("date").alias(f.date)
     ).agg(
         *[F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)).alias(c)
@@ -262,10 +374,9 @@ def mix_series(f: Fact, config: K.SeriesConfig, targets: list[str]) -> DataFrame
         F.lit(f.dataset).alias("dataset"), "t.measure", f.date, *channels, "t.target")
 
 
-def run_mix(metadata: Metadata, f: Fact) -> MixRun | None:
+def run_mix(metadata: Metadata, f: Fact, targets: list[str]) -> MixRun | None:
     """Attribution of every kept measure of one fact, all as one set of jobs."""
     config = mix_config(metadata, f)
-    targets = kept_measures(f, "MMM", 0.90)
     if not config.channels or not targets:
         return None
     featured = market_features(mix_series(f, config, targets), config, SERIES)
@@ -285,7 +396,7 @@ class Run:
     """Every table of a finished run."""
 
     metadata: Metadata
-    facts: list[Fact]
+    known: Facts
     checks: DataFrame
     decisions: DataFrame
     windows: DataFrame
@@ -296,30 +407,49 @@ class Run:
 
 def run_insights(spark: SparkSession, datasets: dict[str, DataFrame],
                  datamarts: DataFrame | None = None, models: list[str] | None = None,
-                 limits: dict | None = None) -> Run:
+                 limits: dict | None = None, names: list[str] | None = None,
+                 suppress_duplicates: bool = False) -> Run:
     """Describe, route, gate, then run the models whose gate did not fail.
 
-    With ``models`` only those are gated and run; datasets without one of them have no rows.
+    With ``models`` only those are gated and run; datasets without one of them have no rows. With
+    ``names`` only those datasets are described; an unknown name is an error. Facts that carry the
+    same signal as a wider one are marked in ``metadata.duplicates`` and, if they are to be
+    suppressed, take no further part.
     """
+    if names is not None:
+        unknown = [n for n in names if n not in datasets]
+        if unknown:
+            raise ValueError(f"unknown datasets: {', '.join(unknown)}")
+        datasets = {n: datasets[n] for n in names}
     metadata = describe(spark, datasets, datamarts)
     errors = Errors()
-    facts = routed_facts(metadata, datasets, models, errors)
-    gated = {f.dataset: errors.attempt(f.dataset, f.models, lambda: stage(gate(spark, [f], limits)))
-             for f in facts}
-    facts = [f for f in facts if gated[f.dataset] is not None]
-    checks = union([inline_rows(spark, CHECK_SHAPE, [])] + [gated[f.dataset] for f in facts])
-    decisions = G.model_decisions(checks)
+    suppressed = set()
+    if suppress_duplicates:
+        marked = metadata.duplicates.where("is_duplicate_signal")
+        suppressed = {r["dataset"] for r in marked.select("dataset").collect()}
+    known = routed_facts(metadata, {n: df for n, df in datasets.items() if n not in suppressed},
+                         models, errors)
+    by_name = {f.dataset: f for f in known.facts}
+    routed = {n: f.models for n, f in by_name.items()}
+
+    def subset(names):
+        return Facts([by_name[n] for n in names], known.profiles, known.calendar)
+
+    checks = errors.together(routed, lambda names: stage(gate(spark, subset(names), limits)))
+    if checks is None:
+        checks = inline_rows(spark, G.CHECK_SHAPE, [])
+    decisions = stage(G.model_decisions(checks))
     passed = {(r["dataset"], r["model"]) for r in decisions.where("decision <> 'FAIL'").collect()}
-    mixes = [errors.attempt(f.dataset, ["MMM"], lambda: run_mix(metadata, f))
-             for f in facts if (f.dataset, "MMM") in passed]
-    watched = [f for f in facts if (f.dataset, "BOCPD") in passed]
-    together = Errors()
-    changes = together.attempt("", [""], lambda: run_change_points(watched))
-    if together:  # find the dataset that breaks the common job and go on without it
-        sound = [f for f in watched if errors.attempt(
-            f.dataset, ["BOCPD"], lambda: [run_change_points([f])]) is not None]
-        changes = run_change_points(sound)
-    return Run(metadata, facts, checks, decisions, windows(spark, facts), changes,
+    mixed = [n for n in by_name if (n, "MMM") in passed]
+    targets = errors.together(
+        {n: ["MMM"] for n in mixed},
+        lambda names: kept_measures([by_name[n] for n in names], {"MMM": 0.90})) or {}
+    mixes = [errors.attempt(n, ["MMM"], lambda: run_mix(metadata, by_name[n], targets[n, "MMM"]))
+             for n in mixed if targets.get((n, "MMM"))]
+    watched = {n: ["BOCPD"] for n in by_name if (n, "BOCPD") in passed and by_name[n].measures}
+    changes = errors.together(
+        watched, lambda names: run_change_points(known, [by_name[n] for n in names]))
+    return Run(metadata, known, checks, decisions, windows(spark, known), changes,
                [m for m in mixes if m is not None], errors.rows(spark))
 
 

@@ -6,22 +6,28 @@ change-points or coefficients are given, so that the check does not hang on an e
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import knowledge as K
+from tidemark.functions import curves as CV
 from tidemark.functions import dates as D
-from tidemark.functions.numbers import distinct_counts
+from tidemark.functions.numbers import distinct_counts, long_values
 from tidemark.operators import attribution as A
 from tidemark.operators import changepoint as C
 from tidemark.operators import drift
 from tidemark.operators import features as X
 from tidemark.operators import gate as G
 from tidemark.operators import integration as I
+from tidemark.operators import lags as LG
 from tidemark.operators import meaning as M
+from tidemark.operators import online as ON
 from tidemark.operators import payload as P
+from tidemark.operators import posterior as PO
 from tidemark.operators import preparation as PR
+from tidemark.operators import profile_states as PS
 from tidemark.operators import profiling as PF
 from tidemark.operators import rollup as R
 from tidemark.operators import routing as RT
@@ -32,8 +38,9 @@ from tidemark.plans import insights, report
 from tidemark.plans.gold import (
     CONFIG, ENGAGEMENT_SUBTYPES, EVENT_SUBTYPES, dim_hcp, gold_engagement,
     gold_engagement_step, gold_events, table, tables)
-from tidemark.session import inline_rows, stage, stored_table
+from tidemark.session import inline_rows, stage, stage_folder, stored_table, write_text
 from tidemark.sources.catalog import column_catalog, text_stats
+from tidemark.sources.datamart_spec import parse_spec
 from tidemark.sources.settings import channel_rows
 
 QUERIES: dict = {}
@@ -233,7 +240,6 @@ def train_split(spark, d):
 
 @query
 def organic_flags(spark, d):
-    from dataclasses import replace
     config = replace(CONFIG, organic_cps=(("launch", "1997-01-06"), ("shift", "1999-01-04")))
     return X.market_features(market(spark, d), config).select(
         "week", "flag_launch", "flag_shift")
@@ -267,17 +273,19 @@ def monthly_grain(spark, d):
 
 
 def gappy_weeks(spark, d) -> DataFrame:
-    """Large single orders per priority and week: weeks without one are missing."""
-    orders = table(spark, d, "orders")
-    top = orders.select(F.max("o_totalprice")).scalar()
-    return orders.withColumn("top", top).where(F.col("o_totalprice") > 0.97 * F.col("top")).groupBy(
-        "o_orderpriority", D.week_start(F.col("o_orderdate")).alias("week")).agg(
-        F.round(F.max("o_totalprice"), 2).alias("largest"))
+    """The largest order per customer and week: most weeks of a customer have none."""
+    return table(spark, d, "orders").groupBy(
+        "o_custkey", D.week_start(F.col("o_orderdate")).alias("week")).agg(
+        F.max("o_totalprice").alias("largest"))
 
 
 @query
 def spine_ffill(spark, d):
-    return R.spine_filled(gappy_weeks(spark, d), "week", ["o_orderpriority"], ["largest"])
+    """Every customer's latest weekly maximum, carried over weeks without orders, by week."""
+    full = R.spine_filled(gappy_weeks(spark, d), "week", ["o_custkey"], ["largest"])
+    return full.groupBy("week").agg(
+        F.count("*").alias("n_customers"), F.count("largest").alias("n_known"),
+        F.sum(F.round(F.col("largest") * 100).cast("long")).alias("carried_cents"))
 
 
 # --- profiles ----------------------------------------------------------------------------
@@ -563,16 +571,16 @@ def _checks(spark, d, only: list[str] | None = None) -> DataFrame:
               if not only or set(only) & set(lim["checks"])]
     limits = {m: {**lim, "checks": [c for c in lim["checks"] if not only or c in only]}
               for m, lim in K.MODEL_LIMITS.items()}
-    parts = []
-    for name, df, date, subtypes in _gate_inputs(spark, d):
-        measure = next(c for c, s in subtypes.items() if s == "measure")
-        profile = PF.column_profile(df, subtypes, name, spread=False)
-        if not only or set(only) & {"fill_rate", "distribution_shape", "date_continuity"}:
-            profile = stage(profile)
-        parts.append(G.quality_checks(
-            df, name, profile,
-            stage(R.calendar_rollup(df, date, [measure])), date, subtypes, models, limits))
-    return insights.union(parts)
+    tables = [G.Table(name, df, date, subtypes, models)
+              for name, df, date, subtypes in _gate_inputs(spark, d)]
+    profiles = PF.column_profiles({t.name: (t.df, t.subtypes) for t in tables}, spread=False)
+    if not only or set(only) & {"fill_rate", "distribution_shape", "date_continuity"}:
+        profiles = stage(profiles)
+    calendar = stage(R.calendars({t.name: (t.df, t.date, [t.measure]) for t in tables}))
+    newest = G.newest_dates(calendar)
+    for t in tables:
+        t.newest = newest.get(t.name)
+    return G.quality_checks(tables, profiles, calendar.withColumnRenamed("v0", "value"), limits)
 
 
 def _check(name: str):
@@ -690,10 +698,10 @@ def adstock(spark, d):
 @query
 def adstock_decays(spark, d):
     """Carry-over of weekly visits without decay, nearly whole, and whole."""
-    series = market(spark, d)
-    return series.select("week", *[
-        F.round(A.adstock(F.col("f2f"), decay, decay, [], "week"), 3).alias(name)
-        for name, decay in (("none", 0.0), ("most", 0.99), ("whole", 1.0))])
+    decays = {"none": 0.0, "most": 0.99, "whole": 1.0}
+    out = CV.adstocked(market(spark, d), {n: (F.col("f2f"), x) for n, x in decays.items()},
+                       [], "week")
+    return out.select("week", *[F.round(n, 3).alias(n) for n in decays])
 
 
 @query
@@ -969,6 +977,172 @@ def routing_documents(spark, d):
     return report.routing_documents(_described(spark, d, True))
 
 
+@query
+def suppressed_run(spark, d):
+    """The run on three chosen datasets without those that repeat another one's signal."""
+    catalog = gold_catalog(spark, d)
+    run = insights.run_insights(spark, catalog, models=["PSI"], suppress_duplicates=True,
+                                names=["gold_events", "gold_daily", "dim_hcp"])
+    return insights.model_outcomes(run).select("dataset", "model", "ran", "reason")
+
+
+# --- dates by vote, lags, chains, streams, states ----------------------------------------
+
+WRITTEN = {"named": "dd-MMM-yyyy", "month": "yyyy-MM", "day_first": "dd/MM/yyyy",
+           "month_first": "MM/dd/yyyy", "name_year": "MMM yyyy", "long": "MMMM d, yyyy",
+           "short": "dd.MM.yy"}
+
+
+@query
+def date_forms(spark, d):
+    """Order dates written in seven ways and read back, each column by its own vote."""
+    written = table(spark, d, "orders").select(*[
+        F.date_format("o_orderdate", form).alias(name) for name, form in WRITTEN.items()])
+    read = D.with_dates(written, list(WRITTEN))
+    rows = F.array(*[F.struct(F.lit(c).alias("form"), F.col(c).alias("day")) for c in WRITTEN])
+    return read.select(F.explode(rows).alias("r")).select("r.*").groupBy("form", "day").agg(
+        F.count("*").alias("n"))
+
+
+def _lags(spark, d):
+    return LG.lag_profile(market(spark, d, by_product=True), "week", "sales", ["product"], 6)
+
+
+@query
+def pacf_hints(spark, d):
+    return rounded(_lags(spark, d), acf=5, pacf=5)
+
+
+@query
+def order_hints(spark, d):
+    """Starting orders of a seasonal model per product, from its correlations."""
+    return LG.order_hints(_lags(spark, d), ["product"])
+
+
+def given_chains(spark, d) -> DataFrame:
+    """Weekly orders and their value, a chain for each priority: draws of two parameters."""
+    orders = table(spark, d, "orders")
+    names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    weekly = orders.groupBy(D.week_start(F.col("o_orderdate")).alias("week")).agg(
+        F.array(*[F.struct(
+            F.lit(p).alias("chain"), F.count_if(F.col("o_orderpriority") == p).cast("double")
+            .alias("n_orders"), F.coalesce(F.sum(F.when(F.col("o_orderpriority") == p,
+                                                        F.col("o_totalprice"))), F.lit(0.0))
+            .alias("value")) for p in names]).alias("c"))
+    single = weekly.select("week", F.explode("c").alias("c")).select("week", "c.*")
+    both = F.array(*[F.struct(F.lit(c).alias("parameter"), F.col(c).alias("x"))
+                     for c in ("n_orders", "value")])
+    return single.select("week", "chain", F.explode(both).alias("p")).groupBy(
+        "p.parameter", "chain").agg(F.transform(
+            F.array_sort(F.collect_list(F.struct("week", "p.x"))), lambda s: s["x"]).alias("draws"))
+
+
+@query
+def chain_diagnostics(spark, d):
+    out = PO.diagnostics(given_chains(spark, d), ["parameter"])
+    return rounded(out, mean=3, sd=3, rhat=6, ess_bulk=2)
+
+
+@query
+def mmm_posterior(spark, d):
+    """Sampled coefficients of the market with their diagnostics."""
+    m = stage(matrix(spark, d))
+    draws = stage(PO.posterior_draws(m, CONFIG, ["series"]))
+    return PO.posterior_means(draws, ["series"])
+
+
+@query
+def online_probs(spark, d):
+    """The change-point filter as a stream over files of half a year, in their order."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ON.STATE_STORE)
+    series = stage(market(spark, d, step=True, by_product=True).select(
+        "product", "week", X.log_level(F.col("sales")).alias("log_sales")))
+    priors = stage(C.series_priors(series, ["product"], "week", "log_sales"))
+    files = f"{stage_folder(spark)}/online/{uuid.uuid4().hex}"
+    half = F.year("week") * 2 + (F.month("week") > 6).cast("int")
+    for r in series.select(half.alias("half")).distinct().orderBy("half").collect():
+        # Calendar-sized: one file for each half year, written one after the other.
+        series.where(half == r["half"]).coalesce(1).write.mode("append").parquet(f"{files}/in")
+    stream = spark.readStream.schema(series.schema).option("maxFilesPerTrigger", 4).parquet(
+        f"{files}/in")
+    found = ON.online_probabilities(stream, priors, ["product"], "week", "log_sales")
+    run = (found.writeStream.format("parquet").option("path", f"{files}/out")
+           .option("checkpointLocation", f"{files}/state").trigger(availableNow=True).start())
+    run.awaitTermination()
+    return spark.read.parquet(f"{files}/out").select(
+        "product", "week", F.col("t").cast("int").alias("t"), F.round("log_sales", 6).alias("log_sales"),
+        F.round("cp_prob", 6).alias("cp_prob"), F.round("exp_run_length", 4).alias("exp_run_length"))
+
+
+@query
+def merged_profile(spark, d):
+    """A profile of the lines put together from one state for each year of shipping.
+
+    Sketches are checked against exact values: ranks within one per cent, distinct values within
+    three standard errors.
+    """
+    lines = table(spark, d, "lineitem").drop("l_comment")
+    measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    years = [r["y"] for r in lines.select(F.year("l_shipdate").alias("y")).distinct().collect()]
+    states = stage(insights.union([
+        PS.profile_state(lines.where(F.year("l_shipdate").eqNullSafe(F.lit(y))), "lineitem",
+                         measures, str(y)) for y in years]))
+    merged = stage(PS.merged_profile(states))
+    exact = distinct_counts(lines, lines.columns)
+    middles = stage(merged.where("about_quantiles is not null").select(
+        "name", F.col("about_quantiles")[1].alias("middle")))
+    values = long_values(lines, measures).where("value is not null")
+    # A row per measure.
+    ranks = values.join(F.broadcast(middles), "name").groupBy("name").agg(
+        F.avg((F.col("value") < F.col("middle")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("middle")).cast("double")).alias("upto"))
+    near = (F.col("below") <= 0.51) & (F.col("upto") >= 0.49)
+    alike = F.abs(F.col("about_distinct") - F.col("n_distinct")) <= 3 * 0.0082 * F.col("n_distinct") + 1
+    out = merged.join(exact, "name").join(ranks, "name", "left").select(
+        "name", "n_rows", "null_pct", "n", "mean", "std", "skewness", "kurtosis", "value_min",
+        "value_max", alike.alias("distinct_near"), near.alias("median_near"))
+    return rounded(out, null_pct=6, mean=4, std=4, skewness=4, kurtosis=4, value_min=4, value_max=4)
+
+
+@query
+def spec_sheet(spark, d):
+    """A spec sheet written from the given orders: priorities as datamarts side by side."""
+    orders = table(spark, d, "orders")
+    listed = orders.select("o_orderpriority", F.year("o_orderdate").alias("y"),
+                           "o_orderstatus").distinct().groupBy("o_orderpriority").agg(
+        F.array_sort(F.collect_set(F.concat(F.lit("y"), "y", F.lit("_"), F.lower("o_orderstatus"))))
+        .alias("columns")).orderBy("o_orderpriority").collect()  # five priorities
+    names = [r["o_orderpriority"].lower().replace(" ", "_") for r in listed]
+    depth = max(len(r["columns"]) for r in listed)
+    lines = ["Category,Datamart,Description"]
+    lines += [f'Orders,{n},"Columns, by year and status, of {n}"' for n in names] + [""]
+    lines += ["Datamarts with granularity example", ",".join(names)]
+    lines += [",".join(r["columns"][i] if i < len(r["columns"]) else "" for r in listed)
+              for i in range(depth)] + ["", "not a column"]
+    path = f"{stage_folder(spark)}/sheets/{uuid.uuid4().hex}.csv"
+    write_text(spark, path, "\n".join(lines))
+    return parse_spec(spark, path).select(
+        "name", "category", "description", F.array_join("columns", ",").alias("columns"))
+
+
+@query
+def profiled_preparation(spark, d):
+    """Tables prepared for each model by what their own profiles suggest: sums of the inputs."""
+    fact = stored_table(gold_engagement(spark, d))
+    frames = {"gold_engagement": (fact, ENGAGEMENT_SUBTYPES, list(K.MODEL_LIMITS)),
+              "dull_orders": (dull_orders(spark, d), DULL_SUBTYPES, list(K.MODEL_LIMITS))}
+    profiles = stage(PF.column_profiles({n: (df, s) for n, (df, s, _) in frames.items()}))
+    parts = []
+    for (name, model), df in PR.prepared(frames, profiles).items():
+        numbers = PR.numeric_columns(df)
+        rows = F.array(*[F.struct(F.lit(c).alias("name"), F.count(c).alias("n"),
+                                  F.round(F.avg(c), 4).alias("mean")) for c in numbers])
+        parts.append(df.agg(rows.alias("r")).select(
+            F.lit(name).alias("dataset"), F.lit(model).alias("model"), F.explode("r").alias("r"))
+            .select("dataset", "model", "r.*"))
+    return insights.union(parts)
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Change-points of weekly sales per product."""
     return cp_candidates(spark, folder)

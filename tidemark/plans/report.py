@@ -59,11 +59,11 @@ def signal_section(run: Run, strip_series: bool) -> DataFrame:
 
 def payloads(run: Run, strip_series: bool = False, generated_at: str | None = None) -> DataFrame:
     """One nested row per dataset that was routed; ``generated_at`` is now unless given."""
-    if not run.facts:
+    if not run.known.facts:
         raise ValueError("no dataset has a route to the chosen models")
     at = (F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss") if generated_at is None
           else F.lit(generated_at))
-    profiles = union([f.profiles for f in run.facts])
+    profiles = run.known.profiles
     docs = routing_documents(run.metadata)
     best = F.col("model_configs")[0]
     routing = F.struct(
