@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -34,6 +35,27 @@ def test_odd_texts(text):
     assert B.loaded(PATH).encode(text).tolist() == plain(text)
 
 
+def test_every_code_point():
+    """Letters, numbers and spaces are those of the library's version of Unicode."""
+    coder = B.loaded(PATH)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 1 << 16):
+        texts = [f"!{chr(c)}'s {chr(c)}1a" for c in points[at:at + (1 << 16)]]
+        want = PLAIN.encode_batch_fast(texts, add_special_tokens=False)
+        assert [i.tolist() for i in coder.encode_all(texts)] == [e.ids for e in want]
+
+
+def test_decoding_of_any_ids():
+    draw = random.Random(3)
+    lists = [[draw.randrange(50257) for _ in range(draw.randrange(9))] for _ in range(300)]
+    lists += [None, [], [50256], [0] * 5]
+    got = B.decoder_of(PATH).texts(pa.array(lists, pa.list_(pa.int32()))).to_pylist()
+    vocabulary = B.read_vocabulary(PATH)[2]
+    assert got == [None if i is None else B.joined(vocabulary, i) for i in lists]
+    cut = pa.array(lists, pa.list_(pa.int32())).slice(7, 20)
+    assert B.decoder_of(PATH).texts(cut).to_pylist() == got[7:27]
+
+
 def test_exact_merging_is_needed_and_used():
     draw = random.Random(1)
     coder = B.Bpe(PATH)

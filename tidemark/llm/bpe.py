@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -17,14 +18,16 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-#: Fixed value: the published pre-tokenisation pattern of byte-level BPE.
+# Fixed value: the published pre-tokenisation pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED_WORDS = 400_000  # per Python worker; a bound on memory, not on results
 CACHED_LENGTH = 64
 RUN_CHARACTERS = 1 << 20  # of the texts that are encoded together
+DECODED_IDS = 1 << 20  # that are decoded together
 SHORT_WORD = 256  # bytes; longer words are merged by a heap
 BITS = 20  # of a token's number
 MASK = (1 << BITS) - 1
@@ -39,6 +42,30 @@ def byte_symbols() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
 
 
+@lru_cache(maxsize=1)
+def other_classes() -> dict[int, str]:
+    """Code points that this regex module puts in another class than the tokenizers library, each
+    with a character that both put where the library does.
+
+    The two follow different versions of Unicode. The library's own engine classes every code
+    point here, so the words are cut as the library cuts them.
+    """
+    from tokenizers import Regex, pre_tokenizers
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    classes = {r"\p{L}": "a", r"\p{N}": "0", r"\s": "\t"}
+    kept = np.full(len(every), "!")
+    ours = np.full(len(every), "!")
+    for pattern, stands in classes.items():
+        inside = np.ones(len(every), bool)
+        rest = pre_tokenizers.Split(Regex(f"{pattern}+"), "removed").pre_tokenize_str(every)
+        for _, (start, end) in rest:
+            inside[start:end] = False
+        kept[inside] = stands
+        for found in regex.finditer(f"{pattern}+", every):
+            ours[found.start():found.end()] = stands
+    return {ord(every[i]): kept[i] for i in np.flatnonzero(kept != ours).tolist()}
+
+
 class Bpe:
     """Encoder and decoder for one byte-level tokenizer file.
 
@@ -68,7 +95,10 @@ class Bpe:
         longest_first = sorted(added, key=len, reverse=True)
         self.split_added = regex.compile(
             "(" + "|".join(map(regex.escape, longest_first)) + ")").split if added else None
-        self.words = regex.compile(PATTERN).findall
+        self.pattern = regex.compile(PATTERN)
+        self.moved = other_classes()
+        self.odd = np.zeros(sys.maxunicode + 1, bool)
+        self.odd[list(self.moved)] = True
         self.cache: dict[str, bytes] = {}
         self.verdicts: dict[int, bool] = {}
         self.trees: dict[int, tuple[int, int, int] | None] = {}
@@ -209,6 +239,13 @@ class Bpe:
             self.exact_words += 1
         return out
 
+    def words(self, text: str) -> list[str]:
+        """The text cut into words, as the library's version of Unicode has it."""
+        if text.isascii() or not self.odd[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
+            return self.pattern.findall(text)
+        plain = text.translate(self.moved)
+        return [text[m.start():m.end()] for m in self.pattern.finditer(plain)]
+
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
@@ -265,9 +302,42 @@ def joined(vocabulary: list[bytes], ids: list[int]) -> str:
     return b"".join(map(vocabulary.__getitem__, ids)).decode("utf-8", "replace")
 
 
+class Decoder:
+    """All tokens' bytes in one buffer, so that a batch of ids is decoded by one gathering."""
+
+    def __init__(self, vocabulary: list[bytes]):
+        self.bytes = np.frombuffer(b"".join(vocabulary), np.uint8)
+        self.lengths = np.array([*map(len, vocabulary)], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids one after the other, and where each id's end."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[ids] - ends + lengths, lengths)
+        at += np.arange(len(at))
+        return self.bytes[at].tobytes(), ends
+
+    def texts(self, ids: pa.ListArray) -> pa.Array:
+        """The text of every list of ids, null for a null list, in runs of DECODED_IDS."""
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        stops, out, first = np.cumsum(sizes), [], 0
+        while first < len(sizes):
+            low = stops[first] - sizes[first]
+            last = max(int(np.searchsorted(stops, low + DECODED_IDS, "right")), first + 1)
+            body, ends = self.joined(flat[low:stops[last - 1]])
+            cuts = np.concatenate([[0], ends])[np.concatenate([[low], stops[first:last]]) - low]
+            cuts = cuts.tolist()
+            out += [body[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+            first = last
+        nothing = ids.is_null().to_numpy(zero_copy_only=False)
+        return pa.array(out, pa.string(), mask=nothing if nothing.any() else None)
+
+
 @lru_cache(maxsize=2)
-def vocabulary_of(path: str) -> list[bytes]:
-    return read_vocabulary(path)[2]
+def decoder_of(path: str) -> Decoder:
+    return Decoder(read_vocabulary(path)[2])
 
 
 @lru_cache(maxsize=2)
@@ -318,12 +388,10 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id",
     kind = tokens.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        vocabulary = vocabulary_of(path)
+        table = decoder_of(path)
         for batch in batches:
-            texts = [None if ids is None else joined(vocabulary, ids)
-                     for ids in (row.as_py() for row in batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [id_col, "ids", "text"])
+                [*batch.columns, table.texts(batch.column(1))], [id_col, "ids", "text"])
 
     return tokens.select(F.col(id_col), F.col(ids_col).alias("ids")).mapInArrow(
         run, f"`{id_col}` {kind}, ids array<int>, text string")
