@@ -82,22 +82,29 @@ class Aligned:
         a, b = (np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
                 for ids in (found, other))
         ends_a, ends_b = np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b])
-        texts = np.arange(len(found))
-        ends = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        # 1 where a token of the first ends, 2 where one of the second does.
+        marks = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)
+        marks[ends_a] = 1
+        marks[ends_b] |= 2
+        ends = np.flatnonzero(marks)
+        marks = marks[ends]
+        here_a, here_b, shared = marks & 1 == 1, marks & 2 == 2, marks == 3
+        upto_a, upto_b, upto = (np.cumsum(x) for x in (here_a, here_b, shared))
+        at_a, at_b = upto_a - here_a, upto_b - here_b
         self.pairs = a[at_a] * pair.size_b + b[at_b]
+        texts = np.arange(len(found))
         self.link_text = np.repeat(texts, self.n_a)[at_a]
         self.n_links = np.bincount(self.link_text, minlength=len(found))
-        shared = np.intersect1d(ends_a, ends_b)
-        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
-        last_a = shared[group_a] == ends_a if len(a) else np.zeros(0, bool)
-        last_b = shared[group_b] == ends_b if len(b) else np.zeros(0, bool)
-        self.n_groups = np.bincount(np.repeat(texts, self.n_a)[last_a], minlength=len(found))
+        self.n_groups = np.bincount(self.link_text[shared], minlength=len(found))
+        group = upto - shared
+        # A group's tokens of the first come behind all tokens of earlier groups.
+        before_b = np.concatenate([[0], upto_b[shared]])
+        through_a = np.concatenate([upto_a[shared], [0]])
         size_a = len(pair.bytes_a)
         order = np.empty(len(a) + len(b), np.int64)
-        order[np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")] = a + size_a * last_a
-        order[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = \
-            b + pair.size_b * last_b + 2 * size_a
+        order[np.arange(len(a)) + before_b[group[here_a]]] = a + size_a * shared[here_a]
+        order[np.arange(len(b)) + through_a[group[here_b]]] = \
+            b + pair.size_b * shared[here_b] + 2 * size_a
         said = list(map(pair.written.__getitem__, order.tolist()))
         stops = np.cumsum(self.n_a + self.n_b).tolist()
         self.groups = ["".join(said[i:j])[:-1] for i, j in zip([0, *stops], stops)]
