@@ -84,10 +84,37 @@ def test_rare_links_are_audited_and_found(spark, monkeypatch):
     assert got[0].audited_recall >= 0.999
 
 
-def test_nothing_audited_shows_no_recall(spark):
+def test_recall_is_measured_where_nothing_links(spark, monkeypatch):
     rows = [(i, np.eye(8)[i].tolist(), "", 0, "") for i in range(8)]
     got = graph.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert all(r.n_links == 0 and r.audited_recall is None for r in got)
+    assert all(r.n_links == 0 and r.audited_recall == 1.0 for r in got)
+    monkeypatch.setattr(graph, "SHARD_ROWS", 20)
+    monkeypatch.setattr(graph, "PROBES", 1)
+    x = np.random.default_rng(8).standard_normal((1200, 32)).astype(np.float32)
+    assert plain_links(x, 0.9)[0].sum() == 0
+    df = spark.createDataFrame([(i, v.tolist(), "", 0, "") for i, v in enumerate(x)], SCHEMA)
+    got = graph.near_duplicates(df).collect()
+    assert len(got) == 1200 and all(r.n_links == 0 and r.audited_recall >= 0.999 for r in got)
+
+
+def test_each_length_links_among_itself(spark):
+    x = made(300)
+    rows = [(i, v.tolist(), "", 0, "") for i, v in enumerate(x)]
+    rows += [(5_000 + i, [*v[:7].tolist()], "", 0, "") for i, v in enumerate(x[:60])]
+    rows += [(6_000, [3.0], "", 0, ""), (6_001, [1.0], "", 0, ""), (6_002, [-1.0], "", 0, "")]
+    got = {r.vec_id: r for r in graph.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for first, part in ((0, x), (5_000, x[:60, :7])):
+        links, root = plain_links(part, 0.9)
+        assert [got[first + i].n_links for i in range(len(part))] == links.tolist()
+        assert [got[first + i].component_id - first for i in range(len(part))] == root.tolist()
+    assert [got[i].n_links for i in (6_000, 6_001, 6_002)] == [1, 1, 0]
+    near = forest.nearest(spark.createDataFrame(rows, SCHEMA), 20, 5).collect()
+    by = {}
+    for r in near:
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    assert by[6_000] == {6_001, 6_002}
+    assert all((v >= 6_000) == (q >= 6_000) and (v >= 5_000) == (q >= 5_000)
+               for q, found in by.items() for v in found)
 
 
 def test_repeated_rows_and_empty_table_of_links(spark):
@@ -150,6 +177,33 @@ def test_forest_blocks_give_the_same(vectors, monkeypatch):
     assert {tuple(r)[:4] for r in forest.nearest(df).collect()} == one
 
 
+def recall_of(rows, x, every=20):
+    want = plain_nearest(x, range(0, len(x), every), 20)
+    by = {}
+    for r in rows:
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    return np.mean([len(by.get(q, set()) & set(w)) / 20 for q, w in want.items()]), by
+
+
+def test_answers_come_from_popped_leaves_only(spark):
+    """With a sample far smaller than the table one leaf finds little, the audited budget most."""
+    x = np.random.default_rng(9).standard_normal((6_000, 24)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), "", 0, "") for i, v in enumerate(x)], SCHEMA)
+    one, by = recall_of(forest.nearest(df, 100, 20, sample_rows=600, budget=1).collect(), x, 100)
+    assert one < 0.5
+    few = forest.nearest(df, 100, 20, sample_rows=600).collect()
+    many, by = recall_of(few, x, 100)
+    assert many >= 0.9 and all(len(found) == 20 for found in by.values())
+    assert few[0].popped_leaves > 1 and abs(few[0].audited_recall - many) < 0.08
+
+
+def test_budget_of_one_leaf_on_a_table_within_the_sample(vectors):
+    """The sample holds all rows here; it must not give answers of its own."""
+    x, df = vectors
+    one, _ = recall_of(forest.nearest(df, budget=1).collect(), x)
+    assert one < 0.9
+
+
 def test_priorities_order_the_leaf_of_the_query_first():
     x = made(2000).astype(np.float64)
     f = forest.fit(x, float(np.linalg.norm(x, axis=1).max()))

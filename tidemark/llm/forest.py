@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import fraction, objects, stored, stored_row
-from tidemark.llm.vectors import classes_of, matrix, valid_vectors
+from tidemark.llm.vectors import classes_of, lengths_of, matrix, usable_vectors
 
 SAMPLE_ROWS = 16_384  # vectors that the trees are fitted on
 TREES = 8
@@ -133,27 +133,77 @@ def queue_positions(forest: Forest, q: np.ndarray, truth: pd.DataFrame) -> np.nd
     return place[truth["i"].to_numpy()[:, None], codes].min(1) + 1
 
 
+def audited(classes: DataFrame, asked: DataFrame, forest: Forest, k: int, budget: int | None,
+            leaves_in_all: int) -> tuple[int, float | None]:
+    """How many leaves to pop, and the share of true neighbours that other queries then meet."""
+    drawn = asked.orderBy(fraction(F.col("rep"), F.lit("audit"))).limit(2 * AUDIT_QUERIES).toPandas()
+    truth = audit_truth(classes, drawn, forest, k) if len(drawn) else pd.DataFrame()
+    if not len(truth):
+        return budget or leaves_in_all, None
+    needs = queue_positions(forest, matrix(drawn["v"]), truth)
+    chosen = truth["i"].to_numpy() % 2 == 0
+    if budget is None:
+        budget = int(np.quantile(needs[chosen], AUDIT_RECALL, method="higher"))
+    others = needs[~chosen] if (~chosen).any() else needs
+    return budget, float((others <= budget).mean())
+
+
+SHAPE = ("query_id long, rank int, vec_id long, score double, popped_leaves int, "
+         "audited_recall double")
+
+
 def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
-            vector_col: str = "embedding", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+            vector_col: str = "embedding", sample_rows: int = SAMPLE_ROWS,
+            budget: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score, popped_leaves, audited_recall.
 
     Queries are rows whose id is divisible by `every`, candidates all rows but the query's own.
-    Nearness is the inner product in double precision; ties go to the smaller id. Rows that
-    `valid_vectors` leaves out take no part; a repeated row counts once. Equal vectors are indexed
+    Nearness is the inner product in double precision; ties go to the smaller id. Vectors of
+    different lengths have no inner product, so each length has a forest of its own. Rows that
+    `usable_vectors` leaves out take no part; a repeated row counts once. Equal vectors are indexed
     once and expanded to their smallest ids at the end, so a vector that a third of the rows
     share is one entry. An empty table gives an empty result. Other columns are not read.
 
-    The nearest of the fitting sample are candidates of every query and bound its k-th score from
-    below, so a group hands on only what can still be among the k nearest.
+    Only rows of popped leaves are candidates. ``budget`` sets how many leaves a query pops; else
+    half of the audit queries choose it and the other half measure ``audited_recall``.
+    """
+    vectors = stored(usable_vectors(rows, id_col, vector_col).distinct())
+    out = rows.sparkSession.createDataFrame([], SHAPE)
+    for length in lengths_of(vectors):
+        own = vectors.where(F.col("length") == length).drop("length")
+        out = out.union(nearest_of_length(own, every, k, sample_rows, budget))
+    return out
+
+
+def popped_floor(forest: Forest, chunk: np.ndarray, own: np.ndarray, popped: np.ndarray,
+                 known: np.ndarray, known_names: np.ndarray, known_leaves: np.ndarray,
+                 k: int) -> np.ndarray:
+    """A lower bound of every query's k-th best score among its popped candidates.
+
+    It is the k-th best of the fitting sample's vectors that stand in popped leaves: these are
+    candidates themselves, so nothing below the bound can be among the k nearest found.
     """
-    vectors = stored(valid_vectors(rows, id_col, vector_col).distinct())
+    width = 2 ** forest.depth
+    taken = np.zeros((len(chunk), len(forest.directions) * width), bool)
+    np.put_along_axis(taken, popped, True, 1)
+    met = np.zeros((len(chunk), len(known)), bool)
+    for t in range(len(forest.directions)):
+        met |= taken[:, t * width + known_leaves[:, t]]
+    scores = chunk @ known.T
+    scores[~met | (own[:, None] == known_names[None, :])] = -np.inf
+    if scores.shape[1] <= k:
+        return np.full(len(chunk), -np.inf)
+    # The two ways of summing a product may differ by rounding.
+    slack = 1e-9 * np.linalg.norm(chunk, axis=1) * forest.scale
+    return np.partition(scores, -k, axis=1)[:, -k] - slack
+
+
+def nearest_of_length(vectors: DataFrame, every: int, k: int, sample_rows: int,
+                      budget: int | None) -> DataFrame:
+    """`nearest` among distinct (id, v) of one length, at least one."""
     classes = stored(classes_of(vectors))
     norms = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     row = stored_row(classes.agg(F.count("*").alias("n"), F.max(norms).alias("scale")))
-    spark = rows.sparkSession
-    if not row.n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, "
-                                         "popped_leaves int, audited_recall double")
     sample = stored(classes.where(
         fraction(F.col("rep"), F.lit("forest")) < sample_rows / row.n).select("rep", "v"))
     drawn = sample.orderBy("rep").toPandas()  # about sample_rows vectors
@@ -161,19 +211,13 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
         drawn = classes.select("rep", "v").orderBy("rep").limit(4 * k).toPandas()
     known, known_names = matrix(drawn["v"]), drawn["rep"].to_numpy()
     forest = fit(known, row.scale)
+    known_leaves = forest.leaves(known)
     kind = classes.schema["v"].dataType.simpleString()
     groups_wide = max(2 ** forest.depth // LEAVES_PER_GROUP, 1)
     asked = stored(classes.join(
         vectors.where(F.col("id") % every == 0).select("v").distinct(), "v").select("rep", "v"))
-    audit = asked.orderBy(fraction(F.col("rep"), F.lit("audit"))).limit(AUDIT_QUERIES).toPandas()
     leaves_in_all = len(forest.directions) * 2 ** forest.depth
-    budget, recall = leaves_in_all, 1.0
-    if len(audit):
-        truth = audit_truth(classes, audit, forest, k)
-        if len(truth):
-            needs = queue_positions(forest, matrix(audit["v"]), truth)
-            budget = int(np.quantile(needs, AUDIT_RECALL, method="higher"))
-            recall = float((needs <= budget).mean())
+    budget, recall = audited(classes, asked, forest, k, budget, leaves_in_all)
     row_blocks = int(np.ceil(row.n / groups_wide / GROUP_ROWS))
     query_blocks = int(np.ceil(asked.count() / GROUP_ROWS)) or 1
     shift = int(np.log2(LEAVES_PER_GROUP)) if groups_wide > 1 else forest.depth
@@ -192,20 +236,17 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
             for at in range(0, len(batch), 1024):
                 chunk = batch.iloc[at:at + 1024]
                 q = matrix(chunk["v"])
-                scores = q @ known.T
-                scores[chunk["rep"].to_numpy()[:, None] == known_names[None, :]] = -np.inf
-                floor = np.full(len(q), -np.inf)
-                if scores.shape[1] > k:
-                    floor = np.partition(scores, -k, axis=1)[:, -k]
                 pr = forest.priorities(q)
                 order = np.argsort(-pr, axis=1, kind="stable")[:, :budget]
+                floor = popped_floor(forest, q, chunk["rep"].to_numpy(), order, known, known_names,
+                                     known_leaves, k)
                 i = np.repeat(np.arange(len(q)), order.shape[1])
                 tree, leaf = np.divmod(order.ravel(), 2 ** forest.depth)
                 flat = pd.DataFrame({"i": i, "tree": tree, "part": leaf >> shift, "leaf": leaf})
                 out = flat.groupby(["i", "tree", "part"])["leaf"].agg(list).reset_index()
                 i = out.pop("i").to_numpy()
                 out["rep"], out["v"] = chunk["rep"].to_numpy()[i], chunk["v"].to_numpy()[i]
-                out["floor"] = floor[i] - 1e-9
+                out["floor"] = floor[i]
                 yield out
 
     def salted(df, blocks, name):
@@ -246,25 +287,8 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
         return pd.concat(found) if found else pd.DataFrame(
             {"query": [], "rep": [], "score": []}).astype({"query": "int64", "rep": "int64"})
 
-    def from_sample(batches):
-        for batch in batches:
-            for at in range(0, len(batch), 1024):
-                chunk = batch.iloc[at:at + 1024]
-                q = matrix(chunk["v"])
-                i, j = best_of(q @ known.T, k + 1)
-                own = chunk["rep"].to_numpy()
-                yield pd.DataFrame({"query": own[i], "rep": known_names[j],
-                                    "score": np.einsum("ij,ij->i", q[i], known[j])})
-
-    def own_class(batches):
-        for batch in batches:
-            q = matrix(batch["v"])
-            yield pd.DataFrame({"query": batch["rep"], "rep": batch["rep"],
-                                "score": np.einsum("ij,ij->i", q, q)})
-
     shape = "query long, rep long, score double"
     hits = (held.groupBy(*key).cogroup(wanted.groupBy(*key)).applyInPandas(rerank, shape)
-            .union(asked.mapInPandas(from_sample, shape)).union(asked.mapInPandas(own_class, shape))
             .groupBy("query", "rep").agg(F.max("score").alias("score")))
     # Only the k nearest classes can matter, with the query's own class k + 1 of them.
     turn = Window.partitionBy("query").orderBy(F.desc("score"))

@@ -4,12 +4,13 @@ Vectors are dealt to overlapping shards around cluster centres. Each shard build
 neighbour graph; the adjacency lists of a vector's copies are united. Every vector then searches
 the shards around it: greedily from the shard's medoid, and once within range on through all
 neighbours within range. Found links are verified in double precision, and recall is audited by
-brute force on vectors drawn until enough true links are met; if it is too low the search widens and
-runs again.
+brute force on vectors drawn until enough true links are met; where too few are, on links planted
+for the audit. If recall is too low the search widens and runs again.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import components, fraction, stored
-from tidemark.llm.vectors import bounded_sample, classes_of, matrix, valid_vectors
+from tidemark.llm.vectors import (
+    bounded_sample, classes_of, lengths_of, matrix, usable_vectors)
 from tidemark.session import inline_rows
 
 SAMPLE_ROWS = 16_384  # vectors that cluster centres are fitted on
@@ -35,6 +37,7 @@ AUDIT_ROWS = 64  # vectors of the first block that the audit draws; each further
 AUDIT_LINKS = 2_000  # links between classes that show a recall of AUDIT_RECALL
 AUDIT_BLOCK, AUDIT_MOST = 1_024, 16_384  # vectors of one pass and of all passes of the audit
 AUDIT_RECALL = 0.999
+PLANTED = 256  # vectors that are given a neighbour where too few links are met
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -241,55 +244,95 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
                     vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept, audited_recall for every row.
 
-    audited_recall is the share of audited links between classes that were found; it is null where
-    none of the AUDIT_MOST audited vectors has a link, so that nothing is shown.
+    audited_recall is the share of audited links between classes that were found, for vectors of
+    the row's length; it is null only for rows that cannot link.
 
     A link is a cosine of at least `cosine` between two rows' vectors, in double precision.
-    Vectors that `valid_vectors` leaves out link with nothing and stand for themselves; so does a
-    row with a null id. Rows with equal vectors are one class: they link with each other and
-    share all other links, so copies cost one search. A repeated row is a copy of itself. An
-    empty table gives an empty result. Other columns are not read.
+    Vectors that `usable_vectors` leaves out link with nothing and stand for themselves; so does a
+    row with a null id. Vectors of different lengths do not link: each length has graphs of its
+    own. Rows with equal vectors are one class: they link with each other and share all other
+    links, so copies cost one search. A repeated row is a copy of itself. An empty table gives an
+    empty result. Other columns are not read.
 
     No pair leaves the task that finds it: tasks return, for each vector, how many rows it links
     with and the smallest name in its local component, and those few rows are joined up.
     """
-    vectors = stored(valid_vectors(rows, id_col, vector_col))
-    classes = stored(classes_of(vectors))
-    total = classes.count()
-    found, recall = None, None
-    if total:
-        sample = bounded_sample(classes, total, SAMPLE_ROWS, "graph")
-        if not len(sample):
-            sample = matrix(classes.select("v").orderBy("rep").limit(100).toPandas()["v"])
-        k = int(min(max(total // SHARD_ROWS, 1), MOST_CENTRES, len(sample)))
-        middle = centres(sample, k)
-        truth = audited(classes, cosine)
-        wanted = sum(truth.values())
-        linked = inline_rows(rows.sparkSession, {"rep": "long"}, [(int(r),) for r in truth])
-        probes, beam = min(PROBES, k), BEAM
-        while True:
-            found = stored(searched(classes, middle, cosine, probes, beam))
-            got = {r.rep: r.classes for r in found.join(F.broadcast(linked), "rep").groupBy("rep").agg(
-                F.sum("classes").alias("classes")).collect()}  # as many rows as `truth`
-            recall = sum(min(got.get(r, 0), n) for r, n in truth.items()) / wanted if wanted else None
-            if recall is None or recall >= AUDIT_RECALL or probes == k and beam >= BLOCK_ROWS:
-                break
-            probes, beam = min(2 * probes, k), 2 * beam
+    vectors = stored(usable_vectors(rows, id_col, vector_col))
     own = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    if found is None:
-        per_class = classes.select("v", F.lit(0).alias("links"), F.col("rep").alias("component"))
-    else:
+    per_class = None
+    for length in lengths_of(vectors):
+        classes = stored(classes_of(vectors.where(F.col("length") == length)))
+        found, recall = linked_classes(classes, cosine)
         parts = components(found, "rep", "root")
-        per_class = (classes.join(links_per_class(found), "rep", "left")
-                     .join(parts, F.col("rep") == F.col("node"), "left")
-                     .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
-                             F.coalesce("component", "rep").alias("component")))
+        linked = (classes.join(links_per_class(found), "rep", "left")
+                  .join(parts, F.col("rep") == F.col("node"), "left")
+                  .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
+                          F.coalesce("component", "rep").alias("component"),
+                          F.lit(recall).cast("double").alias("recall")))
+        per_class = linked if per_class is None else per_class.union(linked)
+    if per_class is None:
+        per_class = own.select("v", F.lit(0).alias("links"), F.col("id").alias("component"),
+                               F.lit(None).cast("double").alias("recall")).where("false")
     same = (own["v"] == per_class["v"]) & own["id"].isNotNull()
     return own.join(per_class, same, "left").select(
         F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"),
-        F.lit(recall).cast("double").alias("audited_recall"))
+        F.col("recall").alias("audited_recall"))
+
+
+def linked_classes(classes: DataFrame, cosine: float) -> tuple[DataFrame, float]:
+    """What `searched` finds among classes of one length, and the audited share of links in it."""
+    spark = classes.sparkSession
+    total = classes.count()
+    sample = bounded_sample(classes, total, SAMPLE_ROWS, "graph")
+    if not len(sample):
+        sample = matrix(classes.select("v").orderBy("rep").limit(100).toPandas()["v"])
+    k = int(min(max(total // SHARD_ROWS, 1), MOST_CENTRES, len(sample)))
+    middle = centres(sample, k)
+    truth, trial = audited(classes, cosine), classes
+    natural = sum(truth.values()) >= min(AUDIT_LINKS, PLANTED)
+    if not natural:
+        trial, more = planted(classes, cosine)
+        truth = truth | more
+    wanted = sum(truth.values())
+    asked = inline_rows(spark, {"rep": "long"}, [(int(r),) for r in truth])
+    probes, beam = min(PROBES, k), BEAM
+    while True:
+        found = stored(searched(trial, middle, cosine, probes, beam))
+        got = {r.rep: r.classes for r in found.join(F.broadcast(asked), "rep").groupBy("rep").agg(
+            F.sum("classes").alias("classes")).collect()}  # as many rows as `truth`
+        recall = sum(min(got.get(r, 0), n) for r, n in truth.items()) / wanted
+        if recall >= AUDIT_RECALL or probes == k and beam >= BLOCK_ROWS:
+            break
+        probes, beam = min(2 * probes, k), 2 * beam
+    if not natural:
+        found = stored(searched(classes, middle, cosine, probes, beam))
+    return found, recall
+
+
+def planted(classes: DataFrame, cosine: float) -> tuple[DataFrame, dict[int, int]]:
+    """The classes with a new neighbour for PLANTED of them, just within the wanted cosine, and
+    these neighbours with the one link that each must find.
+
+    The hardest links there are: at the very edge of the range, in directions drawn at random.
+    """
+    spark = classes.sparkSession
+    chosen = classes.orderBy(fraction(F.col("rep"), F.lit("planted")), "rep").limit(PLANTED)
+    chosen = chosen.select("rep", "v").toPandas()
+    x = unit(matrix(chosen["v"]))
+    near = cosine + 1e-4 * (1 - cosine)
+    aside = np.random.default_rng(17).standard_normal(x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    # In one dimension nothing is aside: the neighbour is the vector itself, twice as long.
+    y = np.where(length > 1e-9, near * x + math.sqrt(1 - near * near) * aside
+                 / np.maximum(length, 1e-9), 2 * x)
+    first = classes.agg(F.max("rep").alias("m")).collect()[0].m + 1
+    names = [first + i for i in range(len(y))]
+    more = spark.createDataFrame([(v.tolist(), n, 1) for n, v in zip(names, y)],
+                                 classes.select("v", "rep", "n").schema)
+    return stored(classes.select("v", "rep", "n").union(more)), {n: 1 for n in names}
 
 
 def searched(classes: DataFrame, middle: np.ndarray, cosine: float, probes: int,

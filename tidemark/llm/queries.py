@@ -57,6 +57,27 @@ SELECT vec_id, coalesce(links, 0) AS n_links, coalesce(root, vec_id) AS componen
 FROM embeddings LEFT JOIN c ON node = vec_id LEFT JOIN d ON a = vec_id"""
 
 
+@query
+def planted_links(spark, d):
+    """Near-duplicates after a disturbed copy of every twentieth vector was added."""
+    rows = table(spark, d, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    noise = F.transform("embedding", lambda x, i: x + 0.01 * (1 + F.col("vec_id") % 7) * (
+        (F.col("vec_id") * 31 + i * 17) % 11 - 5) / 5)
+    copies = rows.where("vec_id % 20 = 0").select((F.col("vec_id") + 1_000_000_000).alias("vec_id"),
+                                                  noise.alias("embedding"))
+    found = graph.near_duplicates(rows.union(copies), 0.9)
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+ORACLES["planted_links"] = ORACLES["op2_graph_dedup"].replace("FROM embeddings", "FROM p").replace(
+    "WITH RECURSIVE", """WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS embedding FROM embeddings),
+p AS (SELECT * FROM e UNION ALL
+  SELECT vec_id + 1000000000, list_transform(embedding, lambda x, i: x + 0.01 * (1 + vec_id % 7)
+    * ((vec_id * 31 + (i - 1) * 17) % 11 - 5) / 5) FROM e WHERE vec_id % 20 = 0),""")
+
+
 @query
 def op5_forest(spark, d):
     return forest.nearest(table(spark, d, "embeddings"), every=20, k=20)

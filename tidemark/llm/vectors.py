@@ -10,21 +10,23 @@ from tidemark.llm.common import fraction
 INFINITY = float("inf")
 
 
-def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v) of the rows that can be compared.
+def usable_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, v, length) of the rows that can be compared with vectors of their own length.
 
-    Left out are rows with a null id, null, empty and zero vectors, those with a null or
-    non-finite component, and those whose length is not the most frequent one (the smaller of
-    equally frequent ones).
+    Left out are rows with a null id, null, empty and zero vectors, and those with a null or
+    non-finite component.
     """
     v = F.col("v")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < INFINITY)) \
         & F.exists(v, lambda x: x != 0)
-    usable = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")) \
-        .where(F.col("id").isNotNull() & F.coalesce(sound, F.lit(False)))
-    lengths = (usable.groupBy(F.size("v").alias("length")).count()
-               .orderBy(F.desc("count"), "length").limit(1).collect())
-    return usable.where(F.size("v") == (lengths[0].length if lengths else 0))
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")) \
+        .where(F.col("id").isNotNull() & F.coalesce(sound, F.lit(False))) \
+        .withColumn("length", F.size("v"))
+
+
+def lengths_of(vectors: DataFrame) -> list[int]:
+    """The lengths that occur; an index is built for each, as for a table of its own."""
+    return sorted(r.length for r in vectors.select("length").distinct().collect())
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
