@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tidemark import knowledge as K
 from tidemark.plans.queries import DATAMARTS
 
@@ -278,3 +280,8 @@ SELECT dataset, channel, channel_group, CASE WHEN channel_group = 'field' THEN '
   ELSE 'mean' END AS agg, CASE channel_group WHEN 'field' THEN 0.3 WHEN 'broadcast' THEN 0.6
   ELSE 0.0 END::DOUBLE AS decay FROM g""",
 }
+
+# Steps that others read several times are computed once, however a caller wraps the query.
+for _name in ("column_subtypes", "display_columns"):
+    METADATA_ORACLES[_name] = re.sub(
+        r"\b(\w+) AS \((?=\s*SELECT)", r"\1 AS MATERIALIZED (", METADATA_ORACLES[_name])

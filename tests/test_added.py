@@ -378,6 +378,31 @@ def test_jobs_do_not_grow_with_the_facts(spark, folder):
     assert jobs_of(spark, lambda: run(8)) <= jobs_of(spark, lambda: run(2)) + 4
 
 
+def test_attribution_of_many_facts_is_that_of_each(spark, folder):
+    """Facts with different channels share slots; each gets what it gets alone."""
+    fact = stored_table(gold_engagement(spark, folder))
+    facts = {"gold_one": fact.drop("tv_grps", "trx"), "gold_two": fact.drop("f2f", "samples", "trx")
+             .withColumnRenamed("speaker", "webinar_calls")}
+    limits = {"MMM": {"checks": ["min_row_count"], "min_row_count": 1}}
+
+    def run(names):
+        found = insights.run_insights(spark, {n: facts[n] for n in names}, models=["MMM"], limits=limits)
+        betas = {(r["dataset"], r["measure"], r["feature"]): r["beta"] for r in found.mix.betas.collect()}
+        meta = {(r["dataset"], r["measure"], r["channel"]): (r["decay"], r["hill_k"])
+                for r in found.mix.meta.collect()}
+        return found, betas, meta
+
+    both, betas, meta = run(facts)
+    alone = [run([n]) for n in facts]
+    assert set(betas) == {k for _, b, _ in alone for k in b}
+    for _, b, m in alone:
+        assert all(betas[k] == pytest.approx(v, abs=1e-6) for k, v in b.items())
+        assert all(meta[k] == pytest.approx(v) for k, v in m.items())
+    assert len(meta) == sum(len(m) for _, _, m in alone)
+    assert "tv_grps_sat" in both.mix.features["gold_two"]
+    assert "tv_grps_sat" not in both.mix.features["gold_one"]
+
+
 def test_a_broken_dataset_does_not_end_the_run(spark, folder):
     events = gold_events(spark, folder)
     broken = events.withColumn("amount", F.when(F.col("user_id") >= 0, F.raise_error(F.lit("bad\nrow")))

@@ -118,6 +118,8 @@ def mix_signals(mix) -> DataFrame:
         F.lit("map").alias("estimator"), F.round("mape", 4).alias("in_sample_mape"))
         .alias("model_fit"))
     joined = meta.join(rows, keys).join(fit, keys, "left")
+    listed = F.create_map(*[x for n, own in mix.features.items()
+                            for x in (F.lit(n), F.array(*[F.lit(c) for c in own]))])
     return joined.select(*keys, F.to_json(F.struct(
-        "channel_meta", F.array(*[F.lit(c) for c in mix.features]).alias("feature_cols"),
+        "channel_meta", listed[F.col("dataset")].alias("feature_cols"),
         "n_train_rows", "model_fit", "channel_contributions")).alias("signal"))

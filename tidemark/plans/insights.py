@@ -335,60 +335,116 @@ def run_change_points(known: Facts, facts: list[Fact]) -> ChangeRun | None:
 
 @dataclass
 class MixRun:
-    dataset: str
+    """Attribution of every kept measure of every fact; ``features`` in each fact's own order."""
+
+    features: dict[str, list[str]]
     meta: DataFrame
-    features: list[str]
     contribs: DataFrame
     fitted: DataFrame
     betas: DataFrame
     errors: DataFrame
 
 
-def mix_config(metadata: Metadata, f: Fact) -> K.SeriesConfig:
-    """Channels of a fact grouped by their names; one row per channel column."""
-    rows = channel_groups_by_name(
-        metadata.specs.where(F.col("dataset") == f.dataset)).orderBy("ordinal").collect()
-    entity = next((c for c, s in f.subtypes.items() if s == "key"), None)
-    return K.SeriesConfig(
-        target="target", week=f.date, entity=entity,
-        channels=tuple(K.Channel(r["channel"], r["channel_group"], r["agg"], r["decay"])
-                       for r in rows if f.subtypes.get(r["channel"]) == "channel"))
-
-
-def mix_series(f: Fact, config: K.SeriesConfig, targets: list[str]) -> DataFrame:
-    """One row per target and period: channels rolled up once, targets stacked."""
-    inside = f.table().within(G.limits_for("MMM")["window_years"])
-    rolled = f.df.where(inside & F.col(f.date).isNotNull()).groupBy(
-        F.col(f.date).cast("date").alias(f.date)
-    ).agg(
-        *[F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)).alias(c)
-          for c in config.rolled_by("sum")],
-        *[F.avg(F.col(c).cast("double")).alias(c) for c in config.rolled_by("mean")],
-        *[F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)).alias(f"target|{c}")
-          for c in targets])
-    stacked = F.array(*[
-        F.struct(F.lit(c).alias("measure"), F.col(f"target|{c}").alias("target"))
-        for c in targets])
-    channels = [c.name for c in config.channels]
-    return rolled.select(f.date, *channels, F.explode(stacked).alias("t")).select(
-        F.lit(f.dataset).alias("dataset"), "t.measure", f.date, *channels, "t.target")
-
-
-def run_mix(metadata: Metadata, f: Fact, targets: list[str]) -> MixRun | None:
-    """Attribution of every kept measure of one fact, all as one set of jobs."""
-    config = mix_config(metadata, f)
-    if not config.channels or not targets:
+@dataclass
+class Slots:
+    """Columns that the facts' channels share: the i-th channel of a kind is one column for all."""
+
+    config: K.SeriesConfig
+    taken: dict[str, list[tuple[str, str]]]  # dataset -> (slot, channel) in the fact's order
+
+    def names(self, spark: SparkSession, ending: str = "") -> DataFrame:
+        """(dataset, slot, name) of the taken slots."""
+        return inline_rows(spark, {"dataset": "string", "slot": "string", "name": "string"}, [
+            (n, slot + ending, channel + ending)
+            for n, pairs in self.taken.items() for slot, channel in pairs])
+
+
+def mix_slots(metadata: Metadata, facts: list[Fact]) -> Slots:
+    """Channels of all facts grouped by their names; one row per channel column."""
+    rows = channel_groups_by_name(metadata.specs.where(
+        F.col("dataset").isin(*[f.dataset for f in facts]))).orderBy("dataset", "ordinal").collect()
+    taken: dict[str, list[tuple[str, str]]] = {}
+    channels: dict[str, K.Channel] = {}
+    for f in facts:
+        seen: dict[str, int] = {}
+        for r in rows:
+            if r["dataset"] == f.dataset and f.subtypes.get(r["channel"]) == "channel":
+                group = r["channel_group"]
+                slot = f"{group}_{seen.get(group, 0)}"
+                seen[group] = seen.get(group, 0) + 1
+                # How a channel is rolled up and carried over follows from its kind.
+                channels[slot] = K.Channel(slot, group, r["agg"], r["decay"])
+                taken.setdefault(f.dataset, []).append((slot, r["channel"]))
+    order = sorted(channels, key=lambda c: (c.rsplit("_", 1)[0], int(c.rsplit("_", 1)[1])))
+    return Slots(K.SeriesConfig(target="target", week="date",
+                                channels=tuple(channels[c] for c in order)), taken)
+
+
+def mix_series(facts: list[Fact], slots: Slots, targets: dict[str, list[str]]) -> DataFrame:
+    """One row per dataset, target and period: channels rolled up once, targets stacked."""
+    config, nothing = slots.config, F.lit(None).cast("double")
+    width = max(len(targets[f.dataset]) for f in facts)
+    parts, measures = [], []
+    for f in facts:
+        held = {slot: F.col(f"`{c}`").cast("double") for slot, c in slots.taken[f.dataset]}
+        own = targets[f.dataset]
+        measures += [(f.dataset, i, c) for i, c in enumerate(own)]
+        inside = f.table().within(G.limits_for("MMM")["window_years"])
+        parts.append(f.df.where(inside & F.col(f"`{f.date}`").isNotNull()).select(
+            F.lit(f.dataset).alias("dataset"), F.col(f"`{f.date}`").cast("date").alias("date"),
+            *[held.get(c.name, nothing).alias(c.name) for c in config.channels],
+            *[(F.col(f"`{own[i]}`").cast("double") if i < len(own) else nothing).alias(f"target{i}")
+              for i in range(width)]))
+    rolled = reduce(DataFrame.union, parts).groupBy("dataset", "date").agg(
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in config.rolled_by("sum")],
+        *[F.avg(c).alias(c) for c in config.rolled_by("mean")],
+        F.array(*[F.coalesce(F.sum(f"target{i}"), F.lit(0.0)) for i in range(width)]).alias("targets"))
+    # A row per modelled measure.
+    listed = inline_rows(facts[0].df.sparkSession, {
+        "dataset": "string", "place": "int", "measure": "string"}, measures)
+    return rolled.join(F.broadcast(listed), "dataset").select(
+        "dataset", "measure", "date", *[c.name for c in config.channels],
+        F.get("targets", F.col("place")).alias("target"))
+
+
+def run_mixes(metadata: Metadata, facts: list[Fact], targets: dict[str, list[str]]) -> MixRun | None:
+    """Attribution of every kept measure of all facts as one set of jobs.
+
+    Slots that a fact has no channel for are zero throughout, have a coefficient of zero, and do
+    not show in the results.
+    """
+    slots = mix_slots(metadata, [f for f in facts if targets.get(f.dataset)])
+    facts = [f for f in facts if targets.get(f.dataset) and slots.taken.get(f.dataset)]
+    if not facts:
         return None
-    featured = market_features(mix_series(f, config, targets), config, SERIES)
+    spark, config = facts[0].df.sparkSession, slots.config
+    featured = market_features(mix_series(facts, slots, targets), config, SERIES)
     transformed = A.transform_channels(featured, config, SERIES)
     matrix = stage(A.model_matrix(transformed, config, SERIES))
-    betas = stage(A.map_fit(matrix, config, SERIES))
-    contribs = A.contributions(matrix, betas, SERIES)
+    fitted_betas = stage(A.map_fit(matrix, config, SERIES))
+    features = [c[2:] for c in matrix.columns if c.startswith("X_")]
+    kinds = A.feature_kinds(features, config)
+    common = [c for c in features if kinds[c] == "control"]
+    carried = {c.name for c in config.channels if f"{c.name}_sat" in features}
+    own = {f.dataset: [
+        *[(f"{s}_sat", f"{c}_sat") for s, c in slots.taken[f.dataset] if s in carried],
+        *[(s, c) for s, c in slots.taken[f.dataset] if s in features],
+        *[(c, c) for c in common]] for f in facts}
+    names = inline_rows(spark, {"dataset": "string", "feature": "string", "name": "string"}, [
+        (n, slot, c) for n, pairs in own.items() for slot, c in pairs])
+
+    def renamed(df: DataFrame) -> DataFrame:
+        out = df.join(F.broadcast(names), ["dataset", "feature"])  # a row per fact and feature
+        return out.withColumn("feature", F.col("name")).select(*df.columns)
+
+    contribs = renamed(A.contributions(matrix, fitted_betas, SERIES))
     fitted = A.fitted_values(contribs, SERIES)
-    return MixRun(
-        f.dataset, A.channel_meta(transformed, config, SERIES),
-        [c[2:] for c in matrix.columns if c.startswith("X_")], contribs, fitted, betas,
-        A.mape(fitted, SERIES))
+    meta = A.channel_meta(transformed, config, SERIES)
+    channels = slots.names(spark).select("dataset", F.col("slot").alias("channel"), "name")
+    meta = meta.join(F.broadcast(channels), ["dataset", "channel"]).withColumn(
+        "channel", F.col("name")).select(*meta.columns)
+    return MixRun({n: [c for _, c in pairs] for n, pairs in own.items()}, meta, contribs, fitted,
+                  renamed(fitted_betas), A.mape(fitted, SERIES))
 
 
 @dataclass
@@ -401,7 +457,7 @@ class Run:
     decisions: DataFrame
     windows: DataFrame
     changes: ChangeRun | None
-    mixes: list[MixRun]
+    mix: MixRun | None
     errors: DataFrame
 
 
@@ -444,13 +500,14 @@ def run_insights(spark: SparkSession, datasets: dict[str, DataFrame],
     targets = errors.together(
         {n: ["MMM"] for n in mixed},
         lambda names: kept_measures([by_name[n] for n in names], {"MMM": 0.90})) or {}
-    mixes = [errors.attempt(n, ["MMM"], lambda: run_mix(metadata, by_name[n], targets[n, "MMM"]))
-             for n in mixed if targets.get((n, "MMM"))]
+    chosen = {n: targets[n, "MMM"] for n in mixed if targets.get((n, "MMM"))}
+    mix = errors.together({n: ["MMM"] for n in chosen}, lambda names: run_mixes(
+        metadata, [by_name[n] for n in names], chosen))
     watched = {n: ["BOCPD"] for n in by_name if (n, "BOCPD") in passed and by_name[n].measures}
     changes = errors.together(
         watched, lambda names: run_change_points(known, [by_name[n] for n in names]))
-    return Run(metadata, known, checks, decisions, windows(spark, known), changes,
-               [m for m in mixes if m is not None], errors.rows(spark))
+    return Run(metadata, known, checks, decisions, windows(spark, known), changes, mix,
+               errors.rows(spark))
 
 
 def measure_rows(run: Run) -> DataFrame:
@@ -459,8 +516,8 @@ def measure_rows(run: Run) -> DataFrame:
     if run.changes is not None:
         parts.append(run.changes.priors.select(
             "dataset", F.lit("BOCPD").alias("model"), "measure"))
-    parts += [m.betas.select("dataset", F.lit("MMM").alias("model"), "measure").distinct()
-              for m in run.mixes]
+    if run.mix is not None:
+        parts.append(run.mix.betas.select("dataset", F.lit("MMM").alias("model"), "measure").distinct())
     if not parts:
         spark = run.checks.sparkSession
         return inline_rows(spark, {"dataset": "string", "model": "string",

@@ -31,8 +31,9 @@ def routing_documents(metadata: Metadata) -> DataFrame:
 
 def signal_section(run: Run, strip_series: bool) -> DataFrame:
     """``dataset, model_signals``: outcome per model with its per-measure signals."""
-    parts = [m for mix in run.mixes for m in [P.mix_signals(mix).withColumn(
-        "model", F.lit("MMM"))]]
+    parts = []
+    if run.mix is not None:
+        parts.append(P.mix_signals(run.mix).withColumn("model", F.lit("MMM")))
     if run.changes is not None:
         parts.append(P.change_signals(run.changes, strip_series).withColumn(
             "model", F.lit("BOCPD")))
