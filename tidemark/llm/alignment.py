@@ -14,14 +14,13 @@ the pairs' scores back to the documents, chunk by chunk.
 from __future__ import annotations
 
 import hashlib
-import os
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.bpe import read_vocabulary, runs_of
+from tidemark.llm.bpe import Bpe, Decoder, runs_of
 from tidemark.llm.common import stored
 
 CHUNK_BITS = 13
@@ -37,36 +36,33 @@ class Pair:
     """The two tokenizers with the bytes of every id, and texts of ids with what follows them."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        self.a = Bpe(path_a)
+        self.a.split_added = None  # strings of special tokens are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = read_vocabulary(path_a)[2]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
-                        else p.replace(SPACE, " ").encode()
-                        for i, p in ((i, self.b.id_to_piece(i)) for i in range(len(self.b)))]
-        self.size_b = len(self.bytes_b)
-        self.length_a, self.length_b = (np.array([*map(len, listed)], np.int64)
-                                        for listed in (self.bytes_a, self.bytes_b))
-        self.written = [f"{i}{mark}" for size, marks in ((len(self.bytes_a), ",|"),
-                                                         (self.size_b, ",;"))
-                        for mark in marks for i in range(size)]
-
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        bytes_a = self.a.bytes
+        bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
+                   for i, p in ((i, self.b.id_to_piece(i)) for i in range(len(self.b)))]
+        self.size_a, self.size_b = len(bytes_a), len(bytes_b)
+        self.of_a, self.of_b = Decoder(bytes_a), Decoder(bytes_b)
+        self.written = Decoder([f"{i}{mark}".encode() for size, marks in (
+            (self.size_a, ",|"), (self.size_b, ",;")) for mark in marks for i in range(size)])
+
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both for every text; none where the tokens' bytes are not the text's own."""
         spaced = [" " + t for t in texts]
-        found = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        other = self.b.encode(texts, num_threads=1)
-        for k, text in enumerate(spaced):
-            raw = text.encode()
-            if (not texts[k] or b"".join(map(self.bytes_a.__getitem__, found[k])) != raw
-                    or b"".join(map(self.bytes_b.__getitem__, other[k])) != raw):
-                found[k], other[k] = [], []
-        return found, other
+        found = self.a.encode_all(spaced)
+        other = [np.array(ids, np.int64) for ids in self.b.encode(texts, num_threads=1)]
+        wanted = [t.encode() for t in spaced]
+        good = [bool(t) for t in texts]
+        for listed, decoder in ((found, self.of_a), (other, self.of_b)):
+            sizes = np.cumsum([0, *map(len, listed)])
+            body, ends = decoder.joined(np.concatenate(listed))
+            cuts = np.append(0, ends)[sizes].tolist()
+            good = [g and body[i:j] == w for g, i, j, w in zip(good, cuts, cuts[1:], wanted)]
+        nothing = np.zeros(0, np.int64)
+        return ([ids if g else nothing for ids, g in zip(found, good)],
+                [ids if g else nothing for ids, g in zip(other, good)])
 
 
 @lru_cache(maxsize=1)
@@ -77,11 +73,10 @@ def loaded(path_a: str, path_b: str) -> Pair:
 class Aligned:
     """Links and groups of a run of texts, all in one go: texts stand one after the other."""
 
-    def __init__(self, pair: Pair, found: list[list[int]], other: list[list[int]]):
+    def __init__(self, pair: Pair, found: list[np.ndarray], other: list[np.ndarray]):
         self.n_a, self.n_b = (np.array([*map(len, ids)], np.int64) for ids in (found, other))
-        a, b = (np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
-                for ids in (found, other))
-        ends_a, ends_b = np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b])
+        a, b = (np.concatenate(ids).astype(np.int64) for ids in (found, other))
+        ends_a, ends_b = np.cumsum(pair.of_a.lengths[a]), np.cumsum(pair.of_b.lengths[b])
         # 1 where a token of the first ends, 2 where one of the second does.
         marks = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)
         marks[ends_a] = 1
@@ -100,14 +95,13 @@ class Aligned:
         # A group's tokens of the first come behind all tokens of earlier groups.
         before_b = np.concatenate([[0], upto_b[shared]])
         through_a = np.concatenate([upto_a[shared], [0]])
-        size_a = len(pair.bytes_a)
         order = np.empty(len(a) + len(b), np.int64)
-        order[np.arange(len(a)) + before_b[group[here_a]]] = a + size_a * shared[here_a]
+        order[np.arange(len(a)) + before_b[group[here_a]]] = a + pair.size_a * shared[here_a]
         order[np.arange(len(b)) + through_a[group[here_b]]] = \
-            b + pair.size_b * shared[here_b] + 2 * size_a
-        said = list(map(pair.written.__getitem__, order.tolist()))
-        stops = np.cumsum(self.n_a + self.n_b).tolist()
-        self.groups = ["".join(said[i:j])[:-1] for i, j in zip([0, *stops], stops)]
+            b + pair.size_b * shared[here_b] + 2 * pair.size_a
+        said, ends = pair.written.joined(order)
+        cuts = np.append(0, ends)[np.append(0, np.cumsum(self.n_a + self.n_b))].tolist()
+        self.groups = [said[i:j - 1] if j > i else b"" for i, j in zip(cuts, cuts[1:])]
 
 
 def bitmaps(rows: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -198,7 +192,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
                 yield batch_of(
                     len(own), row=own, doc_id=batch.column(1).slice(start, len(own)),
                     n_a=found.n_a, n_b=found.n_b, n_groups=found.n_groups, n_links=found.n_links,
-                    groups_sha256=[g and hashlib.sha256(g.encode()).hexdigest()
+                    groups_sha256=[hashlib.sha256(g).hexdigest() if g else ""
                                    for g in found.groups])
                 linked = own[found.link_text]
                 for c in np.unique(own >> CHUNK_BITS).tolist():
