@@ -50,6 +50,18 @@ def test_main_text_beside_article_cards(html, want):
     assert text(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    (f"<nav>m n</nav><article class='post sidebar-right'><p>{LONG}</p></article>", LONG),
+    (f"<div class='content ad-free'><p>{LONG}</p></div><footer>f</footer>", LONG),
+    (f"<article class='comment'><h1>Opinion</h1><p>{LONG}</p></article>", f"Opinion {LONG}"),
+    (f"<article><p>short text</p><section class='comments'><p>{LONG}</p></section></article>",
+     "short text"),
+    (f"<p>{LONG}</p><article class='comment'><p>{LONG}</p></article>", None),
+    (f"<div class='sidebar'><p>{LONG}</p></div>", None)])
+def test_class_names_do_not_empty_a_page(html, want):
+    assert text(html) == want
+
+
 def test_unclosed_and_long_markup():
     assert text("<article>" + "<div>" * 3000 + "deep" + "<b" * 50_000) is not None
     assert text("<article>a<script>never closed <p>b") == "a"

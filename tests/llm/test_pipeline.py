@@ -57,3 +57,21 @@ def test_odd_rows_pass_through(spark, folder):
         for _, stage in C.STAGES:
             frame = stored(stage(spark, frame, folder))
         assert frame.columns == ["doc_id", "ids"]
+
+
+def test_long_texts_and_clashing_columns_pass_through(spark, folder):
+    """A text of a million characters, and columns named like those the stages work with."""
+    names = ["id", "key", "line", "component", "fp", "tokens", "topic", "draw", "ids", "body", "n",
+             "probability", "held_out", "drops", "h1", "h2", "sig", "leader"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    long = docs.limit(1).selectExpr(*[
+        "concat_ws(' ', transform(sequence(1, 150000), i -> concat('word', i % 977))) as text"
+        if c == "text" else "987654L as doc_id" if c == "doc_id" else c for c in docs.columns])
+    wide = docs.union(long).selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    frame = stored(wide)
+    for _, stage in C.STAGES[:-1]:
+        before, frame = frame, stored(stage(spark, frame, folder))
+        assert frame.columns == wide.columns
+        assert frame.where("id <> concat('id', doc_id) or sig <> concat('sig', doc_id)").count() == 0
+        assert 0 < frame.count() <= before.count()
+    assert C.STAGES[-1][1](spark, frame, folder).count() == frame.count()

@@ -27,6 +27,16 @@ def test_keys(spark, url, host, keys):
     assert row.h == host and (sorted(row.k) if row.k else row.k) == keys
 
 
+def test_very_long_url(spark):
+    """All prefixes of a path of a thousand parts, from one URL; its own key matches."""
+    url = "http://h.org/" + "/".join(f"part{i}" for i in range(1000)) + "?q=" + "x" * 50_000
+    df = spark.createDataFrame([(url, day(3))], "url string, fetch_day date")
+    keys = df.select(F.size(U.keys_of(F.col("url")))).first()[0]
+    assert keys == 2 + 1000 + 1
+    listed = U.listed(df, entries(spark, [("a", "path h.org/part0/part1", day(0), "add")])).first()
+    assert (listed.n_entries, listed.lists, listed.nearest) == (1, "a", "path")
+
+
 def entries(spark, rows):
     return spark.createDataFrame(rows, "list string, key string, day date, action string")
 

@@ -383,7 +383,8 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id",
            ids_col: str = "ids") -> DataFrame:
     """(id, ids, text): every row's ids and the text they stand for, special tokens included.
 
-    Null ids give a null text. Bytes that are no UTF-8 become replacement characters.
+    Null ids give a null text, an empty list an empty one. Bytes that are no UTF-8 become
+    replacement characters. An empty table gives an empty result; no other column is read.
     """
     kind = tokens.schema[id_col].dataType.simpleString()
 

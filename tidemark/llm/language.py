@@ -246,7 +246,10 @@ def keep_known(docs: DataFrame, lowest: float = 0.2, sample_rows: int = SAMPLE_R
     """The rows of `docs` whose language is recognised with a score of at least `lowest`.
 
     Decided row by row inside one map, so texts are not shuffled. All columns are kept as they
-    came; `lang` is not an input of the decision.
+    came, whatever they are named; `lang` is not an input of the decision. Rows whose text is null,
+    empty or without a letter go; whole texts of any length are read; repeated rows are decided
+    alike, and every one of them stays or goes. Where no row has a language to learn from, and in
+    an empty table, nothing is recognised and the result is empty.
     """
     model = fit(docs, sample_rows=sample_rows)
 

@@ -164,7 +164,13 @@ def mixed(docs: DataFrame, power: float = 0.7, budget: float = 0.7) -> DataFrame
 
 
 def sampled(docs: DataFrame, power: float = 0.7, budget: float = 0.7) -> DataFrame:
-    """The rows of `docs` that the calibrated sample takes, all columns as they came."""
+    """The rows of `docs` that the calibrated sample takes, all columns as they came.
+
+    Rows with a null or empty text have no tokens but a place in the margins, and are drawn like
+    others; null sources and languages are categories. The draw depends on the id alone, so
+    repeated rows stay or go together. An empty table gives an empty result. Columns of any other
+    name are kept.
+    """
     cells = calibrated(stored(described(docs)), power, budget)
     names = {c: f"__own_{c}" for c in docs.columns if c not in ("doc_id", "source", "lang", "text")}
     tokens = token_count(F.col("text"))

@@ -23,6 +23,7 @@ from tidemark.llm.url_lists import host_of
 
 DEPTH = 8  # tokens of the shortest repeated substring; a power of two
 MANY = 5  # distinct articles of a host that share a notice
+MOST = 4  # times the words elsewhere that a marked part needs to be heard against its class names
 BLOCK_TOKENS = 2_000_000  # tokens in one suffix array; larger hosts get several, then merged
 
 TOKEN = re.compile(
@@ -54,8 +55,11 @@ ROLES = set("navigation banner contentinfo complementary search alert alertdialo
 NEUTRAL, MAIN, ARTICLE, OUT = 0, 1, 2, -1  # MAIN | ARTICLE: an article in the main part
 
 
-def zone_of(tag: str, attributes: str, outer: int) -> int:
-    """What an element's text is: OUT, in the article, in the main part, or not yet known."""
+def zone_of(tag: str, attributes: str, outer: int, by_name: bool = True) -> int:
+    """What an element's text is: OUT, in the article, in the main part, or not yet known.
+
+    Unless `by_name` no class or id can say OUT.
+    """
     if outer == OUT or tag in CHROME:
         return OUT
     zone = {"article": outer | ARTICLE, "main": max(outer, MAIN)}.get(tag, outer)
@@ -76,7 +80,9 @@ def zone_of(tag: str, attributes: str, outer: int) -> int:
         if not words or words[0] in WRAPPERS or tag in ("html", "body"):
             continue
         if STRONG.intersection(words) or WEAK.intersection(words) and not BODY.intersection(words):
-            return OUT
+            if by_name:
+                return OUT
+            continue
         if words[-1] in BODY and len(words) <= 2 and set(words) <= BODY:
             zone = zone | ARTICLE if words[0] in ("article", "entry", "post", "story") else max(zone, MAIN)
     if given.get("itemprop", "").lower() == "articlebody":
@@ -88,7 +94,22 @@ def blocks_of(html: str | None) -> list[tuple[int, str, int]]:
     """(zone, text, article) of every block with text, in page order, character references decoded.
 
     `article` numbers the outermost article that the block stands in, 0 if it stands in none.
+    Names of classes do not decide alone that a page has no text: where they leave no marked part,
+    and without them a marked part holds most of the page's words, they are not heard.
     """
+    blocks = cut_blocks(html, True)
+    if blocks and not any(chosen(blocks)):
+        left = sum(len(t.split()) for z, t, _ in blocks if z != OUT)
+        if left * MOST < sum(len(t.split()) for z, t, _ in blocks if z == OUT):
+            again = cut_blocks(html, False)
+            marked = sum(len(t.split()) for (_, t, _), own in zip(again, chosen(again)) if own)
+            if left * MOST < marked:
+                return again
+    return blocks
+
+
+def cut_blocks(html: str | None, by_name: bool) -> list[tuple[int, str, int]]:
+    """`blocks_of` with or without regard to what class names say against a block."""
     out: list[tuple[int, str, int]] = []
     pieces: list[str] = []
     stack: list[tuple[str, int, int]] = [("", NEUTRAL, 0)]
@@ -135,7 +156,7 @@ def blocks_of(html: str | None) -> list[tuple[int, str, int]]:
                 pieces.append(" ")
             continue
         if tag in INLINE:
-            zone = zone_of(tag, m[4], stack[-1][1])
+            zone = zone_of(tag, m[4], stack[-1][1], by_name)
             if zone != stack[-1][1]:
                 flush()
                 push(tag, zone)
@@ -151,7 +172,7 @@ def blocks_of(html: str | None) -> list[tuple[int, str, int]]:
             if stack[k][0] in CLOSED_BY_LISTS:
                 break
         if not m[4].endswith("/"):
-            push(tag, zone_of(tag, m[4], stack[-1][1]))
+            push(tag, zone_of(tag, m[4], stack[-1][1], by_name))
     flush()
     return out
 

@@ -244,8 +244,10 @@ def simhash_clusters(docs: DataFrame, words_per_shingle: int = 3, max_bits: int
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One row of `docs` for each group: the row with the smallest doc_id.
 
-    Of several rows with that id the one with the smallest text stays. A group without any id
-    keeps one row in the same way. All columns are returned as they came.
+    Of several rows with that id the one with the smallest text stays (null first), of repeated
+    rows one. A group without any id keeps one row in the same way. Null, empty and blank texts have
+    one fingerprint, so they are one group. Whole texts of any length are read. All columns are
+    returned as they came; an empty table gives an empty result.
     """
     kept = simhash_clusters(docs, **options).where("kept").select("doc_id").distinct()
     turn = Window.partitionBy("doc_id").orderBy("text")

@@ -35,7 +35,8 @@ def keys_of(url: Column) -> Column:
     """Every key an entry could name: `url host/path?query`, `path host/dir`, `domain host`.
 
     Path keys are the prefixes that end at a slash or at the end of the path; domain keys are the
-    host and its parents. A null URL or one without a host has no key.
+    host and its parents. A null URL or one without a host has no key. URLs are read whole; the keys
+    of one with n parts of a path hold n prefixes, so their length grows with the square of n.
     """
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
@@ -75,7 +76,8 @@ def listed(captures: DataFrame, entries: DataFrame, url_col: str = "url",
     lists names the lists in order, joined by commas; nearest is the kind of the most specific
     entry. A capture with a null URL, host or day matches nothing (0, empty, null). Repeated rows
     get equal answers. Other columns are returned as they came; the three added ones take the
-    place of columns with those names.
+    place of columns with those names. Empty captures give an empty result; with no entries every
+    capture matches nothing.
 
     Each distinct (URL, day) is judged once. Keys and calendar months are joined by equality, so
     an interval meets only captures of its months, and a host with a third of all captures is a
