@@ -14,7 +14,8 @@ from tidemark.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those without a letter or a likely language go."""
+    """Documents whose language is recognised; those without a letter or a likely language go, null
+    and empty texts among them. Repeated rows stay or go together; an empty table stays empty."""
     return language.keep_known(docs)
 
 
@@ -24,12 +25,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id (null first). Null
+    and empty texts are one group, repeated rows one document; an empty table stays empty."""
     return simhash.keep_one(docs, words_per_shingle=3, max_bits=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose token shares of sources, languages and topics meet the targets."""
+    """A sample whose token shares of sources, languages and topics meet the targets. Null sources
+    and languages are categories; repeated rows are drawn alike; an empty table stays empty."""
     return mixing.sampled(docs)
 
 
