@@ -1095,3 +1095,14 @@ m AS (SELECT unnest(['gold_engagement', 'gold_engagement', 'gold_engagement', 'g
     unnest(['sales', 'trx', 'competitor_spend', 'amount']) AS measure)
 SELECT dataset, measure, coalesce(string_agg(model, ',' ORDER BY model), '') AS models
 FROM m LEFT JOIN r USING (dataset, measure) GROUP BY ALL"""
+
+ORACLES["change_payload"] = f"""{SERIES}, {FILTER}, {PEAKS},
+cw AS (SELECT cc.product, cc.t, count(*) AS n FROM cc JOIN pb
+    ON pb.product = cc.product AND pb.t BETWEEN cc.t - 8 AND cc.t + 8 GROUP BY ALL),
+cl AS (SELECT product, count(*) AS n, string_agg(week::VARCHAR, ',' ORDER BY cp_prob DESC, t) AS listed,
+    string_agg(cw.n::VARCHAR, ',' ORDER BY cp_prob DESC, t) AS sizes
+  FROM cc JOIN pb USING (product, t) JOIN cw USING (product, t) GROUP BY product)
+SELECT 'gold_engagement' AS dataset, pr.product AS measure, coalesce(n, 0)::INTEGER AS n_changepoints,
+  52 AS hazard, round(mu_0, 5) AS mu_0, coalesce(listed, '') AS by_probability,
+  coalesce(sizes, '') AS context_sizes
+FROM pr LEFT JOIN cl ON cl.product = pr.product"""

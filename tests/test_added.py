@@ -433,6 +433,13 @@ def test_metadata_is_made_when_asked_for(spark, folder):
 
 # --- small functions that had no test ----------------------------------------------------
 
+@pytest.mark.parametrize("grain, periods", [("daily", 365), ("weekly", 52), ("monthly", 12),
+                                            ("quarterly", 52), (None, 52)])
+def test_hazard_of_a_grain(spark, grain, periods):
+    df = inline_rows(spark, {"g": "string"}, [(grain,)])
+    assert df.select(dates.hazard_of(F.col("g"))).head()[0] == periods
+
+
 def test_preparation_follows_the_profile(spark):
     rows = [(f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}", float(math.exp(i / 10)), None if i % 5 else 1.0)
             for i in range(112)]

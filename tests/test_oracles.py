@@ -9,7 +9,9 @@ FAST = ["market_rollup", "market_features", "segment_rollup", "weekly_sat", "spi
         "lineitem_profile", "date_grain", "numeric_promotion", "abbreviated_subtypes",
         "model_routes", "candidate_window", "quarter_parse", "channel_groups", "model_matrix",
         "bocpd_probs", "cp_candidates", "integration_report", "validation_checks",
-        "psi_segment", "acf_hints", "gate_decision"]
+        "psi_segment", "acf_hints", "gate_decision", "adstock_decays", "date_forms", "pacf_hints",
+        "order_hints", "chain_diagnostics", "online_probs", "merged_profile", "spec_sheet",
+        "change_payload"]
 
 
 def test_every_oracle_has_a_query():

@@ -319,7 +319,11 @@ def run_change_points(known: Facts, facts: list[Fact]) -> ChangeRun | None:
     facts = [f for f in facts if f.measures]
     if not facts:
         return None
-    series = stage(change_series(known, facts))
+    return change_run(stage(change_series(known, facts)))
+
+
+def change_run(series: DataFrame) -> ChangeRun:
+    """Change-points of stored long series as `change_series` gives them."""
     probs = C.change_probabilities(
         series.select(*SERIES, "date", "log_value", "hazard"), SERIES, "date", "log_value",
         hazard="hazard")

@@ -822,6 +822,30 @@ def cp_candidates(spark, d):
                       F.round("exp_run_length", 4).alias("exp_run_length"))
 
 
+@query
+def change_payload(spark, d):
+    """The report's change-point part per product, read back: candidates by probability."""
+    series = stage(market(spark, d, step=True, by_product=True).select(
+        F.lit("gold_engagement").alias("dataset"), F.col("product").alias("measure"),
+        F.col("week").alias("date"), F.col("sales").alias("value"),
+        X.log_level(F.col("sales")).alias("log_value"), F.lit("log").alias("target_transform"),
+        D.hazard_of(F.lit("weekly")).alias("hazard")))
+    signals = P.change_signals(insights.change_run(series), strip_series=True)
+    said = lambda path: F.get_json_object("signal", path)
+    found = F.coalesce(F.from_json(said("$.cp_candidates"), "array<struct<date:date,week_idx:int>>"),
+                       F.array().cast("array<struct<date:date,week_idx:int>>"))
+    around = F.coalesce(F.from_json(said("$.cp_context_windows"),
+                                    "array<struct<series:array<struct<date:date>>>>"),
+                        F.array().cast("array<struct<series:array<struct<date:date>>>>"))
+    return signals.select(
+        "dataset", "measure", said("$.n_changepoints").cast("int").alias("n_changepoints"),
+        said("$.model_params.hazard_lam").cast("int").alias("hazard"),
+        F.round(said("$.model_params.mu_0").cast("double"), 5).alias("mu_0"),
+        F.array_join(F.transform(found, lambda c: c["date"].cast("string")), ",").alias("by_probability"),
+        F.array_join(F.transform(around, lambda c: F.size(c["series"]).cast("string")), ",")
+        .alias("context_sizes"))
+
+
 @query
 def cp_context(spark, d):
     probs = product_probs(spark, d)
