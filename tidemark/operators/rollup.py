@@ -143,9 +143,36 @@ def fill_forward(series: DataFrame, date: str, columns: list[str],
 
 def spine_filled(series: DataFrame, date: str, keys: list[str], columns: list[str],
                  days: int = 7) -> DataFrame:
-    """A gapless series: missing periods appear and repeat the last known values."""
-    full = spine(series, date, keys, days).join(series, [*keys, date], "left")
-    return fill_forward(full, date, columns, keys)
+    """A gapless series: missing periods appear and repeat the last known values.
+
+    Only the given rows are moved and sorted, once; each then repeats itself in place up to its
+    next one, so the filled calendar is never shuffled. Rows beside the periods, which start at a
+    series' first date, do not count, nor do rows with a null key, whose periods stay empty.
+    """
+    own, others = [F.col(f"`{k}`") for k in keys], [
+        c for c in series.columns if c not in (*keys, date)]
+    at, whole = F.col("__at"), Window.partitionBy(*own)
+    in_order = whole.orderBy(at)
+    known = series.where(F.col(date).isNotNull()).withColumn("__at", F.col(date)).withColumns({
+        "__day": at.cast("date"), "__lo": F.min(at).over(whole).cast("date"),
+        "__hi": F.max(at).over(whole).cast("date"), "__row": F.row_number().over(in_order)})
+    on_period = (F.col("__day") == at) & (F.datediff("__day", "__lo") % days == 0)
+    hit = reduce(lambda a, k: a & k.isNotNull(), own, on_period)
+    # A series without a row at its first period starts with an empty one.
+    known = known.withColumn("__hit", hit).where(F.col("__hit") | (F.col("__row") == 1))
+    known = known.withColumns({c: F.when(F.col("__hit"), F.col(f"`{c}`")) for c in others})
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    known = known.withColumns({
+        "__next": F.lead("__day").over(in_order),
+        "__last": F.struct(F.lit(True).alias("_"), *[
+            F.last(F.col(f"`{c}`"), ignorenulls=True).over(so_far).alias(c)
+            for c in others if c in columns])})
+    more = F.coalesce(F.datediff("__next", "__day") - 1, F.datediff("__hi", "__day"))
+    steps = F.sequence(F.lit(0), F.greatest(F.floor(more / days).cast("int"), F.lit(0)))
+    return known.withColumn("__step", F.explode(steps)).select(
+        *own, F.date_add("__day", F.col("__step") * days).alias(date),
+        *[(F.col("__last")[c] if c in columns
+           else F.when(F.col("__step") == 0, F.col(f"`{c}`"))).alias(c) for c in others])
 
 
 def calendar_rollup(df: DataFrame, date: str, measures: list[str]) -> DataFrame:
