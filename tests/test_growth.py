@@ -16,3 +16,66 @@ from tidemark.sources.catalog import text_stats
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_filled_calendar_is_not_moved(spark):
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(days=n)
+    df = spark.createDataFrame(
+        [(1, day(0), 5.0, "a"), (1, day(21), None, "b"), (1, day(21), None, "b"), (1, day(24), 9.0, "off"),
+         (2, day(3), None, "c"), (2, day(17), 4.0, "d"), (None, day(0), 1.0, "e"), (None, day(7), 2.0, "f"),
+         (3, None, 1.0, "g")], "k int, w date, x double, note string")
+    full = R.spine_filled(df, "w", ["k"], ["x"])
+    assert "Join" not in plan_of(full) and plan_of(full).count("Exchange hashpartitioning") == 1
+    got = sorted(map(tuple, full.collect()), key=str)
+    assert got == sorted([
+        (1, day(0), 5.0, "a"), (1, day(7), 5.0, None), (1, day(14), 5.0, None),
+        (1, day(21), 5.0, "b"), (1, day(21), 5.0, "b"),
+        (2, day(3), None, "c"), (2, day(10), None, None), (2, day(17), 4.0, "d"),
+        (None, day(0), None, None), (None, day(7), None, None)], key=str)
+
+
+def test_states_of_all_loads_come_from_one_pass(spark):
+    df = spark.createDataFrame(
+        [(y, float(i % 7), f"t{i % 5}") for i in range(60) for y in (1, 2, None)],
+        "y int, x double, s string")
+    load = F.coalesce(F.col("y").cast("string"), F.lit("None"))
+    states = PS.profile_state(df, "t", ["x"], load)
+    assert plan_of(states).count("Scan") == 1
+    of_one = PS.profile_state(df.where("y = 2"), "t", ["x"], "2")
+    shown = ["dataset", "load", "n_rows", "name", "ordinal", "n_filled", "n", "mean", "m2", "m3", "m4", "lo", "hi"]
+    # Rounding may depend on how rows are spread over tasks.
+    for a, b in zip(stage(states).where("load = '2'").orderBy("name").select(*shown).collect(),
+                    of_one.orderBy("name").select(*shown).collect()):
+        assert a[:7] == b[:7] and list(a[7:]) == [v if v is None else pytest.approx(v, abs=1e-9) for v in b[7:]]
+    assert sorted(r[0] for r in states.select("load").distinct().collect()) == ["1", "2", "None"]
+    merged = {r["name"]: r for r in PS.merged_profile(stage(states)).collect()}
+    assert (merged["x"]["about_distinct"], merged["s"]["about_distinct"], merged["y"]["about_distinct"]) == (7, 5, 2)
+
+
+def test_distinct_numbers_and_days_are_not_written_as_texts(spark):
+    at = datetime.datetime(2024, 3, 1, 12)
+    df = spark.createDataFrame(
+        [(0.0, 1, True, at.date(), at, "a"), (-0.0, 1, False, at.date(), at, "a"),
+         (math.nan, None, None, None, at + datetime.timedelta(microseconds=1), "b" * 70),
+         (1e-300, 2, True, datetime.date(1969, 12, 31), None, None)],
+        "d double, i int, b boolean, day date, t timestamp, s string")
+    got = {r["name"]: r["n_distinct"] for r in N.distinct_counts(df, df.columns).collect()}
+    assert got == {"d": 2, "i": 2, "b": 2, "day": 2, "t": 2, "s": 2}
+    assert "as string" not in plan_of(N.distinct_counts(df, ["d", "i", "b", "day", "t"])).lower()
+
+
+def test_short_texts_are_read_as_numbers_once_per_value(spark):
+    long_number, long_text = "1" * 70, "x" * 70
+    df = spark.createDataFrame([("1.5",)] * 3 + [(long_number,), (long_text,), ("no",), (None,)], "s string")
+    r = text_stats({"t": df}).head()
+    assert (r["n_rows"], r["n_null"], r["n_distinct"]) == (7, 1, 4)
+    assert r["numeric_share"] == pytest.approx(4 / 7)
+
+
+def test_moments_take_keys_as_codes(spark):
+    rows = [("a", None, 1.0, 2.0), ("b", "m", 2.0, 1.0), ("a", None, 3.0, 5.0), (None, "m", 1.0, 1.0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["k", "m", "x", "y"])
+    found = [r for part in N.moment_rows(["k", "m"], 2)([batch, batch]) for r in part.to_pylist()]
+    assert {(r["k"], r["m"]): r["n"] for r in found} == {("a", None): 4, ("b", "m"): 2, (None, "m"): 2}
+    of_a = next(r for r in found if r["k"] == "a")
+    assert (of_a["mx"], of_a["my"], of_a["xy"]) == pytest.approx((2.0, 3.5, 6.0))

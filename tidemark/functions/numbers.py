@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import inline_rows, ship_package
 
 BINS = 4096
-PICK = 2048  # values that are sorted at once
+PICK = 16384  # values that are sorted at once: one pass over all rows less for tens of millions
 EPSILON = float(np.finfo(float).eps)
 
 
@@ -93,11 +93,16 @@ def moment_rows(key_names: list[str], width: int):
             x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns])
             groups = {(): slice(None)}
             if key_names:
-                names = pd.DataFrame({k: batch.column(i).to_pylist()
-                                      for i, k in enumerate(key_names)}, dtype=object)
-                groups = names.groupby(key_names, dropna=False, sort=False).indices
+                # Codes of the keys' few values instead of a Python object for every row.
+                coded = [batch.column(i).dictionary_encode("encode") for i in range(len(key_names))]
+                code = np.zeros(len(x), dtype=np.int64)
+                for part in coded:
+                    code = code * len(part.dictionary) + part.indices.to_numpy(zero_copy_only=False)
+                order = np.argsort(code, kind="stable")
+                starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+                groups = {tuple(part[int(rows[0])].as_py() for part in coded): rows
+                          for rows in np.split(order, starts[1:]) if len(rows)}
             for key, rows in groups.items():
-                key = key if isinstance(key, tuple) else (key,)
                 key = tuple(None if k is None or k != k else k for k in key)
                 found = Moments(x[rows])
                 if key in held:
@@ -264,19 +269,53 @@ def distinct_keys(df: DataFrame, columns: list[str]) -> list[Column]:
             else value_key(F.col(f"`{c}`")) for c in columns]
 
 
-def count_distinct_keys(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct non-null ``value`` per key, by two partial aggregations."""
-    seen = pairs.groupBy(*keys, "value").agg(F.lit(1).alias("one"))
-    return seen.groupBy(*keys).agg(F.count("value").alias("n_distinct"))
+def native_keys(df: DataFrame, columns: list[str]) -> list[tuple[str, Column]]:
+    """(kind, value) of each column; values of one kind are told apart without writing them as text.
+
+    Two values are equal here exactly if `distinct_keys` gives them the same text.
+    """
+    keys = []
+    for c, text in zip(columns, distinct_keys(df, columns)):
+        value, kind = F.col(f"`{c}`"), df.schema[c].dataType.typeName()
+        if kind in ("float", "double"):
+            keys.append(("double", clean_float(value) + F.lit(0.0)))
+        elif kind in ("byte", "short", "integer", "long"):
+            keys.append(("bigint", value.cast("bigint")))
+        elif kind == "boolean":
+            keys.append(("bigint", value.cast("int").cast("bigint")))
+        elif kind == "date":
+            keys.append(("bigint", F.unix_date(value).cast("bigint")))
+        elif kind in ("timestamp", "timestamp_ntz"):
+            # As written in the session's time zone.
+            keys.append(("timestamp_ntz", value.cast("timestamp_ntz")))
+        else:
+            keys.append(("string", text))
+    return keys
+
+
+def count_distinct_keys(pairs: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Distinct non-null ``value`` per key, by two partial aggregations.
+
+    ``pairs`` are stacks of one kind of values each; all values of a key are in one of them.
+    """
+    counted = []
+    for stack in pairs:
+        seen = stack.groupBy(*keys, "value").agg(F.lit(1).alias("one"))
+        counted.append(seen.groupBy(*keys).agg(F.count("value").alias("n_distinct")))
+    return reduce(DataFrame.unionByName, counted)
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct non-null values per column as (name, n_distinct).
 
-    Columns are stacked and merged by value in two partial aggregations, so neither a wide
-    expand over every column nor a hot column ends up in one task.
+    Columns of one kind are stacked and merged by value in two partial aggregations, so neither a
+    wide expand over every column nor a hot column ends up in one task.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), k.alias("value"))
-                      for c, k in zip(columns, distinct_keys(df, columns))])
-    return count_distinct_keys(
-        df.select(F.explode(pairs).alias("p")).select("p.name", "p.value"), ["name"])
+    kinds: dict[str, list[Column]] = {}
+    for i, (kind, key) in enumerate(native_keys(df, columns)):
+        kinds.setdefault(kind, []).append(F.struct(F.lit(i).alias("place"), key.alias("value")))
+    stacks = [df.select(F.explode(F.array(*rows)).alias("p")).select("p.place", "p.value")
+              for rows in kinds.values()]
+    names = F.array(*[F.lit(c) for c in columns])
+    return count_distinct_keys(stacks, ["place"]).select(
+        names[F.col("place")].alias("name"), "n_distinct")

@@ -9,39 +9,51 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.names import type_family
-from tidemark.functions.numbers import distinct_keys, number_of
+from tidemark.functions.numbers import native_keys, number_of
 
 HLL_BITS = 14  # standard error of the distinct count about 0.8 %
 KLL_SIZE = 400  # error of a quantile's rank below 1 % at 99 % confidence
 KEYS = ["dataset", "name"]
 
 
-def profile_state(df: DataFrame, dataset: str, measures: list[str], load: str = "") -> DataFrame:
+def profile_state(df: DataFrame, dataset: str, measures: list[str],
+                  load: str | Column = "") -> DataFrame:
     """The state of one load, in one pass: a row per column.
 
-    ``load`` names the part, for instance a day, so that a stored part can be replaced.
+    ``load`` names the part, for instance a day, so that a stored part can be replaced. Given as a
+    column, it names each row's part, and the states of all loads come from that one pass.
     Moments and quantile sketches are those of the measures; texts that are no numbers count as
-    missing there. A load without rows has rows with zero counts.
+    missing there. A load without rows has rows with zero counts if it is named by a text.
+    Distinct values are told apart by hashes of the values themselves, not of their texts, so a
+    column must have one type in all loads, and states stored with hashes of texts do not merge.
     """
+    # Taken once per row, before the aggregates read them.
+    taken = {"load": load.cast("string") if isinstance(load, Column) else F.lit(load)}
     parts = [F.count("*").alias("rows")]
-    for i, (c, key) in enumerate(zip(df.columns, distinct_keys(df, df.columns))):
-        parts += [F.count(key).alias(f"filled{i}"),
-                  F.hll_sketch_agg(F.when(key.isNotNull(), F.xxhash64(key)), HLL_BITS).alias(f"seen{i}")]
+    for i, (c, (_, key)) in enumerate(zip(df.columns, native_keys(df, df.columns))):
+        taken[f"key{i}"] = F.when(key.isNotNull(), F.xxhash64(key))
+        parts += [F.count(f"key{i}").alias(f"filled{i}"),
+                  F.hll_sketch_agg(f"key{i}", HLL_BITS).alias(f"seen{i}")]
         if c in measures:
-            x = number_of(F.col(f"`{c}`"), type_family(df.schema[c].dataType) == "string")
-            sd = F.stddev_pop(x)
+            taken[f"x{i}"] = number_of(F.col(f"`{c}`"), type_family(df.schema[c].dataType) == "string")
+            x = F.col(f"x{i}")
+            sd = F.sqrt(F.var_pop(x))
             parts += [F.struct(
                 F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"),
                 (F.skewness(x) * F.count(x) * sd * sd * sd).alias("m3"),
                 ((F.kurtosis(x) + 3) * F.count(x) * sd * sd * sd * sd).alias("m4"),
                 F.min(x).alias("lo"), F.max(x).alias("hi")).alias(f"moments{i}"),
                 F.kll_sketch_agg_double(x, KLL_SIZE).alias(f"ranks{i}")]
-    wide = df.agg(*parts)
+    rows = df.select(*[value.alias(name) for name, value in taken.items()])
+    if isinstance(load, Column):
+        wide = rows.groupBy("load").agg(*parts)
+    else:
+        wide = rows.agg(*parts).withColumn("load", F.lit(load))
     nothing = "struct<n:bigint,mean:double,m2:double,m3:double,m4:double,lo:double,hi:double>"
-    rows = F.array(*[
+    columns = F.array(*[
         F.struct(
             F.lit(c).alias("name"), F.lit(i).alias("ordinal"), F.col(f"filled{i}").alias("n_filled"),
             F.col(f"seen{i}").alias("seen"),
@@ -49,8 +61,8 @@ def profile_state(df: DataFrame, dataset: str, measures: list[str], load: str =
             .alias("moments"),
             (F.col(f"ranks{i}") if c in measures else F.lit(None).cast("binary")).alias("ranks"))
         for i, c in enumerate(df.columns)])
-    return wide.select(F.lit(dataset).alias("dataset"), F.lit(load).alias("load"),
-                       F.col("rows").alias("n_rows"), F.explode(rows).alias("r")).select(
+    return wide.select(F.lit(dataset).alias("dataset"), "load",
+                       F.col("rows").alias("n_rows"), F.explode(columns).alias("r")).select(
         "dataset", "load", "n_rows", "r.name", "r.ordinal", "r.n_filled", "r.seen", "r.moments.*",
         "r.ranks")
 

@@ -10,7 +10,7 @@ from tidemark import knowledge as K
 from tidemark.functions.dates import gaps_by, moment_of
 from tidemark.functions.names import contains_any, type_family
 from tidemark.functions.numbers import (
-    clean_float, count_distinct_keys, distinct_keys, exact_quantiles, long_values, number_of)
+    clean_float, count_distinct_keys, exact_quantiles, long_values, native_keys, number_of)
 from tidemark.session import inline_rows
 
 
@@ -114,7 +114,7 @@ def column_profile(df: DataFrame, subtypes: dict[str, str], dataset: str,
 
 
 MEASURES = ("measure", "unclassified_metric")
-AT = ["dataset", "ordinal"]
+AT = ["spot"]  # a column of one of the tables, numbered: a short key for the passes over all rows
 
 
 def column_profiles(tables: dict[str, tuple[DataFrame, dict[str, str]]],
@@ -129,11 +129,13 @@ def column_profiles(tables: dict[str, tuple[DataFrame, dict[str, str]]],
     measures = {n: [c for c in df.columns if subtypes.get(c) in MEASURES]
                 for n, (df, subtypes) in tables.items()}
     columns = inline_rows(
-        spark, {"dataset": "string", "ordinal": "int", "name": "string", "dtype": "string",
-                "dtype_family": "string", "subtype": "string", "place": "int"},
-        [(n, i, c, kinds[n][c].simpleString(), type_family(kinds[n][c]),
+        spark, {"spot": "int", "dataset": "string", "ordinal": "int", "name": "string",
+                "dtype": "string", "dtype_family": "string", "subtype": "string", "place": "int"},
+        [(spot, n, i, c, kinds[n][c].simpleString(), type_family(kinds[n][c]),
           subtypes.get(c, "unknown"), measures[n].index(c) if c in measures[n] else None)
-         for n, (df, subtypes) in tables.items() for i, c in enumerate(df.columns)])
+         for spot, (n, i, c, subtypes) in enumerate(
+             (n, i, c, subtypes) for n, (df, subtypes) in tables.items()
+             for i, c in enumerate(df.columns))])
     stats = columns.join(F.broadcast(_shapes(tables, measures)), "dataset", "left")
     here = lambda group, i: F.get(F.col(group), F.col(i))
     moments = here("moments", "place")
@@ -143,8 +145,10 @@ def column_profiles(tables: dict[str, tuple[DataFrame, dict[str, str]]],
         {c: F.when(several, moments[c])
          for c in ("skewness", "kurtosis", "value_max", "mean", "std")})
     # What is joined below has a row per column: bounded by the schemas.
-    distinct = count_distinct_keys(_stacked(tables, lambda n, df: [
-        (i, k) for i, k in enumerate(distinct_keys(df, df.columns))]), AT)
+    native = {n: native_keys(df, df.columns) for n, (df, _) in tables.items()}
+    distinct = count_distinct_keys([
+        _stacked(tables, lambda n, df: [(i, k) for i, (of, k) in enumerate(native[n]) if of == kind])
+        for kind in dict.fromkeys(of for keys in native.values() for of, _ in keys)], AT)
     stats = stats.join(F.broadcast(distinct), AT, "left")
     if spread and any(measures.values()):
         values = _stacked(tables, lambda n, df: [
@@ -176,15 +180,15 @@ def _number(df: DataFrame, column: str) -> Column:
 
 
 def _stacked(tables, values) -> DataFrame:
-    """(dataset, ordinal, value) rows of what ``values(name, table)`` lists."""
-    parts = []
+    """(spot, value) rows of what ``values(name, table)`` lists by position."""
+    parts, start = [], 0
     for n, (df, _) in tables.items():
         listed = values(n, df)
         if listed:
-            rows = F.array(*[F.struct(F.lit(i).alias("ordinal"), v.alias("value"))
+            rows = F.array(*[F.struct(F.lit(start + i).alias("spot"), v.alias("value"))
                              for i, v in listed])
-            parts.append(df.select(F.lit(n).alias("dataset"), F.explode(rows).alias("r"))
-                         .select("dataset", "r.*"))
+            parts.append(df.select(F.explode(rows).alias("r")).select("r.*"))
+        start += len(df.columns)
     return reduce(DataFrame.union, parts)
 
 

@@ -491,9 +491,9 @@ def _selection_inputs(spark, d):
     lines = {"ship_date": "date", "o_orderdate": "date", "l_extendedprice": "unclassified_metric",
              "l_discount": "unclassified_metric", "l_tax": "unclassified_metric",
              "l_linenumber": "unclassified_metric", "o_totalprice": "unclassified_metric"}
-    profiles = insights.union([
-        PF.column_profile(frames["dated_lines"], lines, "dated_lines"),
-        PF.column_profile(frames["gold_engagement"], ENGAGEMENT_SUBTYPES, "gold_engagement")])
+    profiles = PF.column_profiles({
+        "dated_lines": (frames["dated_lines"], lines),
+        "gold_engagement": (frames["gold_engagement"], ENGAGEMENT_SUBTYPES)})
     return specs, profiles
 
 
@@ -1107,10 +1107,8 @@ def merged_profile(spark, d):
     """
     lines = table(spark, d, "lineitem").drop("l_comment")
     measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    years = [r["y"] for r in lines.select(F.year("l_shipdate").alias("y")).distinct().collect()]
-    states = stage(insights.union([
-        PS.profile_state(lines.where(F.year("l_shipdate").eqNullSafe(F.lit(y))), "lineitem",
-                         measures, str(y)) for y in years]))
+    year = F.coalesce(F.year("l_shipdate").cast("string"), F.lit("None"))
+    states = stage(PS.profile_state(lines, "lineitem", measures, year))
     merged = stage(PS.merged_profile(states))
     exact = distinct_counts(lines, lines.columns)
     middles = stage(merged.where("about_quantiles is not null").select(
