@@ -110,13 +110,17 @@ def text_stats(datasets: dict[str, DataFrame]) -> DataFrame:
     for dataset, df in datasets.items():
         pairs = F.array(*[
             F.struct(F.lit(c).alias("name"), value_key(F.col(f"`{c}`")).alias("value"),
-                     number_of(F.col(f"`{c}`"), is_text=True).isNotNull().alias("is_number"))
+                     F.when(F.length(f"`{c}`") > 64,
+                            number_of(F.col(f"`{c}`"), is_text=True).isNotNull()).alias("is_number"))
             for c in text_columns(df)
         ])
         stacked.append(df.select(F.lit(dataset).alias("dataset"), F.explode(pairs).alias("p"))
                        .select("dataset", "p.*"))
     merged = reduce(DataFrame.union, stacked).groupBy(
         "dataset", "name", "value", "is_number").agg(F.count("*").alias("c"))
+    # Short values stand whole in their keys, so they are read as numbers once each.
+    merged = merged.withColumn("is_number", F.coalesce(
+        "is_number", number_of(F.col("value"), is_text=True).isNotNull()))
     return merged.groupBy("dataset", "name").agg(
         F.sum("c").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0)).alias("n_null"),
