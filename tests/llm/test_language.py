@@ -1,9 +1,12 @@
 """Language identification by held-out accuracy and on odd rows."""
 
+import weakref
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tidemark.llm import language as L
+from tidemark.llm import common, language as L
 
 
 def test_held_out_accuracy(spark):
@@ -50,3 +53,35 @@ def test_empty_and_unlabelled_tables(spark):
     assert L.identify(spark.createDataFrame([], schema)).count() == 0
     got = L.identify(spark.createDataFrame([(1, "words", None)], schema)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]
+
+
+def test_a_batch_is_decided_in_parts(monkeypatch):
+    alive, most, plain = [0], [0], L.trigrams
+
+    def counted(text):
+        vector = plain(text)
+        if vector is not None:
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+            weakref.finalize(vector, lambda: alive.__setitem__(0, alive[0] - 1))
+        return vector
+
+    texts = [None, "", "12", *(f"words of text number {'abcdefghij'[i % 10] * 9}" for i in range(200))]
+    x = np.stack([plain(t) for t in texts[3:]])
+    model = L.Model(["only en"], {"only en": ["en"]}, np.zeros((L.DIMENSIONS + 1, 1), np.float32))
+    assert (model.predict(x)[0] == "en").all()
+    monkeypatch.setattr(L, "trigrams", counted)
+    monkeypatch.setattr(L, "PART", 8)
+    assert L.likely(pd.Series(texts), model, 0.2).tolist() == [False] * 3 + [True] * 200
+    assert most[0] <= 16
+
+
+def test_workers_give_memory_back_after_the_last_batch(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    double = common.lean(lambda batches: (2 * b for b in batches))
+    assert list(double([1, 2])) == [2, 4] and calls == [1]
+    early = double([1, 2])
+    next(early)
+    early.close()
+    assert calls == [1, 1]

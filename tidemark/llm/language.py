@@ -7,6 +7,7 @@ separate close relatives.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -15,13 +16,14 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import fraction, objects, stored
+from tidemark.llm.common import fraction, lean, objects, stored
 from tidemark.session import inline_rows
 
 UNKNOWN = "und"
 DIMENSIONS = 2048  # hashed letter trigrams
 SAMPLE_ROWS = 6000  # expected bound on labelled rows that models are fitted on, all languages
 SLICE = 1 << 20
+PART = 512  # texts whose vectors are held at a time
 STEPS = 300
 
 #: Families of language codes; a code that is not listed is a family of its own.
@@ -219,10 +221,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id",
     every row where no labelled text was there to learn from. Repeated rows get equal answers; an
     empty table gives an empty result.
     """
+    @lean
     def run(batches):
         for batch in batches:
-            for i in range(0, len(batch), 512):
-                part = batch.iloc[i:i + 512]
+            for i in range(0, len(batch), PART):
+                part = batch.iloc[i:i + PART]
                 vectors = [trigrams(t) for t in part["text"]]
                 known = [k for k, v in enumerate(vectors) if v is not None]
                 names, scores = np.full(len(part), UNKNOWN, object), np.zeros(len(part))
@@ -253,15 +256,25 @@ def keep_known(docs: DataFrame, lowest: float = 0.2, sample_rows: int = SAMPLE_R
     """
     model = fit(docs, sample_rows=sample_rows)
 
+    @lean
+    def decided(batches):
+        for texts in batches:
+            yield pd.Series(likely(texts, model, lowest))
+
     @F.pandas_udf("boolean")
-    def recognised(texts: pd.Series) -> pd.Series:
-        keep = np.zeros(len(texts), bool)
-        vectors = [trigrams(t) for t in texts]
-        known = np.array([k for k, v in enumerate(vectors) if v is not None], int)
-        for i in range(0, len(known), 512):
-            part = known[i:i + 512]
-            names, scores = model.predict(np.stack([vectors[k] for k in part]))
-            keep[part] = (names != UNKNOWN) & (scores >= lowest)
-        return pd.Series(keep)
+    def recognised(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return decided(batches)
 
     return docs.where(recognised(docs["text"]))
+
+
+def likely(texts: pd.Series, model: Model, lowest: float) -> np.ndarray:
+    """Which texts the model recognises, PART of them at a time."""
+    keep = np.zeros(len(texts), bool)
+    for i in range(0, len(texts), PART):
+        vectors = [trigrams(t) for t in texts.iloc[i:i + PART]]
+        known = [k for k, v in enumerate(vectors) if v is not None]
+        if known:
+            names, scores = model.predict(np.stack([vectors[k] for k in known]))
+            keep[np.array(known) + i] = (names != UNKNOWN) & (scores >= lowest)
+    return keep

@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import components, stored
+from tidemark.llm.common import components, lean, stored
 
 SEED = 42
 BLOCK = 1 << 16
@@ -45,6 +45,7 @@ def fingerprint(text: str | None, words_per_shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, words_per_shingle: int, id_col="doc_id", text_col="text"):
     """(id, fp as a signed long) for every row; a null text has no words."""
+    @lean
     def run(batches):
         for batch in batches:
             prints = [fingerprint(t, words_per_shingle) for t in batch["t"]]
@@ -57,6 +58,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int, id_col="doc_id", text_
 
 def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
     """Number of fingerprints and how often each two bits are set together, over all of them."""
+    @lean
     def run(batches):
         total = np.zeros((64, 64))
         n = 0
