@@ -1,6 +1,7 @@
 """Main text of pages: structure, odd markup, and repetition within a host."""
 
 import re
+import tracemalloc
 from html import unescape
 
 import numpy as np
@@ -165,3 +166,40 @@ def test_whole_table(spark, folder):
 
 def test_empty_table(spark):
     assert P.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_one_cutting_gives_both_streams_and_parts_lose_no_page(spark, monkeypatch):
+    monkeypatch.setattr(P, "PART", 3)
+    rows = [(i, f"http://a.org/{i % 2}", f"<nav>menu of {i} with eight words or more than that</nav>"
+             f"<article><p>{' '.join(f'own{i}x{k}' for k in range(9))}</p>{NOTICE}</article>")
+            for i in range(20)] + [(30, None, None), (31, "http://a.org/", page(3, ""))]
+    df = spark.createDataFrame([(*r, "h", "t", 1) for r in rows], SCHEMA).coalesce(1)
+    got = P.both_streams(df).collect()
+    assert sorted(r.inside for r in got) == [False] * 21 + [True] * 20
+    assert all((r.narrow is None) != r.inside and (r.wide is None) == r.inside for r in got)
+    one, other = P.token_streams(df, True).collect(), P.token_streams(df).collect()
+    assert len(one) == 20 and len(other) == 21
+    assert {len(r.tokens) for r in one} == {9 + len(re.sub("<[^>]*>", "", NOTICE).split())}
+    assert sorted(r.page_id for r in P.main_text(df).collect()) == [*range(20), 30, 31]
+
+
+def test_suffix_array_hands_on_what_is_asked_and_takes_little_memory():
+    draw = np.random.default_rng(6)
+    pages = draw.permutation(50).astype(np.int64) - 9
+    streams = [draw.integers(0, 4, 90).astype(np.uint64) for _ in pages]
+    every = P.suffix_array(pages, streams)
+    held = {}
+    for p, s in zip(pages, streams):
+        for key in P.windows(s).view(np.int64):
+            held.setdefault(key, set()).add(p)
+    assert {r.window: (r.first, r.last, r.pages) for r in every.itertuples()} == {
+        k: (min(v), max(v), len(v)) for k, v in held.items()}
+    few = P.suffix_array(pages, streams, 2)
+    assert few.equals(every[every["pages"] >= 2].reset_index(drop=True))
+    assert P.suffix_array(pages[:0], []).empty
+    large = [draw.integers(0, 1 << 62, 5000).astype(np.uint64) for _ in range(200)]
+    tracemalloc.start()
+    P.suffix_array(np.arange(200), large, 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 55 * 1_000_000  # bytes a token

@@ -12,19 +12,22 @@ from __future__ import annotations
 
 import html as markup
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import objects, release, stored
+from tidemark.llm.common import lean, objects, release, stored
 from tidemark.llm.url_lists import host_of
 
 DEPTH = 8  # tokens of the shortest repeated substring; a power of two
 MANY = 5  # distinct articles of a host that share a notice
 MOST = 4  # times the words elsewhere that a marked part needs to be heard against its class names
 BLOCK_TOKENS = 2_000_000  # tokens in one suffix array; larger hosts get several, then merged
+PART = 256  # pages that are cut into blocks before their rows go on
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
@@ -252,50 +255,82 @@ def parsed(pages: DataFrame) -> DataFrame:
                         F.col("html"), F.col("page_id"), F.col("url"))
 
 
-def token_streams(pages: DataFrame, inside: bool = False) -> DataFrame:
-    """(host, page, tokens): each page's stream outside or inside its article, pages named by
-    content.
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, PART):
+            yield batch.slice(i, PART)
+
 
-    Tokens inside are 32 bits wide, half the files: a window still differs in eight of them, and
-    several articles must agree by chance, not two.
+def both_streams(pages: DataFrame) -> DataFrame:
+    """(host, inside, page, narrow, wide): each page's streams inside and outside its article, pages
+    named by content, from one cutting of the page.
+
+    Tokens inside are 32 bits wide (`narrow`), half the files: a window still differs in eight of
+    them, and several articles must agree by chance, not two. Those outside are `wide`.
     """
-    width = np.int32 if inside else np.int64
+    @lean
     def run(batches):
-        for batch in batches:
-            hosts, keys, tokens = [], [], []
-            for host, text in zip(batch["host"], batch["html"]):
+        for part in parts(batches):
+            at, inner, keys, tokens = [], [], [], ([], [])
+            for i, text in enumerate(part.column(1).to_pylist()):
                 blocks = blocks_of(text)
-                words = " ".join(article_blocks(blocks)).split() if inside \
-                    else [w for _, w in stream_of(blocks)]
-                if len(words) >= DEPTH:
-                    hosts.append(host)
-                    keys.append(page_key(words))
-                    tokens.append(hashed(words).view(np.int64).astype(width))
-            yield pd.DataFrame({"host": objects(hosts), "page": np.array(keys, np.int64),
-                                "tokens": objects(tokens)})
+                outside = [w for _, w in stream_of(blocks)]
+                for inside, words in ((True, " ".join(article_blocks(blocks)).split()), (False, outside)):
+                    if len(words) >= DEPTH:
+                        at.append(i)
+                        inner.append(inside)
+                        keys.append(page_key(words))
+                        own = hashed(words).view(np.int64)
+                        tokens[0].append(own.astype(np.int32) if inside else None)
+                        tokens[1].append(None if inside else own)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(at, pa.int64())), pa.array(inner, pa.bool_()),
+                 pa.array(keys, pa.int64()), pa.array(tokens[0], pa.list_(pa.int32())),
+                 pa.array(tokens[1], pa.list_(pa.int64()))],
+                ["host", "inside", "page", "narrow", "wide"])
+
+    return parsed(pages).select("host", "html").mapInArrow(
+        run, "host string, inside boolean, page long, narrow array<int>, wide array<long>")
+
+
+def streams_of(both: DataFrame, inside: bool) -> DataFrame:
+    """(host, page, tokens): the streams inside articles, or those outside."""
+    return both.where(F.col("inside") if inside else ~F.col("inside")).select(
+        "host", "page", F.col("narrow" if inside else "wide").alias("tokens"))
+
 
-    return parsed(pages).select("host", "html").mapInPandas(
-        run, f"host string, page long, tokens array<{'int' if inside else 'long'}>")
+def token_streams(pages: DataFrame, inside: bool = False) -> DataFrame:
+    """(host, page, tokens): each page's stream outside or inside its article."""
+    return streams_of(both_streams(pages), inside)
 
 
-def suffix_array(pages: np.ndarray, streams: list[np.ndarray]) -> pd.DataFrame:
-    """Distinct substrings of DEPTH tokens in sorted order, with the first and last page of each and
-    the number of its distinct pages.
+def suffix_array(pages: np.ndarray, streams: list[np.ndarray], least: int = 1) -> pd.DataFrame:
+    """Distinct substrings of DEPTH tokens in sorted order that stand in `least` distinct pages, with
+    the first and last page of each and the number of its distinct pages.
 
     Streams are concatenated without letting a substring run over a page's end. Sorting suffixes
-    by the key of their DEPTH-prefix puts equal substrings side by side.
+    by the key of their DEPTH-prefix puts equal substrings side by side, in the order of pages.
     """
-    keys = [windows(s) for s in streams]
-    owner = np.repeat(pages, [len(k) for k in keys])
+    known, place = np.unique(pages, return_inverse=True)
+    place = place.astype(np.int32)
+    turn = np.argsort(place, kind="stable")
+    keys = [windows(streams[i]) for i in turn]
+    owner = np.repeat(place[turn], [len(k) for k in keys])
     key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-    order = np.lexsort((owner, key))
+    del keys
+    order = np.argsort(key, kind="stable")
     key, owner = key[order], owner[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
+    del order
+    start = np.append(True, key[1:] != key[:-1])[:len(key)]
+    first = np.flatnonzero(start)
     last = np.append(first[1:], len(key)) - 1 if len(key) else first
-    new = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])) if len(key) else key
-    held = np.add.reduceat(new.astype(np.int64), first) if len(key) else first
-    return pd.DataFrame({"window": key[first].view(np.int64), "first": owner[first],
-                         "last": owner[last], "pages": held})
+    start[1:] |= owner[1:] != owner[:-1]
+    held = np.add.reduceat(start, first, dtype=np.int64) if len(key) else first
+    if least > 1:
+        enough = held >= least
+        first, last, held = first[enough], last[enough], held[enough]
+    return pd.DataFrame({"window": key[first].view(np.int64), "first": known[owner[first]],
+                         "last": known[owner[last]], "pages": held})
 
 
 def placed_streams(streams: DataFrame) -> DataFrame:
@@ -305,6 +340,11 @@ def placed_streams(streams: DataFrame) -> DataFrame:
     """
     streams = stored(streams.dropDuplicates(["host", "page"]))
     release(streams.sparkSession)
+    return dealt_streams(streams)
+
+
+def dealt_streams(streams: DataFrame) -> DataFrame:
+    """`placed_streams` of stored streams that are distinct."""
     sizes = streams.groupBy("host").agg(F.sum(F.size("tokens")).alias("n"))
     blocks = stored(sizes.select("host", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("blocks")))
     return streams.join(blocks, "host").select(
@@ -321,9 +361,7 @@ def repeated_windows(placed: DataFrame, least: int = 2) -> DataFrame:
     """
     def sort(key, data):
         arrays = [np.asarray(t, np.int64).view(np.uint64) for t in data["tokens"]]
-        found = suffix_array(data["page"].to_numpy(), arrays)
-        if key[2] == 1:
-            found = found[found["pages"] >= least]
+        found = suffix_array(data["page"].to_numpy(), arrays, least if key[2] == 1 else 1)
         found.insert(0, "host", key[0])
         return found[["host", "window", "pages"]]
 
@@ -369,66 +407,59 @@ def main_text(pages: DataFrame) -> DataFrame:
     its own text boilerplate, and repeated rows get equal texts. White space of any kind becomes
     one space. An empty table gives an empty result; other columns are not read.
     """
-    def marked(batches):
-        for batch in batches:
-            rows = []
-            for host, text, page_id, url in zip(batch["host"], batch["html"], batch["page_id"],
-                                                batch["url"]):
-                texts = article_blocks(blocks_of(text))
-                if texts:
-                    rows.append((page_id, url, host, page_key(" ".join(texts).split()), texts))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "texts"])
-
-    def cleared(batches):
-        for batch in batches:
-            texts = [" ".join(t if s is None else without_notices(list(t), np.asarray(s, np.int64)))
-                     for t, s in zip(batch["texts"], batch["starts"])]
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": objects(texts)})
-
-    def unmarked(batches):
-        for batch in batches:
-            rows = []
-            for host, text, page_id, url in zip(batch["host"], batch["html"], batch["page_id"],
-                                                batch["url"]):
+    @lean
+    def split(batches):
+        for part in parts(batches):
+            inside, keys, texts, free = [], [], [], []
+            for text in part.column(0).to_pylist():
                 blocks = blocks_of(text)
-                if article_of(blocks) is not None:
-                    continue
-                stream = stream_of(blocks)
-                words = [w for _, w in stream]
-                rows.append((page_id, url, host, page_key(words), words,
-                             [z == NEUTRAL for z, _ in stream],
-                             windows(hashed(words)).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "page", "words", "open",
-                                              "windows"])
-
-    def uncovered(batches):
-        for batch in batches:
-            texts = []
-            for words, free, starts in zip(batch["words"], batch["open"], batch["starts"]):
-                keep = np.array(free, bool)
-                for s in starts if starts is not None else ():
-                    keep[s:s + DEPTH] = False
-                texts.append(" ".join(w for w, k in zip(words, keep) if k))
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": objects(texts)})
+                own = article_blocks(blocks)
+                stream = [] if own else stream_of(blocks)
+                words = " ".join(own).split() if own else [w for _, w in stream]
+                inside.append(bool(own))
+                keys.append(page_key(words))
+                texts.append(own or words)
+                free.append(None if own else [z == NEUTRAL for z, _ in stream])
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[1:], pa.array(inside, pa.bool_()), pa.array(keys, pa.int64()),
+                 pa.array(texts, pa.list_(pa.string())), pa.array(free, pa.list_(pa.bool_()))],
+                ["host", "page_id", "url", "inside", "page", "texts", "open"])
+
+    @lean
+    def clear(batches):
+        for part in parts(batches):
+            texts = [" ".join(left_of(*row)) for row in zip(
+                *[part.column(i).to_pylist() for i in (2, 3, 4)])]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(texts, pa.string())],
+                ["page_id", "url", "text"])
 
     rows = parsed(pages)
-    shape = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string"
-    wide = shape.replace("text string", "host string, page long, words array<string>, "
-                                        "open array<boolean>, windows array<long>")
-    rest = stored(rows.mapInPandas(unmarked, wide))
-    repeated = repeated_windows(placed_streams(token_streams(pages)))
-    at = (rest.select("host", "page", "windows").dropDuplicates(["host", "page"])
-          .select("host", "page", F.posexplode("windows").alias("start", "window"))
-          .join(repeated, ["host", "window"])
-          .groupBy("host", "page").agg(F.collect_list("start").alias("starts")))
-    cleaned = rest.drop("windows").join(at, ["host", "page"], "left").mapInPandas(uncovered, shape)
-    held = rows.mapInPandas(marked, shape.replace(
-        "text string", "host string, page long, texts array<string>"))
-    inside = placed_streams(token_streams(pages, inside=True))
-    shared = stored(repeated_windows(inside, MANY))
-    release(pages.sparkSession)
-    notices = stored(repeated_places(inside, shared))
+    kind = pages.schema["page_id"].dataType.simpleString()
+    both = stored(both_streams(pages).dropDuplicates(["host", "inside", "page"]))
     release(pages.sparkSession)
-    articles = held.join(notices, ["host", "page"], "left").mapInPandas(cleared, shape)
-    return (articles.union(cleaned)
-            .withColumn("n_chars", F.char_length("text").cast("long")))
+    marks = []
+    for inside, least in ((False, 2), (True, MANY)):
+        placed = dealt_streams(streams_of(both, inside))
+        shared = stored(repeated_windows(placed, least))
+        release(pages.sparkSession)
+        marks.append(stored(repeated_places(placed, shared)).withColumn("inside", F.lit(inside)))
+        release(pages.sparkSession)
+    held = rows.select("html", "host", "page_id", "url").mapInArrow(
+        split, f"host string, page_id {kind}, url string, inside boolean, page long, "
+               "texts array<string>, open array<boolean>")
+    return held.join(marks[0].unionByName(marks[1]), ["host", "inside", "page"], "left").select(
+        "page_id", "url", "texts", "open", "starts").mapInArrow(
+        clear, f"page_id {kind}, url string, text string").withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
+def left_of(texts: list[str], free: list[bool] | None, starts: list[int] | None) -> list[str]:
+    """What repeated substrings leave of a page: blocks of its article, or words where it marks none
+    (`free`: whether a word stands where no name or mark says what it is)."""
+    if free is None:
+        return texts if starts is None else without_notices(texts, np.array(starts, np.int64))
+    keep = np.array(free, bool)
+    for s in starts or ():
+        keep[s:s + DEPTH] = False
+    return [w for w, k in zip(texts, keep) if k]
